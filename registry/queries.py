@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.functions import text as tx
-from sentloom.operators import cleaning, pairing, stats
-from sentloom.operators.tokenization import tokens
-from sentloom.plans import views
+from sentloom.operators import (
+    cleaning,
+    ledger,
+    metrics,
+    mixtures,
+    pairing,
+    sampling,
+    scoring,
+    stats,
+    subword,
+    synthesis,
+    tokenization,
+    vocabulary,
+)
+from sentloom.plans import experiment, student, views
+from sentloom.sources import corpus, sinks
+from sentloom.sources.staging import materialize_once, stage, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+SEED = 7
 
 
 def query(fn: Query) -> Query:
@@ -21,34 +38,95 @@ def query(fn: Query) -> Query:
     return fn
 
 
-# --- minimum slice ---------------------------------------------------------
+def side_lines(spark, sf, lang):
+    return views.lines(spark, sf, lang).select("line_no", "text")
+
+
+def joined(col):
+    """Arrays compare as text."""
+    return F.array_join(F.col(col).cast("array<string>"), " ").alias(col)
+
+
+# --- sources and sinks: tables go out as files and come back -----------------
 
 @query
-def threshold_sweep_by_corpus(spark, sf):
-    scored = views.scored_pairs(spark, sf).select("corpus", "score")
-    return stats.threshold_sweep(scored, by=["corpus"])
+def read_corpus(spark, sf):
+    folder = sinks.write_lines(side_lines(spark, sf, "en"), staging_path(spark, "en"))
+    return corpus.read_corpus(spark, folder, "documents", "en")
 
 
 @query
-def threshold_sweep(spark, sf):
-    return stats.threshold_sweep(views.scored_pairs(spark, sf).select("score"))
+def read_parallel(spark, sf):
+    en = sinks.write_lines(side_lines(spark, sf, "en"), staging_path(spark, "en"))
+    de = sinks.write_lines(side_lines(spark, sf, "de"), staging_path(spark, "de"))
+    return corpus.read_parallel(spark, en, de, "documents", "en", "de")
 
 
 @query
-def number_lines(spark, sf):
-    return views.lines(spark, sf)
+def assign_splits(spark, sf):
+    roles = {"src0": "test", "src1": "valid", "src2": "train", "src3": "train", "src4": "train"}
+    return cleaning.assign_splits(views.corpus(spark, sf), roles).select("split", "corpus", "lang", "line_no")
 
 
 @query
-def pair_by_line_pad(spark, sf):
-    return views.pairs(spark, sf)
+def write_splits(spark, sf):
+    roles = {"src0": "test", "src1": "valid", "src2": "train", "src3": "train", "src4": "train"}
+    path = staging_path(spark, "splits")
+    sinks.write_splits(cleaning.assign_splits(views.corpus(spark, sf), roles), path)
+    return spark.read.parquet(path).filter("split = 'valid'").select("corpus", "lang", "line_no", "text")
 
 
 @query
-def pair_by_line_truncate(spark, sf):
-    en = views.lines(spark, sf, "en").select("line_no", "text")
-    de = views.lines(spark, sf, "de").select("line_no", "text")
-    return pairing.pair_by_line(en, de, "truncate")
+def read_corpus_glob(spark, sf):
+    root = staging_path(spark, "langs")
+    for lang in ("de", "en", "es", "fr"):
+        sinks.write_lines(side_lines(spark, sf, lang), f"{root}/{lang}")
+    return corpus.read_lines(spark, f"{root}/*").select("line_no", "text")
+
+
+@query
+def read_scored(spark, sf):
+    path = sinks.write_scored(views.scored_pairs(spark, sf), staging_path(spark, "scored"))
+    return corpus.read_scored(spark, path)
+
+
+@query
+def write_sides(spark, sf):
+    src, tgt = sinks.write_sides(views.clean_pairs(spark, sf), staging_path(spark, "sides"))
+    return corpus.read_parallel(spark, src, tgt, "sides", "en", "de").select("line_no", "src", "tgt")
+
+
+@query
+def write_wordfreq(spark, sf):
+    counts = stats.word_frequencies(side_lines(spark, sf, "de"), "de")
+    return corpus.read_wordfreq(spark, sinks.write_wordfreq(counts, staging_path(spark, "wordfreq")))
+
+
+@query
+def materialize_once_per_stage(spark, sf):
+    path = staging_path(spark, "stage")
+    materialize_once(spark, lambda: stats.corpus_counts(views.corpus(spark, sf)), path)
+    # The stage is complete, so the second call reads it instead of doubling the counts.
+    return materialize_once(spark, lambda: stats.corpus_counts(views.corpus(spark, sf).unionAll(views.corpus(spark, sf))), path)
+
+
+@query
+def write_result(spark, sf):
+    path = sinks.write_result(views.ledger(spark, sf), staging_path(spark, "result"))
+    return spark.read.schema("experiment bigint, iteration bigint, direction string, metric double").json(path)
+
+
+@query
+def write_synthetic(spark, sf):
+    path = sinks.write_synthetic(synthetic_parts(spark, sf), staging_path(spark, "synthetic"))
+    return spark.read.parquet(path).select("line_no", "l1", "l2", "l1_origin", "l2_origin")
+
+
+# --- projections and filters -------------------------------------------------
+
+@query
+def number_lines(spark, sf):
+    return views.lines(spark, sf)
 
 
 @query
@@ -56,22 +134,134 @@ def drop_empty_pairs(spark, sf):
     return cleaning.drop_empty_pairs(views.pairs(spark, sf)).select("line_no", "corpus", "src", "tgt")
 
 
+@query
+def drop_empty_pairs_unchanged(spark, sf):
+    return cleaning.drop_empty_pairs(views.pairs(spark, sf), strip=False).select("line_no", "corpus", "src", "tgt")
+
+
 @query
 def side_src(spark, sf):
     return pairing.side(views.pairs(spark, sf), "src")
 
 
+@query
+def side_tgt(spark, sf):
+    return pairing.side(views.pairs(spark, sf), "tgt")
+
+
 @query
 def filter_by_score(spark, sf):
     return cleaning.filter_by_score(views.scored_pairs(spark, sf), 0.5).select("line_no", "corpus", "score")
 
 
+@query
+def max_pieces(spark, sf):
+    pieces = views.lines(spark, sf).withColumn("pieces", tx.words("text"))
+    return cleaning.max_pieces(pieces, 100).select("lang", "line_no", F.size("pieces").alias("n_pieces"))
+
+
 @query
 def strip_lines(spark, sf):
     padded = views.lines(spark, sf).withColumn("text", F.concat(F.lit(" \t "), "text", F.lit("　 \r")))
     return cleaning.strip_lines(padded).select("lang", "line_no", "text")
 
 
+def both_pieces(spark, sf):
+    return views.pairs(spark, sf).withColumns({"src_pieces": tx.words("src"), "tgt_pieces": tx.words("tgt")})
+
+
+@query
+def length_filter(spark, sf):
+    kept = cleaning.length_filter(both_pieces(spark, sf), min_len=5, max_len=80)
+    return kept.select("line_no", joined("src_pieces"), joined("tgt_pieces"))
+
+
+@query
+def encode_stats(spark, sf):
+    return cleaning.encode_stats(both_pieces(spark, sf), min_len=5, max_len=80)
+
+
+@query
+def parse_hypotheses(spark, sf):
+    return cleaning.parse_hypotheses(views.decoder_log(spark, sf))
+
+
+@query
+def parse_hypotheses_third(spark, sf):
+    # A tab inside the text: the third field ends there, the last one starts there.
+    log = views.decoder_log(spark, sf).withColumn("line", F.regexp_replace("line", "^(.*) ", "$1\t"))
+    third = cleaning.parse_hypotheses(log, field="third").withColumnRenamed("text", "third")
+    last = cleaning.parse_hypotheses(log).select("sent_id", F.col("text").alias("last"))
+    return third.join(last, "sent_id")
+
+
+@query
+def lower_text(spark, sf):
+    return cleaning.lower_text(views.lines(spark, sf)).select("lang", "line_no", "text")
+
+
+def _tokenize(lang):
+    def run(spark, sf):
+        df = tokenization.tokenize(views.lines(spark, sf, lang), lang)
+        return df.select("line_no", joined("tokens"))
+
+    run.__name__ = f"tokenize_{lang}"
+    return query(run)
+
+
+for _lang in ("de", "en", "es", "fr"):
+    _tokenize(_lang)
+
+
+def _threes():
+    return lambda text: re.findall("[^ ]{1,3}", text)
+
+
+@query
+def encode_pieces(spark, sf):
+    encoded = subword.encode_pieces(views.lines(spark, sf), _threes)
+    return encoded.select("lang", "line_no", joined("pieces"))
+
+
+def lower_tokens(spark, sf, lang):
+    return views.lines(spark, sf, lang).withColumn("pieces", F.split(F.lower("text"), " "))
+
+
+@query
+def encode_ids(spark, sf):
+    encoded = vocabulary.encode_ids(lower_tokens(spark, sf, "de"), views.vocab(spark, sf, "en"), unk_id=3)
+    return encoded.select("line_no", "id_text")
+
+
+@query
+def decode_pieces(spark, sf):
+    pieces = views.lines(spark, sf).withColumn("pieces", F.split(F.concat(F.lit("▁"), F.replace("text", F.lit(" "), F.lit(" ▁"))), " "))
+    return cleaning.decode_pieces(pieces).select("lang", "line_no", "text")
+
+
+@query
+def decode_ids(spark, sf):
+    en = views.vocab(spark, sf, "en")
+    encoded = vocabulary.encode_ids(lower_tokens(spark, sf, "de"), en, unk_id=-1).select(
+        "line_no", F.replace("id_text", F.lit("-1"), F.lit("<<unk>>")).alias("id_text")
+    )
+    return vocabulary.decode_ids(encoded, en).select("line_no", "text")
+
+
+@query
+def remove_subwords(spark, sf):
+    marked = F.concat(F.lit("▁"), F.replace(F.replace("tgt", F.lit("e"), F.lit(" e")), F.lit(" "), F.lit(" ▁")))
+    return cleaning.remove_subwords(views.turns(spark, sf).select("sent_id", marked.alias("text")))
+
+
+@query
+def lang_codes(spark, sf):
+    tagged = views.table(spark, sf, "documents", views.DOCUMENTS).select(
+        "doc_id", F.concat("lang", F.lit("_"), F.upper("lang")).alias("tag")
+    )
+    return tagged.select("doc_id", tx.lang_code("tag").alias("code"), tx.lang_symbol("tag").alias("symbol"))
+
+
 @query
 def score_label(spark, sf):
     label = F.lpad(F.floor(F.col("score") * 10).cast("string"), 2, "0")
@@ -82,8 +272,105 @@ def score_label(spark, sf):
 
 
 @query
-def corpus_counts(spark, sf):
-    return stats.corpus_counts(views.corpus(spark, sf), by=["lang", "corpus"])
+def with_placeholder(spark, sf):
+    return cleaning.with_placeholder(views.lines(spark, sf)).select("lang", "line_no", "tgt")
+
+
+@query
+def add_lang_tags(spark, sf):
+    tagged = cleaning.add_lang_tags(both_pieces(spark, sf), "en_XX", "de_DE")
+    return tagged.select("line_no", joined("src_pieces"), joined("tgt_pieces"))
+
+
+@query
+def parse_report(spark, sf):
+    lines = views.ledger(spark, sf).select(
+        "experiment", "iteration", "direction",
+        F.concat(F.lit("BLEU = "), F.col("metric").cast("string"), F.lit(" (BP = 1.000)")).alias("line"),
+    )
+    return cleaning.parse_report(lines).drop("line")
+
+
+# --- joins -------------------------------------------------------------------
+
+@query
+def pair_by_line_pad(spark, sf):
+    return views.pairs(spark, sf)
+
+
+@query
+def pair_by_line_truncate(spark, sf):
+    return pairing.pair_by_line(side_lines(spark, sf, "en"), side_lines(spark, sf, "de"), "truncate")
+
+
+def some_hypotheses(spark, sf):
+    """Hypotheses of the log for every source but those whose id ends in 4."""
+    hyps = cleaning.parse_hypotheses(views.decoder_log(spark, sf)).select("sent_id", F.col("text").alias("hyp"))
+    return hyps.filter("sent_id % 10 <> 4")
+
+
+@query
+def attach_hypotheses(spark, sf):
+    return pairing.attach_hypotheses(views.turns(spark, sf).select("sent_id", "src"), some_hypotheses(spark, sf))
+
+
+@query
+def missing_hypotheses(spark, sf):
+    return pairing.missing_hypotheses(views.turns(spark, sf), some_hypotheses(spark, sf))
+
+
+@query
+def map_vocabulary(spark, sf):
+    return vocabulary.map_vocabulary(views.vocab(spark, sf, "de"), views.vocab(spark, sf, "en"), unk_id=0)
+
+
+@query
+def trim_embeddings(spark, sf):
+    emb = views.table(spark, sf, "embeddings", views.EMBEDDINGS).select(F.col("vec_id").alias("token_id"), "embedding")
+    mapping = vocabulary.map_vocabulary(views.vocab(spark, sf, "de"), views.vocab(spark, sf, "en"), unk_id=0)
+    # The table has fewer vectors than the vocabulary has tokens: ids without one are unknown.
+    n = emb.select(F.max("token_id")).first()[0]
+    mapping = mapping.withColumn("src_id", F.when(F.col("src_id") > n, 0).otherwise(F.col("src_id")))
+    trimmed = vocabulary.trim_embeddings(mapping=mapping, emb=emb, unk_id=0)
+    return trimmed.select(
+        "token_id", "src_id", F.size("embedding").alias("dim"),
+        F.get("embedding", F.lit(0)).cast("double").alias("first"),
+        F.get("embedding", F.lit(63)).cast("double").alias("last"),
+    )
+
+
+@query
+def ids_from_vocab(spark, sf):
+    encoded = vocabulary.ids_from_vocab(lower_tokens(spark, sf, "de"), views.vocab(spark, sf, "de"), eos_id=2)
+    return encoded.select("line_no", joined("ids"))
+
+
+@query
+def ids_from_vocab_shuffled(spark, sf):
+    # The way taken by vocabularies too large to send to every executor.
+    encoded = vocabulary.ids_from_vocab(
+        lower_tokens(spark, sf, "de"), views.vocab(spark, sf, "en"), unk_id=3, max_rows=0
+    )
+    return encoded.select("line_no", joined("ids"))
+
+
+@query
+def missing_corpora(spark, sf):
+    config = spark.createDataFrame([("src1",), ("src2",), ("src99",), ("dev",)], "corpus string")
+    return pairing.missing_corpora(config, views.corpus(spark, sf))
+
+
+# --- aggregations ------------------------------------------------------------
+
+@query
+def threshold_sweep_by_corpus(spark, sf):
+    scored = views.scored_pairs(spark, sf).select("corpus", "score")
+    return stats.threshold_sweep(scored, by=["corpus"])
+
+
+@query
+def threshold_sweep(spark, sf):
+    return stats.threshold_sweep(views.scored_pairs(spark, sf).select("score"))
 
 
 @query
@@ -93,5 +380,348 @@ def word_frequencies(spark, sf):
 
 @query
 def word_frequencies_as_written(spark, sf):
-    de = views.lines(spark, sf, "de")
-    return stats.word_frequencies(de, "de", as_written=True)
+    return stats.word_frequencies(side_lines(spark, sf, "de"), "de", as_written=True)
+
+
+@query
+def build_dictionary(spark, sf):
+    return vocabulary.build_dictionary(lower_tokens(spark, sf, "en"), ["en_XX", "de_DE"])
+
+
+@query
+def joined_dictionary(spark, sf):
+    return vocabulary.joined_dictionary(both_pieces(spark, sf), pad_to=1)
+
+
+@query
+def corpus_counts(spark, sf):
+    return stats.corpus_counts(views.corpus(spark, sf), by=["lang", "corpus"])
+
+
+@query
+def corpus_bleu(spark, sf):
+    return metrics.corpus_bleu(views.hyp_ref(spark, sf)).select(F.round("bleu", 6).alias("bleu"))
+
+
+@query
+def corpus_bleu_turns(spark, sf):
+    df = views.turns(spark, sf).select((F.col("sent_id") % 3).alias("part"), F.col("src").alias("hyp"), F.col("tgt").alias("ref"))
+    return metrics.corpus_bleu(df, by=["part"]).select("part", F.round("bleu", 6).alias("bleu"))
+
+
+@query
+def corpus_chrf(spark, sf):
+    return metrics.corpus_chrf(views.hyp_ref(spark, sf)).select(F.round("chrf", 6).alias("chrf"))
+
+
+@query
+def corpus_chrf_plus_plus(spark, sf):
+    return metrics.corpus_chrf(views.hyp_ref(spark, sf), word_order=2).select(F.round("chrf", 6).alias("chrf"))
+
+
+def with_threes(df):
+    threes = F.lit("([^ ]{1,3})")
+    return df.withColumns({
+        "hyp_pieces": F.regexp_extract_all("hyp", threes), "ref_pieces": F.regexp_extract_all("ref", threes),
+    })
+
+
+@query
+def corpus_bleu_pieces(spark, sf):
+    df = with_threes(views.hyp_ref(spark, sf))
+    return metrics.corpus_bleu(df, "hyp_pieces", "ref_pieces", "pieces").select(F.round("bleu", 6).alias("bleu"))
+
+
+@query
+def evaluate(spark, sf):
+    report = metrics.evaluate(with_threes(views.hyp_ref(spark, sf)))
+    return report.select("metric", F.round("value", 6).alias("value"))
+
+
+@query
+def vocab_coverage(spark, sf):
+    tokens = views.lines(spark, sf).withColumn("tokens", F.split(F.lower("text"), " "))
+    report = stats.vocab_coverage(tokens, views.vocab(spark, sf, "en"), by=["lang"])
+    return report.withColumn("oov_rate", F.round("oov_rate", 6))
+
+
+# --- run ledger --------------------------------------------------------------
+
+def baselines(spark, sf):
+    runs = views.ledger(spark, sf)
+    return runs.groupBy("experiment", "direction").agg(F.avg("metric").alias("baseline"))
+
+
+@query
+def best_run(spark, sf):
+    return ledger.best_run(views.ledger(spark, sf))
+
+
+@query
+def accept_flags(spark, sf):
+    return ledger.accept_flags(views.ledger(spark, sf))
+
+
+@query
+def accept_flags_baseline(spark, sf):
+    return ledger.accept_flags(views.ledger(spark, sf), baselines(spark, sf))
+
+
+@query
+def stop_iteration(spark, sf):
+    return ledger.stop_iteration(views.ledger(spark, sf))
+
+
+@query
+def best_threshold(spark, sf):
+    sweep = views.ledger(spark, sf).withColumn("threshold", (F.col("iteration") - 1) / 10)
+    return ledger.best_threshold(sweep)
+
+
+@query
+def assign_ids(spark, sf):
+    return views.vocab(spark, sf, "en")
+
+
+@query
+def gate(spark, sf):
+    first = views.ledger(spark, sf).filter("iteration = 1")
+    return ledger.gate(first, baselines(spark, sf))
+
+
+# --- orders, prefixes, samples -----------------------------------------------
+
+@query
+def order_by_id(spark, sf):
+    return sampling.order_by_id(views.turns(spark, sf).select(F.col("sent_id").cast("string").alias("sent_id"), "src"))
+
+
+@query
+def order_by_frequency(spark, sf):
+    return stats.order_by_frequency(views.token_counts(spark, sf, "fr").withColumnRenamed("token", "word"))
+
+
+@query
+def head_lines(spark, sf):
+    return sampling.head_lines(views.lines(spark, sf), 1000).select("lang", "line_no", "text")
+
+
+@query
+def growing_prefix(spark, sf):
+    mono = stage(side_lines(spark, sf, "en"), "mono")
+    sizes = [(0, sampling.prefix_for("first", unit=100)), (0, sampling.prefix_for("loop_start", unit=100))]
+    sizes += [(i, sampling.prefix_for("iteration", i, unit=100)) for i in range(1, 9)]
+    return reduce(DataFrame.unionByName, [
+        sampling.head_lines(mono, n).agg(
+            F.lit(i).cast("bigint").alias("iteration"), F.count(F.lit(1)).alias("n_lines"),
+            F.sum(F.length("text")).alias("n_chars"),
+        )
+        for i, n in sizes
+    ])
+
+
+@query
+def cap_pairs(spark, sf):
+    return sampling.cap_pairs(views.clean_pairs(spark, sf), 500, SEED).select("line_no", "src", "tgt")
+
+
+@query
+def cap_pairs_as_written(spark, sf):
+    return sampling.cap_pairs(views.clean_pairs(spark, sf), 500, as_written=True).select("line_no", "src", "tgt")
+
+
+@query
+def shuffle_rows(spark, sf):
+    return sampling.shuffle_rows(views.clean_pairs(spark, sf), SEED).select("line_no", "src", "tgt")
+
+
+# --- mixtures ----------------------------------------------------------------
+
+@query
+def concat_corpora(spark, sf):
+    parts = [views.lines(spark, sf, lang).select("lang", "line_no", "text") for lang in ("fr", "en", "de", "es")]
+    return mixtures.concat_corpora(parts)
+
+
+@query
+def augment(spark, sf):
+    parts = views.corpora(spark, sf)
+    return mixtures.augment(parts.filter("part = 'parallel'"), parts.filter("part = 'l1_syn_l2_orig'"))
+
+
+def parallel_part(spark, sf):
+    return views.corpora(spark, sf).filter("part = 'parallel'").select(
+        "line_no", F.col("src").alias("l1"), F.col("tgt").alias("l2")
+    )
+
+
+def synthetic_parts(spark, sf):
+    so = F.col("part") == "l1_syn_l2_orig"
+    return views.corpora(spark, sf).filter("part <> 'parallel'").select(
+        "line_no", F.col("src").alias("l1"), F.col("tgt").alias("l2"),
+        F.when(so, "synthetic").otherwise("original").alias("l1_origin"),
+        F.when(so, "original").otherwise("synthetic").alias("l2_origin"),
+    )
+
+
+def _mixture(flavour, direction):
+    def run(spark, sf):
+        return mixtures.mixture(parallel_part(spark, sf), synthetic_parts(spark, sf), flavour, direction)
+
+    run.__name__ = f"mixture_{flavour}_{direction}"
+    return query(run)
+
+
+for _flavour, _direction in mixtures.MIXTURES:
+    _mixture(_flavour, _direction)
+
+
+@query
+def joint_text(spark, sf):
+    return mixtures.joint_text(views.clean_pairs(spark, sf))
+
+
+@query
+def temperature_weights(spark, sf):
+    weights = sampling.temperature_weights(views.lines(spark, sf), by="lang")
+    return weights.withColumns({"p": F.round("p", 6), "rate": F.round("rate", 6)})
+
+
+@query
+def temperature_mix(spark, sf):
+    mixed = sampling.temperature_mix(views.lines(spark, sf), by="lang", seed=SEED)
+    return mixed.select("lang", "line_no", F.col("copy").cast("bigint").alias("copy"))
+
+
+# --- scoring, subwords, synthesis --------------------------------------------
+
+def german_words(spark, sf):
+    return stage(stats.word_frequencies(side_lines(spark, sf, "de"), "de"), "wordfreq")
+
+
+@query
+def pair_features(spark, sf):
+    features = scoring.pair_features(views.clean_pairs(spark, sf), german_words(spark, sf))
+    real = ["length_ratio", "copied_share", "punct_agreement", "digit_agreement", "tgt_log_freq"]
+    return features.select("line_no", "src_tokens", "tgt_tokens", *[F.round(c, 6).alias(c) for c in real])
+
+
+@query
+def make_negatives(spark, sf):
+    return scoring.make_negatives(views.clean_pairs(spark, sf), SEED)
+
+
+def classifier(spark, sf, wordfreq):
+    train = sampling.cap_pairs(views.clean_pairs(spark, sf), seed=SEED)
+    return scoring.fit_pair_classifier(train, wordfreq, SEED)
+
+
+@query
+def fit_pair_classifier(spark, sf):
+    model = classifier(spark, sf, german_words(spark, sf)).stages[-1]
+    weights = list(zip(scoring.FEATURES, map(float, model.coefficients))) + [("intercept", float(model.intercept))]
+    return spark.createDataFrame(weights, "feature string, weight double")
+
+
+@query
+def score_pairs(spark, sf):
+    wordfreq = german_words(spark, sf)
+    scored = scoring.score_pairs(views.clean_pairs(spark, sf), classifier(spark, sf, wordfreq), wordfreq)
+    return scored.select("line_no", "score")
+
+
+@query
+def score_pairs_formula(spark, sf):
+    return scoring.score_pairs(views.clean_pairs(spark, sf), scoring.length_ratio_scorer).select("line_no", "score")
+
+
+@query
+def clean_synthetic(spark, sf):
+    cleaned = scoring.clean_synthetic(
+        synthetic_parts(spark, sf).withColumnsRenamed({"l1": "src", "l2": "tgt"}), scoring.length_ratio_scorer, 0.3
+    )
+    return cleaned.select("line_no", "l1_origin", "l2_origin", "score")
+
+
+@query
+def learn_bpe(spark, sf):
+    return subword.learn_bpe(side_lines(spark, sf, "de"), vocab_size=250)[1]
+
+
+@query
+def apply_bpe(spark, sf):
+    merges, _ = subword.learn_bpe(side_lines(spark, sf, "de"), vocab_size=150)
+    encoded = subword.apply_bpe(views.lines(spark, sf), merges)
+    return cleaning.decode_pieces(encoded).select("lang", "line_no", "text")
+
+
+def _reverse_words():
+    return lambda texts: [" ".join(reversed(t.split(" "))) for t in texts]
+
+
+@query
+def translate(spark, sf):
+    flat = views.turns(spark, sf).select("sent_id", tx.one_line("src").alias("text"))
+    return synthesis.translate(flat, _reverse_words).select("sent_id", "hyp")
+
+
+def with_words(df):
+    return df.withColumn("pieces", tx.words("text"))
+
+
+@query
+def synthesize(spark, sf):
+    return synthesis.synthesize(side_lines(spark, sf, "en"), _reverse_words, 2000, with_words, piece_limit=100)
+
+
+# --- loops -------------------------------------------------------------------
+
+def _pair_count(direction, stage_name, data, start_model):
+    """A stand-in trainer: the metric is the number of distinct source words it saw."""
+    n = data.select(F.explode(tx.words("src")).alias("w")).agg(F.count_distinct("w")).first()[0]
+    return f"{stage_name}-{direction}", float(n)
+
+
+@query
+def search_threshold(spark, sf):
+    scored = stage(
+        views.corpora(spark, sf).filter("part <> 'parallel'")
+        .select("line_no", "part", F.col("src").alias("l1"), F.col("tgt").alias("l2"),
+                scoring.length_ratio_scorer(None).alias("score")), "scored")
+    by_direction = {
+        "1n": scored.filter("part = 'l1_syn_l2_orig'"), "n1": scored.filter("part = 'l1_orig_l2_syn'"),
+    }
+    parallel = stage(parallel_part(spark, sf), "parallel")
+    tried, best = experiment.search_threshold(parallel, by_direction, lambda d, t, data: data.count())
+    rows = [(d, t, int(m), t == best[d]) for d, t, m in tried]
+    return spark.createDataFrame(rows, "direction string, threshold double, n_pairs bigint, best boolean")
+
+
+@query
+def iterate(spark, sf):
+    mono = {"l1": stage(side_lines(spark, sf, "en"), "mono"), "l2": stage(side_lines(spark, sf, "de"), "mono")}
+    callbacks = experiment.Callbacks(
+        train=_pair_count, baseline=lambda direction: 0.0, translator=lambda ref: _reverse_words,
+        encode=with_words, scorer=scoring.length_ratio_scorer,
+    )
+    run = experiment.Refinement(
+        spark, "documents", staging_path(spark, "experiment"), stage(parallel_part(spark, sf), "parallel"),
+        mono, callbacks, unit=100,
+    )
+    outcome = run.run(thresholds=(0.0, 0.5))
+    return outcome.ledger.select("stage", "iteration", "direction", "threshold", "metric")
+
+
+@query
+def prepare_student(spark, sf):
+    pairs = student.student_pairs(parallel_part(spark, sf), synthetic_parts(spark, sf), "all", "1n")
+    data = student.prepare_student(stage(pairs, "student"), vocab_size=150)
+    return data.dataset.select("line_no", joined("src_ids"), joined("tgt_ids"))
+
+
+@query
+def report(spark, sf):
+    refs = views.turns(spark, sf).select("sent_id", tx.one_line("tgt").alias("ref"))
+    merges, _ = subword.learn_bpe(refs.select(F.col("ref").alias("text")), vocab_size=150)
+    scored = student.report(views.decoder_log(spark, sf), refs, merges)
+    return scored.select("metric", F.round("value", 6).alias("value"))
