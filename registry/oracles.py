@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from sentloom.functions.text import WHITESPACE, WHITESPACE_RUN
+import string
+
+from sentloom.functions.text import ENTITIES_13A, RULES_13A, WHITESPACE, WHITESPACE_RUN
 from sentloom.operators.tokenization import separation_rules
 
+SEED = 7
+
+# --- views -------------------------------------------------------------------
+
 LINES = """
 lines AS (
   SELECT lang, source, doc_id, pos, text,
@@ -22,55 +28,450 @@ pairs AS (
   FROM (SELECT * FROM lines WHERE lang = 'en') e
   FULL OUTER JOIN (SELECT * FROM lines WHERE lang = 'de') d ON e.line_no = d.line_no)"""
 
+CLEAN = PAIRS + """,
+clean AS (SELECT line_no, corpus, src, tgt FROM pairs WHERE src <> '' AND tgt <> '')"""
+
 SCORED = PAIRS + """,
 scored_pairs AS (
   SELECT line_no, corpus, src, tgt,
          round(least(length(src), length(tgt)) * 1.0 / greatest(length(src), length(tgt)), 4) AS score
   FROM pairs WHERE src <> '' AND tgt <> '')"""
 
-THRESHOLDS = "(SELECT (unnest(range(10)) / 10.0)::DOUBLE AS threshold)"
+CORPORA = SCORED + """,
+corpora AS (
+  SELECT line_no, src, tgt, score,
+         CASE line_no % 3 WHEN 0 THEN 'parallel' WHEN 1 THEN 'l1_syn_l2_orig' ELSE 'l1_orig_l2_syn' END AS part
+  FROM scored_pairs)"""
 
+SYNTHETIC = CORPORA + """,
+synthetic AS (
+  SELECT line_no, src AS l1, tgt AS l2, score,
+         CASE part WHEN 'l1_syn_l2_orig' THEN 'synthetic' ELSE 'original' END AS l1_origin,
+         CASE part WHEN 'l1_syn_l2_orig' THEN 'original' ELSE 'synthetic' END AS l2_origin
+  FROM corpora WHERE part <> 'parallel')"""
 
-def tokenised(expr: str, lang: str) -> str:
-    """The separation rules as nested calls, then words."""
-    sql = f"' ' || {expr} || ' '"
-    for pattern, replacement in separation_rules(lang):
+TURNS = """
+turns AS (
+  SELECT a.conv_id * 100 + a.turn AS sent_id, a.text AS src, b.text AS tgt
+  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
+  WHERE a.role = 'user' AND b.role = 'assistant')"""
+
+HYP_REF = """
+hyp_ref AS (
+  SELECT item_id, text AS ref,
+         (SELECT string_agg(w, ' ' ORDER BY i)
+          FROM (SELECT unnest(string_split(text, ' ')) AS w,
+                       unnest(range(len(string_split(text, ' ')))) AS i)
+          WHERE i % 5 <> 4) AS hyp
+  FROM benchmark)"""
+
+LEDGER = """
+ledger AS (
+  SELECT user_id % 5 AS experiment, (event_id // 2) % 8 + 1 AS iteration,
+         CASE WHEN event_id % 2 = 0 THEN '1n' ELSE 'n1' END AS direction,
+         round(avg(value), 0) AS metric
+  FROM events GROUP BY ALL)"""
+
+BASELINES = LEDGER + """,
+baselines AS (SELECT experiment, direction, avg(metric) AS baseline FROM ledger GROUP BY ALL)"""
+
+
+def flags(ctes: str, baseline: str, where: str = "true") -> str:
+    """Accept flags as a view; ``baseline`` is an expression, NULL for none."""
+    return ctes + f""",
+flags AS (
+  SELECT experiment, iteration, direction, metric, metric >= bar OR bar IS NULL AS accepted
+  FROM (SELECT l.*, greatest({baseline}, max(metric) OVER (
+                 PARTITION BY experiment, direction ORDER BY iteration
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) AS bar
+        FROM ledger l LEFT JOIN baselines b USING (experiment, direction) WHERE {where}))"""
+
+
+def vocab(lang: str) -> str:
+    return f"""
+vocab_{lang} AS (
+  SELECT token, "count", row_number() OVER (ORDER BY "count" DESC, token) - 1 AS token_id
+  FROM (SELECT unnest(string_split(lower(text), ' ')) AS token, count(*) AS "count"
+        FROM lines WHERE lang = '{lang}' GROUP BY 1))"""
+
+
+# --- expressions -------------------------------------------------------------
+
+def strip(expr: str) -> str:
+    return f"trim({expr}, '{WHITESPACE}')"
+
+
+def words(expr: str) -> str:
+    return f"list_filter(regexp_split_to_array({expr}, '{WHITESPACE_RUN}'), lambda w: w <> '')"
+
+
+def one_line(expr: str) -> str:
+    return f"translate({expr}, chr(9) || chr(10) || chr(13), '   ')"
+
+
+def rules(expr: str, chain: list[tuple[str, str]]) -> str:
+    for pattern, replacement in chain:
         pattern = pattern.replace("'", "''")
         replacement = replacement.replace("'", "''").replace("$1", r"\1").replace("$2", r"\2")
-        sql = f"regexp_replace({sql}, '{pattern}', '{replacement}', 'g')"
-    return f"list_filter(regexp_split_to_array({sql}, '{WHITESPACE_RUN}'), lambda w: w <> '')"
+        expr = f"regexp_replace({expr}, '{pattern}', '{replacement}', 'g')"
+    return expr
+
+
+def tokenised(expr: str, lang: str) -> str:
+    return words(rules(f"' ' || {expr} || ' '", separation_rules(lang)))
+
+
+def tokens_13a(expr: str) -> str:
+    expr = f"replace(replace(replace({expr}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
+    for entity, char in ENTITIES_13A:
+        expr = f"replace({expr}, '{entity}', '{char}')"
+    return words(rules(f"' ' || {expr} || ' '", RULES_13A))
+
+
+def sample_key(expr: str) -> str:
+    return f"md5('{SEED}:' || {expr})"
+
+
+def grams(view: str, arr: str, top: int, keep: str = "") -> str:
+    """n-grams of an array column up to an order, with counts: (key, n, gram, c)."""
+    return " UNION ALL ".join(
+        f"SELECT part, id, {n} AS n, gram, count(*) AS c FROM (SELECT part, id, unnest([array_to_string({arr}[i:i+{n - 1}], chr(31)) "
+        f"FOR i IN range(1, len({arr}) - {n - 2})]) AS gram FROM {view}) {keep} GROUP BY ALL"
+        for n in range(1, top + 1)
+    )
+
+
+def bleu(rows: str, hyp: str, ref: str) -> str:
+    """BLEU by counting exploded n-grams: CTEs ending in ``bleu(part, bleu)``.
 
+    ``rows`` is a query of (part, id, hyp, ref); hyp and ref are token expressions.
+    """
+    return f"""
+seg AS (SELECT part, id, {hyp} AS h, {ref} AS r FROM ({rows})),
+hg AS ({grams('seg', 'h', 4)}),
+rg AS ({grams('seg', 'r', 4)}),
+per AS (
+  SELECT part, n, sum(hg.c) AS total, sum(CASE WHEN rg.c IS NULL THEN 0 ELSE least(hg.c, rg.c) END) AS match
+  FROM hg LEFT JOIN rg USING (part, id, n, gram) GROUP BY ALL),
+orders AS (
+  SELECT part, n, coalesce(total, 0) AS total, coalesce(match, 0) AS match
+  FROM (SELECT DISTINCT part, n FROM seg, (SELECT unnest(range(1, 5)) AS n)) LEFT JOIN per USING (part, n)),
+smooth AS (
+  SELECT *, sum((match = 0)::INT) OVER (PARTITION BY part ORDER BY n) AS zeros FROM orders),
+lens AS (SELECT part, sum(len(h)) AS hl, sum(len(r)) AS rl FROM seg GROUP BY part),
+bleu AS (
+  SELECT part, CASE WHEN max(match) = 0 OR min(total) = 0 THEN 0.0 ELSE
+         100.0 * exp(sum(ln(CASE WHEN match > 0 THEN match::DOUBLE ELSE pow(0.5::DOUBLE, zeros) END / greatest(total, 1))) / 4)
+         * max(CASE WHEN hl >= rl THEN 1.0::DOUBLE ELSE exp(1.0::DOUBLE - rl::DOUBLE / hl) END) END AS bleu
+  FROM smooth JOIN lens USING (part) GROUP BY part)"""
+
+
+def chrf(rows: str, word_order: int) -> str:
+    """chrF by counting exploded n-grams: CTEs ending in ``chrf(part, chrf)``."""
+    punct = string.punctuation.replace("'", "''")
+    split_word = (
+        f"CASE WHEN length(w) = 1 THEN [w] "
+        f"WHEN contains('{punct}', w[-1:]) THEN [w[:-2], w[-1:]] "
+        f"WHEN contains('{punct}', w[1:1]) THEN [w[1:1], w[2:]] ELSE [w] END"
+    )
+
+    def chars(c: str) -> str:
+        return f"list_filter(string_split(regexp_replace({c}, '{WHITESPACE_RUN}', '', 'g'), ''), lambda x: x <> '')"
+
+    def chrf_words(c: str) -> str:
+        return f"flatten([{split_word} FOR w IN {words(c)}])"
+
+    kinds = [("c", 6)] + ([("w", word_order)] if word_order else [])
+    sides = "\n".join(
+        f", {side}{kind} AS ({grams('cseg', side + kind, top)})" for kind, top in kinds for side in ("h", "r")
+    )
+    stats = " UNION ALL ".join(
+        f"""SELECT part, '{kind}' AS kind, n,
+               (SELECT coalesce(sum(x.c), 0) FROM h{kind} x WHERE x.part = o.part AND x.n = o.n
+                 AND EXISTS (SELECT 1 FROM r{kind} y WHERE y.part = x.part AND y.id = x.id AND y.n = x.n)) AS hyp,
+               (SELECT coalesce(sum(c), 0) FROM r{kind} x WHERE x.part = o.part AND x.n = o.n) AS ref,
+               (SELECT coalesce(sum(least(x.c, y.c)), 0) FROM h{kind} x JOIN r{kind} y USING (part, id, n, gram)
+                 WHERE x.part = o.part AND x.n = o.n) AS match
+            FROM (SELECT DISTINCT part, n FROM cseg, (SELECT unnest(range(1, {top + 1})) AS n)) o"""
+        for kind, top in kinds
+    )
+    cols = ", ".join(
+        f"{chars(s) if kind == 'c' else chrf_words(s)} AS {s[0]}{kind}" for kind, _ in kinds for s in ("hyp", "ref")
+    )
+    return f"""
+cseg AS (SELECT part, id, {cols} FROM ({rows})){sides},
+cstat AS ({stats}),
+pr AS (
+  SELECT part, avg(match::DOUBLE / hyp) AS p, avg(match::DOUBLE / ref) AS r
+  FROM cstat WHERE hyp > 0 AND ref > 0 GROUP BY part),
+chrf AS (
+  SELECT part, CASE WHEN coalesce(p, 0) + coalesce(r, 0) = 0 THEN 0.0 ELSE 100 * 5 * p * r / (4 * p + r) END AS chrf
+  FROM (SELECT DISTINCT part FROM cseg) LEFT JOIN pr USING (part))"""
+
+
+THRESHOLDS = "(SELECT (unnest(range(10)) / 10.0)::DOUBLE AS threshold)"
+HYP_ROWS = "SELECT 0 AS part, item_id AS id, hyp, ref FROM hyp_ref"
+THREES = "regexp_extract_all({}, '[^ ]{{1,3}}')"
+LOG_TEXT = "replace(tgt, chr(10), ' ')"
+# The log's hypotheses are the references here, up to tabs and line breaks.
+REPORT_ROWS = f"SELECT 0 AS part, sent_id AS id, {LOG_TEXT} AS hyp, {one_line('tgt')} AS ref FROM turns"
+ROLES = "CASE source WHEN 'src0' THEN 'test' WHEN 'src1' THEN 'valid' ELSE 'train' END"
+
+
+def mixture(parts: list[str]) -> str:
+    """Parallel pairs, then each synthetic kind after the last line of what came before."""
+    sql = "SELECT line_no, src AS l1, tgt AS l2, 'original' AS l1_origin, 'original' AS l2_origin FROM corpora WHERE part = 'parallel'"
+    before = "(SELECT max(line_no) FROM corpora WHERE part = 'parallel')"
+    for part in parts:
+        l1, l2 = ("synthetic", "original") if part == "l1_syn_l2_orig" else ("original", "synthetic")
+        sql += f" UNION ALL SELECT line_no + {before}, src, tgt, '{l1}', '{l2}' FROM corpora WHERE part = '{part}'"
+        before += f" + (SELECT max(line_no) FROM corpora WHERE part = '{part}')"
+    return f"WITH {CORPORA} {sql}"
+
+
+SO, OS = "l1_syn_l2_orig", "l1_orig_l2_syn"
 
 SQL: dict[str, str] = {
-    "threshold_sweep_by_corpus": f"""WITH {SCORED}
-        SELECT corpus, threshold, count(*) FILTER (WHERE score > threshold) AS n_pairs
-        FROM scored_pairs, {THRESHOLDS} GROUP BY ALL""",
-    "threshold_sweep": f"""WITH {SCORED}
-        SELECT threshold, count(*) FILTER (WHERE score > threshold) AS n_pairs
-        FROM scored_pairs, {THRESHOLDS} GROUP BY ALL""",
+    # sources and sinks
+    "read_corpus": f"""WITH {LINES}
+        SELECT 'documents' AS corpus, 'en' AS lang, line_no, {one_line('text')} AS text FROM lines WHERE lang = 'en'""",
+    "read_parallel": f"""WITH {PAIRS}
+        SELECT 'documents' AS corpus, line_no, src_lang, tgt_lang, {one_line('src')} AS src, {one_line('tgt')} AS tgt
+        FROM pairs""",
+    "assign_splits": f"""WITH {LINES}
+        SELECT {ROLES} AS split, source AS corpus, lang, line_no FROM lines
+        WHERE source IN ('src0', 'src1', 'src2', 'src3', 'src4')""",
+    "write_splits": f"WITH {LINES} SELECT source AS corpus, lang, line_no, text FROM lines WHERE source = 'src1'",
+    "read_corpus_glob": f"""WITH {LINES}
+        SELECT row_number() OVER (ORDER BY lang, line_no) AS line_no, {one_line('text')} AS text FROM lines""",
+    "read_scored": f"WITH {SCORED} SELECT {one_line('src')} AS src, {one_line('tgt')} AS tgt, score FROM scored_pairs",
+    "write_sides": f"""WITH {CLEAN}
+        SELECT row_number() OVER (ORDER BY line_no) AS line_no, {one_line('src')} AS src, {one_line('tgt')} AS tgt
+        FROM clean""",
+    "write_wordfreq": f"""WITH {LINES}, w AS (
+          SELECT unnest({tokenised('lower(text)', 'de')}) AS word FROM lines WHERE lang = 'de')
+        SELECT word, count(*) AS "count" FROM w GROUP BY word HAVING count(*) >= 2""",
+    "materialize_once_per_stage": f"WITH {LINES} SELECT source AS corpus, count(*) AS n_rows FROM lines GROUP BY ALL",
+    "write_result": f"""WITH {LEDGER}
+        SELECT experiment, iteration, direction, metric FROM ledger
+        QUALIFY row_number() OVER (PARTITION BY experiment, direction ORDER BY metric DESC, iteration DESC) = 1""",
+    "write_synthetic": f"WITH {SYNTHETIC} SELECT line_no, l1, l2, l1_origin, l2_origin FROM synthetic",
+    # projections and filters
     "number_lines": f"WITH {LINES} SELECT lang, source, doc_id, pos, text, line_no FROM lines",
-    "pair_by_line_pad": f"WITH {PAIRS} SELECT * FROM pairs",
-    "pair_by_line_truncate": f"""WITH {LINES}
-        SELECT e.line_no, e.text AS src, d.text AS tgt
-        FROM lines e JOIN lines d ON e.line_no = d.line_no WHERE e.lang = 'en' AND d.lang = 'de'""",
     "drop_empty_pairs": f"""WITH {PAIRS}
-        SELECT line_no, corpus, trim(src, '{WHITESPACE}') AS src, trim(tgt, '{WHITESPACE}') AS tgt
-        FROM pairs WHERE trim(src, '{WHITESPACE}') <> '' AND trim(tgt, '{WHITESPACE}') <> ''""",
+        SELECT line_no, corpus, {strip('src')} AS src, {strip('tgt')} AS tgt
+        FROM pairs WHERE {strip('src')} <> '' AND {strip('tgt')} <> ''""",
+    "drop_empty_pairs_unchanged": f"WITH {CLEAN} SELECT line_no, corpus, src, tgt FROM clean",
     "side_src": f"WITH {PAIRS} SELECT line_no, src AS text FROM pairs",
+    "side_tgt": f"WITH {PAIRS} SELECT line_no, tgt AS text FROM pairs",
     "filter_by_score": f"WITH {SCORED} SELECT line_no, corpus, score FROM scored_pairs WHERE score > 0.5::DOUBLE",
-    "strip_lines": f"""WITH {LINES}
-        SELECT lang, line_no, trim(text, '{WHITESPACE}') AS text FROM lines WHERE trim(text, '{WHITESPACE}') <> ''""",
+    "max_pieces": f"""WITH {LINES}
+        SELECT lang, line_no, len({words('text')})::INT AS n_pieces FROM lines WHERE len({words('text')}) <= 100""",
+    "strip_lines": f"WITH {LINES} SELECT lang, line_no, {strip('text')} AS text FROM lines WHERE {strip('text')} <> ''",
+    "length_filter": f"""WITH {PAIRS}, p AS (SELECT line_no, {words('src')} AS s, {words('tgt')} AS t FROM pairs)
+        SELECT line_no, array_to_string(s, ' ') AS src_pieces, array_to_string(t, ' ') AS tgt_pieces
+        FROM p WHERE len(s) BETWEEN 5 AND 80 AND len(t) BETWEEN 5 AND 80""",
+    "encode_stats": f"""WITH {PAIRS}, p AS (SELECT len({words('src')}) AS s, len({words('tgt')}) AS t FROM pairs)
+        SELECT count(*) AS num_lines,
+               sum((s = 0)::INT + (t = 0)::INT)::BIGINT AS num_empty,
+               sum((s > 0 AND s NOT BETWEEN 5 AND 80)::INT + (t > 0 AND t NOT BETWEEN 5 AND 80)::INT)::BIGINT AS num_filtered,
+               count(*) FILTER (WHERE s BETWEEN 5 AND 80 AND t BETWEEN 5 AND 80) AS num_kept
+        FROM p""",
+    "parse_hypotheses": f"""WITH {TURNS}
+        SELECT sent_id, (-0.5)::DOUBLE AS score, split_part({LOG_TEXT}, chr(9), -1) AS text FROM turns""",
+    "parse_hypotheses_third": f"""WITH {TURNS}, t AS (
+          SELECT sent_id, regexp_replace({LOG_TEXT}, '^(.*) ', '\\1' || chr(9)) AS text FROM turns)
+        SELECT sent_id, (-0.5)::DOUBLE AS score, split_part(text, chr(9), 1) AS third, split_part(text, chr(9), -1) AS last
+        FROM t""",
+    "lower_text": f"WITH {LINES} SELECT lang, line_no, lower(text) AS text FROM lines",
+    **{
+        f"tokenize_{lang}": f"""WITH {LINES}
+            SELECT line_no, array_to_string({tokenised('text', lang)}, ' ') AS tokens FROM lines WHERE lang = '{lang}'"""
+        for lang in ("de", "en", "es", "fr")
+    },
+    "encode_pieces": f"WITH {LINES} SELECT lang, line_no, array_to_string({THREES.format('text')}, ' ') AS pieces FROM lines",
+    "encode_ids": f"""WITH {LINES}, {vocab('en')}, t AS (
+          SELECT line_no, unnest(string_split(lower(text), ' ')) AS token,
+                 unnest(range(len(string_split(text, ' ')))) AS i FROM lines WHERE lang = 'de')
+        SELECT line_no, string_agg(coalesce(token_id, 3)::VARCHAR, ' ' ORDER BY i) AS id_text
+        FROM t LEFT JOIN vocab_en USING (token) GROUP BY line_no""",
+    "decode_pieces": f"WITH {LINES} SELECT lang, line_no, text FROM lines",
+    "decode_ids": f"""WITH {LINES}, {vocab('en')}, t AS (
+          SELECT line_no, unnest(string_split(lower(text), ' ')) AS token,
+                 unnest(range(len(string_split(text, ' ')))) AS i FROM lines WHERE lang = 'de')
+        SELECT line_no, string_agg(coalesce(v.token, (SELECT token FROM vocab_en WHERE token_id = 0)), '' ORDER BY i) AS text
+        FROM t LEFT JOIN vocab_en v USING (token) GROUP BY line_no""",
+    "remove_subwords": f"WITH {TURNS} SELECT sent_id, {strip('tgt')} AS text FROM turns",
+    "lang_codes": """SELECT doc_id, lang AS code, '__' || lang || '_' || upper(lang) || '__' AS symbol FROM documents""",
     "score_label": f"""WITH {SCORED}
         SELECT line_no, lpad(floor(score * 10)::INT::VARCHAR, 2, '0') AS label,
                (CASE WHEN floor(score * 10) >= 10 THEN 1.0 ELSE floor(score * 10) / 10 END)::DOUBLE AS threshold
         FROM scored_pairs""",
-    "corpus_counts": f"""WITH {LINES}
-        SELECT lang, source AS corpus, count(*) AS n_rows FROM lines GROUP BY ALL""",
-    "word_frequencies": f"""WITH words AS (
+    "with_placeholder": f"WITH {LINES} SELECT lang, line_no, line_no::VARCHAR AS tgt FROM lines",
+    "add_lang_tags": f"""WITH {PAIRS}
+        SELECT line_no, array_to_string(list_prepend('en_XX', {words('src')}), ' ') AS src_pieces,
+               array_to_string(list_prepend('de_DE', {words('tgt')}), ' ') AS tgt_pieces FROM pairs""",
+    "parse_report": f"WITH {LEDGER} SELECT experiment, iteration, direction, metric AS value FROM ledger",
+    # joins
+    "pair_by_line_pad": f"WITH {PAIRS} SELECT * FROM pairs",
+    "pair_by_line_truncate": f"""WITH {LINES}
+        SELECT e.line_no, e.text AS src, d.text AS tgt
+        FROM lines e JOIN lines d ON e.line_no = d.line_no WHERE e.lang = 'en' AND d.lang = 'de'""",
+    "attach_hypotheses": f"""WITH {TURNS}
+        SELECT sent_id, src, split_part({LOG_TEXT}, chr(9), -1) AS hyp FROM turns WHERE sent_id % 10 <> 4""",
+    "missing_hypotheses": f"WITH {TURNS} SELECT count(*) AS missing FROM turns WHERE sent_id % 10 = 4",
+    "map_vocabulary": f"""WITH {LINES}, {vocab('en')}, {vocab('de')}
+        SELECT d.token, d.token_id, coalesce(e.token_id, 0) AS src_id FROM vocab_de d LEFT JOIN vocab_en e USING (token)""",
+    "trim_embeddings": f"""WITH {LINES}, {vocab('en')}, {vocab('de')}, m AS (
+          SELECT d.token_id, coalesce(e.token_id, 0) AS src_id FROM vocab_de d LEFT JOIN vocab_en e USING (token)),
+        k AS (SELECT token_id, CASE WHEN src_id > (SELECT max(vec_id) FROM embeddings) THEN 0 ELSE src_id END AS src_id FROM m)
+        SELECT token_id, src_id, len(embedding)::INT AS dim, embedding[1]::DOUBLE AS first, embedding[64]::DOUBLE AS last
+        FROM k JOIN embeddings ON vec_id = src_id""",
+    "ids_from_vocab": f"""WITH {LINES}, {vocab('de')}, t AS (
+          SELECT line_no, unnest(string_split(lower(text), ' ')) AS token,
+                 unnest(range(len(string_split(text, ' ')))) AS i FROM lines WHERE lang = 'de')
+        SELECT line_no, string_agg(token_id::VARCHAR, ' ' ORDER BY i) || ' 2' AS ids
+        FROM t JOIN vocab_de USING (token) GROUP BY line_no""",
+    "missing_corpora": """SELECT corpus FROM (VALUES ('src1'), ('src2'), ('src99'), ('dev')) v(corpus)
+        WHERE corpus NOT IN (SELECT source FROM documents)""",
+    # aggregations
+    "threshold_sweep_by_corpus": f"""WITH {SCORED}
+        SELECT corpus, threshold, count(*) FILTER (WHERE score > threshold) AS n_pairs
+        FROM scored_pairs, {THRESHOLDS} GROUP BY ALL""",
+    "threshold_sweep": f"""WITH {SCORED}
+        SELECT threshold, count(*) FILTER (WHERE score > threshold) AS n_pairs
+        FROM scored_pairs, {THRESHOLDS} GROUP BY ALL""",
+    "word_frequencies": f"""WITH w AS (
           SELECT unnest({tokenised('lower(text)', 'en')}) AS word FROM documents WHERE lang = 'en')
-        SELECT word, count(*) AS "count" FROM words GROUP BY word HAVING count(*) >= 2""",
-    "word_frequencies_as_written": f"""WITH {LINES}, words AS (
+        SELECT word, count(*) AS "count" FROM w GROUP BY word HAVING count(*) >= 2""",
+    "word_frequencies_as_written": f"""WITH {LINES}, w AS (
           SELECT unnest({tokenised('lower(text)', 'de')}) AS word FROM lines WHERE lang = 'de')
-        SELECT word, count(*) AS "count" FROM words GROUP BY word
-        HAVING NOT contains(count(*) || ' ' || word, '1')""",
+        SELECT word, count(*) AS "count" FROM w GROUP BY word HAVING NOT contains(count(*) || ' ' || word, '1')""",
+    "build_dictionary": f"""WITH {LINES}, t AS (
+          SELECT unnest(string_split(lower(text), ' ')) AS token, 1 AS n FROM lines WHERE lang = 'en'
+          UNION ALL SELECT unnest(['__en_XX__', '__de_DE__']), 1),
+        c AS (SELECT token, count(*) AS "count" FROM t WHERE token NOT IN ('<s>', '<pad>', '</s>', '<unk>') GROUP BY token),
+        s AS (SELECT count(*) + 4 AS size FROM c),
+        p AS (SELECT size, (8 - (size + 3) % 8) % 8 + 3 AS k FROM s)
+        SELECT token, "count", row_number() OVER (ORDER BY "count" DESC, token) + 3 AS token_id FROM c
+        UNION ALL
+        SELECT 'madeupword' || lpad(i::VARCHAR, 4, '0'), 0, size + i FROM (SELECT size, unnest(range(k)) AS i FROM p)""",
+    "joined_dictionary": f"""WITH {PAIRS}, c AS (
+          SELECT unnest({words("src || ' ' || tgt")}) AS token, count(*) AS "count" FROM pairs GROUP BY 1)
+        SELECT token, "count", row_number() OVER (ORDER BY "count" DESC, token) + 3 AS token_id FROM c""",
+    "corpus_counts": f"WITH {LINES} SELECT lang, source AS corpus, count(*) AS n_rows FROM lines GROUP BY ALL",
+    "corpus_bleu": f"WITH {HYP_REF}, {bleu(HYP_ROWS, tokens_13a('hyp'), tokens_13a('ref'))} SELECT round(bleu, 6) AS bleu FROM bleu",
+    "corpus_bleu_turns": f"""WITH {TURNS}, {bleu(
+        'SELECT sent_id % 3 AS part, sent_id AS id, src AS hyp, tgt AS ref FROM turns', tokens_13a('hyp'), tokens_13a('ref'))}
+        SELECT part, round(bleu, 6) AS bleu FROM bleu""",
+    "corpus_chrf": f"WITH {HYP_REF}, {chrf(HYP_ROWS, 0)} SELECT round(chrf, 6) AS chrf FROM chrf",
+    "corpus_chrf_plus_plus": f"WITH {HYP_REF}, {chrf(HYP_ROWS, 2)} SELECT round(chrf, 6) AS chrf FROM chrf",
+    "corpus_bleu_pieces": f"WITH {HYP_REF}, {bleu(HYP_ROWS, THREES.format('hyp'), THREES.format('ref'))} SELECT round(bleu, 6) AS bleu FROM bleu",
+    "evaluate": f"""
+        (WITH {HYP_REF}, {bleu(HYP_ROWS, tokens_13a('hyp'), tokens_13a('ref'))} SELECT 'BLEU' AS metric, round(bleu, 6) AS value FROM bleu)
+        UNION ALL (WITH {HYP_REF}, {chrf(HYP_ROWS, 0)} SELECT 'chrF', round(chrf, 6) FROM chrf)
+        UNION ALL (WITH {HYP_REF}, {bleu(HYP_ROWS, THREES.format('hyp'), THREES.format('ref'))} SELECT 'spBLEU', round(bleu, 6) FROM bleu)""",
+    "vocab_coverage": f"""WITH {LINES}, {vocab('en')}, t AS (
+          SELECT lang, unnest(string_split(lower(text), ' ')) AS token FROM lines)
+        SELECT lang, count(*) AS n_tokens, count(*) FILTER (WHERE token_id IS NULL) AS n_oov,
+               round(count(*) FILTER (WHERE token_id IS NULL) / count(*), 6) AS oov_rate
+        FROM t LEFT JOIN vocab_en USING (token) GROUP BY lang""",
+    # run ledger
+    "best_run": f"""WITH {LEDGER}
+        SELECT experiment, iteration, direction, metric FROM ledger
+        QUALIFY row_number() OVER (PARTITION BY experiment, direction ORDER BY metric DESC, iteration DESC) = 1""",
+    "accept_flags": f"WITH {flags(BASELINES, 'NULL')} SELECT * FROM flags",
+    "accept_flags_baseline": f"WITH {flags(BASELINES, 'baseline')} SELECT * FROM flags",
+    "stop_iteration": f"""WITH {flags(BASELINES, 'NULL')}
+        SELECT experiment, coalesce(min(iteration) FILTER (WHERE NOT any_ok), 8) AS stop_iteration
+        FROM (SELECT experiment, iteration, bool_or(accepted) AS any_ok FROM flags GROUP BY ALL) GROUP BY experiment""",
+    "best_threshold": f"""WITH {LEDGER}
+        SELECT experiment, direction, (iteration - 1) / 10 AS threshold, metric FROM ledger WHERE metric >= 0
+        QUALIFY row_number() OVER (PARTITION BY experiment, direction ORDER BY metric DESC, iteration DESC) = 1""",
+    "assign_ids": f'WITH {LINES}, {vocab("en")} SELECT token, "count", token_id FROM vocab_en',
+    "gate": f"""WITH {flags(BASELINES, 'baseline', 'iteration = 1')}
+        SELECT experiment, bool_and(accepted) AND count(*) >= 2 AS go_on FROM flags GROUP BY experiment""",
+    # orders, prefixes, samples
+    "order_by_id": f"WITH {TURNS} SELECT sent_id::VARCHAR AS sent_id, src FROM turns ORDER BY turns.sent_id",
+    "order_by_frequency": f"""WITH {LINES}, {vocab('fr')} SELECT token AS word, "count" FROM vocab_fr ORDER BY "count" DESC, word DESC""",
+    "head_lines": f"WITH {LINES} SELECT lang, line_no, text FROM lines WHERE line_no <= 1000",
+    "growing_prefix": f"""WITH {LINES}, n AS (
+          SELECT 0 AS iteration, 100 AS lim UNION ALL SELECT 0, 200 UNION ALL SELECT i, (i + 2) * 100 FROM range(1, 9) t(i))
+        SELECT iteration::BIGINT AS iteration, count(*) AS n_lines, sum(length(text))::BIGINT AS n_chars
+        FROM n JOIN lines ON lang = 'en' AND line_no <= lim GROUP BY iteration, lim""",
+    "cap_pairs": f"WITH {CLEAN} SELECT line_no, src, tgt FROM clean ORDER BY {sample_key('line_no')} LIMIT 500",
+    "cap_pairs_as_written": f"WITH {CLEAN} SELECT line_no, src, tgt FROM clean ORDER BY line_no LIMIT 500",
+    "shuffle_rows": f"WITH {CLEAN} SELECT line_no, src, tgt FROM clean ORDER BY {sample_key('line_no')}",
+    # mixtures
+    "concat_corpora": f"""WITH {LINES}
+        SELECT lang, row_number() OVER (ORDER BY CASE lang WHEN 'fr' THEN 1 WHEN 'en' THEN 2 WHEN 'de' THEN 3 ELSE 4 END, line_no)
+               AS line_no, text FROM lines""",
+    "augment": f"""WITH {CORPORA}, u AS (
+          SELECT line_no, src, tgt, 'original' AS src_origin, 'original' AS tgt_origin FROM corpora WHERE part = 'parallel'
+          UNION ALL SELECT line_no + (SELECT max(line_no) FROM corpora WHERE part = 'parallel'), src, tgt, 'synthetic', 'original'
+          FROM corpora WHERE part = 'l1_syn_l2_orig')
+        SELECT line_no, {strip('src')} AS src, {strip('tgt')} AS tgt, src_origin, tgt_origin
+        FROM u WHERE {strip('src')} <> '' AND {strip('tgt')} <> ''""",
+    "mixture_back_1n": mixture([SO]),
+    "mixture_back_n1": mixture([OS]),
+    "mixture_forward_1n": mixture([OS]),
+    "mixture_forward_n1": mixture([SO]),
+    "mixture_all_1n": mixture([SO, OS]),
+    "mixture_all_n1": mixture([SO, OS]),
+    "joint_text": f"WITH {CLEAN} SELECT src AS text FROM clean UNION ALL SELECT tgt FROM clean",
+    "temperature_weights": f"""WITH {LINES}, n AS (SELECT lang, count(*) AS n_rows FROM lines GROUP BY lang),
+        p AS (SELECT lang, n_rows, pow(n_rows, 1 / 1.5) / sum(pow(n_rows, 1 / 1.5)) OVER () AS p FROM n)
+        SELECT lang, n_rows, round(p, 6) AS p, round(p * sum(n_rows) OVER () / n_rows, 6) AS rate FROM p""",
+    "temperature_mix": f"""WITH {LINES}, n AS (SELECT lang, count(*) AS n_rows FROM lines GROUP BY lang),
+        p AS (SELECT lang, n_rows, pow(n_rows, 1 / 1.5) / sum(pow(n_rows, 1 / 1.5)) OVER () AS p FROM n),
+        r AS (SELECT lang, p * sum(n_rows) OVER () / n_rows AS rate FROM p),
+        d AS (SELECT lang, line_no, (floor(rate) + (('0x' || substr({sample_key('line_no')}, 1, 8))::BIGINT / 4294967296.0
+                     < rate - floor(rate))::INT)::BIGINT AS copies FROM lines JOIN r USING (lang))
+        SELECT lang, line_no, unnest(range(1, copies + 1)) AS copy FROM d""",
+    # scoring, subwords, synthesis
+    "pair_features": f"""WITH {CLEAN}, w AS (
+          SELECT unnest({tokenised('lower(text)', 'de')}) AS word FROM lines WHERE lang = 'de'),
+        f AS (SELECT word, count(*) AS n FROM w GROUP BY word HAVING count(*) >= 2),
+        b AS (SELECT line_no, src, tgt, {words('lower(src)')} AS s, {words('lower(tgt)')} AS t,
+                     regexp_extract_all(src, '\\d+') AS sd, regexp_extract_all(tgt, '\\d+') AS td,
+                     len(regexp_extract_all(src, '[.,;:!?()]')) AS sp, len(regexp_extract_all(tgt, '[.,;:!?()]')) AS tp
+              FROM clean),
+        l AS (SELECT line_no, avg(ln(coalesce(n, 1)::DOUBLE)) AS lf
+              FROM (SELECT line_no, unnest(t) AS word FROM b) LEFT JOIN f USING (word) GROUP BY line_no)
+        SELECT line_no, len(s)::INT AS src_tokens, len(t)::INT AS tgt_tokens,
+               round(least(length(src), length(tgt))::DOUBLE / greatest(length(src), length(tgt)), 6) AS length_ratio,
+               round(coalesce(len(list_distinct(list_intersect(s, t))) / nullif(len(list_distinct(s)), 0), 0)::DOUBLE, 6) AS copied_share,
+               round(CASE WHEN greatest(sp, tp) = 0 THEN 1.0 ELSE least(sp, tp) / greatest(sp, tp) END::DOUBLE, 6) AS punct_agreement,
+               round(CASE WHEN len(sd) + len(td) = 0 THEN 1.0 ELSE len(list_distinct(list_intersect(sd, td)))
+                     / len(list_distinct(list_concat(sd, td))) END::DOUBLE, 6) AS digit_agreement,
+               round(coalesce(lf, 0)::DOUBLE, 6) AS tgt_log_freq
+        FROM b LEFT JOIN l USING (line_no)""",
+    "make_negatives": f"""WITH {CLEAN}, k AS (SELECT *, {sample_key('line_no')} AS key FROM clean)
+        SELECT line_no, src,
+               coalesce(lead(tgt) OVER (ORDER BY key), first_value(tgt) OVER (ORDER BY key)) AS tgt,
+               coalesce(lead(line_no) OVER (ORDER BY key), first_value(line_no) OVER (ORDER BY key)) AS tgt_line_no
+        FROM k""",
+    "score_pairs_formula": f"WITH {SCORED} SELECT line_no, score FROM scored_pairs",
+    "clean_synthetic": f"WITH {SYNTHETIC} SELECT line_no, l1_origin, l2_origin, score FROM synthetic WHERE score > 0.3::DOUBLE",
+    "apply_bpe": f"""WITH {LINES}
+        SELECT lang, line_no, array_to_string({words('text')}, ' ') AS text FROM lines""",
+    "translate": f"""WITH {TURNS}
+        SELECT sent_id, array_to_string(list_reverse(string_split({one_line('src')}, ' ')), ' ') AS hyp FROM turns""",
+    "synthesize": f"""WITH {LINES}
+        SELECT line_no, text AS original, array_to_string(list_reverse(string_split(text, ' ')), ' ') AS synthetic
+        FROM lines WHERE lang = 'en' AND line_no <= 2000 AND len({words('text')}) BETWEEN 1 AND 100""",
+    "prepare_student": f"""SELECT line_no, array_to_string({words('l1')}, ' ') AS src, array_to_string({words('l2')}, ' ') AS tgt
+        FROM ({mixture([SO, OS])}) WHERE {strip('l1')} <> '' AND {strip('l2')} <> ''""",
+    "report": f"""
+        (WITH {TURNS}, {bleu(REPORT_ROWS, tokens_13a('hyp'), tokens_13a('ref'))} SELECT 'BLEU' AS metric, round(bleu, 6) AS value FROM bleu)
+        UNION ALL (WITH {TURNS}, {chrf(REPORT_ROWS, 0)} SELECT 'chrF', round(chrf, 6) FROM chrf)
+        UNION ALL SELECT 'spBLEU', 100.0""",
+    # loops
+    "search_threshold": f"""WITH {CORPORA}, n AS (
+          SELECT d.direction, threshold,
+                 count(*) FILTER (WHERE c.part = 'parallel' OR (c.part = d.part AND score > threshold)) AS n_pairs
+          FROM corpora c, (VALUES ('1n', '{SO}'), ('n1', '{OS}')) d(direction, part), {THRESHOLDS} GROUP BY ALL)
+        SELECT direction, threshold, n_pairs,
+               row_number() OVER (PARTITION BY direction ORDER BY n_pairs DESC, threshold DESC) = 1 AS best FROM n""",
 }
+SQL["ids_from_vocab_shuffled"] = SQL["encode_ids"].replace("AS id_text", "AS ids")

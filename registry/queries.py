@@ -250,7 +250,7 @@ def decode_ids(spark, sf):
 
 @query
 def remove_subwords(spark, sf):
-    marked = F.concat(F.lit("▁"), F.replace(F.replace("tgt", F.lit("e"), F.lit(" e")), F.lit(" "), F.lit(" ▁")))
+    marked = F.concat(F.lit("▁"), F.replace(F.replace("tgt", F.lit(" "), F.lit(" ▁")), F.lit("e"), F.lit(" e")))
     return cleaning.remove_subwords(views.turns(spark, sf).select("sent_id", marked.alias("text")))
 
 
@@ -716,7 +716,10 @@ def iterate(spark, sf):
 def prepare_student(spark, sf):
     pairs = student.student_pairs(parallel_part(spark, sf), synthetic_parts(spark, sf), "all", "1n")
     data = student.prepare_student(stage(pairs, "student"), vocab_size=150)
-    return data.dataset.select("line_no", joined("src_ids"), joined("tgt_ids"))
+    # Back from ids to text, through the dictionary.
+    text = data.dataset.select("line_no", joined("src_ids"), joined("tgt_ids"))
+    text = vocabulary.decode_ids(text, data.dictionary, "src_ids", "src")
+    return vocabulary.decode_ids(text, data.dictionary, "tgt_ids", "tgt").select("line_no", "src", "tgt")
 
 
 @query

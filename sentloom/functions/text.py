@@ -51,9 +51,9 @@ def chars(c: Column | str) -> Column:
     return F.array_remove(F.split(_col(c), ""), "")
 
 
-def tokens_13a(c: Column | str) -> Column:
-    """Tokens of a segment under the 13a rules."""
-    t = F.replace(_col(c), F.lit("<skipped>"), F.lit(""))
+def spaced_13a(c: Column | str) -> Column:
+    """A segment with its tokens under the 13a rules separated by whitespace."""
+    t = F.replace(F.coalesce(_col(c), F.lit("")), F.lit("<skipped>"), F.lit(""))
     t = F.replace(t, F.lit("-\n"), F.lit(""))
     t = F.replace(t, F.lit("\n"), F.lit(" "))
     for entity, char in ENTITIES_13A:
@@ -61,7 +61,7 @@ def tokens_13a(c: Column | str) -> Column:
     t = F.concat(F.lit(" "), t, F.lit(" "))
     for pattern, replacement in RULES_13A:
         t = F.regexp_replace(t, pattern, replacement)
-    return words(t)
+    return t
 
 
 def lang_code(c: Column | str) -> Column:

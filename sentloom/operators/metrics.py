@@ -1,136 +1,107 @@
 """Corpus metrics: BLEU, chrF and BLEU over subword pieces.
 
 Every metric is a sum of a few integers per row followed by one scalar formula, so a
-report is one pass: the n-gram counts are built-in expressions within the row (no
-shuffle of n-grams), the sums are partial aggregates, and the formula runs on one row.
+report is one pass: the n-grams are counted within the row (never shuffled), the sums
+are partial aggregates, and the formula runs on one row per report.
 """
 
 from __future__ import annotations
 
-import string
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentloom.functions import ngrams
 from sentloom.functions import text as tx
-from sentloom.functions.ngrams import clipped_matches, ngram_total
+from sentloom.functions.ngrams import match_counts
 
 BLEU_ORDER = 4
-TINY = 1e-16
-
-
-def _segment_tokens(col: str, tokenize: str) -> Column:
-    if tokenize == "13a":
-        return tx.tokens_13a(F.coalesce(F.col(col), F.lit("")))
-    if tokenize == "pieces":
-        return F.col(col)
-    if tokenize == "none":
-        return tx.words(F.coalesce(F.col(col), F.lit("")))
-    raise ValueError(f"unknown tokenisation {tokenize!r}")
-
-
-def chrf_words(c: Column) -> Column:
-    """Words for the word n-grams of chrF++: one punctuation mark leaves the end, else the start."""
-    punctuation = F.lit(string.punctuation)
 
-    def split_word(w: Column) -> Column:
-        last, first = F.right(w, F.lit(1)), F.left(w, F.lit(1))
-        rest = F.length(w) - 1
-        return (
-            F.when(rest < 1, F.array(w))
-            .when(F.instr(punctuation, last) > 0, F.array(F.left(w, rest), last))
-            .when(F.instr(punctuation, first) > 0, F.array(first, F.right(w, rest)))
-            .otherwise(F.array(w))
-        )
 
-    return F.flatten(F.transform(tx.words(c), split_word))
+class _Metric:
+    """A row's counts (array columns), the integers to sum over them, the formula over the sums."""
 
+    def __init__(self, name: str, counts: dict[str, Column], sums: dict[str, str], value: Column):
+        self.name, self.counts, self.sums, self.value = name, counts, sums, value
 
-class _Metric:
-    """Per-row statistics (columns to sum) and the formula over the sums."""
 
-    def __init__(self, name: str, inputs: dict[str, Column], stats: dict[str, Column], value: Column):
-        self.name, self.inputs, self.stats, self.value = name, inputs, stats, value
+def _total(length: str, n: int) -> str:
+    return f"greatest({length} - {n - 1}, 0)"
 
 
 def _bleu(name: str, hyp: str, ref: str, tokenize: str) -> _Metric:
-    h, r = f"_{name}_h", f"_{name}_r"
-    inputs = {h: _segment_tokens(hyp, tokenize), r: _segment_tokens(ref, tokenize)}
-    stats = {f"_{name}_hyp_len": F.size(h), f"_{name}_ref_len": F.size(r)}
-    for n in range(1, BLEU_ORDER + 1):
-        stats[f"_{name}_m{n}"] = clipped_matches(F.col(h), F.col(r), n)
-        stats[f"_{name}_t{n}"] = ngram_total(F.col(h), n)
-    return _Metric(name, inputs, stats, bleu_score(
-        [F.col(f"_{name}_m{n}") for n in range(1, BLEU_ORDER + 1)],
-        [F.col(f"_{name}_t{n}") for n in range(1, BLEU_ORDER + 1)],
-        F.col(f"_{name}_hyp_len"), F.col(f"_{name}_ref_len"),
+    if tokenize not in ("13a", "pieces", "none"):
+        raise ValueError(f"unknown tokenisation {tokenize!r}")
+    sides = [tx.spaced_13a(c) if tokenize == "13a" else F.col(c) for c in (hyp, ref)]
+    c, orders = f"_{name}", range(1, BLEU_ORDER + 1)
+    sums = {f"{c}_hyp_len": f"{c}[0]", f"{c}_ref_len": f"{c}[1]"}
+    for n in orders:
+        sums[f"{c}_m{n}"] = f"{c}[{n + 1}]"
+        sums[f"{c}_t{n}"] = _total(f"{c}[0]", n)
+    return _Metric(name, {c: match_counts(*sides, BLEU_ORDER, ngrams.tokens)}, sums, bleu_score(
+        [f"{c}_m{n}" for n in orders], [f"{c}_t{n}" for n in orders], f"{c}_hyp_len", f"{c}_ref_len"
     ))
 
 
-def bleu_score(matches: list[Column], totals: list[Column], hyp_len: Column, ref_len: Column) -> Column:
-    """BLEU of summed counts, exponential smoothing: the k-th order without a match counts as 1 / 2^k."""
-    logs, zeros = F.lit(0.0), F.lit(0)
-    for m, t in zip(matches, totals):
-        zeros = zeros + F.when(m == 0, 1).otherwise(0)
-        hits = F.when(m > 0, m.cast("double")).otherwise(F.pow(F.lit(0.5), zeros))
-        logs = logs + F.when(t > 0, F.log(F.try_divide(hits, t.cast("double"))))
-    penalty = F.when(hyp_len >= ref_len, F.lit(1.0)).otherwise(
-        F.exp(1.0 - F.try_divide(ref_len.cast("double"), hyp_len.cast("double")))
-    )
-    any_match = reduce(lambda a, b: a | b, [m > 0 for m in matches])
-    every_order = reduce(lambda a, b: a & b, [t > 0 for t in totals])
-    return F.when(any_match & every_order, 100.0 * penalty * F.exp(logs / len(matches))).otherwise(F.lit(0.0))
-
-
 def _chrf(name: str, hyp: str, ref: str, char_order: int, word_order: int, beta: float) -> _Metric:
-    sides = {f"_{name}_h": hyp, f"_{name}_r": ref}
-    inputs, stats, orders = {}, {}, []
-    for out, col in sides.items():
-        text = F.coalesce(F.col(col), F.lit(""))
-        # Whitespace does not count; removing it leaves the code points of the words.
-        inputs[f"{out}c"] = tx.chars(F.regexp_replace(text, tx.WHITESPACE_RUN, ""))
-        if word_order:
-            inputs[f"{out}w"] = chrf_words(text)
-    for kind, top in (("c", char_order), ("w", word_order)):
-        h, r = F.col(f"_{name}_h{kind}"), F.col(f"_{name}_r{kind}")
+    counts, sums, orders = {}, {}, []
+    for kind, top, units in (("c", char_order, ngrams.chars), ("w", word_order, ngrams.chrf_words)):
+        if top == 0:
+            continue
+        c = f"_{name}_{kind}"
+        counts[c] = match_counts(hyp, ref, top, units)
         for n in range(1, top + 1):
-            key = f"_{name}_{kind}{n}"
+            key = f"{c}{n}"
             orders.append(key)
-            stats[f"{key}_m"] = clipped_matches(h, r, n)
+            sums[f"{key}_m"] = f"{c}[{n + 1}]"
             # A segment whose reference is too short for the order does not count.
-            stats[f"{key}_h"] = F.when(ngram_total(r, n) > 0, ngram_total(h, n)).otherwise(0)
-            stats[f"{key}_r"] = ngram_total(r, n)
-    value = chrf_score(
-        [F.col(f"{k}_m") for k in orders], [F.col(f"{k}_h") for k in orders],
-        [F.col(f"{k}_r") for k in orders], beta,
+            sums[f"{key}_h"] = f"if({c}[1] >= {n}, {_total(f'{c}[0]', n)}, 0)"
+            sums[f"{key}_r"] = _total(f"{c}[1]", n)
+    return _Metric(name, counts, sums, chrf_score(orders, beta))
+
+
+def bleu_score(matches: list[str], totals: list[str], hyp_len: str, ref_len: str) -> Column:
+    """BLEU of summed counts, exponential smoothing: the k-th order without a match counts as 1 / 2^k.
+
+    An order without any n-gram, or no match at all, gives 0.
+    """
+    logs = []
+    for i, (m, t) in enumerate(zip(matches, totals)):
+        zeros = " + ".join(f"int({x} = 0)" for x in matches[: i + 1])
+        logs.append(f"ln(if({m} > 0, double({m}), pow(0.5D, {zeros})) / {t})")
+    score = f"exp(({' + '.join(logs)}) / {len(matches)})"
+    penalty = f"if({hyp_len} >= {ref_len}, 1D, exp(1D - {ref_len} / {hyp_len}))"
+    return F.expr(
+        f"CASE WHEN greatest({', '.join(matches)}) > 0 AND least({', '.join(totals)}) > 0 "
+        f"THEN 100D * {penalty} * {score} ELSE 0D END"
     )
-    return _Metric(name, inputs, stats, value)
-
-
-def chrf_score(matches: list[Column], hyps: list[Column], refs: list[Column], beta: float) -> Column:
-    """F-score of precision and recall averaged over the orders that both sides have."""
-    order, prec, rec = F.lit(0), F.lit(0.0), F.lit(0.0)
-    for m, h, r in zip(matches, hyps, refs):
-        both = (h > 0) & (r > 0)
-        order = order + F.when(both, 1).otherwise(0)
-        prec = prec + F.when(both, F.try_divide(m.cast("double"), h.cast("double"))).otherwise(F.lit(0.0))
-        rec = rec + F.when(both, F.try_divide(m.cast("double"), r.cast("double"))).otherwise(F.lit(0.0))
-    p, q = F.try_divide(prec, order.cast("double")), F.try_divide(rec, order.cast("double"))
+
+
+def chrf_score(orders: list[str], beta: float) -> Column:
+    """F-score of precision and recall, averaged over the orders that both sides have.
+
+    ``orders`` are prefixes of the summed columns ``_m`` (matches), ``_h`` and ``_r`` (n-grams).
+    """
+    def average(side: str) -> str:
+        terms = [f"if({k}_h > 0 AND {k}_r > 0, {k}_m / {k}_{side}, 0D)" for k in orders]
+        present = [f"int({k}_h > 0 AND {k}_r > 0)" for k in orders]
+        return f"try_divide({' + '.join(terms)}, {' + '.join(present)})"
+
     factor = float(beta) ** 2
-    return F.coalesce(100.0 * F.try_divide((1 + factor) * p * q, factor * p + q), F.lit(0.0))
+    return F.expr(
+        f"transform(array(struct({average('h')} AS p, {average('r')} AS q)), "
+        f"x -> coalesce(100D * try_divide({1 + factor}D * x.p * x.q, {factor}D * x.p + x.q), 0D))[0]"
+    )
 
 
 def _report(df: DataFrame, metrics: list[_Metric], by: list[str]) -> DataFrame:
-    inputs, stats = {}, {}
+    counts, sums = {}, {}
     for m in metrics:
-        inputs.update(m.inputs)
-        stats.update(m.stats)
-    rows = df.select(*by, *[c.alias(k) for k, c in inputs.items()])
-    rows = rows.select(*by, *[c.alias(k) for k, c in stats.items()])
-    sums = [F.coalesce(F.sum(k), F.lit(0)).cast("bigint").alias(k) for k in stats]
-    totals = rows.groupBy(*by).agg(*sums) if by else rows.agg(*sums)
-    return totals.select(*by, *[m.value.alias(m.name) for m in metrics])
+        counts.update(m.counts)
+        sums.update(m.sums)
+    rows = df.select(*by, *[c.alias(k) for k, c in counts.items()])
+    totals = [F.expr(f"coalesce(sum({expr}), 0) AS {k}") for k, expr in sums.items()]
+    report = rows.groupBy(*by).agg(*totals) if by else rows.agg(*totals)
+    return report.select(*by, *[m.value.alias(m.name) for m in metrics])
 
 
 def corpus_bleu(
