@@ -98,7 +98,7 @@ def write_sides(spark, sf):
 
 @query
 def write_wordfreq(spark, sf):
-    counts = stats.word_frequencies(side_lines(spark, sf, "de"), "de")
+    counts = stats.word_frequencies(views.spread(views.documents(spark, sf, "de")), "de")
     return corpus.read_wordfreq(spark, sinks.write_wordfreq(counts, staging_path(spark, "wordfreq")))
 
 
@@ -118,7 +118,7 @@ def write_result(spark, sf):
 
 @query
 def write_synthetic(spark, sf):
-    path = sinks.write_synthetic(synthetic_parts(spark, sf), staging_path(spark, "synthetic"))
+    path = sinks.write_synthetic(synthetic_parts(views.corpora(spark, sf)), staging_path(spark, "synthetic"))
     return spark.read.parquet(path).select("line_no", "l1", "l2", "l1_origin", "l2_origin")
 
 
@@ -151,7 +151,7 @@ def side_tgt(spark, sf):
 
 @query
 def filter_by_score(spark, sf):
-    return cleaning.filter_by_score(views.scored_pairs(spark, sf), 0.5).select("line_no", "corpus", "score")
+    return cleaning.filter_by_score(views.pair_scores(spark, sf), 0.5)
 
 
 @query
@@ -364,28 +364,28 @@ def missing_corpora(spark, sf):
 
 @query
 def threshold_sweep_by_corpus(spark, sf):
-    scored = views.scored_pairs(spark, sf).select("corpus", "score")
-    return stats.threshold_sweep(scored, by=["corpus"])
+    return stats.threshold_sweep(views.pair_scores(spark, sf), by=["corpus"])
 
 
 @query
 def threshold_sweep(spark, sf):
-    return stats.threshold_sweep(views.scored_pairs(spark, sf).select("score"))
+    return stats.threshold_sweep(views.pair_scores(spark, sf))
 
 
 @query
 def word_frequencies(spark, sf):
-    return stats.word_frequencies(views.table(spark, sf, "documents", views.DOCUMENTS).filter("lang = 'en'"), "en")
+    return stats.word_frequencies(views.spread(views.documents(spark, sf, "en")), "en")
 
 
 @query
 def word_frequencies_as_written(spark, sf):
-    return stats.word_frequencies(side_lines(spark, sf, "de"), "de", as_written=True)
+    return stats.word_frequencies(views.spread(views.documents(spark, sf, "de")), "de", as_written=True)
 
 
 @query
 def build_dictionary(spark, sf):
-    return vocabulary.build_dictionary(lower_tokens(spark, sf, "en"), ["en_XX", "de_DE"])
+    docs = views.spread(views.documents(spark, sf, "en"))
+    return vocabulary.build_dictionary(docs.withColumn("pieces", F.split(F.lower("text"), "[ \n]")), ["en_XX", "de_DE"])
 
 
 @query
@@ -440,7 +440,8 @@ def evaluate(spark, sf):
 
 @query
 def vocab_coverage(spark, sf):
-    tokens = views.lines(spark, sf).withColumn("tokens", F.split(F.lower("text"), " "))
+    docs = views.spread(views.documents(spark, sf))
+    tokens = docs.withColumn("tokens", F.split(F.lower("text"), "[ \n]"))
     report = stats.vocab_coverage(tokens, views.vocab(spark, sf, "en"), by=["lang"])
     return report.withColumn("oov_rate", F.round("oov_rate", 6))
 
@@ -522,12 +523,12 @@ def growing_prefix(spark, sf):
 
 @query
 def cap_pairs(spark, sf):
-    return sampling.cap_pairs(views.clean_pairs(spark, sf), 500, SEED).select("line_no", "src", "tgt")
+    return sampling.cap_pairs(stage(views.clean_pairs(spark, sf), "pairs"), 500, SEED).select("line_no", "src", "tgt")
 
 
 @query
 def cap_pairs_as_written(spark, sf):
-    return sampling.cap_pairs(views.clean_pairs(spark, sf), 500, as_written=True).select("line_no", "src", "tgt")
+    return sampling.cap_pairs(stage(views.clean_pairs(spark, sf), "pairs"), 500, as_written=True).select("line_no", "src", "tgt")
 
 
 @query
@@ -545,19 +546,17 @@ def concat_corpora(spark, sf):
 
 @query
 def augment(spark, sf):
-    parts = views.corpora(spark, sf)
+    parts = stage(views.corpora(spark, sf), "corpora")
     return mixtures.augment(parts.filter("part = 'parallel'"), parts.filter("part = 'l1_syn_l2_orig'"))
 
 
-def parallel_part(spark, sf):
-    return views.corpora(spark, sf).filter("part = 'parallel'").select(
-        "line_no", F.col("src").alias("l1"), F.col("tgt").alias("l2")
-    )
+def parallel_part(corpora):
+    return corpora.filter("part = 'parallel'").select("line_no", F.col("src").alias("l1"), F.col("tgt").alias("l2"))
 
 
-def synthetic_parts(spark, sf):
+def synthetic_parts(corpora):
     so = F.col("part") == "l1_syn_l2_orig"
-    return views.corpora(spark, sf).filter("part <> 'parallel'").select(
+    return corpora.filter("part <> 'parallel'").select(
         "line_no", F.col("src").alias("l1"), F.col("tgt").alias("l2"),
         F.when(so, "synthetic").otherwise("original").alias("l1_origin"),
         F.when(so, "original").otherwise("synthetic").alias("l2_origin"),
@@ -566,7 +565,9 @@ def synthetic_parts(spark, sf):
 
 def _mixture(flavour, direction):
     def run(spark, sf):
-        return mixtures.mixture(parallel_part(spark, sf), synthetic_parts(spark, sf), flavour, direction)
+        # Corpora are written once and read by every mixture.
+        corpora = stage(views.corpora(spark, sf), "corpora")
+        return mixtures.mixture(parallel_part(corpora), synthetic_parts(corpora), flavour, direction)
 
     run.__name__ = f"mixture_{flavour}_{direction}"
     return query(run)
@@ -596,7 +597,7 @@ def temperature_mix(spark, sf):
 # --- scoring, subwords, synthesis --------------------------------------------
 
 def german_words(spark, sf):
-    return stage(stats.word_frequencies(side_lines(spark, sf, "de"), "de"), "wordfreq")
+    return stage(stats.word_frequencies(views.spread(views.documents(spark, sf, "de")), "de"), "wordfreq")
 
 
 @query
@@ -608,11 +609,11 @@ def pair_features(spark, sf):
 
 @query
 def make_negatives(spark, sf):
-    return scoring.make_negatives(views.clean_pairs(spark, sf), SEED)
+    return scoring.make_negatives(stage(views.clean_pairs(spark, sf), "pairs"), SEED)
 
 
 def classifier(spark, sf, wordfreq):
-    train = sampling.cap_pairs(views.clean_pairs(spark, sf), seed=SEED)
+    train = sampling.cap_pairs(stage(views.clean_pairs(spark, sf), "pairs"), seed=SEED)
     return scoring.fit_pair_classifier(train, wordfreq, SEED)
 
 
@@ -638,7 +639,7 @@ def score_pairs_formula(spark, sf):
 @query
 def clean_synthetic(spark, sf):
     cleaned = scoring.clean_synthetic(
-        synthetic_parts(spark, sf).withColumnsRenamed({"l1": "src", "l2": "tgt"}), scoring.length_ratio_scorer, 0.3
+        synthetic_parts(views.corpora(spark, sf)).withColumnsRenamed({"l1": "src", "l2": "tgt"}), scoring.length_ratio_scorer, 0.3
     )
     return cleaned.select("line_no", "l1_origin", "l2_origin", "score")
 
@@ -691,7 +692,7 @@ def search_threshold(spark, sf):
     by_direction = {
         "1n": scored.filter("part = 'l1_syn_l2_orig'"), "n1": scored.filter("part = 'l1_orig_l2_syn'"),
     }
-    parallel = stage(parallel_part(spark, sf), "parallel")
+    parallel = stage(parallel_part(views.corpora(spark, sf)), "parallel")
     tried, best = experiment.search_threshold(parallel, by_direction, lambda d, t, data: data.count())
     rows = [(d, t, int(m), t == best[d]) for d, t, m in tried]
     return spark.createDataFrame(rows, "direction string, threshold double, n_pairs bigint, best boolean")
@@ -705,7 +706,7 @@ def iterate(spark, sf):
         encode=with_words, scorer=scoring.length_ratio_scorer,
     )
     run = experiment.Refinement(
-        spark, "documents", staging_path(spark, "experiment"), stage(parallel_part(spark, sf), "parallel"),
+        spark, "documents", staging_path(spark, "experiment"), stage(parallel_part(views.corpora(spark, sf)), "parallel"),
         mono, callbacks, unit=100,
     )
     outcome = run.run(thresholds=(0.0, 0.5))
@@ -714,7 +715,8 @@ def iterate(spark, sf):
 
 @query
 def prepare_student(spark, sf):
-    pairs = student.student_pairs(parallel_part(spark, sf), synthetic_parts(spark, sf), "all", "1n")
+    corpora = stage(views.corpora(spark, sf), "corpora")
+    pairs = student.student_pairs(parallel_part(corpora), synthetic_parts(corpora), "all", "1n")
     data = student.prepare_student(stage(pairs, "student"), vocab_size=150)
     # Back from ids to text, through the dictionary.
     text = data.dataset.select("line_no", joined("src_ids"), joined("tgt_ids"))

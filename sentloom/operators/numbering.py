@@ -8,7 +8,7 @@ block of rows, sum over the few blocks, and add the two numbers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,31 +56,44 @@ def number_rows(
     )
 
 
-def number_lines(docs: DataFrame, docs_per_block: int = DOCS_PER_BLOCK) -> DataFrame:
+def number_lines(
+    docs: DataFrame,
+    line_value: Callable[[Column], Column] | None = None,
+    docs_per_block: int = DOCS_PER_BLOCK,
+) -> DataFrame:
     """Lines of documents, numbered 1.. within each language by (doc_id, position).
 
     ``docs`` has doc_id (unique), lang, source, text. Lines before a document =
     lines of earlier id blocks (a small table) + lines of earlier documents in its
-    block (a window over at most ``docs_per_block`` documents). The text is shuffled
+    block (a window over at most ``docs_per_block`` documents). The lines are shuffled
     once, by (lang, block), and the join reuses that partitioning.
+
+    ``line_value`` is computed from each line before the shuffle and carried as column
+    ``text`` in its place; where a query needs only, say, the length of lines, the text
+    itself is not moved.
     """
+    lines = F.split("text", "\n")
     blocked = docs.select(
-        "lang", "source", "doc_id", "text",
+        "lang", "source", "doc_id",
+        (F.transform(lines, line_value) if line_value else lines).alias("_lines"),
         F.floor(F.col("doc_id") / F.lit(docs_per_block)).alias("_block"),
+    )
+    counted = docs.select(
+        "lang", F.floor(F.col("doc_id") / F.lit(docs_per_block)).alias("_block"),
         (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("bigint").alias("_n"),
     )
-    totals = blocked.groupBy("lang", "_block").agg(F.sum("_n").alias("_total"))
+    totals = counted.groupBy("lang", "_block").agg(F.sum("_n").alias("_total"))
     earlier_blocks = W.partitionBy("lang").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     before = totals.select(
         "lang", "_block", F.coalesce(F.sum("_total").over(earlier_blocks), F.lit(0)).alias("_before")
     )
     earlier_docs = W.partitionBy("lang", "_block").orderBy("doc_id").rowsBetween(W.unboundedPreceding, -1)
-    placed = blocked.withColumn("_within", F.coalesce(F.sum("_n").over(earlier_docs), F.lit(0)))
+    within = F.coalesce(F.sum(F.size("_lines")).over(earlier_docs), F.lit(0))
     return (
-        placed.join(before, ["lang", "_block"])
+        blocked.withColumn("_within", within).join(before, ["lang", "_block"])
         .select(
             "lang", "source", "doc_id", (F.col("_before") + F.col("_within")).alias("_offset"),
-            F.posexplode(F.split("text", "\n")).alias("_pos", "text"),
+            F.posexplode("_lines").alias("_pos", "text"),
         )
         .select(
             "lang", "source", "doc_id", F.col("_pos").cast("bigint").alias("pos"), "text",

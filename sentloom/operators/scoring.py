@@ -16,6 +16,7 @@ from sentloom.functions import text as tx
 from sentloom.functions.hashing import sample_key
 from sentloom.operators.cleaning import filter_by_score
 from sentloom.operators.lookup import MAX_BROADCAST_ROWS, broadcast_checked, lookup_array
+from sentloom.sources.staging import stage
 
 FEATURES = [
     "length_ratio", "src_tokens", "tgt_tokens", "copied_share",
@@ -109,7 +110,8 @@ def fit_pair_classifier(
     examples = positives.unionByName(negatives).withColumn(
         "line_no", F.col("line_no") * 2 + F.when(F.col("label") == 0.0, 1).otherwise(0)
     )
-    features = pair_features(examples, wordfreq).select(*FEATURES, "label")
+    # Written once: the optimizer of the classifier passes over it many times.
+    features = stage(pair_features(examples, wordfreq).select(*FEATURES, "label"), "features")
     pipeline = Pipeline(stages=[
         VectorAssembler(inputCols=FEATURES, outputCol="features"),
         LogisticRegression(maxIter=max_iter, regParam=reg),

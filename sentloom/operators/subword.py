@@ -21,9 +21,9 @@ from sentloom.sources.staging import stage
 # Control symbols of a subword vocabulary, in id order.
 CONTROL_SYMBOLS = ["<unk>", "<s>", "</s>"]
 DEFAULT_VOCAB_SIZE = 10_000
-# Leading pairs looked at per round; merges kept in a plan before it is written.
+# Leading pairs looked at per round; rounds after which the word table is written.
 CANDIDATES = 256
-MERGES_PER_STAGE = 96
+ROUNDS_PER_STAGE = 16
 # Words whose pieces a Python worker remembers.
 CACHE_WORDS = 200_000
 
@@ -50,14 +50,10 @@ def _merged(seg: Column, merges: list[tuple[str, str]]) -> Column:
 def pair_counts(table: DataFrame) -> DataFrame:
     """Counts of adjacent symbols over a word table (seg, n): (a, b, n)."""
     syms = table.select(_symbols(F.col("seg")).alias("s"), "n").filter(F.size("s") > 1)
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.size("s") - 2),
-        lambda i: F.struct(F.get("s", i).alias("a"), F.get("s", i + 1).alias("b")),
-    )
-    return (
-        syms.select(F.explode(pairs).alias("p"), "n")
-        .groupBy("p.a", "p.b").agg(F.sum("n").alias("n"))
+    adjacent = F.arrays_zip(
+        F.slice("s", 1, F.size("s") - 1).alias("a"), F.slice("s", 2, F.size("s") - 1).alias("b")
     )
+    return syms.select(F.inline(adjacent).alias("a", "b"), "n").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def independent_prefix(ranked: list[tuple[str, str]], known: set[str]) -> list[tuple[str, str]]:
@@ -98,8 +94,9 @@ def learn_bpe(
     the smaller merged symbol. ``batch=1`` runs one round per merge; a larger batch
     takes the leading pairs of a round as long as the result is the same (see
     :func:`independent_prefix`). Only candidate pairs and the character list come to the
-    driver; the words stay distributed, and the word table is written to the staging
-    folder when merges pile up in its plan.
+    driver; the words stay distributed and cached between rounds, and the word table is
+    written to the staging folder every few rounds, so that a lost executor costs the
+    rounds since then.
 
     The vocabulary (piece, piece_id) lists control symbols, merged pieces in order,
     then characters by count.
@@ -110,7 +107,9 @@ def learn_bpe(
         .groupBy("w").agg(F.count(F.lit(1)).alias("n"))
         .select(_spaced(F.col("w")).alias("seg"), "n")
     )
-    table = stage(words, "words").persist()
+    # Written in as many files as tasks, so that every round runs on all of them.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = stage(words.repartition(tasks), "words").persist()
     chars = [
         r["c"] for r in (
             table.select(F.explode(_symbols(F.col("seg"))).alias("c"), "n")
@@ -122,26 +121,26 @@ def learn_bpe(
     known = set(chars)
     wanted = vocab_size - len(CONTROL_SYMBOLS) - len(chars)
     merges: list[tuple[str, str]] = []
-    pending: list[tuple[str, str]] = []
+    merged = F.concat("a", "b")
+    order = [F.desc("n"), F.length(merged), merged, F.length("a")]
+    previous, rounds = None, 0
     while len(merges) < wanted:
-        current = table.select(_merged(F.col("seg"), pending).alias("seg"), "n")
-        merged = F.concat("a", "b")
-        top = (
-            pair_counts(current)
-            .orderBy(F.desc("n"), F.length(merged), merged, F.length("a"))
-            .limit(max(1, batch)).collect()
-        )
-        if not top:
-            break
+        top = pair_counts(table).orderBy(*order).limit(max(1, batch)).collect()
+        if previous is not None:
+            previous.unpersist()
         taken = independent_prefix([(r["a"], r["b"]) for r in top], known)[: wanted - len(merges)]
+        if not taken:
+            break
         merges += taken
-        pending += taken
         known.update(a + b for a, b in taken)
-        if len(pending) >= MERGES_PER_STAGE:
-            fresh = stage(table.select(_merged(F.col("seg"), pending).alias("seg"), "n"), "words").persist()
-            table.unpersist()
-            table, pending = fresh, []
+        previous, rounds = table, rounds + 1
+        table = previous.select(_merged(F.col("seg"), taken).alias("seg"), "n")
+        if rounds % ROUNDS_PER_STAGE == 0:
+            table = stage(table, "words")
+        table = table.persist()
     table.unpersist()
+    if previous is not None:
+        previous.unpersist()
     return merges, _vocabulary(spark, merges, chars)
 
 

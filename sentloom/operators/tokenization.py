@@ -25,6 +25,9 @@ ABBREVIATIONS: dict[str, list[str]] = {
 # Languages whose apostrophe closes the first word (l' eau).
 APOSTROPHE_LEFT = ("fr", "it", "ga", "ca")
 
+# Characters between words: whitespace and control characters.
+SEPARATORS = rf"[\x00-\x1f{tx.WHITESPACE}]+"
+
 _L = r"\p{L}\p{M}"
 _LN = r"\p{L}\p{M}\p{N}"
 
@@ -33,10 +36,12 @@ def separation_rules(lang: str, abbreviations: Sequence[str] | None = None) -> l
     """The (pattern, replacement) chain for a language; ``$1`` names a group.
 
     It expects a text with a space at both ends and leaves tokens separated by spaces.
+    Two spaces between words give each word its own borders, so no rule sees the word
+    before or after: the tokens of a text are the tokens of its words, one after another.
     """
     known = ABBREVIATIONS.get(lang, []) if abbreviations is None else list(abbreviations)
     rules = [
-        (r"[\x00-\x1f]", " "),
+        (SEPARATORS, "  "),
         (rf"([^{_LN}\s.'`,\-])", " $1 "),
         # Runs of dots are one token.
         (r"(\.\.+)", " $1 "),
@@ -54,8 +59,7 @@ def separation_rules(lang: str, abbreviations: Sequence[str] | None = None) -> l
     else:
         rules.append((r"'", " ' "))
     # A word-final period is a token of its own, unless the word is an abbreviation or
-    # dotted itself (U.S.). Two spaces between words give each word its own borders;
-    # the control character stands for the periods that stay.
+    # dotted itself (U.S.); the control character stands for the periods that stay.
     rules.append((r"\s+", "  "))
     if known:
         rules.append((r" (" + "|".join(a.replace(".", r"\.") for a in known) + r")\. ", " $1\x01 "))

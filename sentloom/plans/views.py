@@ -27,12 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lines(spark: SparkSession, sf_dir: str, *langs: str) -> DataFrame:
-    """Numbered lines of the documents (of some languages)."""
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores.
+
+    A file with one row group is read by one task, however many cores there are. Inputs
+    with at least as many splits as cores, which is any large one, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def documents(spark: SparkSession, sf_dir: str, *langs: str) -> DataFrame:
+    """The documents (of some languages)."""
     docs = table(spark, sf_dir, "documents", DOCUMENTS)
-    if langs:
-        docs = docs.filter(F.col("lang").isin(*langs))
-    return number_lines(docs)
+    return docs.filter(F.col("lang").isin(*langs)) if langs else docs
+
+
+def lines(spark: SparkSession, sf_dir: str, *langs: str, line_value=None) -> DataFrame:
+    """Numbered lines of the documents (of some languages)."""
+    return number_lines(documents(spark, sf_dir, *langs), line_value)
 
 
 def corpus(spark: SparkSession, sf_dir: str, *langs: str) -> DataFrame:
@@ -65,6 +78,18 @@ def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_pairs(spark, sf_dir).withColumn("score", F.round(tx.length_ratio("src", "tgt"), 4))
 
 
+def pair_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of :func:`scored_pairs` alone: (line_no, corpus, score).
+
+    The score needs the length of a line, so only lengths are shuffled and joined.
+    """
+    src = lines(spark, sf_dir, "en", line_value=F.length).select("line_no", F.col("source").alias("corpus"), "text")
+    tgt = lines(spark, sf_dir, "de", line_value=F.length).select("line_no", "text")
+    paired = pair_by_line(src.filter("text > 0"), tgt.filter("text > 0"), "truncate")
+    ratio = F.least("src", "tgt").cast("double") / F.greatest("src", "tgt")
+    return paired.select("line_no", "corpus", F.round(ratio, 4).alias("score"))
+
+
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-to-one pairs from conversations: a user turn and the assistant turn after it."""
     conv = table(spark, sf_dir, "conversations", CONVERSATIONS)
@@ -120,7 +145,7 @@ def token_counts(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
 
     The counts need the words of each line only, so documents are not numbered.
     """
-    docs = table(spark, sf_dir, "documents", DOCUMENTS).filter(F.col("lang") == lang)
+    docs = spread(documents(spark, sf_dir, lang))
     return (
         docs.select(F.explode(F.split(F.lower("text"), "[ \n]")).alias("token"))
         .groupBy("token").agg(F.count(F.lit(1)).alias("count"))
