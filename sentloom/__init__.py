@@ -1 +1,8 @@
 """Preparing and improving corpora for machine translation, on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job: executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
