@@ -10,8 +10,8 @@ from sentloom.sources.staging import stage
 
 # Rows a lookup table may have to be sent to every executor.
 MAX_BROADCAST_ROWS = 1_000_000
-# Copies of a larger table's rows, so that a hot key spreads over as many tasks.
-SALTS = 32
+# Most copies of a larger table's rows; a hot key spreads over as many tasks.
+MAX_SALTS = 200
 
 
 def broadcast_checked(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -77,10 +77,11 @@ def _offsets(arrays: pa.Array) -> list[int]:
 
 
 def _lookup_shuffled(df: DataFrame, col: str, out: str, entries: DataFrame, default, row_key: str) -> DataFrame:
-    salted = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salts = min(MAX_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     elements = (
         df.select(row_key, F.posexplode(F.col(col).cast("array<string>")).alias("_pos", "key"))
-        .withColumn("_salt", F.pmod(F.xxhash64(row_key, "_pos"), F.lit(SALTS)).cast("int"))
+        .withColumn("_salt", F.pmod(F.xxhash64(row_key, "_pos"), F.lit(salts)).cast("int"))
     )
     found = (
         elements.join(salted, ["key", "_salt"], "left")

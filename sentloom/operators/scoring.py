@@ -24,8 +24,8 @@ FEATURES = [
 ]
 # Fixed value: marks compared between the sides.
 PUNCTUATION = "[.,;:!?()]"
-# Leading hex digits that place a row in a shuffle block (4096 blocks).
-BLOCK_DIGITS = 3
+# Leading hex digits that place a row in a shuffle block (16 ** 4 blocks).
+BLOCK_DIGITS = 4
 
 
 def _overlap(a: Column, b: Column) -> Column:

@@ -107,9 +107,8 @@ def learn_bpe(
         .groupBy("w").agg(F.count(F.lit(1)).alias("n"))
         .select(_spaced(F.col("w")).alias("seg"), "n")
     )
-    # Written in as many files as tasks, so that every round runs on all of them.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = stage(words.repartition(tasks), "words").persist()
+    # Written in as many files as cores, so that every round runs on all of them.
+    table = stage(words.repartition(spark.sparkContext.defaultParallelism), "words").persist()
     chars = [
         r["c"] for r in (
             table.select(F.explode(_symbols(F.col("seg"))).alias("c"), "n")

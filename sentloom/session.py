@@ -16,8 +16,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Arrow batches are bounded by rows; lines may be long, so keep batches small.
+    # Lines may be long: bound Arrow batches by rows and by bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
