@@ -12,7 +12,11 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WHITESPACE_RUN = f"[{WHITESPACE}]+"
+# The same characters above the space, as ranges of a pattern class.
+_WIDE = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITESPACE_RUN = f"[\t-\r\x1c- {_WIDE}]+"
+# Whitespace and control characters.
+SEPARATOR_RUN = f"[\x00- {_WIDE}]+"
 
 # Fixed value: the mark that subword models put in front of a word.
 WORD_MARK = "▁"

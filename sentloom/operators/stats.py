@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentloom.operators.tokenization import SEPARATORS, tokens
+from sentloom.functions.text import SEPARATOR_RUN
+from sentloom.operators.tokenization import tokens
 
 THRESHOLDS = tuple(t / 10 for t in range(10))
 
@@ -34,7 +35,7 @@ def word_frequencies(
     is dropped when it holds the digit 1 anywhere.
     """
     raw = (
-        df.select(F.explode(F.split(F.lower(col), SEPARATORS)).alias("_raw"))
+        df.select(F.explode(F.split(F.lower(col), SEPARATOR_RUN)).alias("_raw"))
         .filter(F.col("_raw") != "")
         .groupBy("_raw").agg(F.count(F.lit(1)).alias("_n"))
     )

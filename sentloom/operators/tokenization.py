@@ -25,9 +25,6 @@ ABBREVIATIONS: dict[str, list[str]] = {
 # Languages whose apostrophe closes the first word (l' eau).
 APOSTROPHE_LEFT = ("fr", "it", "ga", "ca")
 
-# Characters between words: whitespace and control characters.
-SEPARATORS = rf"[\x00-\x1f{tx.WHITESPACE}]+"
-
 _L = r"\p{L}\p{M}"
 _LN = r"\p{L}\p{M}\p{N}"
 
@@ -41,7 +38,7 @@ def separation_rules(lang: str, abbreviations: Sequence[str] | None = None) -> l
     """
     known = ABBREVIATIONS.get(lang, []) if abbreviations is None else list(abbreviations)
     rules = [
-        (SEPARATORS, "  "),
+        (tx.SEPARATOR_RUN, "  "),
         (rf"([^{_LN}\s.'`,\-])", " $1 "),
         # Runs of dots are one token.
         (r"(\.\.+)", " $1 "),
