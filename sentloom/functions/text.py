@@ -13,10 +13,10 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 # The same characters above the space, as ranges of a pattern class.
-_WIDE = "\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WHITESPACE_RUN = f"[\t-\r\x1c- {_WIDE}]+"
+_WIDE = r"\x85\xa0" + "\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITESPACE_RUN = rf"[\t-\r\x1c-\x20{_WIDE}]+"
 # Whitespace and control characters.
-SEPARATOR_RUN = f"[\x00- {_WIDE}]+"
+SEPARATOR_RUN = rf"[\x00-\x20{_WIDE}]+"
 
 # Fixed value: the mark that subword models put in front of a word.
 WORD_MARK = "▁"
