@@ -15,8 +15,9 @@ from sentloom.llm.common import Scratch, bucket_of_five, held_out, slices, split
 
 # Words' first letters that stand for words too rare to be known as a whole.
 PREFIXES = (4, 5, 6, 7, 8)
-# Weight of the Dirichlet prior in tokens, least significance and occurrences of a piece.
-PRIOR, MIN_Z, MIN_TOXIC = 500.0, 4.0, 3
+# Weight of the Dirichlet prior in tokens; a piece needs this significance (in standard
+# deviations) and so many toxic texts.
+PRIOR, MIN_Z, MIN_TOXIC = 500.0, 5.0, 3
 # Pieces of the model at most, those with the largest significance; it is sent to every executor.
 MAX_PIECES = 500_000
 # What a token without a known piece takes from a segment, and the least score of a segment.
@@ -53,7 +54,10 @@ class Normal(dict):
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
-    """word, toxic, clean: occurrences of each normal word in toxic and other texts of (text, toxic)."""
+    """word, toxic, clean: how many toxic and other texts of (text, toxic) have each normal word.
+
+    A text counts once, so one that repeats a word says no more about it than another.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         normal = Normal()
@@ -64,7 +68,10 @@ def token_counts(rows: DataFrame) -> DataFrame:
                     continue
                 toxic = np.repeat(part.column(1).to_numpy(zero_copy_only=False) == 1, counts)
                 coded = flat.dictionary_encode()
-                at, n = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
+                n = len(coded.dictionary)
+                own = np.repeat(np.arange(len(counts)), counts) * n + coded.indices.to_numpy(zero_copy_only=False)
+                own, first = np.unique(own, return_index=True)
+                at, toxic = own % n, toxic[first]
                 bad, all_of = np.bincount(at[toxic], minlength=n), np.bincount(at, minlength=n)
                 words = [normal[w] for w in coded.dictionary.to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(bad), pa.array(all_of - bad)], ["word", "toxic", "clean"])
@@ -77,7 +84,8 @@ def log_odds(words: DataFrame) -> DataFrame:
     """piece, score, z: significant pieces of words (``=word`` or the first letters), by log-odds.
 
     The informative Dirichlet prior has each piece at its share of all tokens, with the
-    weight of ``PRIOR`` tokens in either class.
+    weight of ``PRIOR`` tokens in either class. ``z`` is the root of the likelihood-ratio
+    statistic of the two counts, which also holds where a piece is in no clean text.
     """
     pieces = F.array(F.concat(F.lit("="), "word"), *[F.when(F.length("word") > n, F.substring("word", 1, n)) for n in PREFIXES])
     nt, nc = (F.lit(x or 0) for x in words.agg(F.sum("toxic"), F.sum("clean")).first())
@@ -91,8 +99,13 @@ def log_odds(words: DataFrame) -> DataFrame:
         return F.ln((y + prior) / (n + PRIOR - y - prior))
 
     score = odds(F.col("t"), nt) - odds(F.col("c"), nc)
-    spread = F.sqrt(1 / (F.col("t") + prior) + 1 / (F.col("c") + prior))
-    return rows.select("piece", score.alias("score"), (score / spread).alias("z")).where(F.col("z") >= MIN_Z)
+    both = F.col("t") + F.col("c")
+
+    def surprise(y: Column, n: Column) -> Column:
+        return F.when(y > 0, y * F.ln(y * (nt + nc) / (both * n))).otherwise(F.lit(0.0))
+
+    z = F.sqrt(F.greatest(2 * (surprise(F.col("t"), nt) + surprise(F.col("c"), nc)), F.lit(0.0)))
+    return rows.select("piece", score.alias("score"), z.alias("z")).where((F.col("z") >= MIN_Z) & (F.col("score") > 0))
 
 
 def segments(at: list[int], scores: list[float], drift: float) -> list[tuple[int, int, float]]:
