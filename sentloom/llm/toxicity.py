@@ -18,6 +18,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 # Weight of the Dirichlet prior in tokens; a piece needs this significance (in standard
 # deviations) and so many toxic texts.
 PRIOR, MIN_Z, MIN_TOXIC = 500.0, 5.0, 3
+# Labelled documents that the model is fitted on, at most about so many.
+LABELLED = 500_000
 # Pieces of the model at most, those with the largest significance; it is sent to every executor.
 MAX_PIECES = 500_000
 # What a token without a known piece takes from a segment, and the least score of a segment.
@@ -239,21 +241,25 @@ def _logistic(x: np.ndarray, t: np.ndarray, n: np.ndarray) -> tuple[float, float
 
 
 def _labels(labels: DataFrame) -> DataFrame:
-    """One 0 or 1 for each labelled id that may be learnt from; 1 if its rows disagree."""
-    return labels.where(bucket_of_five(F.col("doc_id")) > 0).where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    """0 or 1 for each labelled id that may be learnt from, 1 if its rows disagree; about ``LABELLED`` ids at most.
+
+    They are chosen by a hash of the id.
+    """
+    known = labels.where(bucket_of_five(F.col("doc_id")) > 0).where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    draw = F.pmod(F.xxhash64(F.lit("toxic"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return known.where(draw < min(1.0, LABELLED / max(1, known.count())))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], Calibration]:
-    """Scores of the significant pieces and the calibration, from all labelled rows that are not held out.
+    """Scores of the significant pieces and the calibration, from labelled rows that are not held out.
 
-    The labelled texts are written out once and read twice: to count words, and to scan
-    them for passages.
+    ``LABELLED`` bounds their number, so the labels go to the texts and no text is
+    shuffled. The labelled texts are written out once and read twice: to count words,
+    and to scan them for passages.
     """
     scratch, spark = Scratch(docs.sparkSession), docs.sparkSession
-    learn = scratch.write(
-        docs.where(bucket_of_five(F.col("doc_id")) > 0).select("doc_id", "text").join(_labels(labels), "doc_id").select("text", "toxic"),
-        "toxic-labelled",
-    )
+    rows = docs.where(bucket_of_five(F.col("doc_id")) > 0).select("doc_id", "text")
+    learn = scratch.write(rows.join(F.broadcast(_labels(labels)), "doc_id").select("text", "toxic"), "toxic-labelled")
     words = scratch.write(token_counts(learn), "toxic-words")
     top = log_odds(words).orderBy(F.desc("z"), "piece").limit(MAX_PIECES)
     pieces = {r["piece"]: r["score"] for r in top.select("piece", "score").collect()}
