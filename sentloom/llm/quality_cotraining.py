@@ -180,15 +180,20 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> Views:
     """
     known = labels.where(bucket_of_five(F.col("doc_id")) > 0).where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     n_known, n = known.count(), docs.count()
-    draw = F.pmod(F.xxhash64(F.lit("quality"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     bucket = bucket_of_five(F.col("doc_id")).cast("int")
-    chosen = known.where(draw < min(1.0, LABELLED / max(1, n_known)))
-    near = docs.where((bucket > 0) & (draw < min(1.0, LABELLED / max(1, n_known))))
     columns = [c.alias(f"_{i}") for i, c in enumerate(_view_columns())]
-    labelled, y, buckets = _sample(near.join(chosen.select("doc_id", F.col("quality").alias("_q")), "doc_id").select(*columns, "_q", bucket.alias("_b")))
-    other = F.pmod(F.xxhash64(F.lit("pool"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    pool = docs.where((bucket > 0) & (other < min(1.0, POOL / max(1, n))))
-    pool = pool.join(known.withColumnRenamed("quality", "_q"), "doc_id", "left_anti").select(*columns, F.lit(-1).alias("_q"), bucket.alias("_b"))
+
+    def drawn(rows: DataFrame, salt: str, share: float) -> DataFrame:
+        draw = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+        return rows.where((bucket > 0) & (draw < min(1.0, share)))
+
+    # The same draw on both sides: the labels that are sent to the documents are as few as the sample.
+    share = LABELLED / max(1, n_known)
+    chosen = F.broadcast(drawn(known, "quality", share).select("doc_id", F.col("quality").alias("_q")))
+    labelled, y, buckets = _sample(drawn(docs, "quality", share).join(chosen, "doc_id").select(*columns, "_q", bucket.alias("_b")))
+    share = POOL / max(1, n)
+    pool = drawn(docs, "pool", share).join(F.broadcast(drawn(known, "pool", share).select("doc_id")), "doc_id", "left_anti")
+    pool = pool.select(*columns, F.lit(-1).alias("_q"), bucket.alias("_b"))
     pool_views, _, _ = _sample(pool)
     fit, check = buckets > 1, buckets == 1
     return co_train([v[fit] for v in labelled], y[fit], pool_views, [v[check] for v in labelled], y[check])

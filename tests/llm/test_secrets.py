@@ -1,0 +1,65 @@
+"""Base spans against the rules as they are stated, and what the models add."""
+
+import hashlib
+import random
+import re
+
+from sentloom.llm import secrets
+
+
+def stated(text):
+    text = text or ""
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    spans = [(m.start(), 0, m.end()) for m in re.finditer(assign, text, re.I | re.A) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(spans)]
+
+
+def check(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in secrets.find_secrets(docs).collect()}
+    for i, t in enumerate(texts):
+        base = stated(t)
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        kinds = [b[0] for b in base]
+        assert (got[i]["n_assign"], got[i]["n_access"], got[i]["n_hex"]) == tuple(kinds.count(k) for k in ("assign", "access", "hex"))
+        assert got[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+        spans = got[i]["spans"].split(",") if got[i]["spans"] else []
+        assert [s for s in spans if not s.startswith("markov")] == (joined.split(",") if joined else [])
+        assert spans == sorted(spans, key=lambda s: (int(s.split(":")[1]), secrets.KINDS.index(s.split(":")[0])))
+        for s in spans:
+            kind, a, b = s.split(":")
+            if kind == "markov":
+                assert not any(x < int(b) and int(a) < y for _, x, y in base)
+    return got
+
+
+def test_rules(spark):
+    rng = random.Random(3)
+    pieces = ["password", "Passwd", "SECRET", "token", "api_key", "APIkey", "ſecret", "toKen", '"', "'", " ", ":", "=", "AKIA", "AKIAABCDEFGHIJKL", "0123456789abcdef" * 2,
+              "f" * 31, "abc", "12345678", "x.y/z+w=", "ü", "🙂", "\n", "secret=token:abcdefgh1", "=="]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(800)]
+    check(spark, [None, "", *texts, "token = " + "a" * 100_000, "token=short token: longenough1"])
+
+
+def test_rules_on_the_table(spark, sf):
+    check(spark, [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()])
+
+
+def test_models_add_random_strings(spark):
+    rng = random.Random(4)
+    prose = "configuration_manager handles the authenticationProvider and connection-timeout-settings for ordinary_identifier_names "
+    texts = [prose * 30 + "".join(rng.choices("0123456789abcdef", k=40)) for _ in range(60)]
+    hidden = "".join(rng.choices(secrets.ALPHABET[:62], k=40))
+    got = check(spark, [*texts, f"see {hidden} here", "see authenticationProviderConfiguration here"])
+    assert got[60]["spans"] == "markov:4:44"
+    assert got[61]["spans"] == ""
+
+
+def test_odd_rows(spark):
+    rows = [(1, "token=abcdefgh", "x"), (1, "token=abcdefgh", "x"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    got = sorted((str(r["doc_id"]), r["spans"]) for r in secrets.find_secrets(docs).collect())
+    assert got == [("1", "assign:0:14"), ("1", "assign:0:14"), ("None", "")]
+    assert secrets.find_secrets(docs.limit(0)).collect() == []
