@@ -1,14 +1,67 @@
-"""The same queries as DuckDB SQL over the given tables."""
+"""The same queries as DuckDB SQL over the given tables.
+
+Nothing here comes from the package: rules and word lists are written out again, so a
+wrong rule in the package shows as a difference.
+"""
 
 from __future__ import annotations
 
 import string
 
-from sentloom.functions.text import ENTITIES_13A, RULES_13A, WHITESPACE, WHITESPACE_RUN
-from sentloom.operators.tokenization import separation_rules
-
 SEED = 7
 
+# Whitespace when text is stripped or split, as characters and as a pattern class.
+WHITESPACE = "".join(map(chr, [
+    9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, 0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006,
+    0x2007, 0x2008, 0x2009, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]))
+WIDE = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WHITESPACE_RUN = r"[\x09-\x0D\x1C-\x20" + WIDE + "]+"
+
+# The published mteval-v13a rules.
+ENTITIES_13A = {"&quot;": '"', "&amp;": "&", "&lt;": "<", "&gt;": ">"}
+RULES_13A = [
+    (r"([{-~[-` -&(-+:-@/])", r" \1 "),
+    (r"([^0-9])([.,])", r"\1 \2 "),
+    (r"([.,])([^0-9])", r" \1 \2"),
+    (r"([0-9])(-)", r"\1 \2 "),
+]
+
+# Moses-style rules; the apostrophe and the words that keep their period differ by language.
+SEPARATE = [
+    (r"[\x00-\x20" + WIDE + "]+", "  "),
+    (r"([^\pL\pM\pN\s.'`,-])", r" \1 "),
+    (r"([.][.]+)", r" \1 "),
+    (r"([^\pN]),", r"\1 , "),
+    (r",([^\pN])", r" , \1"),
+]
+APOSTROPHES = {
+    "en": [(r"([^\pL\pM])'([^\pL\pM])", r"\1 ' \2"), (r"([^\pL\pM])'([\pL\pM])", r"\1 ' \2"),
+           (r"([\pL\pM])'([^\pL\pM])", r"\1 ' \2"), (r"([\pL\pM])'([\pL\pM])", r"\1 '\2")],
+    "fr": [(r"([^\pL\pM])'([^\pL\pM])", r"\1 ' \2"), (r"([^\pL\pM])'([\pL\pM])", r"\1 ' \2"),
+           (r"([\pL\pM])'([^\pL\pM])", r"\1 ' \2"), (r"([\pL\pM])'([\pL\pM])", r"\1' \2")],
+    "de": [("'", " ' ")],
+    "es": [("'", " ' ")],
+}
+KEPT_PERIODS = {
+    "en": "Mr|Mrs|Ms|Dr|Prof|Sr|Jr|St|vs|etc|e[.]g|i[.]e|No|Inc|Ltd",
+    "de": "Dr|Prof|Hr|Fr|Nr|Str|bzw|usw|z[.]B|d[.]h|u[.]a|ca|evtl|ggf",
+    "fr": "M|MM|Mme|Mlle|Dr|etc|av|apr|env|cf",
+    "es": "Sr|Sra|Srta|Dr|Dra|Ud|Uds|etc|Av|pág",
+}
+
+
+def separation_rules(lang: str) -> list[tuple[str, str]]:
+    return [
+        *SEPARATE, *APOSTROPHES[lang],
+        (r"\s+", "  "),
+        (f" ({KEPT_PERIODS[lang]})[.] ", " \\1\x01 "),
+        (r" ((?:[\pL\pM][.])+[\pL\pM])[.] ", " \\1\x01 "),
+        (r"([^ .])[.] ", r"\1 . "),
+        ("\x01", "."),
+    ]
+
+
 # --- views -------------------------------------------------------------------
 
 LINES = """
@@ -112,7 +165,7 @@ def one_line(expr: str) -> str:
 def rules(expr: str, chain: list[tuple[str, str]]) -> str:
     for pattern, replacement in chain:
         pattern = pattern.replace("'", "''")
-        replacement = replacement.replace("'", "''").replace("$1", r"\1").replace("$2", r"\2")
+        replacement = replacement.replace("'", "''")
         expr = f"regexp_replace({expr}, '{pattern}', '{replacement}', 'g')"
     return expr
 
@@ -123,7 +176,7 @@ def tokenised(expr: str, lang: str) -> str:
 
 def tokens_13a(expr: str) -> str:
     expr = f"replace(replace(replace({expr}, '<skipped>', ''), '-' || chr(10), ''), chr(10), ' ')"
-    for entity, char in ENTITIES_13A:
+    for entity, char in ENTITIES_13A.items():
         expr = f"replace({expr}, '{entity}', '{char}')"
     return words(rules(f"' ' || {expr} || ' '", RULES_13A))
 
@@ -209,16 +262,91 @@ chrf AS (
   FROM (SELECT DISTINCT part FROM cseg) LEFT JOIN pr USING (part))"""
 
 
+def bpe(words: str, size: int) -> str:
+    """Byte pairs, one merge at a time: CTEs ending in ``cut(w, seg)``, ``merges(i, a, b)`` and ``alphabet(c, n)``.
+
+    ``words`` is a query of (w, n); words with n = 0 are cut but teach nothing. Needs WITH RECURSIVE.
+    """
+    return f"""
+bw AS MATERIALIZED (SELECT '▁' || w AS w, sum(n) AS n FROM ({words}) GROUP BY 1),
+alphabet AS MATERIALIZED (
+  SELECT c, sum(n) AS n FROM (SELECT unnest(string_split(w, '')) AS c, n FROM bw) WHERE c <> '' GROUP BY c HAVING sum(n) > 0),
+bpe AS (
+  SELECT 0 AS i, w, n, ' ' || array_to_string(list_filter(string_split(w, ''), lambda c: c <> ''), '  ') || ' ' AS seg,
+         '' AS a, '' AS b FROM bw
+  UNION ALL
+  SELECT i + 1, w, n, replace(seg, ' ' || p.a || '  ' || p.b || ' ', ' ' || p.a || p.b || ' '), p.a, p.b
+  FROM bpe, (
+    SELECT a, b FROM (SELECT unnest(s[:-2]) AS a, unnest(s[2:]) AS b, n
+                      FROM (SELECT string_split(trim(seg, ' '), '  ') AS s, n FROM bpe WHERE n > 0))
+    GROUP BY a, b ORDER BY sum(n) DESC, length(a || b), a || b, length(a) LIMIT 1) p
+  WHERE i < (SELECT {size} - 3 - count(*) FROM alphabet)),
+merges AS (SELECT DISTINCT i, a, b FROM bpe WHERE i > 0),
+cut AS MATERIALIZED (SELECT w, string_split(trim(seg, ' '), '  ') AS p FROM bpe WHERE i = (SELECT max(i) FROM bpe))"""
+
+
+def student_ids(train: str, others: str) -> str:
+    """CTEs ending in ``side_ids(split, line_no, side, ids, known)`` for the two-sided student pairs."""
+    return f"""
+mixed AS ({mixture([SO, OS], with_ctes=False)}),
+stu AS (
+  SELECT line_no, CASE WHEN {train} THEN 'train' ELSE {others} END AS split, {strip('l1')} AS src, {strip('l2')} AS tgt
+  FROM mixed WHERE {strip('l1')} <> '' AND {strip('l2')} <> ''),
+sw AS MATERIALIZED (
+  SELECT split, line_no, side, unnest({words('text')}) AS w, unnest(range(len({words('text')}))) AS i
+  FROM (SELECT split, line_no, 'src' AS side, src AS text FROM stu UNION ALL SELECT split, line_no, 'tgt', tgt FROM stu)),
+{bpe("SELECT w, CASE split WHEN 'train' THEN 1 ELSE 0 END AS n FROM sw", SMALL_VOCABULARY)},
+sp AS MATERIALIZED (
+  SELECT split, line_no, side, i, unnest(p) AS token, unnest(range(len(p))) AS j FROM sw JOIN cut ON cut.w = '▁' || sw.w),
+sd AS (
+  SELECT token, row_number() OVER (ORDER BY count(*) DESC, token) + 3 AS id FROM sp
+  WHERE split = 'train' AND token NOT IN ('<s>', '<pad>', '</s>', '<unk>') GROUP BY token)"""
+
+
+SMALL_VOCABULARY = 160
 THRESHOLDS = "(SELECT (unnest(range(10)) / 10.0)::DOUBLE AS threshold)"
 HYP_ROWS = "SELECT 0 AS part, item_id AS id, hyp, ref FROM hyp_ref"
+NEGATIVES = f"""
+keyed AS (SELECT *, {sample_key('line_no')} AS key FROM clean),
+negatives AS (
+  SELECT line_no, src, other AS tgt, tgt_line_no FROM (
+    SELECT line_no, src, tgt,
+           coalesce(lead(tgt) OVER (ORDER BY key), first_value(tgt) OVER (ORDER BY key)) AS other,
+           coalesce(lead(line_no) OVER (ORDER BY key), first_value(line_no) OVER (ORDER BY key)) AS tgt_line_no
+    FROM keyed)
+  WHERE tgt_line_no <> line_no AND other <> tgt)"""
+
+# Features of ``ex(line_no, src, tgt)``; the target's words are cut as those of the frequency list.
+FEATURES = f"""
+fw AS (SELECT unnest({tokenised('lower(text)', 'de')}) AS word FROM lines WHERE lang = 'de'),
+ff AS (SELECT word, count(*) AS n FROM fw GROUP BY word HAVING count(*) >= 2),
+fb AS (SELECT line_no, src, tgt, {words('lower(src)')} AS s, {words('lower(tgt)')} AS t,
+              regexp_extract_all(src, '\\d+') AS sd, regexp_extract_all(tgt, '\\d+') AS td,
+              len(regexp_extract_all(src, '[.,;:!?()]')) AS sp, len(regexp_extract_all(tgt, '[.,;:!?()]')) AS tp
+       FROM ex),
+fl AS (SELECT line_no, avg(ln(coalesce(n, 1)::DOUBLE)) AS lf
+       FROM (SELECT line_no, unnest({tokenised('lower(tgt)', 'de')}) AS word FROM fb) LEFT JOIN ff USING (word) GROUP BY line_no),
+features AS (
+  SELECT line_no, len(s)::INT AS src_tokens, len(t)::INT AS tgt_tokens,
+         round(least(length(src), length(tgt))::DOUBLE / greatest(length(src), length(tgt)), 6) AS length_ratio,
+         round(coalesce(len(list_distinct(list_intersect(s, t))) / nullif(len(list_distinct(s)), 0), 0)::DOUBLE, 6) AS copied_share,
+         round(CASE WHEN greatest(sp, tp) = 0 THEN 1.0 ELSE least(sp, tp) / greatest(sp, tp) END::DOUBLE, 6) AS punct_agreement,
+         round(CASE WHEN len(sd) + len(td) = 0 THEN 1.0 ELSE len(list_distinct(list_intersect(sd, td)))
+               / len(list_distinct(list_concat(sd, td))) END::DOUBLE, 6) AS digit_agreement,
+         round(coalesce(lf, 0)::DOUBLE, 6) AS tgt_log_freq
+  FROM fb LEFT JOIN fl USING (line_no))"""
+
 THREES = "regexp_extract_all({}, '[^ ]{{1,3}}')"
 LOG_TEXT = "replace(tgt, chr(10), ' ')"
-# The log's hypotheses are the references here, up to tabs and line breaks.
-REPORT_ROWS = f"SELECT 0 AS part, sent_id AS id, {LOG_TEXT} AS hyp, {one_line('tgt')} AS ref FROM turns"
+# The log lacks ids ending in 4, and every third hypothesis its first word; every reference counts.
+REPORT_ROWS = f"""SELECT 0 AS part, sent_id AS id, {one_line('tgt')} AS ref,
+       CASE WHEN sent_id % 10 = 4 THEN '' ELSE
+            split_part(CASE WHEN sent_id % 3 = 0 THEN regexp_replace({LOG_TEXT}, '^[^ ]* ', '') ELSE {LOG_TEXT} END, chr(9), 1) END AS hyp
+  FROM turns"""
 ROLES = "CASE source WHEN 'src0' THEN 'test' WHEN 'src1' THEN 'valid' ELSE 'train' END"
 
 
-def mixture(parts: list[str]) -> str:
+def mixture(parts: list[str], with_ctes: bool = True) -> str:
     """Parallel pairs, then each synthetic kind after the last line of what came before."""
     sql = "SELECT line_no, src AS l1, tgt AS l2, 'original' AS l1_origin, 'original' AS l2_origin FROM corpora WHERE part = 'parallel'"
     before = "(SELECT max(line_no) FROM corpora WHERE part = 'parallel')"
@@ -226,7 +354,7 @@ def mixture(parts: list[str]) -> str:
         l1, l2 = ("synthetic", "original") if part == "l1_syn_l2_orig" else ("original", "synthetic")
         sql += f" UNION ALL SELECT line_no + {before}, src, tgt, '{l1}', '{l2}' FROM corpora WHERE part = '{part}'"
         before += f" + (SELECT max(line_no) FROM corpora WHERE part = '{part}')"
-    return f"WITH {CORPORA} {sql}"
+    return f"WITH {CORPORA} {sql}" if with_ctes else sql
 
 
 SO, OS = "l1_syn_l2_orig", "l1_orig_l2_syn"
@@ -238,10 +366,22 @@ SQL: dict[str, str] = {
     "read_parallel": f"""WITH {PAIRS}
         SELECT 'documents' AS corpus, line_no, src_lang, tgt_lang, {one_line('src')} AS src, {one_line('tgt')} AS tgt
         FROM pairs""",
+    "read_parallel_listed": f"""WITH {LINES}, s AS (
+          SELECT row_number() OVER (ORDER BY line_no % 3, line_no) AS line_no, text FROM lines WHERE lang = 'en'),
+        t AS (SELECT row_number() OVER (ORDER BY line_no % 3, line_no) AS line_no, text FROM lines WHERE lang = 'de')
+        SELECT 'listed' AS corpus, coalesce(s.line_no, t.line_no) AS line_no, 'en' AS src_lang, 'de' AS tgt_lang,
+               coalesce({one_line('s.text')}, '') AS src, coalesce({one_line('t.text')}, '') AS tgt
+        FROM s FULL OUTER JOIN t ON s.line_no = t.line_no""",
+    "read_corpora": f"""WITH {LINES}
+        SELECT lang || '_lines' AS corpus, {one_line('text')} AS text,
+               row_number() OVER (ORDER BY CASE lang WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END, line_no) AS line_no
+        FROM lines WHERE lang IN ('fr', 'de', 'en')""",
     "assign_splits": f"""WITH {LINES}
         SELECT {ROLES} AS split, source AS corpus, lang, line_no FROM lines
         WHERE source IN ('src0', 'src1', 'src2', 'src3', 'src4')""",
-    "write_splits": f"WITH {LINES} SELECT source AS corpus, lang, line_no, text FROM lines WHERE source = 'src1'",
+    "write_splits": f"""WITH {LINES}
+        SELECT {ROLES} AS split, source AS corpus, lang, line_no, text FROM lines
+        WHERE source IN ('src0', 'src1', 'src2', 'src3', 'src4')""",
     "read_corpus_glob": f"""WITH {LINES}
         SELECT row_number() OVER (ORDER BY lang, line_no) AS line_no, {one_line('text')} AS text FROM lines""",
     "read_scored": f"WITH {SCORED} SELECT {one_line('src')} AS src, {one_line('tgt')} AS tgt, score FROM scored_pairs",
@@ -322,10 +462,10 @@ SQL: dict[str, str] = {
     "missing_hypotheses": f"WITH {TURNS} SELECT count(*) AS missing FROM turns WHERE sent_id % 10 = 4",
     "map_vocabulary": f"""WITH {LINES}, {vocab('en')}, {vocab('de')}
         SELECT d.token, d.token_id, coalesce(e.token_id, 0) AS src_id FROM vocab_de d LEFT JOIN vocab_en e USING (token)""",
-    "trim_embeddings": f"""WITH {LINES}, {vocab('en')}, {vocab('de')}, m AS (
-          SELECT d.token_id, coalesce(e.token_id, 0) AS src_id FROM vocab_de d LEFT JOIN vocab_en e USING (token)),
-        k AS (SELECT token_id, CASE WHEN src_id > (SELECT max(vec_id) FROM embeddings) THEN 0 ELSE src_id END AS src_id FROM m)
-        SELECT token_id, src_id, len(embedding)::INT AS dim, embedding[1]::DOUBLE AS first, embedding[64]::DOUBLE AS last
+    "trim_embeddings": f"""WITH {LINES}, {vocab('de')}, k AS (
+          SELECT token_id, CASE WHEN token_id > (SELECT max(vec_id) FROM embeddings) THEN 0 ELSE token_id END AS src_id FROM vocab_de)
+        SELECT token_id, src_id,
+               array_to_string([round(x::DOUBLE * 1000000)::BIGINT::VARCHAR FOR x IN embedding], ' ') AS millionths
         FROM k JOIN embeddings ON vec_id = src_id""",
     "ids_from_vocab": f"""WITH {LINES}, {vocab('de')}, t AS (
           SELECT line_no, unnest(string_split(lower(text), ' ')) AS token,
@@ -429,43 +569,50 @@ SQL: dict[str, str] = {
                      < rate - floor(rate))::INT)::BIGINT AS copies FROM lines JOIN r USING (lang))
         SELECT lang, line_no, unnest(range(1, copies + 1)) AS copy FROM d""",
     # scoring, subwords, synthesis
-    "pair_features": f"""WITH {CLEAN}, w AS (
-          SELECT unnest({tokenised('lower(text)', 'de')}) AS word FROM lines WHERE lang = 'de'),
-        f AS (SELECT word, count(*) AS n FROM w GROUP BY word HAVING count(*) >= 2),
-        b AS (SELECT line_no, src, tgt, {words('lower(src)')} AS s, {words('lower(tgt)')} AS t,
-                     regexp_extract_all(src, '\\d+') AS sd, regexp_extract_all(tgt, '\\d+') AS td,
-                     len(regexp_extract_all(src, '[.,;:!?()]')) AS sp, len(regexp_extract_all(tgt, '[.,;:!?()]')) AS tp
-              FROM clean),
-        l AS (SELECT line_no, avg(ln(coalesce(n, 1)::DOUBLE)) AS lf
-              FROM (SELECT line_no, unnest(t) AS word FROM b) LEFT JOIN f USING (word) GROUP BY line_no)
-        SELECT line_no, len(s)::INT AS src_tokens, len(t)::INT AS tgt_tokens,
-               round(least(length(src), length(tgt))::DOUBLE / greatest(length(src), length(tgt)), 6) AS length_ratio,
-               round(coalesce(len(list_distinct(list_intersect(s, t))) / nullif(len(list_distinct(s)), 0), 0)::DOUBLE, 6) AS copied_share,
-               round(CASE WHEN greatest(sp, tp) = 0 THEN 1.0 ELSE least(sp, tp) / greatest(sp, tp) END::DOUBLE, 6) AS punct_agreement,
-               round(CASE WHEN len(sd) + len(td) = 0 THEN 1.0 ELSE len(list_distinct(list_intersect(sd, td)))
-                     / len(list_distinct(list_concat(sd, td))) END::DOUBLE, 6) AS digit_agreement,
-               round(coalesce(lf, 0)::DOUBLE, 6) AS tgt_log_freq
-        FROM b LEFT JOIN l USING (line_no)""",
-    "make_negatives": f"""WITH {CLEAN}, k AS (SELECT *, {sample_key('line_no')} AS key FROM clean)
-        SELECT line_no, src,
-               coalesce(lead(tgt) OVER (ORDER BY key), first_value(tgt) OVER (ORDER BY key)) AS tgt,
-               coalesce(lead(line_no) OVER (ORDER BY key), first_value(line_no) OVER (ORDER BY key)) AS tgt_line_no
-        FROM k""",
+    "pair_features": f"""WITH {CLEAN}, ex AS (SELECT line_no, src, tgt FROM clean), {FEATURES}
+        SELECT * FROM features""",
+    "make_negatives": f"WITH {CLEAN}, {NEGATIVES} SELECT line_no, src, tgt, tgt_line_no FROM negatives",
+    "pair_examples": f"""WITH {CLEAN}, {NEGATIVES}, ex AS (
+          SELECT line_no * 2 AS line_no, src, tgt FROM clean UNION ALL SELECT line_no * 2 + 1, src, tgt FROM negatives), {FEATURES}
+        SELECT *, (1 - line_no % 2)::DOUBLE AS label FROM features""",
     "score_pairs_formula": f"WITH {SCORED} SELECT line_no, score FROM scored_pairs",
     "clean_synthetic": f"WITH {SYNTHETIC} SELECT line_no, l1_origin, l2_origin, score FROM synthetic WHERE score > 0.3::DOUBLE",
-    "apply_bpe": f"""WITH {LINES}
-        SELECT lang, line_no, array_to_string({words('text')}, ' ') AS text FROM lines""",
+    "learn_bpe": f"""WITH RECURSIVE {LINES}, {bpe(f"SELECT unnest({words('text')}) AS w, 1 AS n FROM lines", SMALL_VOCABULARY)},
+        entries AS (
+          SELECT unnest(['<unk>', '<s>', '</s>']) AS piece, 0 AS part, unnest(range(3)) AS nth
+          UNION ALL SELECT a || b, 1, i FROM merges
+          UNION ALL SELECT c, 2, row_number() OVER (ORDER BY n DESC, c) FROM alphabet)
+        SELECT piece, row_number() OVER (ORDER BY part, nth) - 1 AS piece_id
+        FROM (SELECT piece, part, nth FROM entries QUALIFY row_number() OVER (PARTITION BY piece ORDER BY part, nth) = 1)""",
+    "apply_bpe": f"""WITH RECURSIVE {LINES}, {bpe(f"SELECT unnest({words('text')}) AS w, 1 AS n FROM lines", SMALL_VOCABULARY)},
+        lw AS (SELECT lang, line_no, unnest({words('text')}) AS w, unnest(range(len({words('text')}))) AS i FROM lines),
+        pieces AS (
+          SELECT lang, line_no, string_agg(array_to_string(p, ' '), ' ' ORDER BY i) AS pieces
+          FROM lw JOIN cut ON cut.w = '▁' || lw.w GROUP BY lang, line_no)
+        SELECT lang, line_no, coalesce(pieces, '') AS pieces FROM lines LEFT JOIN pieces USING (lang, line_no)""",
     "translate": f"""WITH {TURNS}
         SELECT sent_id, array_to_string(list_reverse(string_split({one_line('src')}, ' ')), ' ') AS hyp FROM turns""",
     "synthesize": f"""WITH {LINES}
+        SELECT line_no, text AS original, array_to_string(list_reverse(string_split(text, ' ')), ' ') AS synthetic
+        FROM lines WHERE lang = 'en' AND len({words('text')}) > 0""",
+    "synthesize_prefix": f"""WITH {LINES}
         SELECT line_no, text AS original, array_to_string(list_reverse(string_split(text, ' ')), ' ') AS synthetic
         FROM lines WHERE lang = 'en' AND line_no <= 2000 AND len({words('text')}) BETWEEN 1 AND 100""",
-    "prepare_student": f"""SELECT line_no, array_to_string({words('l1')}, ' ') AS src, array_to_string({words('l2')}, ' ') AS tgt
-        FROM ({mixture([SO, OS])}) WHERE {strip('l1')} <> '' AND {strip('l2')} <> ''""",
+    "prepare_student": f"""WITH RECURSIVE {CORPORA}, {student_ids('line_no % 10 < 8', "CASE line_no % 10 WHEN 8 THEN 'valid' ELSE 'test' END")},
+        one AS (
+          SELECT split, line_no, side, string_agg(coalesce(id, 3)::VARCHAR, ' ' ORDER BY i, j) AS ids
+          FROM sp LEFT JOIN sd USING (token) GROUP BY ALL)
+        SELECT s.split, s.line_no, s.ids AS src_ids, t.ids AS tgt_ids
+        FROM one s JOIN one t ON s.line_no = t.line_no AND s.split = t.split WHERE s.side = 'src' AND t.side = 'tgt'""",
+    "student_coverage": f"""WITH RECURSIVE {CORPORA}, {student_ids('line_no % 50 = 0', "'test'")}
+        SELECT split, side, count(*) AS n_tokens, count(*) FILTER (WHERE id IS NULL) AS n_oov,
+               round(count(*) FILTER (WHERE id IS NULL) / count(*), 6) AS oov_rate
+        FROM sp LEFT JOIN sd USING (token) GROUP BY ALL""",
     "report": f"""
         (WITH {TURNS}, {bleu(REPORT_ROWS, tokens_13a('hyp'), tokens_13a('ref'))} SELECT 'BLEU' AS metric, round(bleu, 6) AS value FROM bleu)
         UNION ALL (WITH {TURNS}, {chrf(REPORT_ROWS, 0)} SELECT 'chrF', round(chrf, 6) FROM chrf)
-        UNION ALL SELECT 'spBLEU', 100.0""",
+        UNION ALL (WITH {TURNS}, {bleu(REPORT_ROWS, THREES.format('hyp'), THREES.format('ref'))} SELECT 'spBLEU', round(bleu, 6) FROM bleu)
+        UNION ALL (WITH {TURNS} SELECT 'missing', (count(*) FILTER (WHERE sent_id % 10 = 4))::DOUBLE FROM turns)""",
     # loops
     "search_threshold": f"""WITH {CORPORA}, n AS (
           SELECT d.direction, threshold,
@@ -474,4 +621,19 @@ SQL: dict[str, str] = {
         SELECT direction, threshold, n_pairs,
                row_number() OVER (PARTITION BY direction ORDER BY n_pairs DESC, threshold DESC) = 1 AS best FROM n""",
 }
+SQL["ids_from_vocab_all"] = SQL["encode_ids"].replace("line_no,", "lang, line_no,").replace(" FROM lines WHERE lang = 'de'", " FROM lines").replace(
+    "GROUP BY line_no", "GROUP BY lang, line_no").replace("AS id_text", "AS ids")
+# Reversing words keeps lengths, so every score is 1.0, every threshold keeps all, and all of it is accepted.
+SQL["iterate"] = f"""WITH {CORPORA},
+  par AS (SELECT src AS l1, tgt AS l2 FROM corpora WHERE part = 'parallel'),
+  rev AS (SELECT lang, text, array_to_string(list_reverse(string_split(text, ' ')), ' ') AS turned FROM lines
+          WHERE lang IN ('en', 'de') AND len({words('text')}) > 0),
+  fed AS (
+    SELECT '1n' AS direction, {strip('l1')} AS src, {strip('l2')} AS tgt FROM par UNION ALL SELECT 'n1', {strip('l2')}, {strip('l1')} FROM par
+    UNION ALL SELECT CASE lang WHEN 'de' THEN '1n' ELSE 'n1' END, {strip('turned')}, {strip('text')} FROM rev),
+  m AS (SELECT direction, avg(length(src)) AS metric FROM fed WHERE src <> '' AND tgt <> '' GROUP BY direction)
+  SELECT 'first' AS stage, 0 AS iteration, direction, NULL::DOUBLE AS threshold, metric FROM (
+    SELECT '1n' AS direction, avg(length(l1)) AS metric FROM par UNION ALL SELECT 'n1', avg(length(l2)) FROM par)
+  UNION ALL SELECT 'score_' || (t / 10.0)::DOUBLE, 0, direction, (t / 10.0)::DOUBLE, metric FROM m, range(10) r(t)
+  UNION ALL SELECT 'it_' || i, i, direction, (0.9)::DOUBLE, metric FROM m, range(1, 9) r(i)"""
 SQL["ids_from_vocab_shuffled"] = SQL["encode_ids"].replace("AS id_text", "AS ids")

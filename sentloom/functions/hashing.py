@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 
 def sample_key(key: Column | str, seed: int) -> Column:
-    """32 hex digits, uniform and fixed by (seed, key); ids that differ give different keys."""
+    """32 hex digits, uniform and fixed by (seed, key); ids that differ give different keys.
+
+    A NULL id counts as empty text, so it has a key as well.
+    """
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
 
 
 def sample_fraction(key: Column | str, seed: int) -> Column:

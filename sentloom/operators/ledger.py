@@ -8,13 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 GROUP = ("experiment", "direction")
 
 
+def _number(metric: Column) -> Column:
+    """NULL for NaN, which would be larger than any number."""
+    return F.when(~F.isnan(metric.cast("double")), metric)
+
+
 def best_run(ledger: DataFrame, by: Sequence[str] = GROUP) -> DataFrame:
     """The run with the best metric per direction; a tie goes to the later iteration."""
     rest = [c for c in ledger.columns if c not in (*by, "metric", "iteration")]
@@ -27,17 +32,19 @@ def accept_flags(ledger: DataFrame, baseline: DataFrame | None = None, by: Seque
     """Add ``accepted``: the metric is at least the best of all earlier runs.
 
     ``baseline`` (by..., baseline) is the metric to reach before the first run;
-    without one the first run of a direction is accepted.
+    without one the first run of a direction is accepted. A metric that is NULL or NaN
+    is never accepted and sets no bar, nor does such a baseline.
     """
     earlier = W.partitionBy(*by).orderBy("iteration").rowsBetween(W.unboundedPreceding, -1)
-    best = F.max("metric").over(earlier)
+    number = _number(F.col("metric"))
+    best = F.max(number).over(earlier)
     df = ledger
     if baseline is not None:
         df = df.join(baseline.select(*by, F.col("baseline").alias("_baseline")), list(by), "left")
-        best = F.greatest(best, F.col("_baseline"))
+        best = F.greatest(best, _number(F.col("_baseline")))
     return (
         df.withColumn("_bar", best)
-        .withColumn("accepted", F.coalesce(F.col("metric") >= F.col("_bar"), F.col("_bar").isNull() & F.col("metric").isNotNull()))
+        .withColumn("accepted", F.coalesce(number >= F.col("_bar"), F.col("_bar").isNull() & number.isNotNull()))
         .select(*ledger.columns, "accepted")
     )
 

@@ -2,27 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentloom.sources.staging import stage
 
-# Rows a lookup table may have to be sent to every executor.
+# Rows and bytes a lookup table may have to be sent to every executor.
 MAX_BROADCAST_ROWS = 1_000_000
-# Most copies of a larger table's rows; a hot key spreads over as many tasks.
-MAX_SALTS = 200
+MAX_BROADCAST_BYTES = 64 << 20
+# A key is frequent if it makes up one in so many elements, so there are at most so many of them.
+FREQUENT = 10_000
 
 
-def broadcast_checked(df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` written once, with a broadcast hint if it has at most ``max_rows`` rows.
+def broadcast_checked(
+    df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> DataFrame:
+    """``df`` written once, with a broadcast hint if its rows and bytes are within the limits.
 
     For results of an aggregation that are expected to be small: they are computed
-    once, counted from the written table, and joined without shuffling the large
-    side. Beyond the limit the join is left to the optimizer.
+    once, measured on the written table, and joined without shuffling the large
+    side. Beyond a limit the join is left to the optimizer.
     """
     staged = stage(df, label)
-    return F.broadcast(staged) if staged.count() <= max_rows else staged
+    rows, size = staged.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    ).first()
+    return F.broadcast(staged) if rows <= max_rows and size <= max_bytes else staged
 
 
 def lookup_array(
@@ -32,39 +41,65 @@ def lookup_array(
     table: DataFrame,
     default,
     value_type: str,
-    row_key: str = "line_no",
     max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Replace every element of an array column by its value in ``table`` (columns key, value).
 
-    Elements without an entry get ``default``; order and repeats are kept. Up to
-    ``max_rows`` entries the table goes to the executors and the rows are not
-    shuffled; a larger table is joined by key with the elements (salted, because
-    frequent words are hot keys) and the arrays are put together again by ``row_key``.
+    NULL elements, and elements without an entry or with a NULL value, get ``default``;
+    a NULL array stays NULL; order and repeats are kept. Entries with a NULL key are
+    ignored, and a key with more than one entry is an error. The result is the same
+    whether the table is sent to every executor (within ``max_rows`` and ``max_bytes``)
+    or joined with the rows (beyond).
     """
-    entries = table.select(F.col("key").cast("string").alias("key"), F.col("value").cast(value_type).alias("value"))
-    head = entries.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows:
-        return _lookup_broadcast(df, col, out, head, default, value_type)
-    return _lookup_shuffled(df, col, out, entries, default, row_key)
+    grouped = (
+        table.select(F.col("key").cast("string").alias("key"), F.col("value").cast(value_type).alias("value"))
+        .filter("key is not null")
+        .groupBy("key").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("n"))
+    )
+    entries = stage(grouped, "lookup")
+    size = F.sum(F.octet_length("key") + F.coalesce(F.octet_length(F.col("value").cast("string")), F.lit(0)) + 8)
+    rows, most, size = entries.agg(F.count(F.lit(1)), F.max("n"), F.coalesce(size, F.lit(0))).first()
+    if (most or 0) > 1:
+        raise ValueError("a lookup key has more than one entry")
+    entries = entries.select("key", "value")
+    if rows <= max_rows and size <= max_bytes:
+        return _replaced(df, col, out, entries, default, value_type)
+    return _lookup_joined(df, col, out, entries, default, value_type)
+
+
+def _replaced(
+    df: DataFrame, col: str, out: str, known: DataFrame, default, value_type: str, found: str | None = None
+) -> DataFrame:
+    """Replace elements by ``known``, a table within the limits, and by the entries that stand in column ``found``."""
+    head = known.toArrow()
+    kind = head.schema.field("value").type
+    shared = df.sparkSession.sparkContext.broadcast(
+        {k: v for k, v in zip(head["key"].to_pylist(), head["value"].to_pylist()) if v is not None}
+    )
 
+    def replaced(arrays: pa.Array, more: dict) -> pa.Array:
+        # Only the distinct elements of a batch are looked up one by one.
+        encoded = pc.fill_null(arrays.flatten(), "").dictionary_encode()
+        get = shared.value.get
+        values = [more[k] if k in more else get(k, default) for k in encoded.dictionary.to_pylist()]
+        taken = pa.array(values, kind).take(encoded.indices)
+        if arrays.flatten().null_count:
+            taken = pc.if_else(arrays.flatten().is_null(), pa.scalar(default, kind), taken)
+        return pa.ListArray.from_arrays(pa.array(_offsets(arrays), pa.int32()), taken, mask=arrays.is_null())
 
-def _lookup_broadcast(df: DataFrame, col: str, out: str, head: pa.Table, default, value_type: str) -> DataFrame:
-    values = dict(zip(head["key"].to_pylist(), head["value"].to_pylist()))
-    shared = df.sparkSession.sparkContext.broadcast(values)
-    arrow_type = head.schema.field("value").type
+    @F.arrow_udf(f"array<{value_type}>")
+    def one(arrays: pa.Array) -> pa.Array:
+        return replaced(arrays, {})
 
     @F.arrow_udf(f"array<{value_type}>")
-    def replace_elements(arrays: pa.Array) -> pa.Array:
-        # Only the distinct elements of a batch are looked up one by one.
-        encoded = arrays.flatten().dictionary_encode()
-        get = shared.value.get
-        found = pa.array([get(k, default) for k in encoded.dictionary.to_pylist()], arrow_type)
-        return pa.ListArray.from_arrays(
-            pa.array(_offsets(arrays), pa.int32()), found.take(encoded.indices), mask=arrays.is_null()
-        )
+    def two(arrays: pa.Array, entries: pa.Array) -> pa.Array:
+        # A key has one value wherever it stands, so the entries of a batch can be put together.
+        flat = entries.flatten()
+        return replaced(arrays, dict(zip(flat.field("key").to_pylist(), flat.field("value").to_pylist())))
 
-    return df.withColumn(out, replace_elements(F.col(col).cast("array<string>")))
+    elements = F.col(col).cast("array<string>")
+    return df.withColumn(out, two(elements, F.col(found)) if found else one(elements))
 
 
 def _offsets(arrays: pa.Array) -> list[int]:
@@ -76,21 +111,27 @@ def _offsets(arrays: pa.Array) -> list[int]:
     return offsets
 
 
-def _lookup_shuffled(df: DataFrame, col: str, out: str, entries: DataFrame, default, row_key: str) -> DataFrame:
-    salts = min(MAX_SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salted = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    elements = (
-        df.select(row_key, F.posexplode(F.col(col).cast("array<string>")).alias("_pos", "key"))
-        .withColumn("_salt", F.pmod(F.xxhash64(row_key, "_pos"), F.lit(salts)).cast("int"))
-    )
+def _lookup_joined(
+    df: DataFrame, col: str, out: str, entries: DataFrame, default, value_type: str
+) -> DataFrame:
+    """Look up in a table of any size.
+
+    Rows get a number of their own and are written once. Frequent keys, at most
+    ``FREQUENT`` of them, are looked up as a small table; the other keys of a row, each
+    once, are joined with the entries, and what was found comes back to the row by its
+    number. No key of that join is in more than one of ``FREQUENT`` elements.
+    """
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "lookup-rows")
+    elements = rows.select("_row", F.explode(F.array_distinct(F.col(col).cast("array<string>"))).alias("key")).filter("key is not null")
+    counts = stage(elements.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "lookup-keys")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent = counts.filter(F.col("n") * FREQUENT > total).select("key")
+    known = entries.join(F.broadcast(frequent), "key")
+    rare = counts.filter(F.col("n") * FREQUENT <= total).select("key").join(entries, "key").filter("value is not null")
     found = (
-        elements.join(salted, ["key", "_salt"], "left")
-        .select(row_key, F.struct("_pos", F.coalesce("value", F.lit(default)).alias("v")).alias("_e"))
-        .groupBy(row_key).agg(F.array_sort(F.collect_list("_e")).alias("_es"))
-        .select(row_key, F.col("_es.v").alias(out))
-    )
-    empty = F.array().cast(found.schema[out].dataType)
-    return (
-        df.drop(out).join(found, row_key, "left")
-        .withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce(F.col(out), empty)))
+        elements.join(rare, "key")
+        .groupBy("_row").agg(F.collect_list(F.struct("key", "value")).alias("_found"))
     )
+    empty = F.array().cast(found.schema["_found"].dataType)
+    joined = rows.join(found, "_row", "left").withColumn("_found", F.coalesce("_found", empty))
+    return _replaced(joined, col, out, known, default, value_type, "_found").drop("_row", "_found")

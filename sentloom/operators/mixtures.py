@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sentloom.operators.cleaning import drop_empty_pairs
+from sentloom.sources.staging import stage
 
 # Origins of (language 1, language 2) in the two kinds of synthetic pairs.
 ORIGINS = {"so": ("synthetic", "original"), "os": ("original", "synthetic")}
@@ -27,11 +28,12 @@ MIXTURES = {
 def concat_corpora(dfs: Sequence[DataFrame]) -> DataFrame:
     """Concatenate numbered corpora in the listed order; duplicates stay.
 
-    A corpus starts after the last line of the ones before it. The offsets are one
-    row per listed corpus, so they are broadcast.
+    A corpus starts after the last line of the ones before it. The corpora are written
+    once, each input is planned once, and the last lines are read from the written
+    table. The offsets are one row per listed corpus, so they are broadcast.
     """
     tagged = [df.withColumn("_nth", F.lit(i)) for i, df in enumerate(dfs)]
-    union = reduce(DataFrame.unionByName, tagged)
+    union = stage(reduce(DataFrame.unionByName, tagged), "concat")
     earlier = W.orderBy("_nth").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         union.groupBy("_nth").agg(F.max("line_no").alias("_last"))

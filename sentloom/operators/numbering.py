@@ -9,15 +9,16 @@ block of rows, sum over the few blocks, and add the two numbers.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from sentloom.operators.lookup import broadcast_checked
 from sentloom.sources.staging import stage
 
-DOCS_PER_BLOCK = 4096
-
 
 def number_rows(
     df: DataFrame,
@@ -26,7 +27,7 @@ def number_rows(
     start: int = 1,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Number rows ``start, start+1, ...`` in the order of ``order_by`` (per group of ``by``).
+    """Number rows ``start, start+1, ...`` in the order of ``order_by`` (per group of ``by``; NULL is a group).
 
     The rows are range-partitioned on (by, order), so a group of any size spreads
     over partitions as long as the order columns are unique. The ranges are sampled
@@ -50,49 +51,63 @@ def number_rows(
     )
     if not by:
         # One row per range partition of the write: bounded by the shuffle partitions.
-        offsets = F.broadcast(offsets)
-    return staged.join(offsets, [*by, "_part"]).select(
-        *df.columns, (F.col("_seq") + F.col("_shift") + F.lit(start)).cast("bigint").alias(name)
+        offsets = broadcast_checked(offsets, "offsets")
+    match = reduce(and_, [staged[c].eqNullSafe(offsets[c]) for c in [*by, "_part"]])
+    return staged.join(offsets, match).select(
+        *[staged[c] for c in df.columns], (F.col("_seq") + F.col("_shift") + F.lit(start)).cast("bigint").alias(name)
     )
 
 
-def number_lines(
-    docs: DataFrame,
-    line_value: Callable[[Column], Column] | None = None,
-    docs_per_block: int = DOCS_PER_BLOCK,
-) -> DataFrame:
+def _lines_before(sizes: DataFrame) -> DataFrame:
+    """Lines before each row of (_key: lang, doc_id, ..., _lines) in its language.
+
+    Rows are range-partitioned by the key, so the documents of one language spread over
+    many tasks whatever their ids are. The rows of a task are summed among themselves;
+    the totals per task and language, one row for each task and one for each language at
+    most, are summed once more.
+    """
+    ranged = (
+        sizes.repartitionByRange("_key").sortWithinPartitions("_key")
+        .select("*", F.col("_key.lang").alias("_lang"), F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_seq"))
+    )
+    staged = stage(ranged, "line-counts")
+    earlier = W.partitionBy("_lang").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    before = staged.groupBy("_part", "_lang").agg(F.sum("_lines").alias("_total")).select(
+        F.col("_part").alias("_p"), F.col("_lang").alias("_l"), F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before")
+    )
+    inside = W.partitionBy("_part", "_lang").orderBy("_seq").rowsBetween(W.unboundedPreceding, -1)
+    rows = staged.withColumn("_within", F.coalesce(F.sum("_lines").over(inside), F.lit(0)))
+    return rows.join(before, (F.col("_part") == F.col("_p")) & F.col("_lang").eqNullSafe(F.col("_l"))).select(
+        "_key", (F.col("_before") + F.col("_within")).alias("_offset")
+    )
+
+
+def number_lines(docs: DataFrame, line_value: Callable[[Column], Column] | None = None) -> DataFrame:
     """Lines of documents, numbered 1.. within each language by (doc_id, position).
 
-    ``docs`` has doc_id (unique), lang, source, text. Lines before a document =
-    lines of earlier id blocks (a small table) + lines of earlier documents in its
-    block (a window over at most ``docs_per_block`` documents). The lines are shuffled
-    once, by (lang, block), and the join reuses that partitioning.
+    ``docs`` has doc_id, lang, source, text. A NULL language is a language of its own, a
+    NULL id comes first, documents with equal ids follow each other by a hash of source
+    and text, and a NULL text is one NULL line. The offsets are found on ids and numbers
+    of lines alone and joined back, so the text is shuffled once.
 
     ``line_value`` is computed from each line before the shuffle and carried as column
     ``text`` in its place; where a query needs only, say, the length of lines, the text
     itself is not moved.
     """
-    lines = F.split("text", "\n")
-    blocked = docs.select(
-        "lang", "source", "doc_id",
-        (F.transform(lines, line_value) if line_value else lines).alias("_lines"),
-        F.floor(F.col("doc_id") / F.lit(docs_per_block)).alias("_block"),
-    )
+    lines = F.coalesce(F.split("text", "\n"), F.array(F.lit(None).cast("string")))
+    # Rows that agree in all of this are copies; a struct as key also matches NULLs.
+    key = F.struct("lang", "doc_id", F.xxhash64("source", "text").alias("tie")).alias("_key")
     counted = docs.select(
-        "lang", F.floor(F.col("doc_id") / F.lit(docs_per_block)).alias("_block"),
-        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("bigint").alias("_n"),
-    )
-    totals = counted.groupBy("lang", "_block").agg(F.sum("_n").alias("_total"))
-    earlier_blocks = W.partitionBy("lang").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    before = totals.select(
-        "lang", "_block", F.coalesce(F.sum("_total").over(earlier_blocks), F.lit(0)).alias("_before")
+        key, F.coalesce(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1, F.lit(1)).cast("bigint").alias("_n")
     )
-    earlier_docs = W.partitionBy("lang", "_block").orderBy("doc_id").rowsBetween(W.unboundedPreceding, -1)
-    within = F.coalesce(F.sum(F.size("_lines")).over(earlier_docs), F.lit(0))
+    sizes = counted.groupBy("_key").agg(F.sum("_n").alias("_lines"))
+    rows = docs.select(
+        "lang", "source", "doc_id", (F.transform(lines, line_value) if line_value else lines).alias("_lines"), key
+    ).withColumn("_copy", F.row_number().over(W.partitionBy("_key").orderBy("_key")) - 1)
     return (
-        blocked.withColumn("_within", within).join(before, ["lang", "_block"])
+        rows.join(_lines_before(sizes), "_key")
         .select(
-            "lang", "source", "doc_id", (F.col("_before") + F.col("_within")).alias("_offset"),
+            "lang", "source", "doc_id", (F.col("_offset") + F.col("_copy") * F.size("_lines")).alias("_offset"),
             F.posexplode("_lines").alias("_pos", "text"),
         )
         .select(

@@ -8,11 +8,10 @@ from pyspark.sql import Window as W
 
 from sentloom.functions.hashing import sample_fraction, sample_key
 from sentloom.operators.lookup import broadcast_checked
+from sentloom.sources.staging import stage
 
-# Hash buckets of an exact sample: 16 ** 4. The table of bucket sizes is at most this long.
-BUCKET_DIGITS = 4
-# Line buckets of an exact prefix: blocks of 2 ** 20 lines.
-LINES_PER_BUCKET_BITS = 20
+# Digits of a key looked at together when an exact cut is searched: 16 ** 3 groups at most.
+BUCKET_DIGITS = 3
 
 # Lines translated in the first stage, at the start of the loop, and
 # the offset added to the iteration number inside it (in units of a million lines).
@@ -26,56 +25,71 @@ def order_by_id(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("sent_id").cast("bigint"))
 
 
-def head_lines(df: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` lines: a filter on the line number, which reaches a Parquet scan."""
-    return df.filter(F.col("line_no") <= n)
+def head_lines(df: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` lines (all if None): a filter on the line number, which reaches a Parquet scan."""
+    return df if n is None else df.filter(F.col("line_no") <= n)
 
 
-def prefix_for(stage: str, iteration: int = 0, unit: int = 1_000_000) -> int:
-    """How many monolingual lines a stage translates: ``first``, ``loop_start`` or ``iteration``."""
-    if stage == "first":
-        return FIRST_UNITS * unit
-    if stage == "loop_start":
-        return LOOP_START_UNITS * unit
-    if stage == "iteration":
-        return (iteration + ITERATION_OFFSET) * unit
-    raise ValueError(f"unknown stage {stage!r}")
+def prefix_for(stage: str, iteration: int = 0, unit: int | None = 1_000_000) -> int | None:
+    """How many monolingual lines a stage translates: ``first``, ``loop_start`` or ``iteration``.
+
+    Without a ``unit`` every stage translates the whole corpus (None).
+    """
+    units = {"first": FIRST_UNITS, "loop_start": LOOP_START_UNITS, "iteration": iteration + ITERATION_OFFSET}
+    if stage not in units:
+        raise ValueError(f"unknown stage {stage!r}")
+    return None if unit is None else units[stage] * unit
 
 
 def cap_pairs(df: DataFrame, n: int = 600_000, seed: int = 1, as_written: bool = False) -> DataFrame:
     """At most ``n`` pairs, as a random sample fixed by the seed (all pairs if there are no more).
 
-    The sample is the ``n`` smallest hash keys. Keys are counted per bucket (a table
-    of at most 65,536 rows), buckets below the cut pass whole, and only the bucket
-    that holds the cut is ranked. Nothing is sorted or collected as a whole, and the
-    result has exactly ``min(n, rows)`` rows. ``as_written`` takes the first n lines,
-    which is what the batch pipeline really does.
+    The sample is the ``n`` smallest hash keys of line_no (NULL is a number like any
+    other), ties in no order. Only keys are looked at: they are written once, counted by
+    their leading digits, and the digits of the cut are found group by group until few
+    rows share them, so nothing is sorted or collected as a whole. The result has exactly
+    ``min(n, rows)`` rows. ``as_written`` takes the first n lines, which is what the
+    batch pipeline really does; NULL line numbers come first.
     """
     if as_written:
         # Line numbers may have gaps after cleaning, so the cut is by rank, not by number.
-        return _smallest(df, F.col("line_no"), F.shiftright("line_no", LINES_PER_BUCKET_BITS), n)
-    key = sample_key("line_no", seed)
-    return _smallest(df, key, F.substring(key, 1, BUCKET_DIGITS), n)
-
-
-def _smallest(df: DataFrame, key: Column, bucket: Column, n: int) -> DataFrame:
-    """Rows with the ``n`` smallest keys; ``bucket`` grows with the key and holds few rows."""
-    keyed = df.withColumns({"_key": key, "_bucket": bucket})
-    sizes = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    upto = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cuts = (
-        sizes.withColumn("_left", F.lit(n) - F.sum("_size").over(upto) + F.col("_size"))
-        .filter(F.col("_left") > 0)
-        .select("_bucket", "_left", (F.col("_left") >= F.col("_size")).alias("_whole"))
-    )
-    marked = keyed.join(broadcast_checked(cuts, "cuts"), "_bucket")
-    by_key = W.partitionBy("_bucket").orderBy("_key", "line_no")
-    edge = (
-        marked.filter(~F.col("_whole"))
-        .withColumn("_rank", F.row_number().over(by_key))
-        .filter(F.col("_rank") <= F.col("_left"))
-    )
-    return marked.filter("_whole").select(*df.columns).unionByName(edge.select(*df.columns))
+        key = F.coalesce(F.lpad(F.hex(F.col("line_no").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"), F.lit(""))
+    else:
+        key = F.coalesce(sample_key("line_no", seed), F.lit(""))
+    return _smallest(df, key, n)
+
+
+def _smallest(df: DataFrame, key: Column, n: int) -> DataFrame:
+    """Rows with the ``n`` smallest hexadecimal keys."""
+    cut = _cut_key(df.select(key.alias("_key")), n)
+    if cut is None:
+        return df
+    last, left = cut
+    keyed = df.withColumn("_key", key)
+    if left == 0:
+        return keyed.filter(F.col("_key") < last).select(*df.columns)
+    # More rows have the very key of the cut than are wanted: they repeat one another.
+    edge = keyed.filter(F.col("_key") == last).limit(left)
+    return keyed.filter(F.col("_key") < last).unionByName(edge).select(*df.columns)
+
+
+def _cut_key(keys: DataFrame, n: int) -> tuple[str, int] | None:
+    """The key of the ``n``-th row in order, and how many rows with this key are wanted; None if all are."""
+    keys, width = stage(keys, "cap-keys"), 32
+    prefix, left = "", n
+    for digits in range(BUCKET_DIGITS, width + BUCKET_DIGITS, BUCKET_DIGITS):
+        # At most 16 ** BUCKET_DIGITS groups come back.
+        inside = keys.filter(F.startswith("_key", F.lit(prefix))).groupBy(F.substring("_key", 1, min(digits, width)).alias("p"))
+        for row in inside.agg(F.count(F.lit(1)).alias("n")).orderBy("p").toLocalIterator():
+            if row["n"] > left:
+                prefix = row["p"]
+                break
+            left -= row["n"]
+        else:
+            return None
+        if left == 0 or len(prefix) < digits:
+            break
+    return prefix, left
 
 
 def shuffle_rows(df: DataFrame, seed: int = 1, key: str = "line_no") -> DataFrame:
@@ -105,7 +119,8 @@ def temperature_mix(
     rates = broadcast_checked(temperature_weights(df, temperature, by).select(by, "rate"), "rates")
     whole = F.floor("rate")
     extra = F.when(sample_fraction(key, seed) < F.col("rate") - whole, 1).otherwise(0)
-    drawn = df.join(rates, by).withColumn("_copies", (whole + extra).cast("int"))
+    rates = rates.withColumnRenamed(by, "_by")
+    drawn = df.join(rates, F.col(by).eqNullSafe(F.col("_by"))).withColumn("_copies", (whole + extra).cast("int"))
     return (
         drawn.filter(F.col("_copies") > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -16,6 +18,7 @@ from sentloom.functions import text as tx
 from sentloom.functions.hashing import sample_key
 from sentloom.operators.cleaning import filter_by_score
 from sentloom.operators.lookup import MAX_BROADCAST_ROWS, broadcast_checked, lookup_array
+from sentloom.operators.tokenization import tokens
 from sentloom.sources.staging import stage
 
 FEATURES = [
@@ -40,16 +43,20 @@ def _agreement(a: Column, b: Column) -> Column:
 
 
 def pair_features(
-    df: DataFrame, wordfreq: DataFrame, row_key: str = "line_no", max_rows: int = MAX_BROADCAST_ROWS
+    df: DataFrame, wordfreq: DataFrame, tgt_lang: str, max_rows: int = MAX_BROADCAST_ROWS
 ) -> DataFrame:
     """Add the feature columns of a pair (src, tgt).
 
-    ``wordfreq`` (word, count) is the frequency list of the target language; words
-    outside it count as 1.
+    ``wordfreq`` (word, count) is the frequency list of the target language, made by
+    :func:`~sentloom.operators.stats.word_frequencies`; the target is cut into words by
+    the tokeniser that made the list, and words outside it count as 1. Token counts and
+    copied words are those of the whitespace-separated strings.
     """
-    rows = df.withColumns({"_s": tx.words(F.lower("src")), "_t": tx.words(F.lower("tgt"))})
+    rows = df.withColumns({
+        "_s": tx.words(F.lower("src")), "_t": tx.words(F.lower("tgt")), "_w": tokens(F.lower("tgt"), tgt_lang),
+    })
     table = wordfreq.select(F.col("word").alias("key"), F.col("count").alias("value"))
-    rows = lookup_array(rows, "_t", "_n", table, 1, "bigint", row_key, max_rows)
+    rows = lookup_array(rows, "_w", "_n", table, 1, "bigint", max_rows)
     digits = F.lit(r"(\d+)")
     log_sum = F.aggregate("_n", F.lit(0.0), lambda acc, n: acc + F.log(n.cast("double")))
     return rows.withColumns({
@@ -64,7 +71,7 @@ def pair_features(
         ),
         "digit_agreement": _overlap(F.regexp_extract_all("src", digits), F.regexp_extract_all("tgt", digits)),
         "tgt_log_freq": F.coalesce(F.try_divide(log_sum, F.size("_n")), F.lit(0.0)),
-    }).drop("_s", "_t", "_n")
+    }).drop("_s", "_t", "_w", "_n")
 
 
 def make_negatives(df: DataFrame, seed: int = 1, block_digits: int = BLOCK_DIGITS) -> DataFrame:
@@ -73,59 +80,95 @@ def make_negatives(df: DataFrame, seed: int = 1, block_digits: int = BLOCK_DIGIT
     Rows stand in the order of their seeded key, and each takes the target of the
     next one (the last takes the first). Within a block of keys the next row comes
     from a window; the row after a block is the first of the next block, from a table
-    of one row per block. A single row has no other and gives none.
+    of one row per block. Only ids are put in order; the texts are joined to them
+    afterwards, by number. A row whose own target has the same text gives none, nor does a
+    single row.
     """
-    keyed = df.select("line_no", "src", "tgt", sample_key("line_no", seed).alias("_key")).withColumn(
+    keyed = df.select("line_no", sample_key("line_no", seed).alias("_key")).withColumn(
         "_block", F.substring("_key", 1, block_digits)
     )
-    partner = F.struct(F.col("line_no").alias("neg_line_no"), F.col("tgt").alias("neg_tgt"))
     in_block = W.partitionBy("_block").orderBy("_key")
-    # One row per block: at most 16 ** block_digits.
-    firsts = keyed.groupBy("_block").agg(F.min_by(partner, "_key").alias("_first"))
+    # One id per block: at most 16 ** block_digits.
+    firsts = keyed.groupBy("_block").agg(F.min_by("line_no", "_key").alias("_first"))
     ring = W.orderBy("_block").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     following = firsts.select(
         "_block",
         F.coalesce(F.lead("_first").over(W.orderBy("_block")), F.first("_first").over(ring)).alias("_after"),
     )
-    return (
-        keyed.withColumn("_next", F.lead(partner).over(in_block))
+    ids = (
+        keyed.withColumn("_next", F.lead("line_no").over(in_block))
         .join(broadcast_checked(following, "blocks"), "_block")
-        .select("line_no", "src", F.coalesce("_next", "_after").alias("_p"))
-        .select("line_no", "src", F.col("_p.neg_tgt").alias("tgt"), F.col("_p.neg_line_no").alias("tgt_line_no"))
+        .select("line_no", F.coalesce("_next", "_after").alias("tgt_line_no"))
         .filter("tgt_line_no <> line_no")
     )
+    sources = df.select("line_no", "src", F.xxhash64("tgt").alias("_own"))
+    targets = df.select(F.col("line_no").alias("tgt_line_no"), "tgt")
+    return (
+        ids.join(sources, "line_no").join(targets, "tgt_line_no")
+        .filter(F.col("_own") != F.xxhash64("tgt")).select("line_no", "src", "tgt", "tgt_line_no")
+    )
 
 
-def fit_pair_classifier(
-    df: DataFrame, wordfreq: DataFrame, seed: int = 1, max_iter: int = 50, reg: float = 0.001
-) -> PipelineModel:
-    """Train a classifier that tells translations from shuffled pairs.
+def pair_examples(df: DataFrame, wordfreq: DataFrame, tgt_lang: str, seed: int = 1) -> DataFrame:
+    """What the classifier sees: features and label (1.0 for the pairs, 0.0 for negatives made of them).
 
-    ``df`` holds the (capped, non-empty) training pairs; as many negative pairs are
-    made from them. Logistic regression on the features of :func:`pair_features`.
+    Ids stay unique over both kinds: even for pairs, odd for negatives.
     """
     positives = df.select("line_no", "src", "tgt").withColumn("label", F.lit(1.0))
     negatives = make_negatives(df, seed).select("line_no", "src", "tgt").withColumn("label", F.lit(0.0))
-    # Ids stay unique over both kinds: even for pairs, odd for negatives.
     examples = positives.unionByName(negatives).withColumn(
         "line_no", F.col("line_no") * 2 + F.when(F.col("label") == 0.0, 1).otherwise(0)
     )
-    # Written once: the optimizer of the classifier passes over it many times.
-    features = stage(pair_features(examples, wordfreq).select(*FEATURES, "label"), "features")
-    pipeline = Pipeline(stages=[
-        VectorAssembler(inputCols=FEATURES, outputCol="features"),
-        LogisticRegression(maxIter=max_iter, regParam=reg),
-    ])
-    return pipeline.fit(features)
+    return pair_features(examples, wordfreq, tgt_lang).select("line_no", *FEATURES, "label")
+
+
+@dataclass(frozen=True)
+class PairClassifier:
+    """A fitted model, the language and word list its features need, and its figures on the development pairs."""
 
+    model: PipelineModel
+    wordfreq: DataFrame
+    tgt_lang: str
+    dev: dict[str, float]
 
-def score_pairs(df: DataFrame, model: PipelineModel | Callable[[DataFrame], Column], wordfreq: DataFrame | None = None) -> DataFrame:
-    """Append a score in [0, 1]: the probability of a fitted model, or any column of a function."""
-    if not isinstance(model, PipelineModel):
+    def weights(self) -> dict[str, float]:
+        last = self.model.stages[-1]
+        return {**dict(zip(FEATURES, map(float, last.coefficients))), "intercept": float(last.intercept)}
+
+
+def fit_pair_classifier(
+    train: DataFrame, dev: DataFrame, wordfreq: DataFrame, tgt_lang: str,
+    seed: int = 1, max_iter: int = 50, regs: Sequence[float] = (0.001, 0.01, 0.1),
+) -> PairClassifier:
+    """Train a classifier that tells translations from shuffled pairs.
+
+    ``train`` and ``dev`` hold (capped, non-empty) pairs; as many negative pairs are
+    made from each. Logistic regression on the features of :func:`pair_features`, with
+    the regularisation that ranks the development pairs best (the first of equals).
+    """
+    # Written once: the optimizer of the classifier passes over it many times.
+    features, held = (stage(pair_examples(df, wordfreq, tgt_lang, seed), "features") for df in (train, dev))
+    rank = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    best = None
+    for reg in regs:
+        pipeline = Pipeline(stages=[
+            VectorAssembler(inputCols=FEATURES, outputCol="features"),
+            LogisticRegression(maxIter=max_iter, regParam=reg),
+        ])
+        model = pipeline.fit(features)
+        judged = model.transform(held)
+        right = judged.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+        figures = {"auc": rank.evaluate(judged), "accuracy": float("nan") if right is None else right, "reg": reg}
+        if best is None or figures["auc"] > best[1]["auc"]:
+            best = model, figures
+    return PairClassifier(best[0], wordfreq, tgt_lang, best[1])
+
+
+def score_pairs(df: DataFrame, model: PairClassifier | Callable[[DataFrame], Column]) -> DataFrame:
+    """Append a score in [0, 1]: the probability of a fitted classifier, or any column of a function."""
+    if not isinstance(model, PairClassifier):
         return df.withColumn("score", model(df))
-    if wordfreq is None:
-        raise ValueError("a fitted model needs the word-frequency list it was trained with")
-    scored = model.transform(pair_features(df, wordfreq))
+    scored = model.model.transform(pair_features(df, model.wordfreq, model.tgt_lang))
     return scored.withColumn("score", vector_to_array("probability")[1]).select(*df.columns, "score")
 
 
@@ -136,9 +179,8 @@ def length_ratio_scorer(df: DataFrame) -> Column:
 
 def clean_synthetic(
     df: DataFrame,
-    model: PipelineModel | Callable[[DataFrame], Column],
+    model: PairClassifier | Callable[[DataFrame], Column],
     threshold: float,
-    wordfreq: DataFrame | None = None,
 ) -> DataFrame:
     """Score synthetic pairs and keep those above the threshold; origin columns stay."""
-    return filter_by_score(score_pairs(df, model, wordfreq), threshold)
+    return filter_by_score(score_pairs(df, model), threshold)

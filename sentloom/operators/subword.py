@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ CONTROL_SYMBOLS = ["<unk>", "<s>", "</s>"]
 DEFAULT_VOCAB_SIZE = 10_000
 # Leading pairs looked at per round; rounds after which the word table is written.
 CANDIDATES = 256
-ROUNDS_PER_STAGE = 16
+ROUNDS_PER_STAGE = 8
 # Words whose pieces a Python worker remembers.
 CACHE_WORDS = 200_000
 
@@ -94,12 +95,12 @@ def learn_bpe(
     the smaller merged symbol. ``batch=1`` runs one round per merge; a larger batch
     takes the leading pairs of a round as long as the result is the same (see
     :func:`independent_prefix`). Only candidate pairs and the character list come to the
-    driver; the words stay distributed and cached between rounds, and the word table is
-    written to the staging folder every few rounds, so that a lost executor costs the
-    rounds since then.
+    driver. The words and their pair counts are written to the staging folder every few
+    rounds; in between, only words that hold a merged pair are counted again, before and
+    after, and the differences applied to the written counts.
 
     The vocabulary (piece, piece_id) lists control symbols, merged pieces in order,
-    then characters by count.
+    then characters by count. ``vocab_size`` must leave room for all characters.
     """
     spark = df.sparkSession
     words = (
@@ -108,7 +109,7 @@ def learn_bpe(
         .select(_spaced(F.col("w")).alias("seg"), "n")
     )
     # Written in as many files as cores, so that every round runs on all of them.
-    table = stage(words.repartition(spark.sparkContext.defaultParallelism), "words").persist()
+    table = stage(words.repartition(spark.sparkContext.defaultParallelism), "words")
     chars = [
         r["c"] for r in (
             table.select(F.explode(_symbols(F.col("seg"))).alias("c"), "n")
@@ -119,30 +120,38 @@ def learn_bpe(
     ]
     known = set(chars)
     wanted = vocab_size - len(CONTROL_SYMBOLS) - len(chars)
+    if wanted < 0:
+        raise ValueError(f"a vocabulary of {vocab_size} has no room for {len(chars)} characters and the control symbols")
     merges: list[tuple[str, str]] = []
     merged = F.concat("a", "b")
     order = [F.desc("n"), F.length(merged), merged, F.length("a")]
-    previous, rounds = None, 0
+    base, pending, rounds = stage(pair_counts(table), "pairs"), [], 0
     while len(merges) < wanted:
-        top = pair_counts(table).orderBy(*order).limit(max(1, batch)).collect()
-        if previous is not None:
-            previous.unpersist()
+        counts = _recounted(table, base, pending)
+        if rounds and rounds % ROUNDS_PER_STAGE == 0:
+            counts = base = stage(counts, "pairs")
+            table, pending = stage(table.select(_merged(F.col("seg"), pending).alias("seg"), "n"), "words"), []
+        top = counts.orderBy(*order).limit(max(1, batch)).collect()
         taken = independent_prefix([(r["a"], r["b"]) for r in top], known)[: wanted - len(merges)]
         if not taken:
             break
         merges += taken
+        pending = [*pending, *taken]
         known.update(a + b for a, b in taken)
-        previous, rounds = table, rounds + 1
-        table = previous.select(_merged(F.col("seg"), taken).alias("seg"), "n")
-        if rounds % ROUNDS_PER_STAGE == 0:
-            table = stage(table, "words")
-        table = table.persist()
-    table.unpersist()
-    if previous is not None:
-        previous.unpersist()
+        rounds += 1
     return merges, _vocabulary(spark, merges, chars)
 
 
+def _recounted(table: DataFrame, base: DataFrame, pending: list[tuple[str, str]]) -> DataFrame:
+    """Pair counts after the pending merges: those of the written words, with the words that change counted anew."""
+    if not pending:
+        return base
+    both = table.select("seg", _merged(F.col("seg"), pending).alias("now"), "n").filter("now <> seg")
+    gone = pair_counts(both.select("seg", "n")).withColumn("n", -F.col("n"))
+    come = pair_counts(both.select(F.col("now").alias("seg"), "n"))
+    return base.unionByName(gone).unionByName(come).groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 0")
+
+
 def _vocabulary(spark: SparkSession, merges: list[tuple[str, str]], chars: list[str]) -> DataFrame:
     pieces = list(dict.fromkeys([*CONTROL_SYMBOLS, *[a + b for a, b in merges], *chars]))
     return spark.createDataFrame(list(zip(pieces, range(len(pieces)))), "piece string, piece_id bigint")
@@ -173,29 +182,26 @@ def apply_bpe(df: DataFrame, merges: list[tuple[str, str]], col: str = "text", o
     """Encode text to pieces with learned merges (an array column).
 
     Rows are not shuffled: the merge list is bounded by the vocabulary size and goes
-    to the executors, and every worker segments a word once and remembers it, so
-    frequent words cost a dictionary lookup.
+    to the executors. A batch is cut into its distinct words, each is segmented once (and
+    remembered by the task), and the arrays are put together from those.
     """
     ranks = df.sparkSession.sparkContext.broadcast({m: i for i, m in enumerate(merges)})
 
     @F.arrow_udf("array<string>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache: dict[str, list[str]] = {}
-        for batch in batches:
-            rows = []
-            for line in batch.to_pylist():
-                if line is None:
-                    rows.append(None)
-                    continue
-                pieces: list[str] = []
-                for word in line:
-                    if word not in cache:
-                        if len(cache) >= CACHE_WORDS:
-                            cache.clear()
-                        cache[word] = segment(word, ranks.value)
-                    pieces += cache[word]
-                rows.append(pieces)
-            yield pa.array(rows, pa.list_(pa.string()))
+        for lines in batches:
+            distinct = lines.flatten().dictionary_encode()
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
+            own = distinct.dictionary.to_pylist()
+            cache.update((w, segment(w, ranks.value)) for w in own if w not in cache)
+            pieces = pa.array([cache[w] for w in own], pa.list_(pa.string())).take(distinct.indices)
+            # Where each word's pieces start, then where each line's do.
+            starts = np.concatenate(([0], np.cumsum(pieces.value_lengths().to_numpy(zero_copy_only=False))))
+            words = np.concatenate(([0], np.cumsum(lines.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
+            offsets = pa.array(starts[words].astype(np.int32))
+            yield pa.ListArray.from_arrays(offsets, pieces.flatten(), mask=lines.is_null())
 
     return df.withColumn(out, encode(marked_words(col)))
 

@@ -42,17 +42,18 @@ def translate(
 def synthesize(
     mono: DataFrame,
     load: Callable[[], Translator],
-    lines: int,
     encode: Callable[[DataFrame], DataFrame],
-    piece_limit: int = 100,
+    lines: int | None = None,
+    piece_limit: int | None = None,
 ) -> DataFrame:
-    """Translate the first ``lines`` lines of a monolingual corpus.
+    """Translate a monolingual corpus, or its first ``lines`` lines.
 
-    ``encode`` adds the array column ``pieces``; longer lines than ``piece_limit``
-    pieces and blank lines are left out. Result: (line_no, original, synthetic).
+    ``encode`` adds the array column ``pieces``; blank lines, and with a ``piece_limit``
+    longer lines than so many pieces, are left out. Result: (line_no, original, synthetic).
     """
-    prefix = head_lines(mono, lines)
-    short = max_pieces(encode(prefix), piece_limit).filter(F.size("pieces") > 0)
-    return translate(short.select("line_no", "text"), load).select(
+    encoded = encode(head_lines(mono, lines)).filter(F.size("pieces") > 0)
+    if piece_limit is not None:
+        encoded = max_pieces(encoded, piece_limit)
+    return translate(encoded.select("line_no", "text"), load).select(
         "line_no", F.col("text").alias("original"), F.col("hyp").alias("synthetic")
     )

@@ -82,12 +82,11 @@ def ids_from_vocab(
     out: str = "ids",
     unk_id: int = UNK_ID,
     eos_id: int | None = None,
-    row_key: str = "line_no",
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Tokens to ids; unknown tokens get ``unk_id``, ``eos_id`` is appended if given."""
     table = vocab.select(F.col("token").alias("key"), F.col("token_id").alias("value"))
-    encoded = lookup_array(df, col, out, table, unk_id, "bigint", row_key, max_rows)
+    encoded = lookup_array(df, col, out, table, unk_id, "bigint", max_rows)
     if eos_id is not None:
         encoded = encoded.withColumn(out, F.array_append(out, F.lit(eos_id).cast("bigint")))
     return encoded
@@ -104,14 +103,13 @@ def decode_ids(
     vocab: DataFrame,
     col: str = "id_text",
     out: str = "text",
-    row_key: str = "line_no",
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Space-joined ids to text; ``<<unk>>`` stands for id 0, ids without a token for ``<unk>``."""
     table = vocab.select(F.col("token_id").alias("key"), F.col("token").alias("value"))
     ids = F.transform(tx.words(col), lambda t: F.when(t == UNK_MARK, F.lit("0")).otherwise(t))
     pieces = lookup_array(
-        df.withColumn("_ids", ids), "_ids", "_pieces", table, "<unk>", "string", row_key, max_rows
+        df.withColumn("_ids", ids), "_ids", "_pieces", table, "<unk>", "string", max_rows
     )
     return pieces.withColumn(out, tx.join_pieces("_pieces")).drop("_ids", "_pieces")
 
@@ -124,15 +122,33 @@ def map_vocabulary(tgt_vocab: DataFrame, src_vocab: DataFrame, unk_id: int = UNK
     )
 
 
-def trim_embeddings(emb: DataFrame, mapping: DataFrame, unk_id: int = UNK_ID) -> DataFrame:
-    """Embedding rows of a new vocabulary: (token_id, embedding) through (token_id, src_id).
+def trim_embeddings(
+    emb: DataFrame, mapping: DataFrame, unk_id: int = UNK_ID, missing: str = "error"
+) -> DataFrame:
+    """Embedding rows of a new vocabulary: (token_id, src_id, embedding), one for each row of ``mapping``.
+
+    A ``src_id`` without a vector is an error; with ``missing="unk"`` it takes the
+    vector of the unknown id (and keeps its ``src_id``). There must be a vector for the
+    unknown id if any row needs it.
 
     Many tokens may share the unknown id, which would be a hot join key; its one
     row is broadcast, and all other ids occur once per token.
     """
+    if missing not in ("error", "unk"):
+        raise ValueError(f"missing must be 'error' or 'unk', not {missing!r}")
     emb = emb.select(F.col("token_id").alias("src_id"), "embedding")
     # dropDuplicates keeps the broadcast side at one row whatever the input holds.
-    unk = F.broadcast(emb.filter(F.col("src_id") == unk_id).dropDuplicates(["src_id"]))
-    known = mapping.filter(F.col("src_id") != unk_id).join(emb, "src_id")
-    unknown = mapping.filter(F.col("src_id") == unk_id).join(unk, "src_id")
-    return known.unionByName(unknown).select("token_id", "src_id", "embedding")
+    unk = F.broadcast(
+        emb.filter(F.col("src_id") == unk_id).dropDuplicates(["src_id"])
+        .select(F.lit(1).alias("_one"), F.col("embedding").alias("_unk"))
+    )
+    unknown = mapping.filter(F.col("src_id").eqNullSafe(F.lit(unk_id))).withColumn("_vector", F.lit(None).cast(emb.schema["embedding"].dataType))
+    known = (
+        mapping.filter(~F.col("src_id").eqNullSafe(F.lit(unk_id))).join(emb, "src_id", "left")
+        .withColumnRenamed("embedding", "_vector")
+    )
+    rows = known.unionByName(unknown).withColumn("_one", F.lit(1)).join(unk, "_one", "left")
+    no_vector = F.raise_error(F.concat(F.lit("no embedding for id "), F.coalesce(F.col("src_id").cast("string"), F.lit("NULL"))))
+    takes_unk = F.lit(True) if missing == "unk" else F.col("src_id") == unk_id
+    vector = F.coalesce("_vector", F.when(takes_unk, F.col("_unk")), no_vector.cast(emb.schema["embedding"].dataType))
+    return rows.select("token_id", "src_id", vector.alias("embedding"))

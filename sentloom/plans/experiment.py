@@ -9,11 +9,11 @@ original) trains ``1n``, ``os`` trains ``n1``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +22,7 @@ from sentloom.operators.cleaning import filter_by_score
 from sentloom.operators.ledger import best_threshold
 from sentloom.operators.mixtures import ORIGINS, augment
 from sentloom.operators.sampling import prefix_for
-from sentloom.operators.scoring import score_pairs
+from sentloom.operators.scoring import PairClassifier, score_pairs
 from sentloom.operators.stats import THRESHOLDS
 from sentloom.operators.synthesis import Translator, synthesize
 from sentloom.sources.sinks import write_result, write_synthetic
@@ -49,8 +49,7 @@ class Callbacks:
     baseline: Callable[[str], float]
     translator: Callable[[str], Callable[[], Translator]]
     encode: Callable[[DataFrame], DataFrame]
-    scorer: PipelineModel | Callable[[DataFrame], Column]
-    wordfreq: DataFrame | None = None
+    scorer: PairClassifier | Callable[[DataFrame], Column]
 
 
 @dataclass
@@ -107,6 +106,10 @@ class Refinement:
     """One experiment over a parallel corpus and two monolingual ones.
 
     ``parallel`` has (line_no, l1, l2); ``mono`` maps ``l1`` and ``l2`` to (line_no, text).
+    Every stage translates the whole monolingual corpora; with a ``unit`` (a million, say)
+    it takes the growing prefixes of :func:`~sentloom.operators.sampling.prefix_for`, and
+    with a ``piece_limit`` it leaves out longer lines. What a stage made is found again
+    under ``workdir`` by these settings.
     """
 
     def __init__(
@@ -117,10 +120,12 @@ class Refinement:
         parallel: DataFrame,
         mono: Mapping[str, DataFrame],
         callbacks: Callbacks,
-        unit: int = 1_000_000,
-        piece_limit: int = 100,
+        unit: int | None = None,
+        piece_limit: int | None = None,
     ):
-        self.spark, self.name, self.workdir = spark, name, workdir.rstrip("/")
+        # Stages of other settings are other stages.
+        settings = f"unit-{unit or 'all'}-pieces-{piece_limit or 'all'}"
+        self.spark, self.name, self.workdir = spark, name, f"{workdir.rstrip('/')}/{settings}"
         self.parallel, self.mono, self.cb = parallel, mono, callbacks
         self.unit, self.piece_limit = unit, piece_limit
         self.state = State(model={d: None for d in DIRECTIONS})
@@ -141,28 +146,28 @@ class Refinement:
         self.state.runs.append(tuple(row[c] for c in schema.LEDGER.names))
         return row["model_ref"], row["metric"]
 
-    def _translate(self, direction: str, stage: str, lines: int) -> DataFrame:
+    def _translate(self, direction: str, stage: str, lines: int | None) -> DataFrame:
         """Translate a prefix with the best model of a direction and score the pairs: (line_no, l1, l2, score)."""
         source = "l1" if direction == "1n" else "l2"
         target = "l2" if direction == "1n" else "l1"
 
         def run() -> DataFrame:
             made = synthesize(
-                self.mono[source], self.cb.translator(self.state.model[direction]), lines,
-                self.cb.encode, self.piece_limit,
+                self.mono[source], self.cb.translator(self.state.model[direction]), self.cb.encode,
+                lines, self.piece_limit,
             )
             pairs = made.select(
                 "line_no", F.col("original").alias(source), F.col("synthetic").alias(target)
             ).select("line_no", F.col("l1").alias("src"), F.col("l2").alias("tgt"))
-            return score_pairs(pairs, self.cb.scorer, self.cb.wordfreq).select(
+            return score_pairs(pairs, self.cb.scorer).select(
                 "line_no", F.col("src").alias("l1"), F.col("tgt").alias("l2"), "score"
             )
 
         return materialize_once(self.spark, run, f"{self.workdir}/translated/{stage}-{direction}")
 
     def _accept(self, direction: str, model: str, metric: float) -> bool:
-        """A run that is at least as good as the best becomes the best."""
-        ok = metric >= self.state.best[direction]
+        """A run that is at least as good as the best becomes the best; a metric that is no number never does."""
+        ok = not math.isnan(metric) and metric >= self.state.best[direction]
         if ok:
             self.state.best[direction], self.state.model[direction] = metric, model
         return ok
@@ -174,7 +179,8 @@ class Refinement:
         improved = []
         for direction in DIRECTIONS:
             model, metric = self._train(direction, "first", as_training(self.parallel, direction))
-            self.state.best[direction] = float(self.cb.baseline(direction))
+            baseline = float(self.cb.baseline(direction))
+            self.state.best[direction] = float("-inf") if math.isnan(baseline) else baseline
             ok = self._accept(direction, model, metric)
             if ok:
                 kind = KIND_FROM_MODEL[direction]
@@ -207,7 +213,7 @@ class Refinement:
     def _clean(self, scored: DataFrame, direction: str) -> DataFrame:
         return filter_by_score(scored, self.state.threshold[direction])
 
-    def _renew(self, direction: str, stage: str, lines: int) -> None:
+    def _renew(self, direction: str, stage: str, lines: int | None) -> None:
         """Synthetic pairs of a better model, filtered for the direction they train."""
         kind = KIND_FROM_MODEL[direction]
         other = "n1" if direction == "1n" else "1n"

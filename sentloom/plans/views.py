@@ -1,6 +1,6 @@
 """Corpus views over plain tables (documents, conversations, benchmark, events).
 
-They give the operators input in the shapes of :mod:`sentloom.schema`: numbered
+They give the operators input in the shapes they take: numbered
 lines, aligned pairs, scored pairs, decoder logs, hypotheses, run ledgers and
 vocabularies.
 """
@@ -27,16 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores.
-
-    A file with one row group is read by one task, however many cores there are. Inputs
-    with at least as many splits as cores, which is any large one, are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark: SparkSession, sf_dir: str, *langs: str) -> DataFrame:
     """The documents (of some languages)."""
     docs = table(spark, sf_dir, "documents", DOCUMENTS)
@@ -145,7 +135,7 @@ def token_counts(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
 
     The counts need the words of each line only, so documents are not numbered.
     """
-    docs = spread(documents(spark, sf_dir, lang))
+    docs = documents(spark, sf_dir, lang)
     return (
         docs.select(F.explode(F.split(F.lower("text"), "[ \n]")).alias("token"))
         .groupBy("token").agg(F.count(F.lit(1)).alias("count"))

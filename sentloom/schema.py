@@ -1,35 +1,7 @@
-"""Schemas of the tables that the operators pass to each other."""
+"""Schema of the run ledger that the refinement loop appends to."""
 
 from pyspark.sql import types as T
 
-CORPUS = T.StructType([
-    T.StructField("corpus", T.StringType()),
-    T.StructField("lang", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("text", T.StringType()),
-])
-
-PAIRS = T.StructType([
-    T.StructField("corpus", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("src_lang", T.StringType()),
-    T.StructField("tgt_lang", T.StringType()),
-    T.StructField("src", T.StringType()),
-    T.StructField("tgt", T.StringType()),
-])
-
-SCORED = T.StructType([
-    T.StructField("src", T.StringType()),
-    T.StructField("tgt", T.StringType()),
-    T.StructField("score", T.DoubleType()),
-])
-
-DICTIONARY = T.StructType([
-    T.StructField("token", T.StringType()),
-    T.StructField("count", T.LongType()),
-    T.StructField("token_id", T.LongType()),
-])
-
 LEDGER = T.StructType([
     T.StructField("experiment", T.StringType()),
     T.StructField("stage", T.StringType()),

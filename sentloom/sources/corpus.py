@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,54 +11,74 @@ from pyspark.sql import Window as W
 
 from sentloom.functions import text as tx
 from sentloom.operators.lookup import broadcast_checked
-from sentloom.operators.pairing import pair_by_line
-
-_MIN_PARTITIONS = "spark.sql.files.minPartitionNum"
-
-
-def _pin_splits(spark: SparkSession) -> None:
-    """Fix how files are cut into blocks, which else follows the cores at hand at that moment."""
-    if spark.conf.get(_MIN_PARTITIONS, None) is None:
-        spark.conf.set(_MIN_PARTITIONS, str(spark.sparkContext.defaultParallelism))
-
+from sentloom.operators.pairing import missing_corpora, pair_by_line
+from sentloom.sources.staging import path_exists, stage
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines of text files with a stable 1-based number: (line_no, text, path).
 
-    ``paths`` may hold globs and folders; files follow each other in path order. One
-    pass counts lines per file block (one row per block), the running sum of those
-    counts is the block's offset, and the second pass adds the position within the
-    block. The text itself is never shuffled or sorted. If the files change between
-    the passes, the query fails instead of giving wrong numbers.
+    The files follow each other as listed; those of one entry (a glob or a folder) in
+    path order. How files are cut into blocks follows the cores at hand at that moment,
+    so the lines are written once, with the block they came from; a count of the lines
+    per block (one row per block) gives the blocks' offsets, and a line's number is its
+    place in its block plus that. The text is neither shuffled nor sorted, and no
+    setting of the session is touched.
     """
-    _pin_splits(spark)
-    raw = spark.read.option("lineSep", "\n").text(paths if isinstance(paths, str) else list(paths))
-    rows = raw.select(
-        "value",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_seq"),
-    )
-    blocks = rows.groupBy("_path", "_start").agg(
+    listed = [paths] if isinstance(paths, str) else list(paths)
+    if not listed:
+        raise ValueError("no paths given")
+    raw = reduce(DataFrame.unionAll, [
+        spark.read.option("lineSep", "\n").text(path).select(
+            F.lit(i).alias("_nth"), "value",
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_start"),
+        )
+        for i, path in enumerate(listed)
+    ])
+    rows = stage(raw.withColumn("_seq", F.monotonically_increasing_id()), "lines")
+    blocks = rows.groupBy("_nth", "_path", "_start").agg(
         F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
-    earlier = W.orderBy("_path", "_start").rowsBetween(W.unboundedPreceding, -1)
+    # Offsets of files within the list, then of blocks within their file: no window sees all blocks.
+    by_file = blocks.groupBy("_nth", "_path").agg(F.sum("_rows").alias("_rows"))
+    files = W.orderBy("_nth", "_path").rowsBetween(W.unboundedPreceding, -1)
+    in_file = W.partitionBy("_nth", "_path").orderBy("_start").rowsBetween(W.unboundedPreceding, -1)
+    before = by_file.select("_nth", "_path", F.coalesce(F.sum("_rows").over(files), F.lit(0)).alias("_files"))
     offsets = broadcast_checked(
-        blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))), "blocks"
+        blocks.withColumn("_blocks", F.coalesce(F.sum("_rows").over(in_file), F.lit(0)))
+        .join(before, ["_nth", "_path"])
+        .select("_nth", "_path", "_start", (F.col("_files") + F.col("_blocks") - F.col("_first") + 1).alias("_shift")),
+        "blocks",
     )
-    position = F.col("_seq") - F.col("_first")
-    number = F.when(
-        (position >= 0) & (position < F.col("_rows")), F.col("_before") + position + 1
-    ).otherwise(F.raise_error(F.lit("the text files changed while they were read")).cast("bigint"))
-    return rows.join(offsets, ["_path", "_start"], "left").select(
-        number.alias("line_no"), tx.one_line("value").alias("text"), F.col("_path").alias("path")
+    return rows.join(offsets, ["_nth", "_path", "_start"]).select(
+        (F.col("_seq") + F.col("_shift")).alias("line_no"), F.col("value").alias("text"), F.col("_path").alias("path")
     )
 
 
 def read_corpus(spark: SparkSession, paths: str | Sequence[str], corpus: str, lang: str) -> DataFrame:
-    """A named monolingual corpus in the corpus schema."""
+    """A named monolingual corpus in the corpus schema; tabs and carriage returns become spaces."""
     return read_lines(spark, paths).select(
-        F.lit(corpus).alias("corpus"), F.lit(lang).alias("lang"), "line_no", "text"
+        F.lit(corpus).alias("corpus"), F.lit(lang).alias("lang"), "line_no", tx.one_line("text").alias("text")
+    )
+
+
+def corpus_paths(spark: SparkSession, root: str, names: Sequence[str], lang: str) -> list[str]:
+    """Paths ``<root>/<name>.<lang>`` of the named corpora, in the order given; missing ones are an error."""
+    paths = [f"{root.rstrip('/')}/{name}.{lang}" for name in names]
+    found = [(name,) for name, path in zip(names, paths) if path_exists(spark, path)]
+    config = spark.createDataFrame([(name,) for name in names], "corpus string")
+    missing = sorted(r["corpus"] for r in missing_corpora(config, spark.createDataFrame(found, "corpus string")).collect())
+    if missing:
+        raise ValueError(f"no corpus in {lang} for: {', '.join(missing)}")
+    return paths
+
+
+def read_corpora(spark: SparkSession, root: str, names: Sequence[str], lang: str) -> DataFrame:
+    """Named corpora of a language, one after another in the order given: (corpus, lang, line_no, text)."""
+    paths = corpus_paths(spark, root, names, lang)
+    name = F.regexp_extract("path", rf"([^/]+)\.{lang}(/[^/]*)?$", 1)
+    return read_lines(spark, paths).select(
+        name.alias("corpus"), F.lit(lang).alias("lang"), "line_no", tx.one_line("text").alias("text")
     )
 
 
@@ -70,10 +91,14 @@ def read_parallel(
     tgt_lang: str,
     how: str = "pad",
 ) -> DataFrame:
-    """A named parallel corpus: two line corpora paired by line number."""
+    """A named parallel corpus: two line corpora paired by line number.
+
+    Lists of paths are taken in the order given on either side.
+    """
+    flat = tx.one_line("text").alias("text")
     paired = pair_by_line(
-        read_lines(spark, src_paths).select("line_no", "text"),
-        read_lines(spark, tgt_paths).select("line_no", "text"),
+        read_lines(spark, src_paths).select("line_no", flat),
+        read_lines(spark, tgt_paths).select("line_no", flat),
         how,
     )
     return paired.select(

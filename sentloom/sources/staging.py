@@ -2,35 +2,44 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders of local sessions, and the tables staged so far, by application.
 _LOCAL_ROOTS: dict[str, str] = {}
+_STAGED: dict[str, list[str]] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its machine, so that is an
-    error.
+    Only a local session without that setting, whose tasks all run on this machine,
+    gets a folder of its own, which goes when the process ends; on a cluster such a
+    folder would be lost with its machine, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if sc.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     if sc.applicationId not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="sentloom-")
+        atexit.register(shutil.rmtree, _LOCAL_ROOTS[sc.applicationId], ignore_errors=True)
     return _LOCAL_ROOTS[sc.applicationId]
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A new path under the staging folder, unique per call."""
-    return f"{staging_root(spark)}/sentloom/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/sentloom/{label}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -41,6 +50,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[None]:
+    """Own what is staged inside: it is deleted at the end, when its results have been used or written."""
+    paths = _STAGED.setdefault(spark.sparkContext.applicationId, [])
+    first = len(paths)
+    try:
+        yield
+    finally:
+        for path in paths[first:]:
+            delete_path(spark, path)
+        del paths[first:]
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there, in the file system that owns it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, asked of the file system that owns it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

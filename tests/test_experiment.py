@@ -35,8 +35,10 @@ def test_translate_keeps_rows_and_checks_the_model(spark):
 
 def test_synthesize_takes_short_non_blank_lines_of_the_prefix(spark):
     df = spark.createDataFrame([(1, "a b"), (2, "a b c d"), (3, "  "), (4, "c"), (5, "d")], "line_no bigint, text string")
-    got = {r.line_no: (r.original, r.synthetic) for r in synthesis.synthesize(df, reverse, 4, with_words, 3).collect()}
+    got = {r.line_no: (r.original, r.synthetic) for r in synthesis.synthesize(df, reverse, with_words, 4, 3).collect()}
     assert got == {1: ("a b", "b a"), 4: ("c", "c")}
+    # Without limits the whole corpus but its blank lines.
+    assert sorted(r.line_no for r in synthesis.synthesize(df, reverse, with_words).collect()) == [1, 2, 4, 5]
 
 
 class Script:
@@ -111,3 +113,13 @@ def test_synthetic_pairs_are_written_when_the_last_iteration_still_improved(spar
     metrics = {(s, d): 20.0 for s in ("first", "score_0.0", "score_0.5", "it_1") for d in ("1n", "n1")}
     out = refine(spark, corpora, Script(metrics), tmp_path, max_iter=1)
     assert out.stopped_at == 1 and out.synthetic.count() == 30
+
+
+def test_the_whole_corpus_is_the_default_and_a_metric_that_is_no_number_never_wins(spark, corpora, tmp_path):
+    nan = float("nan")
+    script = Script({("first", "1n"): 20.0, ("first", "n1"): 20.0, ("score_0.0", "1n"): nan, ("score_0.5", "1n"): 21.0,
+                     ("it_1", "1n"): nan, ("it_1", "n1"): nan})
+    run = experiment.Refinement(spark, "test", str(tmp_path), *corpora, script.callbacks())
+    out = run.run(thresholds=(0.0, 0.5))
+    assert out.best == {"1n": 21.0, "n1": 20.0} and out.stopped_at == 1
+    assert script.seen["it_1", "1n"][0] == 32  # two parallel pairs and all thirty lines

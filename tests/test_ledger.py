@@ -70,3 +70,15 @@ def test_write_result(spark, tmp_path):
     found = [json.loads(line) for f in (tmp_path / "r").glob("part-*") for line in f.read_text().splitlines()]
     assert {(r["direction"], r["iteration"]) for r in found} == {("1n", 2), ("n1", 1)}
     assert path.endswith("/r")
+
+
+def test_a_metric_that_is_no_number_sets_no_bar(spark):
+    nan = float("nan")
+    df = runs(spark, {"1n": [20.0, nan, 30.0, None, 29.0], "n1": [nan, 1.0, 1.0, nan, 0.5]})
+    got = {(r.direction, r.iteration): r.accepted for r in ledger.accept_flags(df).collect()}
+    assert [got["1n", i] for i in range(1, 6)] == [True, False, True, False, False]
+    assert [got["n1", i] for i in range(1, 6)] == [False, True, True, False, False]
+    baseline = spark.createDataFrame([("e", "1n", nan), ("e", "n1", 5.0)], "experiment string, direction string, baseline double")
+    got = {(r.direction, r.iteration): r.accepted for r in ledger.accept_flags(df, baseline).collect()}
+    assert got["1n", 1] and not any(got["n1", i] for i in range(1, 6))
+    assert ledger.stop_iteration(df, 8).first().stop_iteration == 4

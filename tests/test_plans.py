@@ -27,8 +27,17 @@ def test_filters_and_columns_reach_the_scan(spark, sf):
 def test_numbering_has_no_window_over_a_language(spark, sf):
     text = plan(views.lines(spark, sf))
     assert "SinglePartition" not in text
-    # Text rows are windowed by (lang, block); the window by lang alone is over block totals.
-    assert "hashpartitioning(lang" in text and "_block" in text
+    # Texts are windowed by their own key only; windows by language see one row per task.
+    windows = [line for line in text.splitlines() if " Window [" in line or "- Window" in line]
+    assert windows
+    for line in windows:
+        assert "_lines" not in line.split("],")[0] or "_key" in line or "_part" in line
+
+
+def test_corpora_are_planned_once_when_concatenated(spark, sf):
+    text = plan(QUERIES["concat_corpora"](spark, sf))
+    # The result reads the written union, for its rows and for the last line of each corpus.
+    assert text.count("FileScan") <= 2 and "documents.parquet" not in text
 
 
 def test_pairing_is_an_equi_join_on_the_number(spark):

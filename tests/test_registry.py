@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as entry_module
 from check_oracle import compare, duck
+from registry import oracles
+from registry import queries as registered
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = registered.QUERIES, oracles.SQL
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +17,16 @@ def con(sf):
 
 def test_every_sql_belongs_to_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
+    assert set(QUERIES) <= set(entry_module.queries())
 
 
-# The loop with its stand-in trainer has its own test (test_experiment.py).
-@pytest.mark.parametrize("name", [n for n in QUERIES if n != "iterate"])
+def test_sql_is_independent_of_the_package():
+    with open(oracles.__file__, encoding="utf8") as f:
+        assert "import sentloom" not in (source := f.read()) and "from sentloom" not in source
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, sf, name):
     ok, note = compare(spark, con, sf, name, QUERIES[name], SQL.get(name))
     assert ok, note

@@ -65,3 +65,20 @@ def test_temperature_mix_moves_shares_towards_even(spark):
         assert counts[name] == pytest.approx(w.p * 2000, rel=0.06)
     same = {r.corpus: r["count"] for r in sampling.temperature_mix(df, 1.0, seed=2).groupBy("corpus").count().collect()}
     assert same == {"big": 1600, "small": 400}
+
+
+def test_null_numbers_and_corpora_are_kept(spark):
+    rows = [(1, "x", "big"), (None, "y", "big"), (None, "z", None), (2, "u", None), (2, "v", "big")]
+    df = spark.createDataFrame(rows, "line_no bigint, src string, corpus string")
+    for as_written in (False, True):
+        assert sampling.cap_pairs(df, 100, as_written=as_written).count() == 5
+        for n in range(6):
+            assert sampling.cap_pairs(df, n, as_written=as_written).count() == n
+    assert {r.src for r in sampling.cap_pairs(df, 2, as_written=True).collect()} == {"y", "z"}
+    assert {r.src for r in sampling.temperature_mix(df, 1.0).collect()} == {"x", "y", "z", "u", "v"}
+
+
+def test_the_cut_is_searched_on_keys_alone(spark):
+    """No window and no sort sees the rows."""
+    plan = sampling.cap_pairs(numbered(spark, 3000), 500)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan

@@ -29,10 +29,11 @@ def test_features(spark, wordfreq, max_rows):
         [(1, "A 12 x, y.", "a 12 Wort wort."), (2, "abc", "de"), (3, "5 6", "5 7 8")],
         "line_no bigint, src string, tgt string",
     )
-    rows = {r.line_no: r for r in scoring.pair_features(df, wordfreq, max_rows=max_rows).collect()}
+    rows = {r.line_no: r for r in scoring.pair_features(df, wordfreq, "de", max_rows=max_rows).collect()}
     assert (rows[1].src_tokens, rows[1].tgt_tokens) == (4, 4)
     assert rows[1].copied_share == 0.5 and rows[1].punct_agreement == 0.5 and rows[1].digit_agreement == 1.0
-    assert rows[1].tgt_log_freq == pytest.approx(math.log(100) / 4)
+    # The target's words as the list has them: a, 12, wort, wort, and the period.
+    assert rows[1].tgt_log_freq == pytest.approx((2 * math.log(100) + math.log(50)) / 5)
     assert rows[2].length_ratio == pytest.approx(2 / 3) and rows[2].digit_agreement == 1.0
     assert rows[3].digit_agreement == pytest.approx(1 / 4)
 
@@ -48,18 +49,39 @@ def test_negatives_pair_every_source_with_another_target(spark, n):
     assert all(r.line_no != r.tgt_line_no for r in got)
 
 
+def test_a_negative_never_has_the_same_target(spark):
+    df = spark.createDataFrame([(i, f"s{i}", "same" if i % 2 else f"t{i}") for i in range(40)], "line_no bigint, src string, tgt string")
+    own = {r.line_no: r.tgt for r in df.collect()}
+    got = scoring.make_negatives(df).collect()
+    assert got and all(r.tgt != own[r.line_no] and r.tgt == own[r.tgt_line_no] for r in got)
+
+
+def test_texts_of_negatives_come_by_join(spark):
+    """Windows and the table of blocks hold ids only."""
+    plan = scoring.make_negatives(pairs(spark, 10))._jdf.queryExecution().executedPlan().toString()
+    assert all("tgt" not in line.replace("tgt_line_no", "") for line in plan.splitlines() if "Window" in line or "BroadcastExchange" in line)
+
+
 def test_classifier_separates_translations_from_shuffled_pairs(spark, wordfreq):
     df = pairs(spark, 400)
     train, dev = df.filter("line_no % 4 <> 0"), df.filter("line_no % 4 = 0")
-    model = scoring.fit_pair_classifier(train, wordfreq)
-    assert all(math.isfinite(w) for w in model.stages[-1].coefficients)
+    model = scoring.fit_pair_classifier(train, dev, wordfreq, "de")
+    assert all(math.isfinite(w) for w in model.weights().values())
+    assert model.dev["auc"] > 0.9 and model.dev["accuracy"] > 0.8
     good = dev.withColumn("label", F.lit(1.0))
     bad = scoring.make_negatives(dev).select("line_no", "src", "tgt").withColumn("label", F.lit(0.0))
-    scored = scoring.score_pairs(good.unionByName(bad), model, wordfreq)
+    both = good.unionByName(bad)
+    scored = scoring.score_pairs(both, model)
     low, high = scored.agg(F.min("score"), F.max("score")).first()
     assert 0 <= low <= high <= 1
     auc = BinaryClassificationEvaluator(rawPredictionCol="score", metricName="areaUnderROC").evaluate(scored)
-    assert auc > 0.9
+    assert auc == pytest.approx(model.dev["auc"], abs=1e-9)
+    # The scores follow from the weights alone.
+    w = model.weights()
+    total = sum((F.col(f) * w[f] for f in scoring.FEATURES), F.lit(w["intercept"]))
+    plain = scoring.pair_features(both, wordfreq, "de").select("line_no", "label", (1 / (1 + F.exp(-total))).alias("plain"))
+    gap = scored.join(plain, ["line_no", "label"]).agg(F.max(F.abs(F.col("score") - F.col("plain")))).first()[0]
+    assert gap < 1e-9
 
 
 def test_clean_synthetic_keeps_origins(spark):

@@ -22,8 +22,8 @@ def test_line_numbers_follow_the_files_over_many_blocks(spark, tmp_path, small_s
     for name, lines in texts.items():
         (tmp_path / name).write_text("".join(line + "\n" for line in lines), encoding="utf8")
     df = corpus.read_lines(spark, f"{tmp_path}/*.txt")
-    assert df.rdd.getNumPartitions() > 4
-    want = [t.replace("\t", " ") for lines in texts.values() for t in lines]
+    assert spark.read.text(f"{tmp_path}/*.txt").rdd.getNumPartitions() > 4
+    want = [t for lines in texts.values() for t in lines]
     got = sorted((r.line_no, r.text) for r in df.collect())
     assert got == [(i + 1, t) for i, t in enumerate(want)]
 
@@ -90,11 +90,60 @@ def test_numbering_does_not_depend_on_partitions(spark, parts):
     assert [r.id for r in sorted(flat, key=lambda r: -r.v)] == list(range(1000))
 
 
-@pytest.mark.parametrize("block", [1, 3, 4096])
-def test_line_numbers_of_documents(spark, block):
-    docs = [(d, "en" if d % 3 else "de", "s", "\n".join(f"{d}.{i}" for i in range(d % 4 + 1))) for d in (9, 0, 4, 5, 7, 2, 3, 11)]
-    df = spark.createDataFrame(docs, "doc_id bigint, lang string, source string, text string").repartition(3)
-    got = number_lines(df, docs_per_block=block).collect()
-    for lang in ("en", "de"):
-        want = [t for d, la, _, text in sorted(docs) if la == lang for t in text.split("\n")]
-        assert [r.text for r in sorted((r for r in got if r.lang == lang), key=lambda r: r.line_no)] == want
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_line_numbers_of_documents(spark, parts):
+    # Sparse ids, a NULL language, NULL ids, equal ids and copies.
+    docs = [(d, ("en", "de", None)[i % 3], "s", "\n".join(f"{d}.{i}.{j}" for j in range(i % 4 + 1))) for i, d in enumerate((9, 0, 4_000_000_000, 5, 70_000, 2, 3, 11, 5, -3))]
+    docs += [(None, "en", "s", "n1\nn2"), (None, "en", "s", "n1\nn2"), (None, None, None, "x"), (None, "de", "s", None), (8, "de", "s", "")]
+    df = spark.createDataFrame(docs, "doc_id bigint, lang string, source string, text string").repartition(parts)
+    got = number_lines(df).collect()
+    for lang in ("en", "de", None):
+        own = sorted((r for r in got if r.lang == lang), key=lambda r: r.line_no)
+        want = sorted((d for d in docs if d[1] == lang), key=lambda d: (d[0] is not None, d[0] or 0))
+        assert [r.line_no for r in own] == list(range(1, len(own) + 1))
+        assert [r.doc_id for r in own] == [d[0] for d in want for _ in (d[3].split("\n") if d[3] is not None else [None])]
+        assert sorted((r.text for r in own), key=str) == sorted((t for d in want for t in (d[3].split("\n") if d[3] is not None else [None])), key=str)
+        # A document's lines follow each other in their order.
+        for d in want:
+            lines = d[3].split("\n") if d[3] is not None else [None]
+            starts = [r.line_no for r in own if r.doc_id == d[0] and r.pos == 0 and r.text == lines[0]]
+            assert starts and all([r.text for r in own if s <= r.line_no < s + len(lines)] == lines for s in starts)
+
+
+def test_numbering_keeps_null_groups(spark):
+    df = spark.createDataFrame([(None, 3), ("a", 1), (None, 2), ("a", 5)], "g string, v bigint")
+    got = {(r.g, r.v): r.line_no for r in number_rows(df, [F.col("v")], by=["g"]).collect()}
+    assert got == {(None, 2): 1, (None, 3): 2, ("a", 1): 1, ("a", 5): 2}
+
+
+def test_files_follow_each_other_as_listed(spark, tmp_path):
+    for name, lines in {"z.en": ["z1", "z2"], "a.en": ["a1"], "1.de": ["eins", "zwei"], "2.de": ["drei"]}.items():
+        (tmp_path / name).write_text("".join(f"{x}\n" for x in lines))
+    before = dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.files.minPartitionNum", None)
+    df = corpus.read_parallel(spark, [f"{tmp_path}/z.en", f"{tmp_path}/a.en"], [f"{tmp_path}/1.de", f"{tmp_path}/2.de"], "c", "en", "de")
+    assert sorted((r.line_no, r.src, r.tgt) for r in df.collect()) == [(1, "z1", "eins"), (2, "z2", "zwei"), (3, "a1", "drei")]
+    twice = corpus.read_lines(spark, [f"{tmp_path}/a.en", f"{tmp_path}/z.en", f"{tmp_path}/a.en"]).collect()
+    assert [r.text for r in sorted(twice, key=lambda r: r.line_no)] == ["a1", "z1", "z2", "a1"]
+    # A read leaves the session as it was.
+    assert (dict(spark.sparkContext.getConf().getAll()), spark.conf.get("spark.sql.files.minPartitionNum", None)) == before
+
+
+def test_named_corpora(spark, tmp_path):
+    for name in ("news", "web"):
+        (tmp_path / f"{name}.en").write_text(f"{name} one\n{name}\ttwo\r\n")
+    got = corpus.read_corpora(spark, str(tmp_path), ["web", "news"], "en").orderBy("line_no").collect()
+    assert [(r.corpus, r.text) for r in got] == [("web", "web one"), ("web", "web two "), ("news", "news one"), ("news", "news two ")]
+    with pytest.raises(ValueError, match="no corpus in en for: dev, talks"):
+        corpus.read_corpora(spark, str(tmp_path), ["web", "talks", "dev"], "en")
+    raw = corpus.read_lines(spark, f"{tmp_path}/web.en").orderBy("line_no").collect()
+    assert [r.text for r in raw] == ["web one", "web\ttwo\r"]
+
+
+def test_staged_tables_are_deleted_by_their_owner(spark):
+    from pathlib import Path
+
+    root = Path(staging.staging_root(spark)) / "sentloom"
+    with staging.staged_tables(spark):
+        kept = staging.stage(spark.range(3), "owned")
+        assert kept.count() == 3 and list(root.glob("owned-*"))
+    assert not list(root.glob("owned-*"))

@@ -81,6 +81,11 @@ def test_encoding_replays_the_merges_and_decodes_to_the_text(spark):
         assert "".join(b.p).replace("▁", " ").strip() == d.text
 
 
+def test_a_vocabulary_below_the_alphabet_is_an_error(spark):
+    with pytest.raises(ValueError, match="no room for"):
+        subword.learn_bpe(texts(spark, CORPORA[0]), 8)
+
+
 def test_encode_with_an_outside_model(spark):
     spm = pytest.importorskip("sentencepiece")
     model = io.BytesIO()

@@ -1,6 +1,10 @@
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
+from sentloom.operators import lookup
 from sentloom.operators import vocabulary as v
+from sentloom.operators.lookup import lookup_array
 
 
 def pieces(spark, *rows):
@@ -55,3 +59,59 @@ def test_mapping_and_embeddings(spark, vocab):
     emb = spark.createDataFrame([(i, [float(i), i / 2]) for i in range(3)], "token_id bigint, embedding array<float>")
     got = {r.token_id: r.embedding for r in v.trim_embeddings(emb, mapping, unk_id=2).collect()}
     assert got == {0: [1.0, 0.5], 1: [2.0, 1.0], 2: [0.0, 0.0], 3: [2.0, 1.0]}
+
+
+def test_every_token_has_an_embedding_or_it_is_an_error(spark):
+    mapping = spark.createDataFrame([(0, 1), (1, 7), (2, 0), (3, None)], "token_id bigint, src_id bigint")
+    emb = spark.createDataFrame([(i, [float(i)]) for i in range(3)], "token_id bigint, embedding array<float>")
+    with pytest.raises(Exception, match="no embedding for id"):
+        v.trim_embeddings(emb, mapping, unk_id=0).collect()
+    got = {r.token_id: r.embedding for r in v.trim_embeddings(emb, mapping, unk_id=0, missing="unk").collect()}
+    assert got == {0: [1.0], 1: [0.0], 2: [0.0], 3: [0.0]}
+    with pytest.raises(Exception, match="no embedding for id"):
+        v.trim_embeddings(emb.filter("token_id > 0"), mapping.filter("token_id = 2"), unk_id=0, missing="unk").collect()
+    with pytest.raises(ValueError):
+        v.trim_embeddings(emb, mapping, missing="drop")
+
+
+ELEMENTS = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", ""]))
+ROWS = st.lists(st.tuples(st.integers(1, 2), st.one_of(st.none(), st.lists(ELEMENTS, max_size=5))), max_size=6)
+TABLES = st.dictionaries(st.sampled_from(["a", "b", "c", "x", ""]), st.one_of(st.none(), st.integers(0, 5)), max_size=5)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS, table=TABLES)
+def test_both_ways_of_a_lookup_agree(spark, rows, table):
+    """Repeated row numbers, NULL arrays and elements, NULL values: the same result below and above the limit."""
+    df = spark.createDataFrame(rows, "line_no int, w array<string>")
+    entries = spark.createDataFrame([*table.items(), (None, 9)], "key string, value int")
+    want = sorted((n, None if w is None else [table[e] if table.get(e) is not None else -1 for e in w]) for n, w in rows) if all(
+        w is not None for _, w in rows) else None
+    got = [
+        sorted(((r.line_no, r.w, r.v) for r in lookup_array(df, "w", "v", entries, -1, "int", **limit).collect()), key=str)
+        for limit in ({}, {"max_rows": 0}, {"max_bytes": 0})
+    ]
+    assert got[0] == got[1] == got[2]
+    assert len(got[0]) == len(rows)
+    for _, w, v_ in got[0]:
+        assert v_ == (None if w is None else [table[e] if e is not None and table.get(e) is not None else -1 for e in w])
+    assert want is None or sorted((n, v_) for n, _, v_ in got[0]) == want
+
+
+@pytest.mark.parametrize("max_rows", [1000, 0])
+def test_a_key_with_two_entries_is_an_error(spark, max_rows):
+    df = spark.createDataFrame([(1, ["a"])], "line_no int, w array<string>")
+    twice = spark.createDataFrame([("a", 1), ("a", 1)], "key string, value int")
+    with pytest.raises(ValueError, match="more than one entry"):
+        lookup_array(df, "w", "v", twice, 0, "int", max_rows=max_rows)
+
+
+def test_frequent_and_rare_keys_of_a_large_lookup(spark, monkeypatch):
+    """Frequent keys are looked up apart; here the limit makes some of each."""
+    monkeypatch.setattr(lookup, "FREQUENT", 4)
+    rows = [(i % 3, ["hot", f"w{i}", "hot", None, f"w{i % 7}"]) for i in range(60)]
+    df = spark.createDataFrame(rows, "line_no int, w array<string>")
+    table = {"hot": -5, **{f"w{i}": i for i in range(0, 60, 2)}}
+    entries = spark.createDataFrame(list(table.items()), "key string, value int")
+    for r in lookup_array(df, "w", "v", entries, -1, "int", max_rows=0).collect():
+        assert r.v == [table.get(e, -1) for e in r.w]
