@@ -26,7 +26,7 @@ MAX_PIECES = 500_000
 DRIFT, MIN_SEGMENT = 0.5, 1.0
 # Width of the bins of the calibrated statistic, and its largest value.
 BIN, TOP = 0.25, 60.0
-MEMO = 1_000_000
+MEMO = 200_000
 
 
 def normal_word(word: bytes) -> str:
