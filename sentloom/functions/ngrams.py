@@ -1,23 +1,26 @@
 """Lengths and clipped n-gram matches of a row.
 
 The match count is ``sum over grams of min(count in hyp, count in ref)``, a multiset
-intersection. Spark's built-ins only have the set version; exploding the grams would
-shuffle or spill many times the text, and a composition of array functions took
-several times as long as this Arrow function (measured on whole documents). The rows
-are not shuffled, and a row needs memory for its own grams only.
+intersection. Spark's built-ins only have the set version, and exploding the grams would
+shuffle or spill many times the text. So the rows of a batch are laid end to end as
+arrays of unit numbers, every gram gets a number of its own (from that of the gram one
+shorter and its last unit, so nothing is hashed), and the counts of all rows are compared
+at once. Rows are not shuffled, and about ``PART_UNITS`` units are held at a time.
 """
 
 from __future__ import annotations
 
 import string
-from collections import Counter
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Units = Sequence[str] | str
+# Units counted at a time; a longer row is counted on its own.
+PART_UNITS = 1 << 20
 
 
 def chars(text: str | None) -> str:
@@ -43,18 +46,37 @@ def chrf_words(text: str | None) -> list[str]:
     return words
 
 
-def _grams(seq: Units, n: int):
-    if isinstance(seq, str):
-        return [seq[i:i + n] for i in range(len(seq) - n + 1)]
-    return zip(*(seq[i:] for i in range(n)))
+def numbered_units(sides: Sequence[Units]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each unit of all sequences laid end to end, and the length of each sequence."""
+    lengths = np.fromiter(map(len, sides), np.int64, len(sides))
+    if all(isinstance(s, str) for s in sides):
+        return np.frombuffer("".join(sides).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64), lengths
+    flat = pa.array([u for s in sides for u in s], pa.string()).dictionary_encode()
+    return flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), lengths
 
 
-def count_matches(hyp: Units, ref: Units, top: int) -> list[int]:
-    """Matches of the n-grams of order 1..top of two token lists (or of the characters of two strings)."""
-    out = []
+def count_matches(hyps: Sequence[Units], refs: Sequence[Units], top: int) -> np.ndarray:
+    """Matches of the n-grams of order 1..top of each pair of token lists (or of the characters of two strings)."""
+    rows = len(hyps)
+    codes, lengths = numbered_units([*hyps, *refs])
+    # Row numbers go on from the hypotheses to the references.
+    owner = np.repeat(np.arange(2 * rows), lengths)
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(codes))  # units from here to the end of the row
+    out, gram, at = np.zeros((rows, top), np.int64), np.zeros(len(codes), np.int64), np.arange(len(codes))
     for n in range(1, top + 1):
-        wanted = Counter(_grams(ref, n))
-        out.append(sum(min(c, wanted[g]) for g, c in Counter(_grams(hyp, n)).items() if g in wanted))
+        at = at[left[at] >= n]
+        if not len(at):
+            break
+        # A gram is the gram before its last unit, and that unit.
+        _, own = np.unique(codes[at + n - 1], return_inverse=True)
+        _, gram[at] = np.unique(gram[at] * (own.max() + 1) + own, return_inverse=True)
+        width = gram[at].max() + 1
+        hyp = owner[at] < rows
+        keys, counts = zip(*(
+            np.unique((owner[at[side]] % rows) * width + gram[at[side]], return_counts=True) for side in (hyp, ~hyp)
+        ))
+        both, i, j = np.intersect1d(*keys, assume_unique=True, return_indices=True)
+        out[:, n - 1] = np.bincount(both // width, np.minimum(counts[0][i], counts[1][j]), rows)
     return out
 
 
@@ -63,10 +85,21 @@ def match_counts(hyp: Column | str, ref: Column | str, top: int, units: Callable
 
     @F.arrow_udf("array<bigint>")
     def run(hyps: pa.Array, refs: pa.Array) -> pa.Array:
-        rows = []
-        for h, r in zip(hyps.to_pylist(), refs.to_pylist()):
-            h, r = units(h), units(r)
-            rows.append([len(h), len(r), *count_matches(h, r, top)])
-        return pa.array(rows, pa.list_(pa.int64()))
+        done, part, size = [], [], 0
+
+        def count() -> None:
+            h, r = zip(*part)
+            done.append(np.column_stack([[*map(len, h)], [*map(len, r)], count_matches(h, r, top)]))
+
+        for pair in zip(hyps, refs):
+            part.append(tuple(units(side.as_py()) for side in pair))
+            size += len(part[-1][0]) + len(part[-1][1])
+            if size >= PART_UNITS:
+                count()
+                part, size = [], 0
+        if part:
+            count()
+        flat = np.concatenate(done).ravel() if done else np.empty(0, np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, top + 2), pa.int32()), pa.array(flat, pa.int64()))
 
     return run(hyp, ref)

@@ -46,15 +46,17 @@ def number_rows(
         F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
     earlier = W.partitionBy(*by).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    names = {c: f"_of_{c}" for c in [*by, "_part"]}
     offsets = blocks.select(
-        *by, "_part", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
+        *[F.col(c).alias(new) for c, new in names.items()],
+        (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     if not by:
         # One row per range partition of the write: bounded by the shuffle partitions.
         offsets = broadcast_checked(offsets, "offsets")
-    match = reduce(and_, [staged[c].eqNullSafe(offsets[c]) for c in [*by, "_part"]])
+    match = reduce(and_, [F.col(c).eqNullSafe(F.col(new)) for c, new in names.items()])
     return staged.join(offsets, match).select(
-        *[staged[c] for c in df.columns], (F.col("_seq") + F.col("_shift") + F.lit(start)).cast("bigint").alias(name)
+        *df.columns, (F.col("_seq") + F.col("_shift") + F.lit(start)).cast("bigint").alias(name)
     )
 
 

@@ -2,33 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentloom.functions import text as tx
 from sentloom.operators.ledger import best_run
 from sentloom.operators.stats import order_by_frequency
+from sentloom.sources.staging import path_exists
 
 
 def write_sides(df: DataFrame, path: str, src_name: str = "src", tgt_name: str = "tgt") -> tuple[str, str]:
     """Write the two sides of a pair table as line files in the same order, by line number.
 
-    One range-partitioned sort serves both writes; its rows stay on the executors'
-    disks in between. Tabs and line breaks inside a side become spaces, so that line
-    n of one side belongs to line n of the other. Returns the two folders.
+    One job writes both: every task sorts its range of line numbers and writes a file for
+    each side, so the sides belong together whatever is retried. Tabs and line breaks
+    inside a side become spaces, so that line n of one side belongs to line n of the
+    other. Returns the two folders.
     """
-    ordered = (
-        df.select("line_no", "src", "tgt")
-        .repartitionByRange("line_no").sortWithinPartitions("line_no")
-        .persist(StorageLevel.DISK_ONLY)
-    )
-    out = (f"{path}/{src_name}", f"{path}/{tgt_name}")
-    try:
-        for col, folder in zip(("src", "tgt"), out):
-            ordered.select(tx.one_line(col).alias("value")).write.mode("overwrite").text(folder)
-    finally:
-        ordered.unpersist()
+    sides = F.array(*[
+        F.struct(F.lit(name).alias("side"), tx.one_line(col).alias("value")) for col, name in (("src", src_name), ("tgt", tgt_name))
+    ])
+    rows = df.select("line_no", F.inline(sides)).repartitionByRange("line_no").sortWithinPartitions("side", "line_no")
+    rows.select("side", "value").write.mode("overwrite").partitionBy("side").text(path)
+    out = (f"{path}/side={src_name}", f"{path}/side={tgt_name}")
+    for folder in out:
+        if not path_exists(df.sparkSession, folder):  # no pairs, no files
+            rows.select("value").limit(0).write.text(folder)
     return out
 
 

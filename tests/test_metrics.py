@@ -2,7 +2,10 @@ import math
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
+from sentloom.functions import ngrams
 from sentloom.operators import metrics
 
 
@@ -109,3 +112,25 @@ def test_evaluate_reports_three_metrics(spark):
 def test_empty_input(spark):
     assert metrics.corpus_bleu(frame(spark, [])).first().bleu == 0.0
     assert metrics.corpus_chrf(frame(spark, [])).first().chrf == 0.0
+
+
+TOKENS = st.lists(st.lists(st.sampled_from(["a", "b", "c", "", "aa"]), max_size=9), min_size=1, max_size=6)
+TEXTS = st.lists(st.text("abé🙂", max_size=12), min_size=1, max_size=6)
+
+
+@settings(max_examples=150, deadline=None)
+@given(hyps=st.one_of(TOKENS, TEXTS), seed=st.integers(0, 5), top=st.integers(1, 6))
+def test_matches_of_all_rows_at_once_equal_those_of_each(hyps, seed, top):
+    refs = hyps[seed % len(hyps):] + hyps[:seed % len(hyps)]
+    got = ngrams.count_matches(hyps, refs, top)
+    for row, (h, r) in enumerate(zip(hyps, refs)):
+        for n in range(1, top + 1):
+            hg, rg = (Counter(tuple(s[i:i + n]) for i in range(len(s) - n + 1)) for s in (h, r))
+            assert got[row, n - 1] == sum((hg & rg).values())
+
+
+def test_parts_of_a_batch(spark, monkeypatch):
+    rows = [(f"a b c {i}", f"a b {i} c") for i in range(40)] + [(None, "x"), ("", "")]
+    whole = metrics.corpus_bleu(frame(spark, rows)).first()
+    monkeypatch.setattr(ngrams, "PART_UNITS", 7)
+    assert metrics.corpus_bleu(frame(spark, rows)).first() == whole

@@ -147,3 +147,8 @@ def test_staged_tables_are_deleted_by_their_owner(spark):
         kept = staging.stage(spark.range(3), "owned")
         assert kept.count() == 3 and list(root.glob("owned-*"))
     assert not list(root.glob("owned-*"))
+
+
+def test_sides_of_an_empty_table(spark, tmp_path):
+    src, tgt = sinks.write_sides(spark.createDataFrame([], "line_no bigint, src string, tgt string"), str(tmp_path / "none"))
+    assert corpus.read_parallel(spark, src, tgt, "c", "l1", "l2").count() == 0
