@@ -168,22 +168,23 @@ def near_links(fingerprints: DataFrame, distance: int = 4, blocks: int = 7, dire
 
 def near_copies(
     docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 7, direct: int = DIRECT,
-) -> DataFrame:
-    """One row per document: its columns ``doc_id`` and ``th`` (hash of the text), ``fp``, and ``class``.
+) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of every document, and the class of every fingerprint.
 
-    ``class`` is the smallest fingerprint linked to the document's own, over any number
-    of steps. The fingerprints are written out once; only they, not the texts, are shuffled.
+    The first table has doc_id, th (a hash of the text) and fp of each document, the
+    second each distinct fp and its class: the smallest fingerprint linked to it over any
+    number of steps. Both are written out; only fingerprints, not the texts, are shuffled.
     """
     scratch = Scratch(docs.sparkSession)
     own = scratch.write(
         docs.select("doc_id", F.xxhash64("text").alias("th"), fingerprint_column(F.col("text"), shingle).alias("fp")),
         "fingerprints",
     )
-    labels = components(near_links(own, distance, blocks, direct))
-    return (
-        own.join(labels.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("doc_id", "th", "fp", F.coalesce("label", "fp").alias("class"))
-    )
+    labels = components(near_links(own, distance, blocks, direct)).withColumnRenamed("node", "fp")
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    each = own.groupBy("fp").agg(F.min(best).alias("best"))
+    classes = each.join(labels, "fp", "left").select("fp", "best", F.coalesce("label", "fp").alias("class"))
+    return own, scratch.write(classes, "classes")
 
 
 def simhash_classes(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks: int = 7) -> DataFrame:
@@ -196,9 +197,11 @@ def simhash_classes(docs: DataFrame, shingle: int = 4, distance: int = 4, blocks
     NULL if there is none. Repeated rows stay repeated. An empty table gives no rows;
     columns other than doc_id and text are not read.
     """
-    rows = near_copies(docs, shingle, distance, blocks)
-    smallest = rows.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(smallest, "class").select(
+    own, classes = near_copies(docs, shingle, distance, blocks)
+    smallest = classes.groupBy("class").agg(F.min("best.doc_id").alias("component_id"))
+    # By fingerprint, on written tables: copies of one text are a skewed join, which can be split.
+    known = Scratch(docs.sparkSession).write(classes.join(smallest, "class").select("fp", "component_id"), "components")
+    return own.join(known, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
     )
 
@@ -210,10 +213,8 @@ def drop_near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4, block
     rows that agree in both, the smallest over all columns. Only identifiers decide;
     the texts move once, to meet them.
     """
-    rows = near_copies(docs, shingle, distance, blocks)
-    kept = rows.groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("best")
-    ).select(F.col("best.none").alias("_none"), F.coalesce("best.doc_id", F.lit(0)).alias("_id"), F.col("best.th").alias("_th"))
+    _, classes = near_copies(docs, shingle, distance, blocks)
+    kept = classes.groupBy("class").agg(F.min("best").alias("best")).select(F.col("best.none").alias("_none"), F.coalesce("best.doc_id", F.lit(0)).alias("_id"), F.col("best.th").alias("_th"))
     keys = ["_none", "_id", "_th"]
     keyed = docs.select(
         F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"),

@@ -27,6 +27,8 @@ WARC_MEMBER, INDEX_MEMBER = "archive/data.warc", "indexes/index.cdx"
 MIN_REVISIT = 1000
 # Bytes after which a task begins another package; one package is one task's work when read.
 PACKAGE_BYTES = 64 << 20
+# Tasks that read packages back, at most; each opens one after another.
+READ_TASKS = 10_000
 # The pages carry no time of capture.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -263,4 +265,4 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     """
     spark = pages.sparkSession
     packages = Scratch(spark).write(write_packages(archive_records(pages), staging_path(spark, "warc")), "packages")
-    return read_packages(packages.repartition(max(1, packages.count())))
+    return read_packages(packages.repartition(min(max(1, packages.count()), READ_TASKS)))
