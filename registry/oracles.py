@@ -575,6 +575,14 @@ SQL: dict[str, str] = {
     "pair_examples": f"""WITH {CLEAN}, {NEGATIVES}, ex AS (
           SELECT line_no * 2 AS line_no, src, tgt FROM clean UNION ALL SELECT line_no * 2 + 1, src, tgt FROM negatives), {FEATURES}
         SELECT *, (1 - line_no % 2)::DOUBLE AS label FROM features""",
+    "classifier_data": f"""WITH {LINES}, c AS (
+          SELECT lang, {one_line('text')} AS text, CASE source WHEN 'src2' THEN 'dev' ELSE 'train' END AS part,
+                 row_number() OVER (PARTITION BY lang, source = 'src2' ORDER BY source DESC, line_no) AS line_no
+          FROM lines WHERE source IN ('src1', 'src2', 'src3') AND lang IN ('en', 'de')),
+        p AS (SELECT e.part, e.line_no, {strip('e.text')} AS src, {strip('d.text')} AS tgt
+              FROM c e JOIN c d ON e.part = d.part AND e.line_no = d.line_no WHERE e.lang = 'en' AND d.lang = 'de'),
+        k AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY {sample_key('line_no')}) AS r FROM p WHERE src <> '' AND tgt <> '')
+        SELECT part, line_no, src, tgt FROM k WHERE part = 'dev' OR r <= 300""",
     "score_pairs_formula": f"WITH {SCORED} SELECT line_no, score FROM scored_pairs",
     "clean_synthetic": f"WITH {SYNTHETIC} SELECT line_no, l1_origin, l2_origin, score FROM synthetic WHERE score > 0.3::DOUBLE",
     "learn_bpe": f"""WITH RECURSIVE {LINES}, {bpe(f"SELECT unnest({words('text')}) AS w, 1 AS n FROM lines", SMALL_VOCABULARY)},

@@ -24,6 +24,7 @@ from sentloom.operators import (
     tokenization,
     vocabulary,
 )
+from sentloom.plans import classifier as classifier_plan
 from sentloom.plans import experiment, student, views
 from sentloom.sources import corpus, sinks
 from sentloom.sources.staging import materialize_once, stage, staging_path
@@ -653,6 +654,17 @@ def classifier(spark, sf):
     return scoring.fit_pair_classifier(train, dev, german_words(spark, sf), "de", SEED)
 
 
+@query
+def classifier_data(spark, sf):
+    root = staging_path(spark, "corpora")
+    for lang in ("en", "de"):
+        lines = views.corpus(spark, sf, lang)
+        for name in ("src1", "src2", "src3"):
+            sinks.write_lines(lines.filter(F.col("corpus") == name), f"{root}/{name}.{lang}")
+    data = classifier_plan.classifier_data(spark, root, ["src3", "src1"], ["src2"], "en", "de", max_pairs=300, seed=SEED)
+    return data.train.withColumn("part", F.lit("train")).unionByName(data.dev.withColumn("part", F.lit("dev")))
+
+
 @query
 def fit_pair_classifier(spark, sf):
     model = classifier(spark, sf)

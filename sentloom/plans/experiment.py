@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +25,10 @@ from sentloom.operators.sampling import prefix_for
 from sentloom.operators.scoring import PairClassifier, score_pairs
 from sentloom.operators.stats import THRESHOLDS
 from sentloom.operators.synthesis import Translator, synthesize
+from sentloom.plans.classifier import classifier_data, train_classifier
+from sentloom.sources.corpus import corpus_paths, read_corpora, read_parallel
 from sentloom.sources.sinks import write_result, write_synthetic
-from sentloom.sources.staging import materialize_once
+from sentloom.sources.staging import materialize_once, stage
 
 DIRECTIONS = ("1n", "n1")
 MAX_ITERATIONS = 8
@@ -42,14 +44,15 @@ class Callbacks:
     returns (model_ref, validation metric); ``baseline(direction)`` is the metric of
     the untuned model; ``translator(model_ref)`` returns the loader that
     :func:`~sentloom.operators.synthesis.translate` wants; ``encode`` adds ``pieces``;
-    ``scorer`` is a fitted pair classifier or a function from frame to score column.
+    ``scorer`` is a fitted pair classifier or a function from frame to score column;
+    :func:`run_experiment` trains one where it is None.
     """
 
     train: Callable[[str, str, DataFrame, str | None], tuple[str, float]]
     baseline: Callable[[str], float]
     translator: Callable[[str], Callable[[], Translator]]
     encode: Callable[[DataFrame], DataFrame]
-    scorer: PairClassifier | Callable[[DataFrame], Column]
+    scorer: PairClassifier | Callable[[DataFrame], Column] | None = None
 
 
 @dataclass
@@ -263,3 +266,42 @@ class Refinement:
         write_result(ledger, f"{self.workdir}/result")
         s = self.state
         return Outcome(ledger, dict(s.best), dict(s.model), dict(s.threshold), synthetic, stopped)
+
+
+@dataclass(frozen=True)
+class Config:
+    """Named corpora ``<root>/<name>.<language>`` and the settings of one experiment.
+
+    ``classifier_train`` and ``classifier_dev`` name the corpora of the pair classifier;
+    they are needed if the callbacks bring no scorer.
+    """
+
+    name: str
+    root: str
+    workdir: str
+    langs: tuple[str, str]
+    parallel: Sequence[str]
+    mono: Mapping[str, Sequence[str]]
+    classifier_train: Sequence[str] = ()
+    classifier_dev: Sequence[str] = ()
+    thresholds: Sequence[float] = THRESHOLDS
+    max_iter: int = MAX_ITERATIONS
+    unit: int | None = None
+    piece_limit: int | None = None
+
+
+def run_experiment(spark: SparkSession, config: Config, callbacks: Callbacks) -> Outcome:
+    """Read the corpora of a configuration, train the pair classifier if need be, and refine both directions."""
+    l1, l2 = config.langs
+    paths = [corpus_paths(spark, config.root, config.parallel, lang) for lang in config.langs]
+    both = read_parallel(spark, *paths, "parallel", l1, l2)
+    parallel = stage(both.select("line_no", F.col("src").alias("l1"), F.col("tgt").alias("l2")), "parallel")
+    mono = {
+        side: stage(read_corpora(spark, config.root, config.mono[lang], lang).select("line_no", "text"), "mono")
+        for side, lang in (("l1", l1), ("l2", l2))
+    }
+    if callbacks.scorer is None:
+        data = classifier_data(spark, config.root, config.classifier_train, config.classifier_dev, l1, l2)
+        callbacks = replace(callbacks, scorer=train_classifier(data, l2))
+    run = Refinement(spark, config.name, config.workdir, parallel, mono, callbacks, config.unit, config.piece_limit)
+    return run.run(config.thresholds, config.max_iter)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sentloom.functions import text as tx
 from sentloom.operators import ledger, scoring, synthesis
-from sentloom.plans import experiment
+from sentloom.plans import classifier, experiment
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -123,3 +123,28 @@ def test_the_whole_corpus_is_the_default_and_a_metric_that_is_no_number_never_wi
     out = run.run(thresholds=(0.0, 0.5))
     assert out.best == {"1n": 21.0, "n1": 20.0} and out.stopped_at == 1
     assert script.seen["it_1", "1n"][0] == 32  # two parallel pairs and all thirty lines
+
+
+def test_run_experiment_from_files(spark, tmp_path):
+    """Named corpora in, a trained scorer, and the ledger out."""
+    def write(name, lines):
+        (tmp_path / name).write_text("".join(f"{x}\n" for x in lines))
+
+    numbers = "one two three four five six seven eight nine ten".split()
+    text = lambda lang, i: f"{numbers[i % 10]} {i} " + f"{lang} " * (i % 9) + "."
+    for name, ids in (("train", range(120)), ("more", range(120, 200)), ("dev", range(200, 260)), ("mono", range(300, 320))):
+        for lang in ("en", "de"):
+            write(f"{name}.{lang}", [text(lang, i) if i % 50 else "" for i in ids])
+    script = Script({("first", "1n"): 20.0, ("first", "n1"): 20.0})
+    config = experiment.Config(
+        "files", str(tmp_path), str(tmp_path / "work"), ("en", "de"), ["more", "train"], {"en": ["mono"], "de": ["mono"]},
+        ["train", "more"], ["dev"], thresholds=(0.0,), max_iter=1,
+    )
+    callbacks = experiment.Callbacks(script.train, lambda d: 10.0, lambda ref: reverse, with_words)
+    out = experiment.run_experiment(spark, config, callbacks)
+    assert out.best == {"1n": 20.0, "n1": 20.0} and out.stopped_at == 1
+    assert script.seen["first", "1n"][0] == 200
+    data = classifier.classifier_data(spark, str(tmp_path), ["train", "more"], ["dev"], "en", "de", max_pairs=50)
+    assert data.train.count() == 50 and data.dev.count() == 58
+    with pytest.raises(ValueError, match="no corpus in en for: gone"):
+        classifier.classifier_data(spark, str(tmp_path), ["gone"], ["dev"], "en", "de")
