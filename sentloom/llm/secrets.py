@@ -20,8 +20,9 @@ MIN_VALUE = 8
 # Strings the models judge: so long at least, and in these characters.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-# Pseudo-counts of a pair of characters, and the log-likelihood ratio a secret needs for each character.
-SMOOTHING, MIN_RATIO = 0.5, 1.0
+# Pseudo-counts of a character and of what follows one, and the log-likelihood ratio a
+# secret needs for each character.
+SMOOTHING, BACKOFF, MIN_RATIO = 0.5, 2.0, 1.0
 # A quick look for texts that may match at all; it may say yes too often, never no.
 MAYBE_ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
 MAYBE_ACCESS, MAYBE_HEX = "AKIA", "[0-9a-f]{32}"
@@ -99,11 +100,15 @@ def pair_counts(docs: DataFrame) -> np.ndarray:
 def log_ratios(counts: np.ndarray) -> np.ndarray:
     """Log-likelihood ratio of each next character, random against ordinary.
 
-    Random strings are also smoothed by a uniform draw, since few alphabets of secrets
-    are among the samples.
+    Both chains fall back on how often a character comes at all, so a pair that ordinary
+    text never has is as unlikely there as its second character is rare. Random strings
+    are half a uniform draw, since few alphabets of secrets are among the samples.
     """
-    p = (counts + SMOOTHING) / (counts + SMOOTHING).sum(axis=2, keepdims=True)
-    return np.log(0.5 * p[0] + 0.5 / len(ALPHABET)) - np.log(p[1])
+    n = len(ALPHABET)
+    alone = (counts.sum(axis=1) + SMOOTHING) / (counts.sum(axis=(1, 2)) + n * SMOOTHING)[:, None]
+    rows = counts.sum(axis=2, keepdims=True)
+    p = (counts + BACKOFF * alone[:, None, :]) / (rows + BACKOFF)
+    return np.log(0.5 * p[0] + 0.5 / n) - np.log(p[1])
 
 
 def markov_spans(text: str, ratios: np.ndarray, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:

@@ -48,13 +48,16 @@ def test_rules_on_the_table(spark, sf):
 
 
 def test_models_add_random_strings(spark):
+    """Learnt from the table's own texts: keys of several alphabets are found, long words and numbers are not."""
     rng = random.Random(4)
-    prose = "configuration_manager handles the authenticationProvider and connection-timeout-settings for ordinary_identifier_names "
-    texts = [prose * 30 + "".join(rng.choices("0123456789abcdef", k=40)) for _ in range(60)]
-    hidden = "".join(rng.choices(secrets.ALPHABET[:62], k=40))
-    got = check(spark, [*texts, f"see {hidden} here", "see authenticationProviderConfiguration here"])
-    assert got[60]["spans"] == "markov:4:44"
-    assert got[61]["spans"] == ""
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    keys = ["".join(rng.choices(alphabet, k=k)) for alphabet in (secrets.ALPHABET[:62], secrets.ALPHABET[:64]) for k in (16, 24, 40)]
+    plain = ["erthingoftheandthn", "1234567890123456", "thtionshonthtionbleed", "-" * 20]
+    rows = [f"ü {w} then" for w in keys + plain]
+    docs = spark.createDataFrame(list(enumerate([*rows, *texts])), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs).where(f"doc_id < {len(rows)}").collect()}
+    assert [got[i] for i in range(len(keys))] == [f"markov:2:{2 + len(k)}" for k in keys]
+    assert not any(got[i] for i in range(len(keys), len(rows)))
 
 
 def test_odd_rows(spark):
