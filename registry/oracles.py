@@ -645,3 +645,4 @@ SQL["iterate"] = f"""WITH {CORPORA},
   UNION ALL SELECT 'score_' || (t / 10.0)::DOUBLE, 0, direction, (t / 10.0)::DOUBLE, metric FROM m, range(10) r(t)
   UNION ALL SELECT 'it_' || i, i, direction, (0.9)::DOUBLE, metric FROM m, range(1, 9) r(i)"""
 SQL["ids_from_vocab_shuffled"] = SQL["encode_ids"].replace("AS id_text", "AS ids")
+SQL["encode_pieces_model"] = SQL["apply_bpe"]

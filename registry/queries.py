@@ -236,12 +236,11 @@ for _lang in ("de", "en", "es", "fr"):
 
 
 def _threes():
-    return lambda text: re.findall("[^ ]{1,3}", text)
+    return lambda texts: [re.findall("[^ ]{1,3}", t) for t in texts]
 
 
 @query
 def encode_pieces(spark, sf):
-    # An outside encoder (any callable); the pieces that only Spark needs come from columns.
     encoded = subword.encode_pieces(views.lines(spark, sf), _threes)
     return encoded.select("lang", "line_no", joined("pieces"))
 
@@ -705,6 +704,30 @@ def apply_bpe(spark, sf):
     return subword.apply_bpe(views.lines(spark, sf), merges).select("lang", "line_no", joined("pieces"))
 
 
+def _outside_model(merges, pieces):
+    """A byte-pair model of another library, with learned merges."""
+
+    def load():
+        from tokenizers import Tokenizer, models
+
+        tokenizer = Tokenizer(models.BPE({p: i for i, p in enumerate(pieces)}, merges))
+
+        def encode(texts):
+            rows = [[tx.WORD_MARK + w for w in re.split(tx.WHITESPACE_RUN, t) if w] for t in texts]
+            return [e.tokens for e in tokenizer.encode_batch(rows, is_pretokenized=True)]
+
+        return encode
+
+    return load
+
+
+@query
+def encode_pieces_model(spark, sf):
+    merges, vocab = subword.learn_bpe(views.lines(spark, sf), vocab_size=SMALL_VOCABULARY)
+    load = _outside_model(merges, [r["piece"] for r in vocab.orderBy("piece_id").collect()])
+    return subword.encode_pieces(views.lines(spark, sf), load).select("lang", "line_no", joined("pieces"))
+
+
 def _reverse_words():
     return lambda texts: [" ".join(reversed(t.split(" "))) for t in texts]
 

@@ -206,20 +206,26 @@ def apply_bpe(df: DataFrame, merges: list[tuple[str, str]], col: str = "text", o
     return df.withColumn(out, encode(marked_words(col)))
 
 
-def encode_pieces(df: DataFrame, load: Callable[[], Callable[[str], list[str]]], col: str = "text", out: str = "pieces") -> DataFrame:
+def encode_pieces(
+    df: DataFrame, load: Callable[[], Callable[[list[str]], list[list[str]]]], col: str = "text", out: str = "pieces"
+) -> DataFrame:
     """Encode text to pieces with any subword model.
 
-    ``load`` returns the encoder (text -> pieces) and runs once per task, so a model
-    is read once and used for all batches, for example
-    ``lambda: SentencePieceProcessor(model_proto=model_bytes).EncodeAsPieces``.
+    ``load`` returns the encoder (list of texts -> list of their pieces) and runs once per
+    task, so a model is read once and used for all batches, for example
+    ``lambda: SentencePieceProcessor(model_proto=model_bytes).EncodeAsPieces``. It is
+    given the distinct texts of a batch; a NULL text has NULL pieces.
     """
 
     @F.arrow_udf("array<string>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         for batch in batches:
-            yield pa.array(
-                [None if t is None else list(model(t)) for t in batch.to_pylist()], pa.list_(pa.string())
-            )
+            distinct = batch.dictionary_encode()
+            texts = distinct.dictionary.to_pylist()
+            pieces = [list(p) for p in model(texts)] if texts else []
+            if len(pieces) != len(texts):
+                raise ValueError(f"the encoder returned {len(pieces)} results for {len(texts)} texts")
+            yield pa.array(pieces, pa.list_(pa.string())).take(distinct.indices)
 
     return df.withColumn(out, encode(F.col(col)))
