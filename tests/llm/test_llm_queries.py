@@ -52,3 +52,29 @@ def test_pipeline_stages(spark, con, sf):
     before, after = done["sharding"]
     assert ids(after) == ids(before)
     assert ids(corpus_pipeline.run(spark, sf)) == ids(after)
+
+
+ODD = [
+    (1, "a b c d e f g h. i j", "en", "s0", 20), (1, "a b c d e f g h. i j", "en", "s0", 20), (2, None, None, None, None), (None, "", "de", "s1", 0),
+    (None, "x " * 30_000, None, "s1", 60_000), (3, " \n\t", "fr", None, 3), (4, "k l m n o p q r. s t", "en", "s0", 20), (5, "ü🙂", "xx", "", -1),
+]
+
+
+def test_every_stage_takes_odd_and_empty_tables(spark, sf):
+    """NULLs anywhere, repeated rows, blank and long texts, an extra column; and no rows at all."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(ODD, schema)
+    for name, stage in corpus_pipeline.STAGES:
+        none = stage(spark, docs.limit(0), sf)
+        assert none.collect() == []
+        out = stage(spark, docs.selectExpr("*", "1 as shard", "'y' as label"), sf)
+        got = out.collect()
+        if name in ("toxicity", "decontamination", "sharding"):
+            assert len(got) == len(ODD)
+        elif name == "near_copies":
+            # The copies of 1 and the texts without words (2, 3, and one without an id) leave one row each.
+            assert sorted((r["doc_id"] for r in got), key=str) == sorted([1, 2, 4, 5, None], key=str)
+        else:
+            assert {r["doc_id"] for r in got} <= {r[0] for r in ODD} and got
+        if name != "sharding":
+            assert out.columns == [*docs.columns, "shard", "label"]
