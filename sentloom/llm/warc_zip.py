@@ -1,16 +1,19 @@
 """Web archives in ZIP packages: written per partition, read back by ranges without extraction.
 
-A package holds ``archive/data.warc`` and ``indexes/index.cdx`` as stored members, so
-that a record is a byte range of the package. The index has a line for each record:
-its offset in the WARC member and its length.
+A package holds ``archive/data.warc.gz`` and ``indexes/index.cdx`` as stored members, so
+that a record is a byte range of the package. Every record is a gzip member of its own,
+as is usual for WARC files. The index has a line for each record: its offset in the WARC
+member and its length.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import struct
 import uuid
 import zipfile
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from sentloom.llm.common import Scratch
 from sentloom.sources.staging import staging_path
 
-WARC_MEMBER, INDEX_MEMBER = "archive/data.warc", "indexes/index.cdx"
+WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdx"
 # Payloads at least so long are stored once; the others of the same bytes revisit it.
 MIN_REVISIT = 1000
 # Bytes after which a task begins another package; one package is one task's work when read.
@@ -71,6 +74,7 @@ class PackageWriter:
         self.member = self.package.open(WARC_MEMBER, "w", force_zip64=True)
 
     def add(self, record: bytes) -> None:
+        record = gzip.compress(record, mtime=0)
         self.member.write(record)
         self.index.append(f"{self.size} {len(record)}\n")
         self.size += len(record)
@@ -190,7 +194,11 @@ class PackageReader:
         """Headers and block of each record in the index."""
         for line in self.read(INDEX_MEMBER).decode().splitlines():
             offset, size = map(int, line.split())
-            head, _, rest = self.read(WARC_MEMBER, offset, size).partition(b"\r\n\r\n")
+            try:
+                record = gzip.decompress(self.read(WARC_MEMBER, offset, size))
+            except (OSError, EOFError, zlib.error) as error:
+                raise ValueError(f"damaged record at {offset}") from error
+            head, _, rest = record.partition(b"\r\n\r\n")
             version, *lines = head.decode().split("\r\n")
             if not version.startswith("WARC/"):
                 raise ValueError("the index does not point to a record")

@@ -11,7 +11,7 @@ from sentloom.llm import warc_zip
 
 
 def reader(data):
-    return warc_zip.PackageReader(pa.PythonFile(io.BytesIO(data)) if False else pa.BufferReader(data))
+    return warc_zip.PackageReader(pa.BufferReader(data))
 
 
 def package(members, comment=b"", method=zipfile.ZIP_STORED):
@@ -49,6 +49,30 @@ def test_refused():
         reader(package({"a": b"x" * 100}, method=zipfile.ZIP_DEFLATED)).read("a")
 
 
+def test_records_are_read_by_range(spark, tmp_path):
+    """No more of a package is read than its directory, its index and the records asked for."""
+    records = pages(spark, [(i, "u", chr(97 + i) * 5000) for i in range(20)]).coalesce(1).selectExpr(
+        "page_id", "url", "cast(html as binary) payload", "sha1(html) digest", "cast(null as long) refers_to")
+    uri = warc_zip.write_packages(records, f"file://{tmp_path}/r").collect()[0]["package"]
+    asked = []
+
+    class Watched(warc_zip.PackageReader):
+        def _at(self, offset, size):
+            asked.append(size)
+            return super()._at(offset, size)
+
+    r = Watched(pa.BufferReader(open(uri.removeprefix("file://"), "rb").read()))
+    lines = r.read(warc_zip.INDEX_MEMBER).decode().splitlines()
+    assert len(lines) == 20
+    first = [int(x) for x in lines[7].split()]
+    asked.clear()
+    next(r.records())
+    assert max(asked[1:]) <= max(int(x.split()[1]) for x in lines)
+    import gzip
+
+    assert b"h" * 5000 in gzip.decompress(r.read(warc_zip.WARC_MEMBER, *first))
+
+
 def test_empty_package():
     assert reader(package({})).members == {}
 
@@ -89,9 +113,11 @@ def test_damage_is_found(spark, tmp_path):
     records = pages(spark, [(1, "u", "x" * 50)]).selectExpr("page_id", "url", "cast(html as binary) payload", "sha1(html) digest", "cast(null as long) refers_to")
     written = warc_zip.write_packages(records, f"file://{tmp_path}/p").collect()
     path = [r["package"] for r in written if r["package"]][0].removeprefix("file://")
-    data = open(path, "rb").read()
-    open(path, "wb").write(data.replace(b"xxxxx", b"xxyxx", 1))
-    with pytest.raises(Exception, match="damaged payload"):
+    data = bytearray(open(path, "rb").read())
+    place = reader(bytes(data)).members[warc_zip.WARC_MEMBER].offset
+    data[place + 60] ^= 1
+    open(path, "wb").write(data)
+    with pytest.raises(Exception, match="damaged record"):
         warc_zip.read_packages(spark.createDataFrame([(f"file://{path}",)], "package string")).collect()
 
 
