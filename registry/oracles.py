@@ -423,6 +423,7 @@ SQL: dict[str, str] = {
           SELECT sent_id, regexp_replace({LOG_TEXT}, '^(.*) ', '\\1' || chr(9)) AS text FROM turns)
         SELECT sent_id, (-0.5)::DOUBLE AS score, split_part(text, chr(9), 1) AS third, split_part(text, chr(9), -1) AS last
         FROM t""",
+    "normalize_text": f"WITH {LINES} SELECT lang, line_no, nfc_normalize(text) AS text FROM lines",
     "lower_text": f"WITH {LINES} SELECT lang, line_no, lower(text) AS text FROM lines",
     **{
         f"tokenize_{lang}": f"""WITH {LINES}

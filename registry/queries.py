@@ -222,6 +222,14 @@ def lower_text(spark, sf):
     return cleaning.lower_text(views.lines(spark, sf)).select("lang", "line_no", "text")
 
 
+@query
+def normalize_text(spark, sf):
+    # Half of the lines with their marks taken apart, half as they are.
+    apart = cleaning.normalize_text(views.lines(spark, sf).filter("line_no % 2 = 0"), "NFD")
+    both = apart.unionByName(views.lines(spark, sf).filter("line_no % 2 = 1"))
+    return cleaning.normalize_text(both, "NFC").select("lang", "line_no", "text")
+
+
 def _tokenize(lang):
     def run(spark, sf):
         df = tokenization.tokenize(views.lines(spark, sf, lang), lang)

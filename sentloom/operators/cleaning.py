@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -110,6 +112,18 @@ def lower_text(df: DataFrame, col: str = "text") -> DataFrame:
     return df.withColumn(col, F.lower(col))
 
 
+def normalize_text(df: DataFrame, form: str = "NFKC", col: str = "text") -> DataFrame:
+    """Bring a text column to a Unicode normal form (NFC, NFKC, NFD or NFKD), in Arrow batches."""
+    if form not in ("NFC", "NFKC", "NFD", "NFKD"):
+        raise ValueError(f"unknown normal form {form!r}")
+
+    @F.arrow_udf("string")
+    def normal(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else unicodedata.normalize(form, t) for t in texts.to_pylist()], pa.string())
+
+    return df.withColumn(col, normal(F.col(col)))
+
+
 def with_placeholder(df: DataFrame, col: str = "tgt") -> DataFrame:
     """A placeholder target side for monolingual text: the line number as a string."""
     return df.withColumn(col, F.col("line_no").cast("string"))

@@ -22,6 +22,8 @@ from sentloom.sources.staging import stage
 # Control symbols of a subword vocabulary, in id order.
 CONTROL_SYMBOLS = ["<unk>", "<s>", "</s>"]
 DEFAULT_VOCAB_SIZE = 10_000
+# Stands for characters that the vocabulary leaves out.
+LEFT_OUT = "\ufffd"
 # Leading pairs looked at per round; rounds after which the word table is written.
 CANDIDATES = 256
 ROUNDS_PER_STAGE = 8
@@ -88,6 +90,8 @@ def learn_bpe(
     vocab_size: int = DEFAULT_VOCAB_SIZE,
     batch: int = CANDIDATES,
     col: str = "text",
+    coverage: float = 1.0,
+    max_piece: int | None = None,
 ) -> tuple[list[tuple[str, str]], DataFrame]:
     """Learn byte-pair merges from a text column: (merges in order, vocabulary).
 
@@ -100,7 +104,10 @@ def learn_bpe(
     after, and the differences applied to the written counts.
 
     The vocabulary (piece, piece_id) lists control symbols, merged pieces in order,
-    then characters by count. ``vocab_size`` must leave room for all characters.
+    then characters by count. ``vocab_size`` must leave room for all characters. With a
+    ``coverage`` below 1 the rarest characters beyond that share of the text are left out:
+    no piece has them and no pair goes over them. ``max_piece`` bounds the length of merged
+    pieces, the word mark included.
     """
     spark = df.sparkSession
     words = (
@@ -118,6 +125,10 @@ def learn_bpe(
             .orderBy(F.desc("n"), F.asc("c")).collect()
         )
     ]
+    if coverage < 1:
+        chars, rare = _covered(table, chars, coverage)
+        # One mark for all of them; pairs with it are never candidates.
+        table = stage(table.select(F.translate("seg", rare, LEFT_OUT * len(rare)).alias("seg"), "n"), "words")
     known = set(chars)
     wanted = vocab_size - len(CONTROL_SYMBOLS) - len(chars)
     if wanted < 0:
@@ -126,12 +137,15 @@ def learn_bpe(
     merged = F.concat("a", "b")
     order = [F.desc("n"), F.length(merged), merged, F.length("a")]
     base, pending, rounds = stage(pair_counts(table), "pairs"), [], 0
+    eligible = (F.col("a") != LEFT_OUT) & (F.col("b") != LEFT_OUT)
+    if max_piece is not None:
+        eligible &= F.length(merged) <= max_piece
     while len(merges) < wanted:
         counts = _recounted(table, base, pending)
         if rounds and rounds % ROUNDS_PER_STAGE == 0:
             counts = base = stage(counts, "pairs")
             table, pending = stage(table.select(_merged(F.col("seg"), pending).alias("seg"), "n"), "words"), []
-        top = counts.orderBy(*order).limit(max(1, batch)).collect()
+        top = counts.filter(eligible).orderBy(*order).limit(max(1, batch)).collect()
         taken = independent_prefix([(r["a"], r["b"]) for r in top], known)[: wanted - len(merges)]
         if not taken:
             break
@@ -142,6 +156,19 @@ def learn_bpe(
     return merges, _vocabulary(spark, merges, chars)
 
 
+def _covered(table: DataFrame, chars: list[str], coverage: float) -> tuple[list[str], str]:
+    """The most frequent characters that make up the share ``coverage`` of the text, and the others."""
+    counts = table.select(F.explode(_symbols(F.col("seg"))).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
+    by_char = {r["c"]: r["n"] for r in counts.collect()}
+    goal, total, kept = coverage * sum(by_char.values()), 0, []
+    for c in chars:
+        if total >= goal:
+            break
+        kept.append(c)
+        total += by_char[c]
+    return kept, "".join(chars[len(kept):])
+
+
 def _recounted(table: DataFrame, base: DataFrame, pending: list[tuple[str, str]]) -> DataFrame:
     """Pair counts after the pending merges: those of the written words, with the words that change counted anew."""
     if not pending:

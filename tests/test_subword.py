@@ -14,7 +14,7 @@ def texts(spark, rows):
     return spark.createDataFrame([(r,) for r in rows], "text string")
 
 
-def plain_bpe(rows, n_merges):
+def plain_bpe(rows, n_merges, without="", longest=99):
     """One merge at a time: the most frequent pair; ties to the shorter, then smaller, merged symbol."""
     words = Counter("▁" + w for r in rows for w in r.split())
     segs = {w: list(w) for w in words}
@@ -23,7 +23,8 @@ def plain_bpe(rows, n_merges):
         counts = Counter()
         for w, n in words.items():
             for pair in zip(segs[w], segs[w][1:]):
-                counts[pair] += n
+                if not set(without) & set("".join(pair)) and len("".join(pair)) <= longest:
+                    counts[pair] += n
         if not counts:
             break
         a, b = min(counts, key=lambda p: (-counts[p], len(p[0] + p[1]), (p[0] + p[1]).encode(), len(p[0])))
@@ -81,6 +82,15 @@ def test_encoding_replays_the_merges_and_decodes_to_the_text(spark):
         assert "".join(b.p).replace("▁", " ").strip() == d.text
 
 
+def test_rare_characters_and_long_pieces_are_left_out(spark):
+    rows = ["abab abab ab xab abx", "ab ab abq aab"]
+    merges, vocab = subword.learn_bpe(texts(spark, rows), 3 + 3 + 4, coverage=0.9, max_piece=4)
+    pieces = {r.piece for r in vocab.collect()}
+    assert {"a", "b", "▁"} <= pieces and not any(set("xq\ufffd") & set(p) for p in pieces - {"<unk>"})
+    assert merges == plain_bpe(rows, 4, "xq", 4)[0]
+    assert all(len(a + b) <= 4 for a, b in merges)
+
+
 def test_a_vocabulary_below_the_alphabet_is_an_error(spark):
     with pytest.raises(ValueError, match="no room for"):
         subword.learn_bpe(texts(spark, CORPORA[0]), 8)
