@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentloom.sources.staging import staging_path
+from sentloom.sources.staging import delete_path, staging_path
 
 # One word: a run of anything but the six ASCII whitespace characters.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -50,19 +50,16 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.paths: dict[int, str] = {}
 
     def write(self, df: DataFrame, label: str) -> DataFrame:
         path = staging_path(self.spark, label)
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(back)] = path
         back._scratch = path
         return back
 
     def drop(self, df: DataFrame) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(self.spark, df._scratch)
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

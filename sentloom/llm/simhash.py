@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentloom.llm.common import Scratch, slices
+from sentloom.llm.common import Scratch
 from sentloom.llm.components import components
 
 SEED = 42
@@ -117,22 +117,19 @@ def _links(distance: int):
     return run
 
 
-def _crowded_links(rows: DataFrame, masks: list[int], distance: int) -> DataFrame:
+def _crowded_links(fingerprints: DataFrame, distance: int) -> DataFrame:
     """Links of block values with very many fingerprints, without comparing pairs.
 
     Two values are within ``distance`` bits just if some third value is within half of
     it of both, rounded up on one side. So every fingerprint is written under all its
-    neighbours within that radius that differ outside the block, and is linked to the
-    smallest fingerprint under each (minima are combined before the shuffle). An edge
-    may join two values 2 * radius bits apart, so for an odd distance the second side
-    is written under the smaller radius only.
+    neighbours within that radius (2,081 for 4 bits), and is linked to the smallest
+    fingerprint under each (minima are combined before the shuffle). For an odd distance
+    the smallest is taken among those within the smaller radius, so no edge is longer
+    than ``distance``.
     """
     small, large = distance // 2, distance - distance // 2
-    choices = [0, *(sum(1 << b for b in c) for r in range(1, large + 1) for c in combinations(range(64), r))]
-    flips = F.array(*[F.lit(_signed(c)) for c in choices]) if len(choices) <= 4096 else None
-    if flips is None:
-        raise ValueError("distances over 4 need a larger DIRECT or more blocks")
-    near = rows.select("fp", F.explode(flips).alias("flip")).select(
+    flips = [sum(1 << b for b in bits) for r in range(large + 1) for bits in combinations(range(64), r)]
+    near = fingerprints.select("fp", F.explode(F.array(*[F.lit(_signed(x)) for x in flips])).alias("flip")).select(
         "fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("via"), (F.bit_count("flip") <= small).alias("inner"),
     )
     least = near.where("inner").groupBy("via").agg(F.min("fp").alias("b"))
@@ -163,7 +160,7 @@ def near_links(fingerprints: DataFrame, distance: int = 4, blocks: int = 7, dire
         calm = rows
     ordered = calm.repartition("t", "k").sortWithinPartitions("t", "k").select("t", "k", "fp")
     found = ordered.mapInArrow(_links(distance), "a long, b long")
-    return found.union(_crowded_links(hot, masks, distance)) if crowded else found
+    return found.union(_crowded_links(hot, distance)) if crowded else found
 
 
 def near_copies(

@@ -1,6 +1,7 @@
 """Contained items against a search through everything."""
 
 import random
+import re
 
 import pytest
 
@@ -9,7 +10,7 @@ from sentloom.llm import decontamination
 
 def plain(docs, items, shingle=5, threshold=0.8):
     lower = lambda t: "".join(c.lower() if c.isascii() else c for c in t or "")
-    split = lambda t: [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", lower(t)) if w]
+    split = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", lower(t)) if w]
     out = []
     for item_id, text in items:
         words = split(text)

@@ -1,6 +1,5 @@
 """Shards against a plain version, and the law that a new shard only takes rows."""
 
-import random
 import struct
 import zlib
 
@@ -114,4 +113,3 @@ def test_slots_of_one_shard_use_many_parts(spark):
     rows = spark.range(10_000).select("id", F.lit(0).alias("s"))
     out = sharding.with_slots(rows, "s", ["id"], "slot", blocks=16)
     assert sorted(r["slot"] for r in out.collect()) == list(range(10_000))
-    random.seed(0)

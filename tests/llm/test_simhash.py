@@ -1,7 +1,9 @@
 """SimHash classes against all pairs, and the ways that only large inputs take."""
 
 import random
+import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -13,7 +15,8 @@ SCHEMA = "doc_id long, text string, lang string, fp string, label string"
 
 
 def plain_fingerprint(text, size=4):
-    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or "")) if w]
+    lower = "".join(c.lower() if c.isascii() else c for c in text or "")
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", lower) if w]
     if not words:
         return 0
     shingles = [" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))]
@@ -112,8 +115,6 @@ def test_every_close_pair_shares_a_block_value(blocks):
 
 
 def test_forest_is_small():
-    import numpy as np
-
     values = np.array(sorted(v & (2**64 - 1) for v in clustered(3, 1, 400, 2)), np.uint64).view(np.int64)
     assert len(simhash._forest(values, 4)) == len(values) - 1
 

@@ -1,5 +1,6 @@
 """Packages: round trips, ZIP64 directories, ranges, and what is refused."""
 
+import gzip
 import hashlib
 import io
 import zipfile
@@ -68,8 +69,6 @@ def test_records_are_read_by_range(spark, tmp_path):
     asked.clear()
     next(r.records())
     assert max(asked[1:]) <= max(int(x.split()[1]) for x in lines)
-    import gzip
-
     assert b"h" * 5000 in gzip.decompress(r.read(warc_zip.WARC_MEMBER, *first))
 
 
