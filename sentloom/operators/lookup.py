@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
