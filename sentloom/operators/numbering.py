@@ -19,6 +19,9 @@ from pyspark.sql import Window as W
 from sentloom.operators.lookup import broadcast_checked
 from sentloom.sources.staging import stage
 
+# Ranges of document ids that are summed on their own, at most.
+MAX_RANGES = 1024
+
 
 def number_rows(
     df: DataFrame,
@@ -60,25 +63,43 @@ def number_rows(
     )
 
 
-def _lines_before(sizes: DataFrame) -> DataFrame:
+def _ranges(ids: DataFrame, doc_id: Column) -> Column:
+    """A number for each id that rises with it and is about equally often, a NULL id first.
+
+    The borders are approximate percentiles of the ids, so sparse ids make no
+    difference; they stand in the plan as constants, so an id keeps its number whenever
+    it is computed again. An id is compared with every 32nd border, then with those
+    between.
+    """
+    parts = min(MAX_RANGES, int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    number = F.col("doc_id").cast("double")
+    found = ids.agg(F.percentile_approx(number, [i / parts for i in range(1, parts)] or [0.5], 100 * parts)).first()[0]
+    borders = sorted(set(found or [0.0]))
+    chunks = [borders[i:i + 32] for i in range(0, len(borders), 32)]
+    x = F.coalesce(doc_id.cast("double"), F.lit(float("-inf")))
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda v: v <= x))
+
+    chunk = below(F.array(*[F.lit(c[0]) for c in chunks]))
+    inside = F.element_at(F.array(*[F.array(*[F.lit(v) for v in c]) for c in chunks]), F.greatest(chunk, F.lit(1)))
+    return F.when(chunk == 0, 0).otherwise((chunk - 1) * 32 + below(inside))
+
+
+def _lines_before(sizes: DataFrame, part: Column) -> DataFrame:
     """Lines before each row of (_key: lang, doc_id, ..., _lines) in its language.
 
-    Rows are range-partitioned by the key, so the documents of one language spread over
-    many tasks whatever their ids are. The rows of a task are summed among themselves;
-    the totals per task and language, one row for each task and one for each language at
-    most, are summed once more.
+    The documents of a language are cut into ranges of their ids, so they spread over
+    many tasks. The rows of a range are summed among themselves; the totals per language
+    and range are summed once more.
     """
-    ranged = (
-        sizes.repartitionByRange("_key").sortWithinPartitions("_key")
-        .select("*", F.col("_key.lang").alias("_lang"), F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_seq"))
-    )
-    staged = stage(ranged, "line-counts")
+    ranged = sizes.withColumn("_lang", F.col("_key.lang")).withColumn("_part", part)
     earlier = W.partitionBy("_lang").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    before = staged.groupBy("_part", "_lang").agg(F.sum("_lines").alias("_total")).select(
+    before = ranged.groupBy("_lang", "_part").agg(F.sum("_lines").alias("_total")).select(
         F.col("_part").alias("_p"), F.col("_lang").alias("_l"), F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before")
     )
-    inside = W.partitionBy("_part", "_lang").orderBy("_seq").rowsBetween(W.unboundedPreceding, -1)
-    rows = staged.withColumn("_within", F.coalesce(F.sum("_lines").over(inside), F.lit(0)))
+    inside = W.partitionBy("_lang", "_part").orderBy("_key").rowsBetween(W.unboundedPreceding, -1)
+    rows = ranged.withColumn("_within", F.coalesce(F.sum("_lines").over(inside), F.lit(0)))
     return rows.join(before, (F.col("_part") == F.col("_p")) & F.col("_lang").eqNullSafe(F.col("_l"))).select(
         "_key", (F.col("_before") + F.col("_within")).alias("_offset")
     )
@@ -107,7 +128,7 @@ def number_lines(docs: DataFrame, line_value: Callable[[Column], Column] | None
         "lang", "source", "doc_id", (F.transform(lines, line_value) if line_value else lines).alias("_lines"), key
     ).withColumn("_copy", F.row_number().over(W.partitionBy("_key").orderBy("_key")) - 1)
     return (
-        rows.join(_lines_before(sizes), "_key")
+        rows.join(_lines_before(sizes, _ranges(docs, F.col("_key.doc_id"))), "_key")
         .select(
             "lang", "source", "doc_id", (F.col("_offset") + F.col("_copy") * F.size("_lines")).alias("_offset"),
             F.posexplode("_lines").alias("_pos", "text"),

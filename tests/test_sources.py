@@ -152,3 +152,19 @@ def test_staged_tables_are_deleted_by_their_owner(spark):
 def test_sides_of_an_empty_table(spark, tmp_path):
     src, tgt = sinks.write_sides(spark.createDataFrame([], "line_no bigint, src string, tgt string"), str(tmp_path / "none"))
     assert corpus.read_parallel(spark, src, tgt, "c", "l1", "l2").count() == 0
+
+
+def test_line_numbers_over_many_ranges(spark):
+    """More borders than are compared at once; ids far apart, some equal."""
+    rows = [((i * i * 977) % 100_003 * 10**9, "en" if i % 4 else "de", "s", "\n".join("x" * (j + 1) for j in range(i % 3 + 1))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    try:
+        got = number_lines(df.coalesce(4)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    for lang in ("en", "de"):
+        own = sorted((r for r in got if r.lang == lang), key=lambda r: r.line_no)
+        assert [r.line_no for r in own] == list(range(1, len(own) + 1))
+        assert [r.doc_id for r in own] == sorted(r.doc_id for r in own)
