@@ -40,8 +40,6 @@ HEADLINE = [
     "synthesize",
     "read_parallel",
     "concat_corpora",
-    "learn_bpe",
-    "apply_bpe",
 ]
 
 

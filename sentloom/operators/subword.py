@@ -26,7 +26,7 @@ DEFAULT_VOCAB_SIZE = 10_000
 LEFT_OUT = "\ufffd"
 # Leading pairs looked at per round; rounds after which the word table is written.
 CANDIDATES = 256
-ROUNDS_PER_STAGE = 8
+ROUNDS_PER_STAGE = 4
 # Words whose pieces a Python worker remembers.
 CACHE_WORDS = 200_000
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from sentloom.operators import cleaning, subword
 
-SETTINGS = dict(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = dict(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def texts(spark, rows):
