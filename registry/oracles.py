@@ -303,7 +303,7 @@ sd AS (
   WHERE split = 'train' AND token NOT IN ('<s>', '<pad>', '</s>', '<unk>') GROUP BY token)"""
 
 
-SMALL_VOCABULARY = 160
+SMALL_VOCABULARY = 128
 THRESHOLDS = "(SELECT (unnest(range(10)) / 10.0)::DOUBLE AS threshold)"
 HYP_ROWS = "SELECT 0 AS part, item_id AS id, hyp, ref FROM hyp_ref"
 NEGATIVES = f"""

@@ -698,7 +698,7 @@ def clean_synthetic(spark, sf):
 
 
 # Pieces of the small vocabularies that SQL learns as well.
-SMALL_VOCABULARY = 160
+SMALL_VOCABULARY = 128
 
 
 @query
