@@ -701,14 +701,29 @@ def clean_synthetic(spark, sf):
 SMALL_VOCABULARY = 128
 
 
-@query
-def learn_bpe(spark, sf):
-    return subword.learn_bpe(views.lines(spark, sf), vocab_size=SMALL_VOCABULARY)[1]
+def with_vocabulary(fn):
+    """Two queries: with the small vocabulary, and as ``_full`` with the reference's 10,000 pieces."""
 
+    def sized(name, size):
+        def run(spark, sf):
+            return fn(spark, sf, size)
 
-@query
-def apply_bpe(spark, sf):
-    merges, _ = subword.learn_bpe(views.lines(spark, sf), vocab_size=SMALL_VOCABULARY)
+        run.__name__ = name
+        query(run)
+
+    sized(fn.__name__, SMALL_VOCABULARY)
+    sized(f"{fn.__name__}_full", subword.DEFAULT_VOCAB_SIZE)
+    return fn
+
+
+@with_vocabulary
+def learn_bpe(spark, sf, size):
+    return subword.learn_bpe(views.lines(spark, sf), vocab_size=size)[1]
+
+
+@with_vocabulary
+def apply_bpe(spark, sf, size):
+    merges, _ = subword.learn_bpe(views.lines(spark, sf), vocab_size=size)
     return subword.apply_bpe(views.lines(spark, sf), merges).select("lang", "line_no", joined("pieces"))
 
 
@@ -729,9 +744,9 @@ def _outside_model(merges, pieces):
     return load
 
 
-@query
-def encode_pieces_model(spark, sf):
-    merges, vocab = subword.learn_bpe(views.lines(spark, sf), vocab_size=SMALL_VOCABULARY)
+@with_vocabulary
+def encode_pieces_model(spark, sf, size):
+    merges, vocab = subword.learn_bpe(views.lines(spark, sf), vocab_size=size)
     load = _outside_model(merges, [r["piece"] for r in vocab.orderBy("piece_id").collect()])
     return subword.encode_pieces(views.lines(spark, sf), load).select("lang", "line_no", joined("pieces"))
 
@@ -797,25 +812,25 @@ def iterate(spark, sf):
     return outcome.ledger.select("stage", "iteration", "direction", "threshold", "metric")
 
 
-@query
-def prepare_student(spark, sf):
+@with_vocabulary
+def prepare_student(spark, sf, size):
     corpora = stage(views.corpora(spark, sf), "corpora")
     pairs = stage(student.student_pairs(parallel_part(corpora), synthetic_parts(corpora), "all", "1n"), "student")
     splits = {"train": pairs.filter("line_no % 10 < 8"), "valid": pairs.filter("line_no % 10 = 8"), "test": pairs.filter("line_no % 10 = 9")}
-    data = student.prepare_student(splits, vocab_size=SMALL_VOCABULARY)
+    data = student.prepare_student(splits, vocab_size=size)
     return reduce(DataFrame.unionByName, [
         rows.select(F.lit(name).alias("split"), "line_no", joined("src_ids"), joined("tgt_ids"))
         for name, rows in data.datasets.items()
     ])
 
 
-@query
-def student_coverage(spark, sf):
+@with_vocabulary
+def student_coverage(spark, sf, size):
     corpora = stage(views.corpora(spark, sf), "corpora")
     pairs = stage(student.student_pairs(parallel_part(corpora), synthetic_parts(corpora), "all", "1n"), "student")
     # A training split so small that the others have characters it lacks.
     splits = {"train": pairs.filter("line_no % 50 = 0"), "test": pairs.filter("line_no % 50 > 0")}
-    coverage = student.prepare_student(splits, vocab_size=SMALL_VOCABULARY).coverage
+    coverage = student.prepare_student(splits, vocab_size=size).coverage
     return coverage.withColumn("oov_rate", F.round("oov_rate", 6))
 
 

@@ -9,10 +9,12 @@ once.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ LEFT_OUT = "\ufffd"
 # Leading pairs looked at per round; rounds after which the word table is written.
 CANDIDATES = 256
 ROUNDS_PER_STAGE = 4
+# Characters of distinct words (about 45 bytes of driver memory each) up to which the driver learns by itself.
+LOCAL_SYMBOLS = 64_000_000
 # Words whose pieces a Python worker remembers.
 CACHE_WORDS = 200_000
 
@@ -88,7 +92,7 @@ def independent_prefix(ranked: list[tuple[str, str]], known: set[str]) -> list[t
 def learn_bpe(
     df: DataFrame,
     vocab_size: int = DEFAULT_VOCAB_SIZE,
-    batch: int = CANDIDATES,
+    batch: int | None = None,
     col: str = "text",
     coverage: float = 1.0,
     max_piece: int | None = None,
@@ -96,12 +100,15 @@ def learn_bpe(
     """Learn byte-pair merges from a text column: (merges in order, vocabulary).
 
     The pair with the highest count is merged next; ties go to the shorter, then to
-    the smaller merged symbol. ``batch=1`` runs one round per merge; a larger batch
-    takes the leading pairs of a round as long as the result is the same (see
-    :func:`independent_prefix`). Only candidate pairs and the character list come to the
-    driver. The words and their pair counts are written to the staging folder every few
-    rounds; in between, only words that hold a merged pair are counted again, before and
-    after, and the differences applied to the written counts.
+    the smaller merged symbol. The corpus is counted to its distinct words. Up to
+    ``LOCAL_SYMBOLS`` characters of them come to the driver (:func:`_learn_local`); more of
+    them, or a given ``batch``, take rounds of Spark jobs, with the same result.
+    ``batch=1`` runs one round per merge; a larger batch takes the leading pairs of a
+    round as long as the result is the same (see :func:`independent_prefix`). Then only
+    candidate pairs and the character list come to the driver. The words and their pair
+    counts are written to the staging folder every few rounds; in between, only words
+    that hold a merged pair are counted again, before and after, and the differences
+    applied to the written counts.
 
     The vocabulary (piece, piece_id) lists control symbols, merged pieces in order,
     then characters by count. ``vocab_size`` must leave room for all characters. With a
@@ -133,6 +140,12 @@ def learn_bpe(
     wanted = vocab_size - len(CONTROL_SYMBOLS) - len(chars)
     if wanted < 0:
         raise ValueError(f"a vocabulary of {vocab_size} has no room for {len(chars)} characters and the control symbols")
+    if batch is None:
+        word = F.replace("seg", F.lit(" "), F.lit(""))
+        if (table.agg(F.sum(F.length(word) + 1)).first()[0] or 0) <= LOCAL_SYMBOLS:
+            merges = _learn_local(table.select(word.alias("w"), F.col("n").cast("long")).toArrow(), wanted, max_piece)
+            return merges, _vocabulary(spark, merges, chars)
+        batch = CANDIDATES
     merges: list[tuple[str, str]] = []
     merged = F.concat("a", "b")
     order = [F.desc("n"), F.length(merged), merged, F.length("a")]
@@ -156,6 +169,104 @@ def learn_bpe(
     return merges, _vocabulary(spark, merges, chars)
 
 
+def _learn_local(words: pa.Table, wanted: int, max_piece: int | None) -> list[tuple[str, str]]:
+    """The next ``wanted`` merges over (w, n), one at a time, touching only the places of the merged pair.
+
+    All words stand in one array of symbol numbers, 0 before and after each. A symbol of
+    several characters has its number at its first and last one, so both neighbours of a
+    place are found by the lengths of symbols. Places of a pair that are gone are passed over.
+    """
+    weights, lengths = words["n"].to_numpy(), pc.utf8_length(words["w"]).to_numpy().astype(np.int64)
+    # Where each word's characters start; a 0 stands before each word and after the last.
+    starts = np.concatenate(([0], np.cumsum(lengths + 1))) + 1
+    sym = np.zeros(starts[-1], np.int32)
+    symbols, ids, width = [""], {}, [1]
+    number = np.zeros(0x110000, np.int32)
+    for at in range(0, len(words), 100_000):
+        codes = np.frombuffer("".join(words["w"].slice(at, 100_000).to_pylist()).encode("utf-32-le"), np.uint32)
+        for code in np.flatnonzero(np.bincount(codes)).tolist():
+            if not number[code]:
+                number[code] = ids[chr(code)] = len(symbols)
+                symbols.append(chr(code))
+                width.append(1)
+        own = lengths[at:at + 100_000]
+        sym[np.arange(len(codes)) + np.repeat(starts[at:at + len(own)] - (np.cumsum(own) - own), own)] = number[codes]
+    del words
+
+    def distinct(*parts: np.ndarray) -> np.ndarray:
+        every = np.sort(np.concatenate(parts))
+        return every[np.concatenate((every[:1] == every[:1], every[1:] != every[:-1]))]
+
+    def grouped(bounds: np.ndarray) -> Iterator[tuple[tuple[int, int], int, np.ndarray]]:
+        """Pairs over the places where a right symbol starts: (pair, count, places)."""
+        left, right = sym[bounds - 1].astype(np.int64), sym[bounds]
+        keep = (left != 0) & (right != 0)
+        bounds, keys = bounds[keep], left[keep] << 32 | right[keep]
+        if not len(keys):
+            return
+        order = np.argsort(keys, kind="stable")
+        bounds, keys = bounds[order], keys[order]
+        n = weights[np.searchsorted(starts, bounds, "right") - 1]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        for key, total, places in zip(keys[first].tolist(), np.add.reduceat(n, first).tolist(), np.split(bounds, first[1:])):
+            yield (key >> 32, key & 0xFFFFFFFF), total, places
+
+    counts: dict[tuple[int, int], int] = {}
+    places: dict[tuple[int, int], list[np.ndarray]] = {}
+    heap: list[tuple] = []
+
+    def push(pair: tuple[int, int]) -> None:
+        a, b = symbols[pair[0]], symbols[pair[1]]
+        if LEFT_OUT not in (a, b) and (max_piece is None or len(a + b) <= max_piece):
+            heapq.heappush(heap, (-counts[pair], len(a + b), a + b, len(a), pair))
+
+    # In parts, so that the sorted keys of a part are all that is held besides the places.
+    for low in range(1, len(sym), 1 << 20):
+        for pair, n, found in grouped(np.arange(low, min(len(sym), low + (1 << 20)))):
+            counts[pair] = counts.get(pair, 0) + n
+            places.setdefault(pair, []).append(found.astype(np.int32))
+    for pair in counts:
+        push(pair)
+    merges: list[tuple[str, str]] = []
+    while heap and len(merges) < wanted:
+        top = heapq.heappop(heap)
+        pair = top[-1]
+        n = counts.get(pair, 0)
+        if n != -top[0]:
+            # Counted down since (a count that rose was pushed again).
+            if 0 < n < -top[0]:
+                push(pair)
+            continue
+        a, b = pair
+        new = symbols[a] + symbols[b]
+        merges.append((symbols[a], symbols[b]))
+        if new not in ids:
+            ids[new] = len(symbols)
+            symbols.append(new)
+            width.append(len(new))
+        middle = np.sort(np.concatenate(places.pop(pair))).astype(np.int64)
+        middle = middle[(sym[middle - 1] == a) & (sym[middle] == b)]
+        if a == b:
+            # Of a run, every second one, from the left.
+            run = np.concatenate(([True], np.diff(middle) != width[a]))
+            nth = np.arange(len(middle)) - np.flatnonzero(run)[np.cumsum(run) - 1]
+            middle = middle[nth % 2 == 0]
+        first, after = middle - width[a], middle + width[b]
+        for changed, total, _ in grouped(distinct(first, middle, after)):
+            counts[changed] -= total
+            if not counts[changed]:
+                del counts[changed]
+                places.pop(changed, None)
+        # What is inside the new symbol is no start or end any more.
+        sym[middle - 1] = sym[middle] = -1
+        sym[first] = sym[after - 1] = ids[new]
+        for changed, total, found in grouped(distinct(first, after)):
+            counts[changed] = counts.get(changed, 0) + total
+            places.setdefault(changed, []).append(found.astype(np.int32))
+            push(changed)
+    return merges
+
+
 def _covered(table: DataFrame, chars: list[str], coverage: float) -> tuple[list[str], str]:
     """The most frequent characters that make up the share ``coverage`` of the text, and the others."""
     counts = table.select(F.explode(_symbols(F.col("seg"))).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
