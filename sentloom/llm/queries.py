@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sentloom.llm import (
+    bpe_trie,
     decontamination,
     language_id,
+    lexical_search,
+    merkle,
     mixing,
     quality_cotraining,
     quality_rules,
@@ -86,6 +90,34 @@ def op10_toxicity(spark, sf):
         "doc_id", "held_out", "score", "predicted")
 
 
+@query
+def op11_merkle_manifest(spark, sf):
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    shortened = {"text": merkle.without_line_breaks(F.col("text"))}
+    return merkle.merkle_manifest(table(spark, sf, "documents"), shortened, even).drop("proof")
+
+
+@query
+def op12_lexical_search(spark, sf):
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=10)
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file of ``op13``; another one is a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op13_bpe(spark, sf):
+    encoded = bpe_trie.encode_documents(table(spark, sf, "documents").select("doc_id", "text"), tokenizer_path())
+    return encoded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
@@ -188,3 +220,83 @@ found AS (SELECT d, doc_id, r, item_id, count(*) AS have FROM dsh JOIN ish USING
 SELECT doc_id, item_id, n AS item_shingles, have AS found_shingles, have / n AS containment
 FROM found JOIN icount USING (r) WHERE have >= 0.8 * n
 """
+
+# crc32 bit by bit: a byte is mixed in, then eight shifts; the checksum's last bit is the inverse of the last state's.
+_CRC_EVEN = """
+  list_reduce(
+    flatten([[4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))]),
+    lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384) ELSE acc // 2 END) % 2 = 1
+"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR)::VARCHAR || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field_sql, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All nodes over (g, pos, n, d), with what stands before and after each in its run."""
+    run = "OVER (PARTITION BY lvl, g, pos // 3 ORDER BY pos ROWS BETWEEN {0})"
+    before, after = run.format("UNBOUNDED PRECEDING AND 1 PRECEDING"), run.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")
+    return f"""
+{name} AS (
+  SELECT 0 AS lvl, g, pos, n, d FROM {leaves}
+  UNION ALL
+  SELECT lvl + 1, g, pos // 3, (n + 2) // 3, sha256(string_agg(d, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY lvl, g, pos // 3, n),
+{name}_steps AS (
+  SELECT lvl, g, pos, coalesce(string_agg(d, '') {before}, '') AS before, coalesce(string_agg(d, '') {after}, '') AS after FROM {name} WHERE n > 1)"""
+
+
+def _fold_sql(name: str, start: str, steps: str) -> str:
+    return f"""
+{name} AS (
+  SELECT doc_id, g, 0 AS lvl, pos, acc, sib FROM {start}
+  UNION ALL
+  SELECT f.doc_id, f.g, f.lvl + 1, f.pos // 3, sha256(s.before || f.acc || s.after), f.sib || s.before || s.after
+  FROM {name} f JOIN {steps} s ON f.lvl = s.lvl AND f.g = s.g AND f.pos = s.pos)"""
+
+
+SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE
+docs AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, {_leaf_sql('text')} AS d,
+         CASE WHEN {_CRC_EVEN} THEN {_leaf_sql("replace(text, chr(10), '')")} END AS changed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM docs),
+{_tree_sql('nodes', 'leaves')},
+subroots AS (SELECT g AS skey, d AS subroot FROM nodes WHERE n = 1),
+crown AS (
+  SELECT skey, 'all' AS g, row_number() OVER (ORDER BY encode(skey)) - 1 AS pos, count(*) OVER () AS n, subroot AS d FROM subroots),
+{_tree_sql('tops', 'crown')},
+below AS (SELECT doc_id, g, pos, coalesce(changed, d) AS acc, '' AS sib FROM leaves),
+{_fold_sql('inner_fold', 'below', 'nodes_steps')},
+reached AS (
+  SELECT f.doc_id, 'all' AS g, c.pos, f.acc, f.sib
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lvl DESC) AS r FROM inner_fold) f JOIN crown c ON c.skey = f.g WHERE r = 1),
+{_fold_sql('outer_fold', 'reached', 'tops_steps')},
+done AS (SELECT doc_id, acc, sib, row_number() OVER (PARTITION BY doc_id ORDER BY lvl DESC) AS r FROM outer_fold)
+SELECT doc_id, leaves.d AS leaf, subroot, (SELECT d FROM tops WHERE n = 1) AS root, sha256(sib) AS proof_sha256, acc AS folded_root,
+       acc = (SELECT d FROM tops WHERE n = 1) AS verified
+FROM leaves JOIN done USING (doc_id) JOIN subroots ON skey = leaves.g WHERE r = 1
+"""
+
+_TERMS = r"regexp_extract_all({0}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+SQL["op12_lexical_search"] = rf"""
+WITH words AS (SELECT doc_id, {_TERMS.format(_LOWER)} AS w FROM documents WHERE text IS NOT NULL),
+d AS (SELECT doc_id, len(w) AS n FROM words WHERE len(w) > 0),
+tot AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM d),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS.format(_LOWER)}) AS t FROM benchmark),
+tf AS (
+  SELECT doc_id, t, count(*) AS f FROM (SELECT doc_id, unnest(w) AS t FROM words) SEMI JOIN (SELECT DISTINCT t FROM q) USING (t) GROUP BY 1, 2),
+wt AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, tot GROUP BY t, docs),
+m AS (SELECT doc_id, 100 - 90 + ((90 * n * docs) // terms) AS m FROM d, tot),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * f) // (1000 * f + 8 * m)))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN wt USING (t) JOIN m USING (doc_id) GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
