@@ -19,7 +19,7 @@ def test_query(spark, con, sf, name):
 
 
 def test_numbers():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n != "pipeline") == list(range(1, 14))
 
 
 def test_pipeline_stages(spark, con, sf):
