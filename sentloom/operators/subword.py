@@ -1,16 +1,22 @@
 """Byte-pair vocabularies: learning them with Spark jobs and applying them.
 
-A word is kept as one string in which every symbol stands between its own two
-spaces (`` ▁ ``, `` t ``, `` h ``, `` e `` side by side). Merging a pair is then one
-built-in ``replace`` of `` a  b `` by `` ab ``, and counting pairs is a
-map-side-combined aggregate over the distinct words, so the corpus itself is read
-once.
+The distinct words stay in the partitions, as blocks of symbol numbers. Learning goes
+on in phases. A phase looks at the leading pairs, all of them with a count of at least
+some least one. Whatever is merged while the highest count stays there is made of
+neighbours in one of these pairs: each place where two symbols are merged was a place
+between two neighbours when the phase began, and as a symbol is made in one way only
+in a phase, all places of a pair had the same two neighbours, so these had no lower
+count. So the runs of symbols that are neighbours in leading pairs, with how often
+each run occurs, tell every merge of the phase. The driver gets the distinct runs, a
+bounded number of symbols, and merges one pair at a time in them; the tasks then replay
+the merges in their words.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -19,18 +25,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentloom.functions import text as tx
-from sentloom.sources.staging import stage
+from sentloom.operators import pair_merging
+from sentloom.sources.staging import delete_path, stage, staging_path
 
 # Control symbols of a subword vocabulary, in id order.
 CONTROL_SYMBOLS = ["<unk>", "<s>", "</s>"]
 DEFAULT_VOCAB_SIZE = 10_000
 # Stands for characters that the vocabulary leaves out.
 LEFT_OUT = "\ufffd"
-# Leading pairs looked at per round; rounds after which the word table is written.
-CANDIDATES = 256
-ROUNDS_PER_STAGE = 4
-# Characters of distinct words (about 45 bytes of driver memory each) up to which the driver learns by itself.
-LOCAL_SYMBOLS = 64_000_000
+# Leading pairs of a phase, at first and at most.
+LEADING, MOST_LEADING = 64, 20_000
+# Symbols of distinct runs that the driver takes in a phase (about 60 bytes of its memory each).
+RUN_SYMBOLS = 1_500_000
+# Symbols of a block of words.
+BLOCK_SYMBOLS = 2_000_000
 # Words whose pieces a Python worker remembers.
 CACHE_WORDS = 200_000
 
@@ -40,59 +48,131 @@ def marked_words(c: Column | str) -> Column:
     return F.transform(tx.words(c), lambda w: F.concat(F.lit(tx.WORD_MARK), w))
 
 
-def _spaced(word: Column) -> Column:
-    return F.concat(F.lit(" "), F.array_join(tx.chars(word), "  "), F.lit(" "))
+def _numbers(symbols: list[str]) -> np.ndarray:
+    """The symbol of each code point, 0 for none."""
+    numbers = np.zeros(0x110000, np.int32)
+    for i, symbol in enumerate(symbols):
+        if i:
+            numbers[ord(symbol)] = i
+    return numbers
 
 
-def _symbols(seg: Column) -> Column:
-    return F.split(F.trim(seg), "  ")
+def _blocks(words: DataFrame, symbols: list[str], other: int) -> DataFrame:
+    """Words (w, n) as blocks of many: their symbols with a 0 before and after each, and their counts."""
 
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = _numbers(symbols)
+        parts, weights, size = [], [], 0
 
-def _merged(seg: Column, merges: list[tuple[str, str]]) -> Column:
-    for a, b in merges:
-        seg = F.replace(seg, F.lit(f" {a}  {b} "), F.lit(f" {a}{b} "))
-    return seg
+        def block() -> pa.RecordBatch:
+            sym = np.concatenate([*parts, np.zeros(1, np.int32)])
+            return _block(sym, np.concatenate(weights))
 
-
-def pair_counts(table: DataFrame) -> DataFrame:
-    """Counts of adjacent symbols over a word table (seg, n): (a, b, n)."""
-    syms = table.select(_symbols(F.col("seg")).alias("s"), "n").filter(F.size("s") > 1)
-    adjacent = F.arrays_zip(
-        F.slice("s", 1, F.size("s") - 1).alias("a"), F.slice("s", 2, F.size("s") - 1).alias("b")
+        for batch in batches:
+            for at in range(0, batch.num_rows, 50_000):
+                own = batch.slice(at, 50_000)
+                lengths = pc.utf8_length(own.column(0)).to_numpy().astype(np.int64)
+                codes = np.frombuffer("".join(own.column(0).to_pylist()).encode("utf-32-le"), np.uint32)
+                sym = np.zeros(len(codes) + len(lengths), np.int32)
+                known = numbers[codes]
+                sym[np.arange(len(codes)) + np.repeat(np.arange(1, len(lengths) + 1), lengths)] = np.where(known == 0, other, known)
+                parts.append(sym)
+                weights.append(own.column(1).to_numpy())
+                size += len(sym)
+                if size >= BLOCK_SYMBOLS:
+                    yield block()
+                    parts, weights, size = [], [], 0
+        if parts:
+            yield block()
+
+    return words.mapInArrow(build, "sym binary, n binary")
+
+
+def _block(sym: np.ndarray, weights: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([sym.astype("<i4").tobytes()], pa.binary()), pa.array([weights.astype("<i8").tobytes()], pa.binary())], ["sym", "n"]
     )
-    return syms.select(F.inline(adjacent).alias("a", "b"), "n").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
-def independent_prefix(ranked: list[tuple[str, str]], known: set[str]) -> list[tuple[str, str]]:
-    """The leading pairs that can be merged in one round with the result of one at a time.
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            yield np.frombuffer(batch.column(0)[row].as_buffer(), "<i4"), np.frombuffer(batch.column(1)[row].as_buffer(), "<i8")
 
-    Two pairs overlap in a word only if one ends with the symbol the other starts
-    with, so merging one leaves the count of the other unchanged when that is not so.
-    A pair that a merge creates, say (ab, y), occurs at most as often as (b, y) did
-    before; (b, y) starts with the end of (a, b), so it is not among the leading
-    pairs taken here, and ranks below them (a longer symbol loses a tie). Only when a
-    merge makes a symbol that exists already can counts add up: that ends the round.
+
+def _pair_counts(blocks: DataFrame, symbols: list[str], max_piece: int | None) -> DataFrame:
+    """How often each pair that may be merged occurs: (pair, n), the numbers of both symbols in one."""
+    lengths = np.array([len(s) for s in symbols])
+    barred = np.array([s == LEFT_OUT for s in symbols])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sym, weights in _arrays(batches):
+            keys = pair_merging.pair_keys(sym, np.arange(1, len(sym)))
+            keys, n = pair_merging.summed(keys, weights[np.cumsum(sym[1:] == 0) - (sym[1:] == 0)])
+            a, b = keys >> 32, keys & 0xFFFFFFFF
+            keep = ~(barred[a] | barred[b])
+            if max_piece is not None:
+                keep &= lengths[a] + lengths[b] <= max_piece
+            yield pa.RecordBatch.from_arrays([pa.array(keys[keep]), pa.array(n[keep])], ["pair", "n"])
+
+    return blocks.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def _runs(blocks: DataFrame, pairs: np.ndarray) -> DataFrame:
+    """Distinct runs of symbols that are neighbours in one of ``pairs``, and how often they occur: (run, n)."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sym, weights in _arrays(batches):
+            for rows, n in pair_merging.runs_of(sym, weights, pairs):
+                offsets = np.arange(len(rows) + 1, dtype=np.int32) * (4 * rows.shape[1])
+                column = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows.astype("<i4").tobytes())])
+                yield pa.RecordBatch.from_arrays([column, pa.array(n)], ["run", "n"])
+
+    return blocks.mapInArrow(find, "run binary, n long").groupBy("run").agg(F.sum("n").alias("n"))
+
+
+def _replayed(blocks: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
+    def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sym, weights in _arrays(batches):
+            yield _block(pair_merging.replay(sym, merges), weights)
+
+    return blocks.mapInArrow(replay, "sym binary, n binary")
+
+
+class _Written:
+    """Tables of the phases: each is written once, and goes when the next one is there."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path = staging_path(self.spark, label)
+        df.write.parquet(path)
+        self.drop(label)
+        self.paths[label] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, label: str) -> None:
+        if label in self.paths:
+            delete_path(self.spark, self.paths.pop(label))
+
+
+def _leading(keys: np.ndarray, n: np.ndarray, wanted: int) -> tuple[np.ndarray, int]:
+    """All pairs with the count of the ``wanted``-th one or more, and that count.
+
+    ``keys`` are the first ``MOST_LEADING + 1`` pairs by count. If they end among equal
+    counts, these are left out; no pair is left if all are equal.
     """
-    taken: list[tuple[str, str]] = []
-    firsts: set[str] = set()
-    lasts: set[str] = set()
-    made: set[str] = set()
-    for a, b in ranked:
-        if a in lasts or b in firsts:
-            break
-        taken.append((a, b))
-        if a + b in known or a + b in made or a == b:
-            break
-        firsts.add(a)
-        lasts.add(b)
-        made.add(a + b)
-    return taken
+    least = int(n[min(wanted, len(n)) - 1])
+    if len(n) > MOST_LEADING and n[-1] == least:
+        higher = n[n > least]
+        least = int(higher.min()) if len(higher) else least + 1
+    return np.sort(keys[n >= least]), least
 
 
 def learn_bpe(
     df: DataFrame,
     vocab_size: int = DEFAULT_VOCAB_SIZE,
-    batch: int | None = None,
     col: str = "text",
     coverage: float = 1.0,
     max_piece: int | None = None,
@@ -100,15 +180,11 @@ def learn_bpe(
     """Learn byte-pair merges from a text column: (merges in order, vocabulary).
 
     The pair with the highest count is merged next; ties go to the shorter, then to
-    the smaller merged symbol. The corpus is counted to its distinct words. Up to
-    ``LOCAL_SYMBOLS`` characters of them come to the driver (:func:`_learn_local`); more of
-    them, or a given ``batch``, take rounds of Spark jobs, with the same result.
-    ``batch=1`` runs one round per merge; a larger batch takes the leading pairs of a
-    round as long as the result is the same (see :func:`independent_prefix`). Then only
-    candidate pairs and the character list come to the driver. The words and their pair
-    counts are written to the staging folder every few rounds; in between, only words
-    that hold a merged pair are counted again, before and after, and the differences
-    applied to the written counts.
+    the smaller merged symbol. The corpus is counted to its distinct words, which stay in
+    the partitions; the result is that of merging one pair at a time. Only the leading
+    pairs, at most ``RUN_SYMBOLS`` symbols of distinct runs and the characters come to the
+    driver, whatever the number of words. A phase takes as many leading pairs as fit. The
+    tables of a phase are written to the staging folder, and dropped when the next is there.
 
     The vocabulary (piece, piece_id) lists control symbols, merged pieces in order,
     then characters by count. ``vocab_size`` must leave room for all characters. With a
@@ -117,177 +193,135 @@ def learn_bpe(
     pieces, the word mark included.
     """
     spark = df.sparkSession
-    words = (
-        df.select(F.explode(marked_words(col)).alias("w"))
-        .groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-        .select(_spaced(F.col("w")).alias("seg"), "n")
+    written = _Written(spark)
+    words = written.write(
+        df.select(F.explode(marked_words(col)).alias("w")).groupBy("w").agg(F.count(F.lit(1)).cast("long").alias("n")), "words"
     )
-    # Written in as many files as cores, so that every round runs on all of them.
-    table = stage(words.repartition(spark.sparkContext.defaultParallelism), "words")
-    chars = [
-        r["c"] for r in (
-            table.select(F.explode(_symbols(F.col("seg"))).alias("c"), "n")
-            .groupBy("c").agg(F.sum("n").alias("n"))
-            # Code points in use: at most 1.1 million exist.
-            .orderBy(F.desc("n"), F.asc("c")).collect()
-        )
-    ]
-    if coverage < 1:
-        chars, rare = _covered(table, chars, coverage)
-        # One mark for all of them; pairs with it are never candidates.
-        table = stage(table.select(F.translate("seg", rare, LEFT_OUT * len(rare)).alias("seg"), "n"), "words")
-    known = set(chars)
+    # Code points in use: at most 1.1 million exist.
+    found = words.select(F.explode(tx.chars(F.col("w"))).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
+    by_count = [(r["c"], r["n"]) for r in found.orderBy(F.desc("n"), F.asc("c")).collect()]
+    chars = _covered(by_count, coverage)
     wanted = vocab_size - len(CONTROL_SYMBOLS) - len(chars)
     if wanted < 0:
         raise ValueError(f"a vocabulary of {vocab_size} has no room for {len(chars)} characters and the control symbols")
-    if batch is None:
-        word = F.replace("seg", F.lit(" "), F.lit(""))
-        if (table.agg(F.sum(F.length(word) + 1)).first()[0] or 0) <= LOCAL_SYMBOLS:
-            merges = _learn_local(table.select(word.alias("w"), F.col("n").cast("long")).toArrow(), wanted, max_piece)
-            return merges, _vocabulary(spark, merges, chars)
-        batch = CANDIDATES
+    symbols = ["", *chars]
+    if LEFT_OUT not in symbols:
+        symbols.append(LEFT_OUT)
+    numbers = {s: i for i, s in enumerate(symbols)}
+    # All other characters are one mark; pairs with it are never merged.
+    blocks = written.write(_blocks(words, list(symbols), numbers[LEFT_OUT]), "blocks")
+    written.drop("words")
+
+    def name(pair: tuple[int, int]) -> tuple | None:
+        a, b = symbols[pair[0]], symbols[pair[1]]
+        if LEFT_OUT in (a, b) or (max_piece is not None and len(a) + len(b) > max_piece):
+            return None
+        return len(a) + len(b), a + b, len(a)
+
+    def number(pair: tuple[int, int]) -> tuple[int, bool]:
+        made = symbols[pair[0]] + symbols[pair[1]]
+        fresh = made not in numbers
+        if fresh:
+            numbers[made] = len(symbols)
+            symbols.append(made)
+        return numbers[made], fresh
+
     merges: list[tuple[str, str]] = []
-    merged = F.concat("a", "b")
-    order = [F.desc("n"), F.length(merged), merged, F.length("a")]
-    base, pending, rounds = stage(pair_counts(table), "pairs"), [], 0
-    eligible = (F.col("a") != LEFT_OUT) & (F.col("b") != LEFT_OUT)
-    if max_piece is not None:
-        eligible &= F.length(merged) <= max_piece
+    several = LEADING
     while len(merges) < wanted:
-        counts = _recounted(table, base, pending)
-        if rounds and rounds % ROUNDS_PER_STAGE == 0:
-            counts = base = stage(counts, "pairs")
-            table, pending = stage(table.select(_merged(F.col("seg"), pending).alias("seg"), "n"), "words"), []
-        top = counts.filter(eligible).orderBy(*order).limit(max(1, batch)).collect()
-        taken = independent_prefix([(r["a"], r["b"]) for r in top], known)[: wanted - len(merges)]
-        if not taken:
+        counts = _pair_counts(blocks, list(symbols), max_piece)
+        top = counts.orderBy(F.desc("n")).limit(MOST_LEADING + 1).toArrow()
+        if not len(top):
             break
-        merges += taken
-        pending = [*pending, *taken]
-        known.update(a + b for a, b in taken)
-        rounds += 1
+        keys, n = (top[c].to_numpy() for c in ("pair", "n"))
+        several = min(several, MOST_LEADING, 2 * (wanted - len(merges)) + 16)
+        while True:
+            pairs, least = _leading(keys, n, several)
+            runs = written.write(_runs(blocks, pairs), "runs")
+            size = (runs.agg(F.sum(F.octet_length("run"))).first()[0] or 0) // 4
+            if size <= RUN_SYMBOLS:
+                break
+            if several == 1:  # the runs of the most frequent pairs alone are too many
+                pairs = pairs[:0]
+                break
+            several = max(1, min(several, len(pairs)) // 4)
+        if len(pairs):
+            learned = _learn_runs(runs.toArrow(), wanted - len(merges), least, name, number)
+        else:
+            # Too much of one count to look at: of these pairs, those that do not touch each other are merged.
+            learned = [(a, b, number((a, b))[0]) for a, b in _first_of_equals(counts, symbols, int(n[0]), set(numbers))[:wanted - len(merges)]]
+        merges += [(symbols[a], symbols[b]) for a, b, _ in learned]
+        if size < RUN_SYMBOLS // 3:
+            several *= 2 if size > RUN_SYMBOLS // 12 else 4
+        if len(merges) < wanted:
+            blocks = written.write(_replayed(blocks, learned), "blocks")
+    for label in ("runs", "blocks"):
+        written.drop(label)
     return merges, _vocabulary(spark, merges, chars)
 
 
-def _learn_local(words: pa.Table, wanted: int, max_piece: int | None) -> list[tuple[str, str]]:
-    """The next ``wanted`` merges over (w, n), one at a time, touching only the places of the merged pair.
+def _learn_runs(
+    runs: pa.Table, wanted: int, least: int, name: Callable[[tuple[int, int]], tuple | None], number: Callable[[tuple[int, int]], tuple[int, bool]],
+) -> list[tuple[int, int, int]]:
+    """The merges that the distinct runs (run, n) tell, down to a count of ``least``."""
+    lengths = pc.binary_length(runs["run"]).to_numpy().astype(np.int64) // 4
+    flat = np.frombuffer(b"".join(runs["run"].to_pylist()), "<i4")
+    sym = np.zeros(len(flat) + len(lengths) + 1, np.int32)
+    sym[np.arange(len(flat)) + np.repeat(np.arange(1, len(lengths) + 1), lengths)] = flat
+    return pair_merging.learn(sym, runs["n"].to_numpy(), wanted, least, name, number)
+
+
+def _first_of_equals(counts: DataFrame, symbols: list[str], n: int, known: set[str]) -> list[tuple[int, int]]:
+    """The first pairs with the count ``n`` that can be merged at once with the result of one at a time."""
+    # One row for each symbol: the size of the vocabulary bounds them.
+    names = F.broadcast(counts.sparkSession.createDataFrame(list(enumerate(symbols)), "id int, s string"))
+    a, b = names.select(F.col("id").alias("ia"), F.col("s").alias("a")), names.select(F.col("id").alias("ib"), F.col("s").alias("b"))
+    equal = counts.where(F.col("n") == n).select(
+        F.shiftright("pair", 32).cast("int").alias("ia"), F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("ib")
+    ).join(F.broadcast(a), "ia").join(F.broadcast(b), "ib")
+    merged = F.concat("a", "b")
+    rows = equal.orderBy(F.length(merged), merged, F.length("a")).limit(MOST_LEADING).collect()
+    number = {(r["a"], r["b"]): (r["ia"], r["ib"]) for r in rows}
+    return [number[p] for p in independent_prefix(list(number), known)]
+
 
-    All words stand in one array of symbol numbers, 0 before and after each. A symbol of
-    several characters has its number at its first and last one, so both neighbours of a
-    place are found by the lengths of symbols. Places of a pair that are gone are passed over.
+def independent_prefix(ranked: list[tuple[str, str]], known: set[str]) -> list[tuple[str, str]]:
+    """The leading pairs that can be merged at once with the result of one at a time.
+
+    Two pairs overlap in a word only if one ends with the symbol the other starts
+    with, so merging one leaves the count of the other unchanged when that is not so.
+    A pair that a merge creates, say (ab, y), occurs at most as often as (b, y) did
+    before; (b, y) starts with the end of (a, b), so it is not among the leading
+    pairs taken here, and ranks below them (a longer symbol loses a tie). Only when a
+    merge makes a symbol that exists already can counts add up: that ends the list.
     """
-    weights, lengths = words["n"].to_numpy(), pc.utf8_length(words["w"]).to_numpy().astype(np.int64)
-    # Where each word's characters start; a 0 stands before each word and after the last.
-    starts = np.concatenate(([0], np.cumsum(lengths + 1))) + 1
-    sym = np.zeros(starts[-1], np.int32)
-    symbols, ids, width = [""], {}, [1]
-    number = np.zeros(0x110000, np.int32)
-    for at in range(0, len(words), 100_000):
-        codes = np.frombuffer("".join(words["w"].slice(at, 100_000).to_pylist()).encode("utf-32-le"), np.uint32)
-        for code in np.flatnonzero(np.bincount(codes)).tolist():
-            if not number[code]:
-                number[code] = ids[chr(code)] = len(symbols)
-                symbols.append(chr(code))
-                width.append(1)
-        own = lengths[at:at + 100_000]
-        sym[np.arange(len(codes)) + np.repeat(starts[at:at + len(own)] - (np.cumsum(own) - own), own)] = number[codes]
-    del words
-
-    def distinct(*parts: np.ndarray) -> np.ndarray:
-        every = np.sort(np.concatenate(parts))
-        return every[np.concatenate((every[:1] == every[:1], every[1:] != every[:-1]))]
-
-    def grouped(bounds: np.ndarray) -> Iterator[tuple[tuple[int, int], int, np.ndarray]]:
-        """Pairs over the places where a right symbol starts: (pair, count, places)."""
-        left, right = sym[bounds - 1].astype(np.int64), sym[bounds]
-        keep = (left != 0) & (right != 0)
-        bounds, keys = bounds[keep], left[keep] << 32 | right[keep]
-        if not len(keys):
-            return
-        order = np.argsort(keys, kind="stable")
-        bounds, keys = bounds[order], keys[order]
-        n = weights[np.searchsorted(starts, bounds, "right") - 1]
-        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        for key, total, places in zip(keys[first].tolist(), np.add.reduceat(n, first).tolist(), np.split(bounds, first[1:])):
-            yield (key >> 32, key & 0xFFFFFFFF), total, places
-
-    counts: dict[tuple[int, int], int] = {}
-    places: dict[tuple[int, int], list[np.ndarray]] = {}
-    heap: list[tuple] = []
-
-    def push(pair: tuple[int, int]) -> None:
-        a, b = symbols[pair[0]], symbols[pair[1]]
-        if LEFT_OUT not in (a, b) and (max_piece is None or len(a + b) <= max_piece):
-            heapq.heappush(heap, (-counts[pair], len(a + b), a + b, len(a), pair))
-
-    # In parts, so that the sorted keys of a part are all that is held besides the places.
-    for low in range(1, len(sym), 1 << 20):
-        for pair, n, found in grouped(np.arange(low, min(len(sym), low + (1 << 20)))):
-            counts[pair] = counts.get(pair, 0) + n
-            places.setdefault(pair, []).append(found.astype(np.int32))
-    for pair in counts:
-        push(pair)
-    merges: list[tuple[str, str]] = []
-    while heap and len(merges) < wanted:
-        top = heapq.heappop(heap)
-        pair = top[-1]
-        n = counts.get(pair, 0)
-        if n != -top[0]:
-            # Counted down since (a count that rose was pushed again).
-            if 0 < n < -top[0]:
-                push(pair)
-            continue
-        a, b = pair
-        new = symbols[a] + symbols[b]
-        merges.append((symbols[a], symbols[b]))
-        if new not in ids:
-            ids[new] = len(symbols)
-            symbols.append(new)
-            width.append(len(new))
-        middle = np.sort(np.concatenate(places.pop(pair))).astype(np.int64)
-        middle = middle[(sym[middle - 1] == a) & (sym[middle] == b)]
-        if a == b:
-            # Of a run, every second one, from the left.
-            run = np.concatenate(([True], np.diff(middle) != width[a]))
-            nth = np.arange(len(middle)) - np.flatnonzero(run)[np.cumsum(run) - 1]
-            middle = middle[nth % 2 == 0]
-        first, after = middle - width[a], middle + width[b]
-        for changed, total, _ in grouped(distinct(first, middle, after)):
-            counts[changed] -= total
-            if not counts[changed]:
-                del counts[changed]
-                places.pop(changed, None)
-        # What is inside the new symbol is no start or end any more.
-        sym[middle - 1] = sym[middle] = -1
-        sym[first] = sym[after - 1] = ids[new]
-        for changed, total, found in grouped(distinct(first, after)):
-            counts[changed] = counts.get(changed, 0) + total
-            places.setdefault(changed, []).append(found.astype(np.int32))
-            push(changed)
-    return merges
-
-
-def _covered(table: DataFrame, chars: list[str], coverage: float) -> tuple[list[str], str]:
-    """The most frequent characters that make up the share ``coverage`` of the text, and the others."""
-    counts = table.select(F.explode(_symbols(F.col("seg"))).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
-    by_char = {r["c"]: r["n"] for r in counts.collect()}
-    goal, total, kept = coverage * sum(by_char.values()), 0, []
-    for c in chars:
-        if total >= goal:
+    taken: list[tuple[str, str]] = []
+    firsts: set[str] = set()
+    lasts: set[str] = set()
+    made: set[str] = set()
+    for a, b in ranked:
+        if a in lasts or b in firsts:
             break
-        kept.append(c)
-        total += by_char[c]
-    return kept, "".join(chars[len(kept):])
+        taken.append((a, b))
+        if a + b in known or a + b in made or a == b:
+            break
+        firsts.add(a)
+        lasts.add(b)
+        made.add(a + b)
+    return taken
 
 
-def _recounted(table: DataFrame, base: DataFrame, pending: list[tuple[str, str]]) -> DataFrame:
-    """Pair counts after the pending merges: those of the written words, with the words that change counted anew."""
-    if not pending:
-        return base
-    both = table.select("seg", _merged(F.col("seg"), pending).alias("now"), "n").filter("now <> seg")
-    gone = pair_counts(both.select("seg", "n")).withColumn("n", -F.col("n"))
-    come = pair_counts(both.select(F.col("now").alias("seg"), "n"))
-    return base.unionByName(gone).unionByName(come).groupBy("a", "b").agg(F.sum("n").alias("n")).filter("n > 0")
+def _covered(by_count: list[tuple[str, int]], coverage: float) -> list[str]:
+    """The most frequent characters that make up the share ``coverage`` of the text."""
+    if coverage >= 1:
+        return [c for c, _ in by_count]
+    goal, total, kept = coverage * sum(n for _, n in by_count), 0, []
+    for c, n in by_count:
+        if total >= goal:
+            break
+        kept.append(c)
+        total += n
+    return kept
 
 
 def _vocabulary(spark: SparkSession, merges: list[tuple[str, str]], chars: list[str]) -> DataFrame:
@@ -296,24 +330,41 @@ def _vocabulary(spark: SparkSession, merges: list[tuple[str, str]], chars: list[
 
 
 def segment(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Pieces of one word: merge the earliest learned pair first, left to right."""
-    syms = list(word)
-    while len(syms) > 1:
-        rank, pair = min(
-            (ranks.get(p, len(ranks)), p) for p in zip(syms, syms[1:])
-        )
-        if rank == len(ranks):
-            break
-        out, i = [], 0
-        while i < len(syms):
-            if tuple(syms[i:i + 2]) == pair:
-                out.append(syms[i] + syms[i + 1])
-                i += 2
-            else:
-                out.append(syms[i])
-                i += 1
-        syms = out
-    return syms
+    """Pieces of one word: merge the earliest learned pair first, left to right.
+
+    Symbols are linked to their neighbours and a heap holds the pairs that may be merged
+    next, so a word of n characters takes n log n steps. A pair of the same rank further
+    right comes later; one that a merge made takes its turn by rank.
+    """
+    syms: list[str | None] = list(word)
+    heap = [(ranks[p], i) for i, p in enumerate(pairwise(syms)) if p in ranks]
+    if not heap:
+        return list(word)
+    heapq.heapify(heap)
+    after, before = list(range(1, len(syms) + 1)), list(range(-1, len(syms) - 1))
+    end = len(syms)
+    while heap:
+        # All of the lowest rank, from the left, before anything they make: as one pass over the word does.
+        rank, turn, made = heap[0][0], [], []
+        while heap and heap[0][0] == rank:
+            turn.append(heapq.heappop(heap)[1])
+        for i in turn:
+            j = after[i]
+            if syms[i] is None or j == end or ranks.get((syms[i], syms[j])) != rank:
+                continue
+            syms[i] += syms[j]
+            syms[j] = None
+            after[i] = after[j]
+            if after[i] < end:
+                before[after[i]] = i
+            made.append(i)
+        for i in made:
+            for left in (before[i], i):
+                if left >= 0 and after[left] < end:
+                    found = ranks.get((syms[left], syms[after[left]]))
+                    if found is not None:
+                        heapq.heappush(heap, (found, left))
+    return [s for s in syms if s is not None]
 
 
 def apply_bpe(df: DataFrame, merges: list[tuple[str, str]], col: str = "text", out: str = "pieces") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Byte-pair queries with the reference's 10,000 pieces, and the learner on the driver against rounds of jobs."""
+"""Byte-pair queries with the reference's 10,000 pieces."""
 
 import random
 
@@ -34,17 +34,14 @@ def test_student_ids_come_from_the_large_vocabulary(spark, sf):
 
 
 @pytest.mark.parametrize("max_piece", [None, 4])
-def test_the_driver_learns_what_rounds_of_jobs_learn(spark, max_piece, monkeypatch):
+def test_phases_with_long_pieces_and_rare_characters_left_out(spark, max_piece, monkeypatch):
     r = random.Random(3)
     rows = [*CORPORA[1], "a\U0001f600b \U0001f600b", *("".join(r.choice("abcd  ") for _ in range(60)) for _ in range(20))]
     chars = {c for t in rows for w in t.split() for c in "▁" + w}
     df, size = texts(spark, rows), len(chars) + 3 + 8
-    here, _ = subword.learn_bpe(df, size, max_piece=max_piece, coverage=0.999)
-    rounds, _ = subword.learn_bpe(df, size, max_piece=max_piece, coverage=0.999, batch=64)
-    assert here == rounds and here
-    # Too many characters for the driver: jobs again.
-    monkeypatch.setattr(subword, "LOCAL_SYMBOLS", 0)
-    monkeypatch.setattr(subword, "_learn_local", None)
-    assert subword.learn_bpe(df, size, max_piece=max_piece, coverage=0.999)[0] == here
+    one, _ = subword.learn_bpe(df, size, max_piece=max_piece, coverage=0.999)
+    for name, value in (("LEADING", 2), ("RUN_SYMBOLS", 30), ("BLOCK_SYMBOLS", 64)):
+        monkeypatch.setattr(subword, name, value)
+    assert one and subword.learn_bpe(df, size, max_piece=max_piece, coverage=0.999)[0] == one
     if max_piece is None:
         assert subword.learn_bpe(df, size)[0] == plain_bpe(rows, 8)[0]

@@ -1,11 +1,14 @@
 import io
+import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from sentloom.operators import cleaning, subword
+from sentloom.sources.staging import staging_root
 
 SETTINGS = dict(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -50,10 +53,13 @@ CORPORA = [
 
 
 @pytest.mark.parametrize("rows", CORPORA)
-@pytest.mark.parametrize("batch", [1, 64])
-def test_merges_equal_one_at_a_time(spark, rows, batch):
+@pytest.mark.parametrize("leading, most, symbols", [(64, 20_000, 1_500_000), (1, 2, 8), (4, 3, 1)])
+def test_merges_equal_one_at_a_time(spark, rows, leading, most, symbols, monkeypatch):
+    """In one phase, and in many: few leading pairs, equal counts beyond them, hardly any room for runs."""
+    for name, value in (("LEADING", leading), ("MOST_LEADING", most), ("RUN_SYMBOLS", symbols), ("BLOCK_SYMBOLS", 16)):
+        monkeypatch.setattr(subword, name, value)
     chars = {c for r in rows for w in r.split() for c in "▁" + w}
-    merges, vocab = subword.learn_bpe(texts(spark, rows), len(chars) + 3 + 12, batch=batch)
+    merges, vocab = subword.learn_bpe(texts(spark, rows), len(chars) + 3 + 12)
     assert merges == plain_bpe(rows, 12)[0]
     pieces = [r.piece for r in vocab.orderBy("piece_id").collect()]
     assert pieces[:3] == ["<unk>", "<s>", "</s>"]
@@ -68,6 +74,65 @@ def test_batched_merges_equal_one_at_a_time_on_any_text(spark, rows):
     assert merges == plain_bpe(rows, 10)[0]
 
 
+def test_a_thousand_merges_in_phases(spark, sf, monkeypatch):
+    """Words of all languages; runs of at most 3,000 symbols come to the driver, so there are many phases."""
+    rows = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()][:60]
+    rows = [" ".join(r.split()[:60]) for r in rows]
+    chars = {c for r in rows for w in r.split() for c in "▁" + w}
+    monkeypatch.setattr(subword, "RUN_SYMBOLS", 3000)
+    taken = []
+    real = subword._learn_runs
+    monkeypatch.setattr(subword, "_learn_runs", lambda runs, *a: taken.append(sum(len(r) // 4 for r in runs["run"].to_pylist())) or real(runs, *a))
+    merges, _ = subword.learn_bpe(texts(spark, rows), len(chars) + 3 + 1000)
+    assert len(merges) == 1000 and merges == plain_bpe(rows, 1000)[0]
+    assert len(taken) > 3 and max(taken) <= 3000
+
+
+def test_no_table_of_a_phase_is_left(spark):
+    staged = lambda: {p.name for p in (Path(staging_root(spark).removeprefix("file:")) / "sentloom").glob("*")}
+    before = staged()
+    subword.learn_bpe(texts(spark, CORPORA[0]), 30)
+    assert staged() == before
+
+
+def one_pass_at_a_time(word, ranks):
+    """Of all pairs in the word the earliest learned, everywhere from the left; again."""
+    syms = list(word)
+    while True:
+        known = [p for p in zip(syms, syms[1:]) if p in ranks]
+        if not known:
+            return syms
+        a, b = min(known, key=ranks.get)
+        out, i = [], 0
+        while i < len(syms):
+            both = syms[i:i + 2] == [a, b]
+            out.append(a + b if both else syms[i])
+            i += 1 + both
+        syms = out
+
+
+@settings(max_examples=300, deadline=None)
+@given(word=st.text("abc", max_size=30), picks=st.lists(st.tuples(st.integers(0, 99), st.integers(0, 99)), max_size=25), turn=st.randoms())
+def test_segments_equal_one_pass_at_a_time(word, picks, turn):
+    pool, pairs = list("abc"), []
+    for i, j in picks:
+        pair = (pool[i % len(pool)], pool[j % len(pool)])
+        if pair not in pairs:
+            pairs.append(pair)
+            pool.append("".join(pair))
+    turn.shuffle(pairs)
+    ranks = {p: i for i, p in enumerate(pairs)}
+    assert subword.segment(word, ranks) == one_pass_at_a_time(word, ranks)
+
+
+def test_a_million_letters_take_seconds():
+    merges, _ = plain_bpe([" ".join(a + b + c for a in "abcd" for b in "abcd" for c in "abcd")], 60)
+    word = "▁" + "abcddcba" * 125_000
+    start = time.monotonic()
+    assert "".join(subword.segment(word, {m: i for i, m in enumerate(merges)})) == word
+    assert time.monotonic() - start < 60
+
+
 def test_encoding_replays_the_merges_and_decodes_to_the_text(spark):
     rows = CORPORA[0]
     merges, segs = plain_bpe(rows, 9)
