@@ -632,18 +632,80 @@ SQL: dict[str, str] = {
 }
 SQL["ids_from_vocab_all"] = SQL["encode_ids"].replace("line_no,", "lang, line_no,").replace(" FROM lines WHERE lang = 'de'", " FROM lines").replace(
     "GROUP BY line_no", "GROUP BY lang, line_no").replace("AS id_text", "AS ids")
-# Reversing words keeps lengths, so every score is 1.0, every threshold keeps all, and all of it is accepted.
+# Models do not change what is translated, so every run of a direction with one threshold has the same metric:
+# the best threshold is tried again in the loop, which goes on while one direction is as good as its best.
 SQL["iterate"] = f"""WITH {CORPORA},
   par AS (SELECT src AS l1, tgt AS l2 FROM corpora WHERE part = 'parallel'),
-  rev AS (SELECT lang, text, array_to_string(list_reverse(string_split(text, ' ')), ' ') AS turned FROM lines
-          WHERE lang IN ('en', 'de') AND len({words('text')}) > 0),
+  w AS (SELECT lang, text, string_split(text, ' ') AS words FROM lines WHERE lang IN ('en', 'de') AND len({words('text')}) > 0),
+  made AS (SELECT lang, text, array_to_string(list_reverse(words[:greatest(1, len(words) * (len(words) % 10 + 1) // 10)]), ' ') AS turned FROM w),
   fed AS (
-    SELECT '1n' AS direction, {strip('l1')} AS src, {strip('l2')} AS tgt FROM par UNION ALL SELECT 'n1', {strip('l2')}, {strip('l1')} FROM par
-    UNION ALL SELECT CASE lang WHEN 'de' THEN '1n' ELSE 'n1' END, {strip('turned')}, {strip('text')} FROM rev),
-  m AS (SELECT direction, avg(length(src)) AS metric FROM fed WHERE src <> '' AND tgt <> '' GROUP BY direction)
-  SELECT 'first' AS stage, 0 AS iteration, direction, NULL::DOUBLE AS threshold, metric FROM (
-    SELECT '1n' AS direction, avg(length(l1)) AS metric FROM par UNION ALL SELECT 'n1', avg(length(l2)) FROM par)
-  UNION ALL SELECT 'score_' || (t / 10.0)::DOUBLE, 0, direction, (t / 10.0)::DOUBLE, metric FROM m, range(10) r(t)
-  UNION ALL SELECT 'it_' || i, i, direction, (0.9)::DOUBLE, metric FROM m, range(1, 9) r(i)"""
+    SELECT '1n' AS direction, {strip('l1')} AS src, {strip('l2')} AS tgt, NULL AS score FROM par
+    UNION ALL SELECT 'n1', {strip('l2')}, {strip('l1')}, NULL FROM par
+    UNION ALL SELECT CASE lang WHEN 'de' THEN '1n' ELSE 'n1' END, {strip('turned')}, {strip('text')},
+      round(least(length(text), length(turned))::DOUBLE / greatest(length(text), length(turned)), 4) FROM made),
+  first AS (SELECT '1n' AS direction, avg(length(l1)) AS metric FROM par UNION ALL SELECT 'n1', avg(length(l2)) FROM par),
+  m AS (
+    SELECT direction, (t / 10.0)::DOUBLE AS threshold, avg(length(src)) FILTER (score IS NULL OR score > (t / 10.0)::DOUBLE) AS metric
+    FROM fed, range(10) r(t) WHERE src <> '' AND tgt <> '' GROUP BY ALL),
+  best AS (SELECT direction, threshold, metric FROM m QUALIFY row_number() OVER (PARTITION BY direction ORDER BY metric DESC, threshold DESC) = 1),
+  loops AS (SELECT CASE WHEN count(*) > 0 THEN 8 ELSE 1 END AS n FROM best JOIN first USING (direction) WHERE best.metric >= first.metric)
+  SELECT 'first' AS stage, 0 AS iteration, direction, NULL::DOUBLE AS threshold, metric FROM first
+  UNION ALL SELECT 'score_' || threshold, 0, direction, threshold, metric FROM m
+  UNION ALL SELECT 'it_' || i, i, direction, threshold, metric FROM best, loops, range(1, 9) r(i) WHERE i <= n"""
 SQL["ids_from_vocab_shuffled"] = SQL["encode_ids"].replace("AS id_text", "AS ids")
 SQL["encode_pieces_model"] = SQL["apply_bpe"]
+
+
+_MARKED = f"SELECT lang, line_no, i, '▁' || w AS w FROM (SELECT lang, line_no, unnest({words('text')}) AS w, unnest(range(len({words('text')}))) AS i FROM lines)"
+SCORED_PIECES = f"""
+marked AS MATERIALIZED ({_MARKED}),
+wc AS (SELECT w, count(*) AS n FROM marked GROUP BY w),
+parts AS (
+  SELECT substr(w, i, k) AS piece, sum(n)::BIGINT AS n
+  FROM wc, (SELECT unnest(range(1, 5)) AS k) ks, LATERAL (SELECT unnest(range(1, length(w) - k + 2)) AS i) places GROUP BY 1),
+chosen AS (
+  SELECT piece, n FROM parts WHERE length(piece) = 1
+  UNION ALL (SELECT piece, n FROM parts WHERE length(piece) > 1 ORDER BY n DESC, piece LIMIT 8000)),
+scored AS (SELECT piece, n, ln(n::DOUBLE / (SELECT sum(n) FROM chosen)) AS score FROM chosen)"""
+SQL["scored_vocabulary"] = f"WITH {LINES}, {SCORED_PIECES} SELECT piece, n, round(score, 6) AS score FROM scored"
+
+
+def _way(size: int) -> str:
+    score = "coalesce(v1.s, (SELECT min(s) - 10000000 FROM v))" if size == 1 else f"v{size}.s"
+    way = f"{{'s': st[{size}].s + {score}, 'n': st[{size}].n - 1, 'l': {size}, 'p': st[{size}].p || ' ' || substr(k.w, i + 2 - {size}, {size})}}"
+    return way if size == 1 else f"CASE WHEN v{size}.s IS NOT NULL THEN {way} END"
+
+
+# Of each prefix the best way is kept, and those of the last four prefixes are at hand.
+SQL["encode_scored"] = f"""WITH RECURSIVE {LINES}, {SCORED_PIECES},
+  v AS MATERIALIZED (SELECT piece, round(round(score, 4) * 1000000)::BIGINT AS s FROM scored WHERE piece NOT IN ('q', 'ñ')),
+  walk AS (
+    SELECT w, 0 AS i, [{{'s': 0::BIGINT, 'n': 0, 'l': 0, 'p': ''}}] AS st FROM wc
+    UNION ALL
+    SELECT w, i + 1, list_prepend(list_reverse_sort(list_filter(ways, lambda x: x IS NOT NULL))[1], st)[1:4]
+    FROM (
+      SELECT k.w, i, st, [{", ".join(_way(size) for size in range(1, 5))}] AS ways
+      FROM walk k {" ".join(f"LEFT JOIN v v{n} ON i >= {n - 1} AND v{n}.piece = substr(k.w, i + 2 - {n}, {n})" for n in range(1, 5))}
+      WHERE i < length(k.w))),
+  cut AS (SELECT w, trim(st[1].p) AS p FROM walk WHERE i = length(w)),
+  got AS (SELECT lang, line_no, string_agg(p, ' ' ORDER BY i) AS pieces FROM marked JOIN cut USING (w) GROUP BY ALL)
+  SELECT lang, line_no, coalesce(pieces, '') AS pieces FROM lines LEFT JOIN got USING (lang, line_no)"""
+
+
+def batches(rows: str, lanes: int, tokens: int, positions: int) -> str:
+    """CTEs ending in ``placed``: ``rows`` (id, text, size) with lane and batch, the start of a batch found from the one before."""
+    return f"""
+sized AS MATERIALIZED (
+  SELECT *, (('0x' || substr(md5('0:' || id), 1, 8))::BIGINT % {lanes})::INTEGER AS lane FROM ({rows})),
+fit AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY lane ORDER BY size DESC, id) AS r FROM sized WHERE size <= {min(tokens, positions)}),
+starts AS (
+  SELECT lane, 0::BIGINT AS batch, r AS first, r + {tokens} // size AS next FROM fit WHERE r = 1
+  UNION ALL SELECT f.lane, s.batch + 1, f.r, f.r + {tokens} // f.size FROM starts s JOIN fit f ON f.lane = s.lane AND f.r = s.next),
+placed AS (
+  SELECT sized.*, s.batch FROM sized LEFT JOIN fit USING (lane, id) LEFT JOIN starts s ON s.lane = fit.lane AND fit.r >= s.first AND fit.r < s.next)"""
+
+
+SQL["translate_batched"] = f"""WITH RECURSIVE {TURNS}, {batches(f"SELECT sent_id AS id, {one_line('src')} AS text, greatest(1, len({words('src')})) AS size FROM turns", 8, 3000, 2000)}
+  SELECT id AS sent_id, CASE WHEN batch IS NOT NULL THEN array_to_string(list_reverse(string_split(text, ' ')), ' ') END AS hyp, lane, batch FROM placed"""
+SQL["batch_sizes"] = f"""WITH RECURSIVE {LINES}, {batches(f"SELECT line_no AS id, text, greatest(1, len({words('text')})) AS size FROM lines WHERE lang = 'en' AND text <> ''", 64, 400, 120)}
+  SELECT lane, batch, count(*) AS n_rows, max(size)::BIGINT AS longest, sum(size)::BIGINT AS n_tokens, count(batch) AS n_translated FROM placed GROUP BY lane, batch"""

@@ -7,10 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from sentloom.operators.cleaning import drop_empty_pairs
-from sentloom.sources.staging import stage
 
 # Origins of (language 1, language 2) in the two kinds of synthetic pairs.
 ORIGINS = {"so": ("synthetic", "original"), "os": ("original", "synthetic")}
@@ -25,32 +23,38 @@ MIXTURES = {
 }
 
 
-def concat_corpora(dfs: Sequence[DataFrame]) -> DataFrame:
+def last_lines(dfs: Sequence[DataFrame]) -> list[int]:
+    """The last line number of each corpus, 0 if it has none: one job that reads only line numbers."""
+    numbers = [df.select(F.lit(i).alias("_nth"), F.col("line_no").cast("bigint").alias("line_no")) for i, df in enumerate(dfs)]
+    if not numbers:
+        return []
+    found = reduce(DataFrame.unionByName, numbers).groupBy("_nth").agg(F.max("line_no").alias("last")).collect()
+    last = {r["_nth"]: r["last"] for r in found}
+    return [last.get(i) or 0 for i in range(len(dfs))]
+
+
+def concat_corpora(dfs: Sequence[DataFrame], last: Sequence[int] | None = None) -> DataFrame:
     """Concatenate numbered corpora in the listed order; duplicates stay.
 
-    A corpus starts after the last line of the ones before it. The corpora are written
-    once, each input is planned once, and the last lines are read from the written
-    table. The offsets are one row per listed corpus, so they are broadcast.
+    A corpus starts after the last line of the ones before it. Only the last lines of all
+    but the last corpus are needed (``last``, looked up by :func:`last_lines` if not
+    given); they stand in the plan as constants, so no row is moved or written.
     """
-    tagged = [df.withColumn("_nth", F.lit(i)) for i, df in enumerate(dfs)]
-    union = stage(reduce(DataFrame.unionByName, tagged), "concat")
-    earlier = W.orderBy("_nth").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        union.groupBy("_nth").agg(F.max("line_no").alias("_last"))
-        .select("_nth", F.coalesce(F.sum("_last").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    return (
-        union.join(F.broadcast(offsets), "_nth")
-        .withColumn("line_no", F.col("line_no") + F.col("_offset"))
-        .select(*dfs[0].columns)
-    )
+    dfs = list(dfs)
+    if last is None:
+        last = last_lines(dfs[:-1])
+    offset, parts = 0, []
+    for i, df in enumerate(dfs):
+        parts.append(df.select(*dfs[0].columns).withColumn("line_no", F.col("line_no") + F.lit(offset).cast("bigint")))
+        offset += last[i] if i < len(dfs) - 1 else 0
+    return reduce(DataFrame.unionByName, parts)
 
 
-def augment(parallel: DataFrame, synthetic: DataFrame) -> DataFrame:
+def augment(parallel: DataFrame, synthetic: DataFrame, last: int | None = None) -> DataFrame:
     """Parallel pairs plus (synthetic source, original target) pairs, without empty sides.
 
     Columns: line_no, src, tgt, src_origin, tgt_origin. The synthetic pairs come
-    after the last parallel line.
+    after the ``last`` parallel line, which is looked up if not given.
     """
     real = parallel.select(
         "line_no", "src", "tgt", F.lit("original").alias("src_origin"), F.lit("original").alias("tgt_origin")
@@ -58,7 +62,7 @@ def augment(parallel: DataFrame, synthetic: DataFrame) -> DataFrame:
     made = synthetic.select(
         "line_no", "src", "tgt", F.lit("synthetic").alias("src_origin"), F.lit("original").alias("tgt_origin")
     )
-    return drop_empty_pairs(concat_corpora([real, made]))
+    return drop_empty_pairs(concat_corpora([real, made], None if last is None else [last]))
 
 
 def mixture(parallel: DataFrame, synthetic: DataFrame, flavour: str, direction: str) -> DataFrame:

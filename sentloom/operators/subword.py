@@ -38,7 +38,7 @@ LEADING, MOST_LEADING = 64, 20_000
 # Symbols of distinct runs that the driver takes in a phase (about 60 bytes of its memory each).
 RUN_SYMBOLS = 1_500_000
 # Symbols of a block of words.
-BLOCK_SYMBOLS = 2_000_000
+BLOCK_SYMBOLS = 1_000_000
 # Words whose pieces a Python worker remembers.
 CACHE_WORDS = 200_000
 
@@ -367,24 +367,23 @@ def segment(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     return [s for s in syms if s is not None]
 
 
-def apply_bpe(df: DataFrame, merges: list[tuple[str, str]], col: str = "text", out: str = "pieces") -> DataFrame:
-    """Encode text to pieces with learned merges (an array column).
+def encode_words(load: Callable[[], Callable[[str], list[str]]]):
+    """A function of an array of words to the pieces of all of them.
 
-    Rows are not shuffled: the merge list is bounded by the vocabulary size and goes
-    to the executors. A batch is cut into its distinct words, each is segmented once (and
-    remembered by the task), and the arrays are put together from those.
+    ``load`` returns the function from a word to its pieces and runs once per task. A batch
+    is cut into its distinct words, each is segmented once (and remembered by the task),
+    and the arrays are put together from those.
     """
-    ranks = df.sparkSession.sparkContext.broadcast({m: i for i, m in enumerate(merges)})
 
     @F.arrow_udf("array<string>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache: dict[str, list[str]] = {}
+        cut, cache = load(), {}
         for lines in batches:
             distinct = lines.flatten().dictionary_encode()
             if len(cache) > CACHE_WORDS:
                 cache.clear()
             own = distinct.dictionary.to_pylist()
-            cache.update((w, segment(w, ranks.value)) for w in own if w not in cache)
+            cache.update((w, cut(w)) for w in own if w not in cache)
             pieces = pa.array([cache[w] for w in own], pa.list_(pa.string())).take(distinct.indices)
             # Where each word's pieces start, then where each line's do.
             starts = np.concatenate(([0], np.cumsum(pieces.value_lengths().to_numpy(zero_copy_only=False))))
@@ -392,7 +391,17 @@ def apply_bpe(df: DataFrame, merges: list[tuple[str, str]], col: str = "text", o
             offsets = pa.array(starts[words].astype(np.int32))
             yield pa.ListArray.from_arrays(offsets, pieces.flatten(), mask=lines.is_null())
 
-    return df.withColumn(out, encode(marked_words(col)))
+    return encode
+
+
+def apply_bpe(df: DataFrame, merges: list[tuple[str, str]], col: str = "text", out: str = "pieces") -> DataFrame:
+    """Encode text to pieces with learned merges (an array column).
+
+    Rows are not shuffled: the merge list is bounded by the vocabulary size and goes
+    to the executors.
+    """
+    ranks = df.sparkSession.sparkContext.broadcast({m: i for i, m in enumerate(merges)})
+    return df.withColumn(out, encode_words(lambda: lambda word: segment(word, ranks.value))(marked_words(col)))
 
 
 def encode_pieces(

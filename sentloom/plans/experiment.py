@@ -16,19 +16,20 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentloom import schema
 from sentloom.operators.cleaning import filter_by_score
 from sentloom.operators.ledger import best_threshold
-from sentloom.operators.mixtures import ORIGINS, augment
+from sentloom.operators.mixtures import ORIGINS, augment, last_lines
 from sentloom.operators.sampling import prefix_for
 from sentloom.operators.scoring import PairClassifier, score_pairs
 from sentloom.operators.stats import THRESHOLDS
 from sentloom.operators.synthesis import Translator, synthesize
 from sentloom.plans.classifier import classifier_data, train_classifier
 from sentloom.sources.corpus import corpus_paths, read_corpora, read_parallel
-from sentloom.sources.sinks import write_result, write_synthetic
-from sentloom.sources.staging import materialize_once, stage
+from sentloom.sources.sinks import read_synthetic, write_result, write_synthetic
+from sentloom.sources.staging import content_key, manifest_key, materialize_named, stage, staging_path
 
 DIRECTIONS = ("1n", "n1")
 MAX_ITERATIONS = 8
@@ -45,7 +46,9 @@ class Callbacks:
     the untuned model; ``translator(model_ref)`` returns the loader that
     :func:`~sentloom.operators.synthesis.translate` wants; ``encode`` adds ``pieces``;
     ``scorer`` is a fitted pair classifier or a function from frame to score column;
-    :func:`run_experiment` trains one where it is None.
+    :func:`run_experiment` trains one where it is None. ``version`` names all of them: stages
+    made by other callbacks are not used again. The scorer is also told by its weights,
+    or by its function's name.
     """
 
     train: Callable[[str, str, DataFrame, str | None], tuple[str, float]]
@@ -53,6 +56,15 @@ class Callbacks:
     translator: Callable[[str], Callable[[], Translator]]
     encode: Callable[[DataFrame], DataFrame]
     scorer: PairClassifier | Callable[[DataFrame], Column] | None = None
+    version: str = ""
+
+    def key(self) -> dict:
+        """What of the callbacks a stage depends on."""
+        if isinstance(self.scorer, PairClassifier):
+            scorer = {"weights": self.scorer.weights(), "words": content_key(self.scorer.wordfreq), "lang": self.scorer.tgt_lang}
+        else:
+            scorer = f"{getattr(self.scorer, '__module__', '')}.{getattr(self.scorer, '__qualname__', type(self.scorer).__name__)}"
+        return {"scorer": scorer, "version": self.version}
 
 
 @dataclass
@@ -63,6 +75,8 @@ class State:
     model: dict[str, str | None] = field(default_factory=dict)
     threshold: dict[str, float] = field(default_factory=dict)
     synthetic: dict[str, DataFrame] = field(default_factory=dict)
+    # The keys of the stages the synthetic pairs and the models come from.
+    made_by: dict[str, str] = field(default_factory=dict)
     runs: list[tuple] = field(default_factory=list)
 
 
@@ -82,6 +96,21 @@ def as_training(pairs: DataFrame, direction: str) -> DataFrame:
     return pairs.select("line_no", F.col(src).alias("src"), F.col(tgt).alias("tgt"))
 
 
+def score_bands(scored: DataFrame, thresholds: Sequence[float], path: str | None = None) -> DataFrame:
+    """Scored pairs written once, in a folder for each number of thresholds that the score is above (``band``).
+
+    The pairs above the i-th lowest threshold (from 0) are those with ``band > i``: whole
+    folders. Scores that are no numbers are in band 0.
+    """
+    above = [F.when((F.col("score") > F.lit(float(t))) & ~F.isnan("score"), 1).otherwise(0) for t in sorted(set(thresholds))]
+    banded = scored.withColumn("band", reduce(lambda a, b: a + b, above, F.lit(0)))
+    path = path or staging_path(scored.sparkSession, "bands")
+    banded.write.mode("overwrite").partitionBy("band").parquet(path)
+    # The folder of no pairs has no file that would tell its columns.
+    fields = [f for f in banded.schema.fields if f.name != "band"]
+    return scored.sparkSession.read.schema(T.StructType([*fields, T.StructField("band", T.IntegerType())])).parquet(path)
+
+
 def search_threshold(
     parallel: DataFrame,
     scored: Mapping[str, DataFrame],
@@ -90,14 +119,18 @@ def search_threshold(
 ) -> tuple[list[tuple[str, float, float]], dict[str, float]]:
     """Try every threshold in both directions: (tried runs, best threshold per direction).
 
-    ``scored[direction]`` has the scored synthetic pairs (l1, l2, score) that train
-    the direction and should be a written table: each threshold is a filter on it.
+    ``scored[direction]`` has the scored synthetic pairs (line_no, l1, l2, score) that
+    train the direction. They are written once, by :func:`score_bands`; the pairs of a
+    threshold are some of its folders, and follow the parallel pairs by a constant offset.
     """
+    levels = sorted(set(thresholds))
+    bands = {d: score_bands(scored[d].select("line_no", "l1", "l2", "score"), levels) for d in DIRECTIONS}
+    last = last_lines([parallel])[0]
     tried = []
     for t in thresholds:
         for direction in DIRECTIONS:
-            kept = as_training(filter_by_score(scored[direction], t), direction)
-            data = augment(as_training(parallel, direction), kept)
+            kept = as_training(bands[direction].filter(F.col("band") > levels.index(t)), direction)
+            data = augment(as_training(parallel, direction), kept, last)
             tried.append((direction, float(t), float(train_and_score(direction, t, data))))
     spark = parallel.sparkSession
     sweep = spark.createDataFrame(tried, "direction string, threshold double, metric double")
@@ -112,7 +145,9 @@ class Refinement:
     Every stage translates the whole monolingual corpora; with a ``unit`` (a million, say)
     it takes the growing prefixes of :func:`~sentloom.operators.sampling.prefix_for`, and
     with a ``piece_limit`` it leaves out longer lines. What a stage made is found again
-    under ``workdir`` by these settings.
+    under ``workdir`` by its manifest: its settings, the contents of the corpora, the
+    callbacks' key and the stages it builds on. So a changed corpus, threshold or scorer
+    makes the stages after it anew, and no others.
     """
 
     def __init__(
@@ -126,18 +161,26 @@ class Refinement:
         unit: int | None = None,
         piece_limit: int | None = None,
     ):
-        # Stages of other settings are other stages.
-        settings = f"unit-{unit or 'all'}-pieces-{piece_limit or 'all'}"
-        self.spark, self.name, self.workdir = spark, name, f"{workdir.rstrip('/')}/{settings}"
+        self.spark, self.name, self.workdir = spark, name, workdir.rstrip("/")
         self.parallel, self.mono, self.cb = parallel, mono, callbacks
+        self.keys = {"parallel": content_key(parallel), **{side: content_key(df) for side, df in mono.items()}, "callbacks": callbacks.key()}
+        self.last = last_lines([parallel])[0]
         self.unit, self.piece_limit = unit, piece_limit
         self.state = State(model={d: None for d in DIRECTIONS})
 
     # -- one step each ------------------------------------------------------
 
     def _train(self, direction: str, stage: str, data: DataFrame, iteration: int = 0,
-               threshold: float | None = None) -> tuple[str, float]:
-        """Train and validate, or take the recorded result of an earlier run."""
+               threshold: float | None = None, made_by: str | None = None) -> tuple[str, float]:
+        """Train and validate, or take the recorded result of an earlier run.
+
+        ``made_by`` is the key of the stage the synthetic pairs come from; with the
+        threshold it tells the data, and the start model is told by its own stage.
+        """
+        manifest = {
+            "run": stage, "experiment": self.name, "direction": direction, "iteration": iteration, "threshold": threshold,
+            "parallel": self.keys["parallel"], "synthetic": made_by, "version": self.cb.version, "start": self.state.made_by.get(f"model-{direction}"),
+        }
 
         def run() -> DataFrame:
             model, metric = self.cb.train(direction, stage, data, self.state.model[direction])
@@ -145,14 +188,19 @@ class Refinement:
             return self.spark.createDataFrame([row], schema.LEDGER)
 
         # One row per run.
-        row = materialize_once(self.spark, run, f"{self.workdir}/runs/{stage}-{direction}").first()
+        row = materialize_named(self.spark, run, f"{self.workdir}/runs/{stage}-{direction}", manifest).first()
         self.state.runs.append(tuple(row[c] for c in schema.LEDGER.names))
+        self.state.made_by[f"{stage}-{direction}"] = manifest_key(manifest)
         return row["model_ref"], row["metric"]
 
     def _translate(self, direction: str, stage: str, lines: int | None) -> DataFrame:
         """Translate a prefix with the best model of a direction and score the pairs: (line_no, l1, l2, score)."""
         source = "l1" if direction == "1n" else "l2"
         target = "l2" if direction == "1n" else "l1"
+        manifest = {
+            "translated": stage, "direction": direction, "model": self.state.made_by.get(f"model-{direction}"), "lines": lines,
+            "piece_limit": self.piece_limit, "mono": self.keys[source], "callbacks": self.keys["callbacks"],
+        }
 
         def run() -> DataFrame:
             made = synthesize(
@@ -166,13 +214,15 @@ class Refinement:
                 "line_no", F.col("src").alias("l1"), F.col("tgt").alias("l2"), "score"
             )
 
-        return materialize_once(self.spark, run, f"{self.workdir}/translated/{stage}-{direction}")
+        self.state.made_by[KIND_FROM_MODEL[direction]] = manifest_key(manifest)
+        return materialize_named(self.spark, run, f"{self.workdir}/translated/{stage}-{direction}", manifest)
 
-    def _accept(self, direction: str, model: str, metric: float) -> bool:
+    def _accept(self, direction: str, stage: str, model: str, metric: float) -> bool:
         """A run that is at least as good as the best becomes the best; a metric that is no number never does."""
         ok = not math.isnan(metric) and metric >= self.state.best[direction]
         if ok:
             self.state.best[direction], self.state.model[direction] = metric, model
+            self.state.made_by[f"model-{direction}"] = self.state.made_by[f"{stage}-{direction}"]
         return ok
 
     # -- stages -------------------------------------------------------------
@@ -184,7 +234,7 @@ class Refinement:
             model, metric = self._train(direction, "first", as_training(self.parallel, direction))
             baseline = float(self.cb.baseline(direction))
             self.state.best[direction] = float("-inf") if math.isnan(baseline) else baseline
-            ok = self._accept(direction, model, metric)
+            ok = self._accept(direction, "first", model, metric)
             if ok:
                 kind = KIND_FROM_MODEL[direction]
                 self.state.synthetic[kind] = self._translate(direction, "first", prefix_for("first", unit=self.unit))
@@ -196,7 +246,9 @@ class Refinement:
         models: dict[tuple[str, float], str] = {}
 
         def run(direction: str, t: float, data: DataFrame) -> float:
-            models[direction, t], metric = self._train(direction, f"score_{t}", data, threshold=float(t))
+            models[direction, t], metric = self._train(
+                direction, f"score_{t}", data, threshold=float(t), made_by=self.state.made_by[KIND_FOR_TRAINING[direction]]
+            )
             return metric
 
         scored = {d: self.state.synthetic[KIND_FOR_TRAINING[d]] for d in DIRECTIONS}
@@ -207,7 +259,7 @@ class Refinement:
             t = best.get(d) if best.get(d) is not None else float("-inf")
             self.state.threshold[d] = t
             if (d, t) in metrics:
-                self._accept(d, models[d, t], metrics[d, t])
+                self._accept(d, f"score_{t}", models[d, t], metrics[d, t])
         # Every pair that trains a model is filtered, also when its kind is not renewed later.
         self.state.synthetic = {
             KIND_FOR_TRAINING[d]: self._clean(scored[d], d) for d in DIRECTIONS
@@ -228,12 +280,13 @@ class Refinement:
         for it in range(1, max_iter + 1):
             improved = False
             for direction in DIRECTIONS:
-                kept = as_training(self.state.synthetic[KIND_FOR_TRAINING[direction]], direction)
-                data = augment(as_training(self.parallel, direction), kept)
+                kind = KIND_FOR_TRAINING[direction]
+                kept = as_training(self.state.synthetic[kind], direction)
+                data = augment(as_training(self.parallel, direction), kept, self.last)
                 model, metric = self._train(
-                    direction, f"it_{it}", data, iteration=it, threshold=self.state.threshold[direction]
+                    direction, f"it_{it}", data, iteration=it, threshold=self.state.threshold[direction], made_by=self.state.made_by[kind]
                 )
-                if self._accept(direction, model, metric):
+                if self._accept(direction, f"it_{it}", model, metric):
                     improved = True
                     self._renew(direction, f"it_{it}", prefix_for("iteration", it, self.unit))
             if not improved:
@@ -261,7 +314,7 @@ class Refinement:
             self.find_thresholds(thresholds)
             stopped = self.iterate(max_iter)
             path = write_synthetic(self.synthetic(), f"{self.workdir}/synthetic_corpora")
-            synthetic = self.spark.read.parquet(path)
+            synthetic = read_synthetic(self.spark, path)
         ledger = self.ledger()
         write_result(ledger, f"{self.workdir}/result")
         s = self.state

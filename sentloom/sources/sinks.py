@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentloom import schema
 from sentloom.functions import text as tx
 from sentloom.operators.ledger import best_run
 from sentloom.operators.stats import order_by_frequency
@@ -66,7 +67,15 @@ def write_synthetic(df: DataFrame, path: str) -> str:
     return path
 
 
+def read_synthetic(spark: SparkSession, path: str) -> DataFrame:
+    """Synthetic corpora as written; no pairs leave no files, so the columns are not read from them."""
+    return spark.read.schema(schema.SYNTHETIC).parquet(path)
+
+
 def write_splits(df: DataFrame, path: str) -> str:
-    """Write a corpus with roles as Parquet, one folder per split (pruned on read)."""
+    """Write a corpus with roles as Parquet, one folder per split (pruned on read).
+
+    No rows leave no files: read such a folder with the schema of ``df``.
+    """
     df.write.mode("overwrite").partitionBy("split").parquet(path)
     return path

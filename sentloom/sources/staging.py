@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import hashlib
+import json
 import shutil
 import tempfile
 import uuid
@@ -10,6 +12,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Folders of local sessions, and the tables staged so far, by application.
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -92,3 +95,60 @@ def materialize_once(spark: SparkSession, build, path: str) -> DataFrame:
         df = build() if callable(build) else build
         df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def content_key(df: DataFrame) -> str:
+    """A fingerprint of the rows and columns of a table, whatever their order and files.
+
+    One pass that adds up in the tasks: the number of rows and two combinations of the
+    hashes of whole rows.
+    """
+    row = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) for c in df.columns], *[F.col(f"`{c}`").isNull() for c in df.columns])
+    # Two sums of halves cannot overflow; with the xor, rows that are there twice still count.
+    found = df.select(row.alias("h")).agg(
+        F.count(F.lit(1)), F.sum(F.shiftright("h", 32)), F.sum(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF))), F.bit_xor("h")
+    ).first()
+    return hashlib.sha256(json.dumps([df.dtypes, *found]).encode()).hexdigest()[:20]
+
+
+def manifest_key(manifest: dict) -> str:
+    """A short name of a manifest: the same for the same settings and inputs."""
+    return hashlib.sha256(json.dumps(manifest, sort_keys=True).encode()).hexdigest()[:20]
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    if not path_exists(spark, path):
+        return None
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def materialize_named(spark: SparkSession, build, folder: str, manifest: dict) -> DataFrame:
+    """The stage that ``manifest`` describes, built and written only if it is not there yet.
+
+    The manifest names all that the stage depends on: its settings and the keys of its
+    inputs (:func:`content_key` of a table, :func:`manifest_key` of another stage). The
+    folder of the stage is named by it, so a changed setting or input is another stage, and
+    stages after it, whose manifests name it, are others too. The manifest itself is
+    written last and compared before the stage is used: a stage without it is unfinished
+    and replaced.
+    """
+    path, text = f"{folder.rstrip('/')}/{manifest_key(manifest)}", json.dumps(manifest, sort_keys=True)
+    if not is_complete(spark, path) or _read_text(spark, f"{path}/_manifest.json") != text:
+        df = build() if callable(build) else build
+        df.write.mode("overwrite").parquet(path)
+        _write_text(spark, f"{path}/_manifest.json", text)
+    return spark.read.parquet(path)

@@ -1,3 +1,4 @@
+import dataclasses
 import sys
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from sentloom.functions import text as tx
 from sentloom.operators import ledger, scoring, synthesis
 from sentloom.plans import classifier, experiment
+from sentloom.sources import staging
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -109,6 +111,71 @@ def test_accepts_ties_rejects_and_stops(spark, corpora, tmp_path):
     assert (same.best, same.model, same.threshold, same.stopped_at) == (out.best, out.model, out.threshold, 2)
 
 
+def test_changed_settings_and_inputs_make_the_stages_after_them_anew(spark, corpora, tmp_path):
+    parallel, mono_tables = corpora
+    metrics = {(s, d): 20.0 for s in ("first", "score_0.0", "score_0.5", "score_0.9", "it_1") for d in ("1n", "n1")}
+
+    def run(script, parallel=parallel, mono_tables=mono_tables, thresholds=(0.0,), version=""):
+        callbacks = dataclasses.replace(script.callbacks(), version=version)
+        return experiment.Refinement(spark, "test", str(tmp_path), parallel, mono_tables, callbacks).run(thresholds, max_iter=1)
+
+    first = Script(metrics)
+    run(first)
+    assert set(first.seen) == {(s, d) for s in ("first", "score_0.0", "it_1") for d in ("1n", "n1")}
+    again = Script({})
+    assert run(again).best == {"1n": 20.0, "n1": 20.0} and again.calls == 0
+    # Another threshold: another search and other iterations, the same first stage and translations.
+    other = Script(metrics)
+    out = run(other, thresholds=(0.9,))
+    assert set(other.seen) == {(s, d) for s in ("score_0.9", "it_1") for d in ("1n", "n1")}
+    assert out.threshold == {"1n": 0.9, "n1": 0.9}
+    assert {r["threshold"] for r in out.ledger.filter("stage = 'it_1'").collect()} == {0.9}
+    # Another corpus in language 1: it is translated anew and trains n1, and what builds on that.
+    changed = Script(metrics)
+    run(changed, mono_tables={**mono_tables, "l1": mono(spark, "other", 30)})
+    assert ("first", "1n") not in changed.seen and ("score_0.0", "1n") not in changed.seen
+    assert {("score_0.0", "n1"), ("it_1", "n1")} <= set(changed.seen)
+    # Another parallel corpus or other callbacks: everything.
+    for kw in ({"parallel": parallel.filter("line_no = 1")}, {"version": "2"}):
+        everything = Script(metrics)
+        run(everything, **kw)
+        assert set(everything.seen) == set(first.seen)
+    # The first settings again: all there.
+    back = Script({})
+    run(back)
+    assert back.calls == 0
+
+
+def test_a_stage_without_its_manifest_is_built_again(spark, tmp_path):
+    built = []
+    build = lambda: built.append(1) or spark.range(3)
+    for _ in range(2):
+        assert staging.materialize_named(spark, build, str(tmp_path), {"a": 1}).count() == 3
+    assert len(built) == 1
+    (tmp_path / staging.manifest_key({"a": 1}) / "_manifest.json").unlink()
+    assert staging.materialize_named(spark, build, str(tmp_path), {"a": 1}).count() == 3 and len(built) == 2
+    assert staging.materialize_named(spark, build, str(tmp_path), {"a": 2}).count() == 3 and len(built) == 3
+
+
+def test_the_key_of_a_table_is_its_contents(spark):
+    rows = [(1, "a", None), (2, None, 1.5), (2, None, 1.5), (3, "", float("nan"))]
+    kind = "id bigint, text string, x double"
+    key = staging.content_key(spark.createDataFrame(rows, kind))
+    assert key == staging.content_key(spark.createDataFrame(rows[::-1], kind).repartition(3))
+    for other in (rows[:-1], [*rows, rows[1]], [*rows[:3], (3, None, float("nan"))], [(1, "b", None), *rows[1:]]):
+        assert key != staging.content_key(spark.createDataFrame(other, kind))
+    assert key != staging.content_key(spark.createDataFrame(rows, kind).withColumnRenamed("x", "y"))
+    assert staging.content_key(spark.createDataFrame([], kind)) != staging.content_key(spark.createDataFrame([], "id bigint"))
+
+
+def test_a_sweep_that_nothing_passes(spark, corpora, tmp_path):
+    metrics = {(s, d): 20.0 for s in ("first", "score_1.0", "it_1") for d in ("1n", "n1")}
+    run = experiment.Refinement(spark, "test", str(tmp_path), *corpora, Script(metrics).callbacks())
+    out = run.run(thresholds=(1.0,), max_iter=1)
+    assert out.synthetic.columns == ["line_no", "l1", "l2", "l1_origin", "l2_origin"] and out.synthetic.collect() == []
+    assert out.stopped_at == 1
+
+
 def test_synthetic_pairs_are_written_when_the_last_iteration_still_improved(spark, corpora, tmp_path):
     metrics = {(s, d): 20.0 for s in ("first", "score_0.0", "score_0.5", "it_1") for d in ("1n", "n1")}
     out = refine(spark, corpora, Script(metrics), tmp_path, max_iter=1)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sentloom.operators import cleaning, pairing, stats
-from sentloom.plans import views
+from sentloom.plans import experiment, views
 from registry.queries import QUERIES
 
 
@@ -34,10 +34,20 @@ def test_numbering_has_no_window_over_a_language(spark, sf):
         assert "_lines" not in line.split("],")[0] or "_key" in line or "_part" in line
 
 
-def test_corpora_are_planned_once_when_concatenated(spark, sf):
+def test_concatenation_moves_and_writes_nothing(spark, sf):
     text = plan(QUERIES["concat_corpora"](spark, sf))
-    # The result reads the written union, for its rows and for the last line of each corpus.
-    assert text.count("FileScan") <= 2 and "documents.parquet" not in text
+    # Four scans of the written lines, each of one language, with the offsets as constants.
+    assert text.count("FileScan") == 4 and "Exchange" not in text and "Join" not in text and "documents.parquet" not in text
+
+
+def test_bands_above_a_threshold_are_folders(spark, tmp_path):
+    scored = spark.createDataFrame([(i, "a", "b", s) for i, s in enumerate([0.0, 0.1, 0.55, 0.9, None, float("nan"), 1.0])], "line_no bigint, l1 string, l2 string, score double")
+    bands = experiment.score_bands(scored, [0.5, 0.0, 0.9], str(tmp_path / "bands"))
+    assert {r["line_no"]: r["band"] for r in bands.collect()} == {0: 0, 1: 1, 2: 2, 3: 2, 4: 0, 5: 0, 6: 3}
+    above = bands.filter("band > 1")
+    assert "PartitionFilters: [isnotnull(band" in plan(above) and sorted(r["line_no"] for r in above.collect()) == [2, 3, 6]
+    files = {r[0].split("band=")[1][0] for r in above.select(F.input_file_name()).collect()}
+    assert files == {"2", "3"}
 
 
 def test_pairing_is_an_equi_join_on_the_number(spark):
