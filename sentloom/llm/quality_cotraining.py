@@ -1,9 +1,16 @@
-"""Quality by co-training: a view of the text and a view of the page's metadata teach each other."""
+"""Quality by co-training: a view of the text and a view of the page's metadata teach each other.
+
+Both views are fitted on all labelled documents and on all pseudo-labels. Their features
+are written once; a step of a fit is one pass over them, in which the tasks add up
+gradients and second derivatives, so the driver sees sums of a fixed size only. A
+pseudo-label follows from the teachers of the rounds so far and their thresholds, so no
+document carries a state.
+"""
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -12,14 +19,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentloom.llm.common import bucket_of_five, held_out, slices, split_words
+from sentloom.llm.common import Scratch, bucket_of_five, held_out, slices, split_words
 
-# Labelled and other documents that the two classifiers are fitted on, at most about so many.
-LABELLED, POOL = 12_000, 12_000
-# Rounds, and the share of the pool that a view may teach the other in one round. A
-# pseudo-label must have this probability.
+# Rounds, and the share of the unlabelled documents that a view may teach the other in one
+# round. A pseudo-label must have this probability.
 ROUNDS, TAUGHT, CONFIDENT = 4, 0.1, 0.95
 RIDGE = 1.0
+# Passes of one fit at most, and the relative gain that ends it.
+STEPS_OF_FIT, GAIN = 25, 1e-8
+# Bins of the logits from -EDGE to EDGE in which confident rows and calibration are counted.
+BINS, EDGE = 4096, 40.0
+# Labels (id and class) up to which they are sent to the documents; more are joined by id.
+SENT_LABELS = 1_000_000
+# Rows of a block of features.
+BLOCK_ROWS = 4096
 # Text view: shares of the printable ASCII bytes and of others, and figures of the words.
 BYTES, WORD_FIGURES = 96, 8
 # Metadata view: hashed language and source, steps of the length, figures of the layout.
@@ -66,30 +79,6 @@ def meta_features(langs: pa.Array, sources: pa.Array, n_chars: pa.Array, lines:
     return out
 
 
-def _fit(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights (the last one the bias) of a ridge logistic regression, by damped Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, pull = np.zeros(x.shape[1]), np.full(x.shape[1], RIDGE)
-    pull[-1] = 1e-3
-
-    def loss(w):
-        z = x @ w
-        return np.logaddexp(0, z).sum() - y @ z + 0.5 * (pull * w * w).sum()
-
-    now = loss(w)
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-x @ w))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull), x.T @ (y - p) - pull * w)
-        size = 1.0
-        while size > 1e-4 and loss(w + size * step) > now:
-            size /= 2
-        w = w + size * step
-        now, before = loss(w), now
-        if before - now < 1e-7 * (1 + abs(now)):
-            break
-    return w
-
-
 def _logits(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
@@ -109,43 +98,108 @@ class Views:
         return sigmoid(own[0]), sigmoid(own[1]), sigmoid(own[0] + own[1] - self.prior)
 
 
-def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], known: list[np.ndarray], known_y: np.ndarray) -> Views:
-    """Fit two views on ``labelled``, let them label ``pool`` for each other, calibrate on ``known``.
+@dataclass
+class Round:
+    """The teachers of a round (weights of both views), and from which logit on each one teaches either class."""
+
+    weights: list[np.ndarray]
+    good_from: list[float]
+    bad_from: list[float]
+
 
-    In each round a view hands its most confident pool rows of either class (in the
-    proportion of the labels) to the other; rows go over once, and both are fitted anew.
+def taught_labels(views: list[np.ndarray], rounds: list[Round]) -> list[np.ndarray]:
+    """What unlabelled rows are for each view, as its pupil: 1, 0, or -1 where no round has taught them.
+
+    The first round in which the other view is sure enough decides.
     """
-    out = Views()
-    if not len(y) or len(np.unique(y)) < 2:
-        # Nothing to tell apart: the share of good labels decides.
-        out.prior = float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
-        out.curves = [(1.0, out.prior), (1.0, out.prior)]
-        return out
-    good = y.mean()
-    sets = [(labelled[v], y) for v in (0, 1)]
-    left = [np.ones(len(pool[0]), bool), np.ones(len(pool[0]), bool)]
-    weights = [_fit(*s) for s in sets]
-    for _ in range(ROUNDS):
-        taught = []
-        for teacher, pupil in ((0, 1), (1, 0)):
-            p = 1 / (1 + np.exp(-_logits(pool[teacher], weights[teacher])))
-            for label, sure, share in ((1, p, good), (0, 1 - p, 1 - good)):
-                open_rows = np.flatnonzero(left[pupil] & (sure >= CONFIDENT))
-                best = open_rows[np.argsort(-sure[open_rows], kind="stable")][: int(TAUGHT * share * len(p))]
-                taught.append((pupil, best, label))
-        for pupil, rows, label in taught:
-            left[pupil][rows] = False
-            sets[pupil] = np.vstack([sets[pupil][0], pool[pupil][rows]]), np.append(sets[pupil][1], np.full(len(rows), label))
-        if not any(len(rows) for _, rows, _ in taught):
-            break
-        weights = [_fit(*s) for s in sets]
-    out.weights, out.prior = weights, float(np.log(good / (1 - good)))
-    if len(np.unique(known_y)) == 2:
-        curves = [_fit(_logits(known[v], weights[v])[:, None] / 10, known_y) for v in (0, 1)]
-        out.curves = [(max(0.0, c[0] / 10), c[1]) for c in curves]
+    out = [np.full(len(views[0]), -1) for _ in (0, 1)]
+    for past in rounds:
+        for pupil, teacher in ((0, 1), (1, 0)):
+            logit = _logits(views[teacher], past.weights[teacher])
+            free = out[pupil] < 0
+            out[pupil][free & (logit >= past.good_from[teacher])] = 1
+            out[pupil][free & (logit <= -past.bad_from[teacher])] = 0
     return out
 
 
+def _targets(views: list[np.ndarray], quality: np.ndarray, fit: np.ndarray, rounds: list[Round]) -> list[np.ndarray]:
+    """For each view 1, 0 or -1 (not learnt from): labels of the rows to fit on, pseudo-labels of those without a label."""
+    free = quality < 0
+    taught = taught_labels([v[free] for v in views], rounds)
+    out = []
+    for view in (0, 1):
+        target = np.where(fit, quality, -1)
+        target[free] = taught[view]
+        out.append(target)
+    return out
+
+
+def loss_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Loss, gradient and second derivatives of a logistic regression, one after another, without the ridge."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    z = x @ w
+    p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+    hessian = (x * (p * (1 - p))[:, None]).T @ x
+    return np.concatenate(([np.logaddexp(0, z).sum() - y @ z], x.T @ (p - y), hessian.ravel()))
+
+
+class Newton:
+    """Damped Newton steps on a ridge logistic regression, given the sums at the weights to try (``w``).
+
+    A step that makes the loss worse is halved. ``w`` is the fit when ``done``.
+    """
+
+    def __init__(self, size: int):
+        self.w, self.pull, self.best, self.step, self.left, self.done = np.zeros(size), np.full(size, RIDGE), None, None, STEPS_OF_FIT, False
+        self.pull[-1] = 1e-3
+
+    def told(self, sums: np.ndarray) -> None:
+        size, w = len(self.w), self.w
+        loss = sums[0] + 0.5 * (self.pull * w * w).sum()
+        self.left -= 1
+        if self.best is not None and loss > self.best[0]:
+            self.step = self.step / 2
+            self.done = np.abs(self.step).max() < 1e-7
+        else:
+            self.done = self.best is not None and self.best[0] - loss < GAIN * (1 + abs(loss))
+            self.best = loss, w
+            self.step = np.linalg.solve(sums[1 + size:].reshape(size, size) + np.diag(self.pull), -(sums[1:1 + size] + self.pull * w))
+        self.done = bool(self.done or not self.left)
+        self.w = self.best[1] if self.done else self.best[1] + self.step
+
+
+def fit_both(sums: Callable[[list[np.ndarray]], list[np.ndarray]], sizes: list[int]) -> list[np.ndarray]:
+    """Fit both views with shared passes: ``sums`` gives those of either view at its weights."""
+    fits = [Newton(n) for n in sizes]
+    while not all(f.done for f in fits):
+        for f, found in zip(fits, sums([f.w for f in fits])):
+            if not f.done:
+                f.told(found)
+    return [f.w for f in fits]
+
+
+def _bins(logits: np.ndarray) -> np.ndarray:
+    return np.clip(((logits + EDGE) / (2 * EDGE) * BINS).astype(int), 0, BINS - 1)
+
+
+def teaching_edge(counts: np.ndarray, quota: float) -> float:
+    """From which logit on rows are taught, given how many there are by bin of how sure the teacher is.
+
+    Whole bins, the surest first, while they stay within the quota; the first that has
+    rows is always taken. Nothing below ``CONFIDENT`` is.
+    """
+    least = np.log(CONFIDENT / (1 - CONFIDENT))
+    edges = np.arange(BINS) * (2 * EDGE / BINS) - EDGE
+    total, edge = 0, np.inf
+    for i in range(BINS - 1, -1, -1):
+        if edges[i] < least or (total and total + counts[i] > quota):
+            break
+        total += counts[i]
+        if counts[i]:
+            edge = float(edges[i]) if i else -np.inf
+    return edge
+
+
 def _view_columns() -> list[Column]:
     text = F.col("text")
     return [text, F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long"),
@@ -156,47 +210,169 @@ def _features(columns: list[pa.Array]) -> list[np.ndarray]:
     return [text_features(columns[0]), meta_features(*columns[1:])]
 
 
-def _sample(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Features, labels and buckets of a bounded number of (columns of the views, quality, bucket)."""
+SIZES = [BYTES + WORD_FIGURES, META]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _feature_blocks(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Features of all documents that are not held out, in blocks of rows: both views, quality (-1 without a label), bucket."""
+    rows = docs.where(bucket_of_five(F.col("doc_id")) > 0).select(
+        F.col("doc_id").alias("_id"), bucket_of_five(F.col("doc_id")).cast("int").alias("_b"), *[c.alias(f"_{i}") for i, c in enumerate(_view_columns())]
+    )
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 2):
+                both = [v.astype("<f4") for v in _features(part.columns[2:7])]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).cast(pa.string()), part.column(1), *[pa.array([r.tobytes() for r in v], pa.binary()) for v in both]], ["id", "bucket", "t", "m"])
+
+    made = rows.mapInArrow(features, "id string, bucket int, t binary, m binary")
+    labels = known.select(F.col("doc_id").cast("string").alias("id"), "quality")
+    if known.count() <= SENT_LABELS:
+        labels = F.broadcast(labels)
+    joined = made.join(labels, "id", "left").select("t", "m", F.coalesce("quality", F.lit(-1)).alias("quality"), "bucket")
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 0):
-                text, meta = (v.astype(np.float32) for v in _features(part.columns[:5]))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([r.tobytes() for r in text], pa.binary()), pa.array([r.tobytes() for r in meta], pa.binary()),
-                    part.column(5), part.column(6)], ["t", "m", "quality", "bucket"])
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(at, BLOCK_ROWS)
+                views = [b"".join(part.column(i).to_pylist()) for i in (0, 1)]
+                numbers = [part.column(i).to_numpy().astype("<i4").tobytes() for i in (2, 3)]
+                yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in [*views, *numbers]], ["t", "m", "quality", "bucket"])
 
-    found = rows.mapInArrow(run, "t binary, m binary, quality int, bucket int").toArrow()
-    size = [BYTES + WORD_FIGURES, META]
-    views = [np.frombuffer(b"".join(found[c].to_pylist()), np.float32).reshape(-1, n).astype(float) for c, n in zip("tm", size)]
-    return views, found["quality"].to_numpy().astype(float), found["bucket"].to_numpy()
+    return joined.mapInArrow(packed, "t binary, m binary, quality binary, bucket binary")
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame) -> Views:
-    """Co-train on bounded samples: labelled rows of buckets 2 to 4, and unlabelled ones; bucket 1 calibrates.
+def _summed(blocks: DataFrame, add: Callable[[list[np.ndarray], np.ndarray, np.ndarray], np.ndarray], size: int) -> np.ndarray:
+    """The sum over all blocks of ``add(views, quality, bucket)``, arrays of ``size`` numbers, added up in the tasks, then in fewer."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                t, m, quality, bucket = (batch.column(i)[row].as_py() for i in range(4))
+                views = [np.frombuffer(v, "<f4").reshape(-1, n).astype(float) for v, n in zip((t, m), SIZES)]
+                total += add(views, np.frombuffer(quality, "<i4"), np.frombuffer(bucket, "<i4"))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for sums in batch.column(0):
+                total += np.frombuffer(sums.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    rows = blocks.mapInArrow(partial, "sums binary")
+    tasks = blocks.rdd.getNumPartitions()
+    if tasks > 16:
+        rows = rows.repartition(int(tasks ** 0.5)).mapInArrow(again, "sums binary")
+    return np.sum([np.frombuffer(r["sums"]) for r in rows.collect()] or [np.zeros(size)], axis=0)
+
+
+def co_train(blocks: DataFrame) -> Views:
+    """Fit both views on the labels, let them label all other rows for each other, and calibrate.
 
-    The samples are chosen by a hash of the id before anything is joined.
+    In each round a view hands the other its most confident rows of either class (in the
+    proportion of the labels); a row is taught once, and both views are fitted anew on labels and all
+    that they were taught. Buckets 2 to 4 give the labels to fit on, bucket 1 those to calibrate by.
     """
+    shared = blocks.sparkSession.sparkContext.broadcast
+    kinds = _summed(blocks, lambda views, q, b: np.array([((q == 0) & (b > 1)).sum(), ((q == 1) & (b > 1)).sum(), (q < 0).sum()], float), 3)
+    bad, good, free = kinds
+    out = Views(prior=float(np.log((good + (good * bad == 0) * 0.5) / (bad + (good * bad == 0) * 0.5))))
+    if not good or not bad:
+        # Nothing to tell apart: the share of good labels decides.
+        out.curves = [(1.0, out.prior), (1.0, out.prior)]
+        return out
+    share = good / (good + bad)
+    dims = [n + 1 for n in SIZES]
+    lengths = [1 + n + n * n for n in dims]
+
+    def fitted(rounds: list[Round]) -> list[np.ndarray]:
+        def sums(tried: list[np.ndarray]) -> list[np.ndarray]:
+            model = shared((tried, rounds))
+
+            def add(views: list[np.ndarray], quality: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+                tried, rounds = model.value
+                targets = _targets(views, quality, bucket > 1, rounds)
+                return np.concatenate([loss_sums(x[y >= 0], y[y >= 0].astype(float), w) for x, y, w in zip(views, targets, tried)])
+
+            both = _summed(blocks, add, sum(lengths))
+            model.destroy()
+            return [both[:lengths[0]], both[lengths[0]:]]
+
+        return fit_both(sums, dims)
+
+    rounds: list[Round] = []
+    weights = fitted(rounds)
+    for _ in range(ROUNDS):
+        model = shared((weights, rounds))
+
+        def sure(views: list[np.ndarray], quality: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+            """How many rows each teacher could teach, as good and as bad, by how sure it is."""
+            weights, rounds = model.value  # noqa: B023
+            open_views = [v[quality < 0] for v in views]
+            taught = taught_labels(open_views, rounds)
+            counts = []
+            for teacher, pupil in ((0, 1), (1, 0)):
+                logit = _logits(open_views[teacher], weights[teacher])[taught[pupil] < 0]
+                counts += [np.bincount(_bins(logit), minlength=BINS), np.bincount(_bins(-logit), minlength=BINS)]
+            return np.concatenate(counts).astype(float)
+
+        counts = _summed(blocks, sure, 4 * BINS).reshape(4, BINS)
+        model.destroy()
+        quota = TAUGHT * free
+        now = Round(weights, [teaching_edge(counts[2 * t], quota * share) for t in (0, 1)], [teaching_edge(counts[2 * t + 1], quota * (1 - share)) for t in (0, 1)])
+        if not np.isfinite([*now.good_from, *now.bad_from]).any():
+            break
+        rounds.append(now)
+        weights = fitted(rounds)
+    out.weights = weights
+    model = shared(weights)
+
+    def seen(views: list[np.ndarray], quality: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """Labels of bucket 1 by bin of each view's logit: bad ones, then good ones."""
+        known = (bucket == 1) & (quality >= 0)
+        return np.concatenate([
+            np.bincount(_bins(_logits(v[known & (quality == q)], w)), minlength=BINS) for v, w in zip(views, model.value) for q in (0, 1)
+        ]).astype(float)
+
+    seen_bins = _summed(blocks, seen, 4 * BINS).reshape(2, 2, BINS)
+    if (seen_bins.sum(axis=2) > 0).all():
+        out.curves = [_curve(seen_bins[view, 0], seen_bins[view, 1]) for view in (0, 1)]
+    return out
+
+
+def _curve(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
+    """Slope (not below 0) and offset of a logistic curve over the middles of the bins."""
+    x = ((np.arange(BINS) + 0.5) * (2 * EDGE / BINS) - EDGE) / 10
+    design, n = np.stack([x, np.ones(BINS)], axis=1), bad + good
+    pull, w = np.array([RIDGE, 1e-3]), np.zeros(2)
+
+    def loss(w: np.ndarray) -> float:
+        z = design @ w
+        return (n * np.logaddexp(0, z)).sum() - good @ z + 0.5 * (pull * w * w).sum()
+
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -500, 500)))
+        step = np.linalg.solve((design * (n * p * (1 - p))[:, None]).T @ design + np.diag(pull), design.T @ (good - n * p) - pull * w)
+        size = 1.0
+        while size > 1e-6 and loss(w + size * step) > loss(w):
+            size /= 2
+        w = w + size * step
+        if np.abs(size * step).max() < 1e-10:
+            break
+    return max(0.0, w[0] / 10), w[1]
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame) -> Views:
+    """Co-train on all documents that are not held out: labelled ones of buckets 2 to 4 and all unlabelled ones."""
     known = labels.where(bucket_of_five(F.col("doc_id")) > 0).where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    n_known, n = known.count(), docs.count()
-    bucket = bucket_of_five(F.col("doc_id")).cast("int")
-    columns = [c.alias(f"_{i}") for i, c in enumerate(_view_columns())]
-
-    def drawn(rows: DataFrame, salt: str, share: float) -> DataFrame:
-        draw = F.pmod(F.xxhash64(F.lit(salt), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        return rows.where((bucket > 0) & (draw < min(1.0, share)))
-
-    # The same draw on both sides: the labels that are sent to the documents are as few as the sample.
-    share = LABELLED / max(1, n_known)
-    chosen = F.broadcast(drawn(known, "quality", share).select("doc_id", F.col("quality").alias("_q")))
-    labelled, y, buckets = _sample(drawn(docs, "quality", share).join(chosen, "doc_id").select(*columns, "_q", bucket.alias("_b")))
-    share = POOL / max(1, n)
-    pool = drawn(docs, "pool", share).join(F.broadcast(drawn(known, "pool", share).select("doc_id")), "doc_id", "left_anti")
-    pool = pool.select(*columns, F.lit(-1).alias("_q"), bucket.alias("_b"))
-    pool_views, _, _ = _sample(pool)
-    fit, check = buckets > 1, buckets == 1
-    return co_train([v[fit] for v in labelled], y[fit], pool_views, [v[check] for v in labelled], y[check])
+    scratch = Scratch(docs.sparkSession)
+    blocks = scratch.write(_feature_blocks(docs, known), "quality-features")
+    views = co_train(blocks)
+    scratch.drop(blocks)
+    return views
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
