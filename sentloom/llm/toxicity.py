@@ -16,12 +16,12 @@ from sentloom.llm.common import Scratch, bucket_of_five, held_out, slices, split
 # Words' first letters that stand for words too rare to be known as a whole.
 PREFIXES = (4, 5, 6, 7, 8)
 # Weight of the Dirichlet prior in tokens; a piece needs this significance (in standard
-# deviations) and so many toxic texts.
-PRIOR, MIN_Z, MIN_TOXIC = 500.0, 5.0, 3
+# deviations) and so many texts of the class it speaks for.
+PRIOR, MIN_Z, MIN_TEXTS = 500.0, 5.0, 3
 # Labelled documents that the model is fitted on, at most about so many.
 LABELLED = 500_000
-# Pieces of the model at most, those with the largest significance; it is sent to every executor.
-MAX_PIECES = 500_000
+# Pieces are sent to every executor. They come from at most ``LABELLED`` documents; more than so many are an error.
+SENT_PIECES = 5_000_000
 # What a token without a known piece takes from a segment, and the least score of a segment.
 DRIFT, MIN_SEGMENT = 0.5, 1.0
 # Width of the bins of the calibrated statistic, and its largest value.
@@ -83,7 +83,7 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 
 def log_odds(words: DataFrame) -> DataFrame:
-    """piece, score, z: significant pieces of words (``=word`` or the first letters), by log-odds.
+    """piece, score, z: significant pieces of words (``=word`` or the first letters), toxic and clean ones, by log-odds.
 
     The informative Dirichlet prior has each piece at its share of all tokens, with the
     weight of ``PRIOR`` tokens in either class. ``z`` is the root of the likelihood-ratio
@@ -93,7 +93,7 @@ def log_odds(words: DataFrame) -> DataFrame:
     nt, nc = (F.lit(x or 0) for x in words.agg(F.sum("toxic"), F.sum("clean")).first())
     rows = (
         words.select(F.explode(pieces).alias("piece"), "toxic", "clean").where("piece is not null")
-        .groupBy("piece").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where(F.col("t") >= MIN_TOXIC)
+        .groupBy("piece").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).where(F.greatest("t", "c") >= MIN_TEXTS)
     )
     prior = PRIOR * (F.col("t") + F.col("c")) / (nt + nc)
 
@@ -107,34 +107,34 @@ def log_odds(words: DataFrame) -> DataFrame:
         return F.when(y > 0, y * F.ln(y * (nt + nc) / (both * n))).otherwise(F.lit(0.0))
 
     z = F.sqrt(F.greatest(2 * (surprise(F.col("t"), nt) + surprise(F.col("c"), nc)), F.lit(0.0)))
-    return rows.select("piece", score.alias("score"), z.alias("z")).where((F.col("z") >= MIN_Z) & (F.col("score") > 0))
+    return rows.select("piece", score.alias("score"), z.alias("z"), "t", "c").where(
+        (F.col("z") >= MIN_Z) & (((F.col("score") > 0) & (F.col("t") >= MIN_TEXTS)) | ((F.col("score") < 0) & (F.col("c") >= MIN_TEXTS)))
+    )
 
 
-def segments(at: list[int], scores: list[float], drift: float) -> list[tuple[int, int, float]]:
+def segments(at: list[int], before: list[float], after: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first, last + 1, score) of a row of tokens, in linear time.
 
-    ``at`` are the places of tokens with a score above 0, all others have ``-drift``.
-    Candidates are kept with the running sums before and after each. A new one looks for
+    ``at`` are the places of tokens with a score above 0, ``before`` and ``after`` the sums
+    of all scores up to each of them, without it and with it; tokens between them only
+    lower the sum. Candidates are kept with their two sums. A new one looks for
     the last candidate that starts lower; if that ends lower too, the two and all between
     become one, and it looks again (Ruzzo and Tompa, 1999). Each candidate remembers the
     last one that starts lower, so no candidate is passed twice.
     """
-    total, last = 0.0, 0
     found: list[tuple[int, int, float, float, int]] = []  # first, end, sum before, sum after, lower
-    for place, score in zip(at, scores):
-        total -= drift * (place - last)
-        first, end, before, total = place, place + 1, total, total + score
-        last, j = end, len(found) - 1
+    for first, low, total in zip(at, before, after):
+        end, j = first + 1, len(found) - 1
         while True:
-            while j >= 0 and found[j][2] >= before:
+            while j >= 0 and found[j][2] >= low:
                 j = found[j][4]
             if j < 0 or found[j][3] >= total:
                 break
-            first, before, lower = found[j][0], found[j][2], found[j][4]
+            first, low, lower = found[j][0], found[j][2], found[j][4]
             del found[j:]
             j = lower
-        found.append((first, end, before, total, j))
-    return [(a, b, after - before) for a, b, before, after, _ in found]
+        found.append((first, end, low, total, j))
+    return [(a, b, high - low) for a, b, low, high, _ in found]
 
 
 def passages_of(text: Column, pieces: dict[str, float], spark) -> Column:
@@ -160,13 +160,18 @@ def passages_of(text: Column, pieces: dict[str, float], spark) -> Column:
                 flat, counts = split_words(part.column(0))
                 coded = flat.dictionary_encode()
                 table = np.fromiter((scores[w] for w in coded.dictionary.to_pylist()), float, len(coded.dictionary))
+                # A token without a known piece is slightly clean; known ones have their own log-odds, above or below 0.
+                table[table == 0] = -DRIFT
                 value = table[coded.indices.to_numpy(zero_copy_only=False)] if len(table) else np.empty(0)
                 hits, ends = np.flatnonzero(value > 0), np.cumsum(counts)
                 owner = np.searchsorted(ends, hits, side="right")
                 numbers += counts.tolist()
                 for row, (lo, hi) in enumerate(zip(np.searchsorted(owner, np.arange(len(counts))), np.searchsorted(owner, np.arange(len(counts)), side="right"))):
-                    own = hits[lo:hi]
-                    made = segments((own - (ends[row] - counts[row])).tolist(), value[own].tolist(), DRIFT) if hi > lo else []
+                    made = []
+                    if hi > lo:
+                        own = value[ends[row] - counts[row]:ends[row]]
+                        at, after = hits[lo:hi] - (ends[row] - counts[row]), np.cumsum(own)
+                        made = segments(at.tolist(), (after[at] - own[at]).tolist(), after[at].tolist())
                     passages.append([{"start": a, "end": b, "score": s} for a, b, s in made if s >= MIN_SEGMENT])
             yield pa.StructArray.from_arrays([pa.array(numbers, pa.int64()), pa.array(passages, kind)], ["n_tokens", "passages"])
 
@@ -261,14 +266,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float],
     rows = docs.where(bucket_of_five(F.col("doc_id")) > 0).select("doc_id", "text")
     learn = scratch.write(rows.join(F.broadcast(_labels(labels)), "doc_id").select("text", "toxic"), "toxic-labelled")
     words = scratch.write(token_counts(learn), "toxic-words")
-    top = log_odds(words).orderBy(F.desc("z"), "piece").limit(MAX_PIECES)
-    pieces = {r["piece"]: r["score"] for r in top.select("piece", "score").collect()}
+    found = scratch.write(log_odds(words).select("piece", "score"), "toxic-pieces")
+    if found.count() > SENT_PIECES:
+        raise ValueError(f"more than {SENT_PIECES} significant pieces: ask for more significance")
+    table = found.toArrow()
+    pieces = dict(zip(table["piece"].to_pylist(), table["score"].to_pylist()))
     scanned = scratch.write(
         learn.select(passages_of(F.col("text"), pieces, spark).alias("s"), "toxic").select("s.*", "toxic"), "toxic-passages"
     )
     law = calibrate(scanned)
-    for table in (learn, words, scanned):
-        scratch.drop(table)
+    for written in (learn, words, found, scanned):
+        scratch.drop(written)
     return pieces, law
 
 

@@ -1,6 +1,9 @@
 """Segments against their definition, and held-out accuracy."""
 
+import math
 import random
+from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import functions as F
 
@@ -30,18 +33,20 @@ def test_segments():
     for _ in range(300):
         n = rng.randint(1, 25)
         at = sorted(rng.sample(range(n), rng.randint(0, n)))
-        values = [rng.choice([0.31, 0.77, 1.13, 2.0191, 3.3]) + rng.random() / 100 for _ in at]
-        scores = [-0.5] * n
-        for i, v in zip(at, values):
-            scores[i] = v
-        got, want = toxicity.segments(at, values, 0.5), plain_segments(scores)
+        # Tokens without a known piece, and known ones of either sign.
+        scores = [rng.choice([-0.5, -0.5, -0.1, -2.7]) - rng.random() / 100 for _ in range(n)]
+        for i in at:
+            scores[i] = rng.choice([0.31, 0.77, 1.13, 2.0191, 3.3]) + rng.random() / 100
+        after = list(accumulate(scores))
+        got, want = toxicity.segments(at, [after[i] - scores[i] for i in at], [after[i] for i in at]), plain_segments(scores)
         assert [x[:2] for x in got] == [x[:2] for x in want]
         assert all(abs(g[2] - w[2]) < 1e-9 for g, w in zip(got, want))
 
 
 def test_many_hits_are_linear():
     n = 400_000
-    assert len(toxicity.segments(list(range(0, 2 * n, 2)), [0.4] * n, 0.5)) == n
+    before = [-0.1 * i for i in range(n)]
+    assert len(toxicity.segments(list(range(0, 2 * n, 2)), before, [b + 0.4 for b in before])) == n
 
 
 def test_held_out_accuracy(spark):
@@ -105,3 +110,45 @@ def test_nothing_to_learn(spark):
     assert toxicity.toxicity(docs.limit(0), labels).collect() == []
     one_kind = toxicity.toxicity(docs, labels.where("toxic = 0")).collect()
     assert not any(r["predicted"] for r in one_kind)
+
+
+def test_log_odds_against_a_plain_computation(spark, monkeypatch):
+    """Pieces of both signs: counted by text, with the prior and the significance as defined."""
+    monkeypatch.setattr(toxicity, "MIN_Z", 1.5)
+    rng = random.Random(4)
+    common, bad, good = ["".join(rng.choices("abcdef", k=rng.randint(2, 9))) for _ in range(40)], ["vileness", "vilest", "grim"], ["kindness", "kindly", "calm"]
+    rows = []
+    for i in range(160):
+        toxic = int(i % 4 == 0)
+        rows.append((" ".join(rng.choices(common, k=12) + rng.choices(bad if toxic else good, k=rng.randint(0, 3))) + ".", toxic))
+    t, c = Counter(), Counter()
+    totals = [0, 0]
+    for text, toxic in rows:
+        words = {toxicity.normal_word(w.encode()) for w in text.split()}
+        # A word counts once for each spelling it has in a text; here all have one.
+        totals[toxic] += len({w for w in text.split()})
+        for spelled in set(text.split()):
+            w = toxicity.normal_word(spelled.encode())
+            assert w in words
+            for piece in ["=" + w, *(w[:n] for n in toxicity.PREFIXES if len(w) > n)]:
+                (t if toxic else c)[piece] += 1
+    nt, nc = totals[1], totals[0]
+    want = {}
+    for piece in t.keys() | c.keys():
+        prior = toxicity.PRIOR * (t[piece] + c[piece]) / (nt + nc)
+        odds = lambda y, n: math.log((y + prior) / (n + toxicity.PRIOR - y - prior))  # noqa: B023, E731
+        score, both = odds(t[piece], nt) - odds(c[piece], nc), t[piece] + c[piece]
+        surprise = sum(y * math.log(y * (nt + nc) / (both * n)) for y, n in ((t[piece], nt), (c[piece], nc)) if y)
+        enough = t[piece] >= 3 if score > 0 else c[piece] >= 3
+        if enough and score and math.sqrt(max(0.0, 2 * surprise)) >= 1.5:
+            want[piece] = score
+    got = {r["piece"]: r["score"] for r in toxicity.log_odds(toxicity.token_counts(spark.createDataFrame(rows, "text string, toxic int"))).collect()}
+    assert got.keys() == want.keys() and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    assert any(s > 0 for s in want.values()) and any(s < 0 for s in want.values())
+
+
+def test_a_clean_word_splits_a_segment(spark):
+    pieces = {"=foul": 2.0, "=nice": -3.0}
+    rows = spark.createDataFrame([("foul foul x foul",), ("foul foul nice foul",), ("nice nice",)], "text string")
+    got = [[(p["start"], p["end"], p["score"]) for p in r["s"]["passages"]] for r in rows.select(toxicity.passages_of(F.col("text"), pieces, spark).alias("s")).collect()]
+    assert got == [[(0, 4, 5.5)], [(0, 2, 4.0), (3, 4, 2.0)], []]
