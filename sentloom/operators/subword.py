@@ -40,7 +40,7 @@ RUN_SYMBOLS = 1_500_000
 # Symbols of a block of words.
 BLOCK_SYMBOLS = 1_000_000
 # Words whose pieces a Python worker remembers.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
 
 
 def marked_words(c: Column | str) -> Column:
@@ -377,13 +377,15 @@ def encode_words(load: Callable[[], Callable[[str], list[str]]]):
 
     @F.arrow_udf("array<string>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cut, cache = load(), {}
+        # Words share the strings of their pieces.
+        cut, cache, shared = load(), {}, {}
         for lines in batches:
             distinct = lines.flatten().dictionary_encode()
             if len(cache) > CACHE_WORDS:
                 cache.clear()
+                shared.clear()
             own = distinct.dictionary.to_pylist()
-            cache.update((w, cut(w)) for w in own if w not in cache)
+            cache.update((w, tuple(shared.setdefault(p, p) for p in cut(w))) for w in own if w not in cache)
             pieces = pa.array([cache[w] for w in own], pa.list_(pa.string())).take(distinct.indices)
             # Where each word's pieces start, then where each line's do.
             starts = np.concatenate(([0], np.cumsum(pieces.value_lengths().to_numpy(zero_copy_only=False))))
