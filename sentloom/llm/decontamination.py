@@ -65,7 +65,7 @@ class Items:
     """
 
     def __init__(self, items: list[tuple[int, str | None]], shingle: int, threshold: float):
-        self.threshold, self.shingles, parts = threshold, {}, {}
+        self.threshold, self.shingles, self.hashes, parts = threshold, {}, {}, {}
         self.ids = [i for i, _ in items]
         for at, (_, text) in enumerate(items):
             words = item_words(text)
@@ -74,7 +74,7 @@ class Items:
             size = min(shingle, len(words))
             own = {b" ".join(words[i:i + size]) for i in range(len(words) - size + 1)}
             self.shingles[at] = (size, own)
-            hashes = np.unique(_window_hashes(_hash_words(words), size))
+            hashes = self.hashes[at] = np.unique(_window_hashes(_hash_words(words), size))
             top = 1 << (len(own) - 1).bit_length()
             part = parts.setdefault((size, top), Partition(size))
             kept = hashes[: self._lack(top) + SPARE]
@@ -100,11 +100,22 @@ class Items:
             out += [at for at, n in count.items() if n >= part.hits[at]]
         return out
 
-    def verified(self, at: int, words: list[bytes]) -> tuple[int, int]:
-        """Shingles of the item, and how many of them the document has; no hash is trusted."""
-        size, own = self.shingles[at]
-        have = {b" ".join(words[i:i + size]) for i in range(len(words) - size + 1)} & own
-        return len(own), len(have)
+    def verified(self, candidates: list[int], words: pa.Array, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, its shingles, how many of them the document has); no hash is trusted.
+
+        The document's windows are gone through once for each shingle length: those whose
+        hash is one of a candidate's are put together and compared as they are.
+        """
+        by_size: dict[int, list[int]] = defaultdict(list)
+        for at in candidates:
+            by_size[self.shingles[at][0]].append(at)
+        for size, items in by_size.items():
+            wanted = np.unique(np.concatenate([self.hashes[at] for at in items]))
+            places = np.flatnonzero(np.isin(_window_hashes(hashes, size), wanted))
+            texts = {b" ".join(words[i:i + size].to_pylist()).lower() for i in places.tolist()}
+            for at in items:
+                own = self.shingles[at][1]
+                yield at, len(own), len(own & texts)
 
     def contained(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int]]:
         """(row, item, shingles of the item, shingles found) of all items that the texts contain."""
@@ -128,12 +139,10 @@ class Items:
         for row in sorted(found):
             candidates = self.candidates(found[row])
             if candidates:
-                words = flat.slice(int(ends[row] - counts[row]), int(counts[row]))
-                words = [w.lower() for w in words.to_pylist()]
-                for at in candidates:
-                    n, have = self.verified(at, words)
-                    if have >= self.threshold * n:
-                        yield row, at, n, have
+                start, n = int(ends[row] - counts[row]), int(counts[row])
+                for at, n_own, have in self.verified(candidates, flat.slice(start, n), hashes[start:start + n]):
+                    if have >= self.threshold * n_own:
+                        yield row, at, n_own, have
 
 
 def item_blocks(items: DataFrame, shingle: int, threshold: float) -> Iterator[Items]:

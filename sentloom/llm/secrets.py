@@ -18,7 +18,8 @@ ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]{12,}"), re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "markov")
 MIN_VALUE = 8
 # Strings the models judge: so long at least, and in these characters.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+MIN_CANDIDATE = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CANDIDATE)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # Pseudo-counts of a character and of what follows one, and the log-likelihood ratio a
 # secret needs for each character.
@@ -111,15 +112,39 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
     return np.log(0.5 * p[0] + 0.5 / n) - np.log(p[1])
 
 
+def free_parts(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """Candidates, without what base spans cover of them: each part that is still long enough, in order.
+
+    Candidates and base spans are both in order, so either is gone through once.
+    """
+    covered: list[list[int]] = []
+    for start, end, _ in taken:
+        if covered and start <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], end)
+        else:
+            covered.append([start, end])
+    at = 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        here = at
+        while here < len(covered) and covered[here][0] < end:
+            if covered[here][0] - start >= MIN_CANDIDATE:
+                yield start, covered[here][0]
+            start = covered[here][1]
+            here += 1
+        if end - start >= MIN_CANDIDATE:
+            yield start, end
+
+
 def markov_spans(text: str, ratios: np.ndarray, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Candidates whose mean log-likelihood ratio says random; what overlaps a base span is left out."""
+    """Parts of candidates outside the base spans whose mean log-likelihood ratio says random."""
     found = []
-    for m in CANDIDATE.finditer(text):
-        if any(a < m.end() and m.start() < b for a, b, _ in taken):
-            continue
-        c = _codes(m[0])
+    for start, end in free_parts(text, taken):
+        c = _codes(text[start:end])
         if ratios[c[:-1], c[1:]].mean() >= MIN_RATIO:
-            found.append((m.start(), m.end(), "markov"))
+            found.append((start, end, "markov"))
     return found
 
 
@@ -153,7 +178,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     Spans are kind:start:end in code points, the end exclusive, in order of start, then
     kind; base_sha256 digests the base spans alone. The Markov models add spans of kind
-    ``markov`` that overlap no base span. A NULL text is empty and has no span (the
+    ``markov`` that overlap no base span: of a run that a base span covers in part, the parts
+    that are left are judged. A NULL text is empty and has no span (the
     digest is that of the empty string). Repeated rows and NULL ids stay; columns other
     than doc_id and text are not read; an empty table gives no rows.
     """

@@ -2,7 +2,9 @@
 
 import random
 import re
+import time
 
+import pyarrow as pa
 import pytest
 
 from sentloom.llm import decontamination
@@ -89,3 +91,14 @@ def test_empty_tables(spark, sf):
 def test_nothing_is_shuffled(spark, sf):
     out = decontamination.find_items(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet"))
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_long_text_with_many_items_takes_seconds():
+    rng = random.Random(2)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(50_000)]
+    items = [(i, " ".join(rng.choices(words, k=40))) for i in range(200)]
+    text = " ".join(" ".join(rng.choices(words, k=1800)) + " " + t for _, t in items)
+    block, start = decontamination.Items(items, 5, 0.8), time.monotonic()
+    found = sorted(block.contained(pa.array([text])))
+    assert [f[1] for f in found] == list(range(200)) and all(f[2] == f[3] for f in found)
+    assert time.monotonic() - start < 30
