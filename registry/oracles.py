@@ -537,11 +537,11 @@ SQL: dict[str, str] = {
     "order_by_frequency": f"""WITH {LINES}, {vocab('fr')} SELECT token AS word, "count" FROM vocab_fr ORDER BY "count" DESC, word DESC""",
     "head_lines": f"WITH {LINES} SELECT lang, line_no, text FROM lines WHERE line_no <= 1000",
     "growing_prefix": f"""WITH {LINES}, n AS (
-          SELECT 0 AS iteration, 100 AS lim UNION ALL SELECT 0, 200 UNION ALL SELECT i, (i + 2) * 100 FROM range(1, 9) t(i))
+          SELECT 0 AS iteration, 1000000 AS lim UNION ALL SELECT 0, 2000000 UNION ALL SELECT i, (i + 2) * 1000000 FROM range(1, 9) t(i))
         SELECT iteration::BIGINT AS iteration, count(*) AS n_lines, sum(length(text))::BIGINT AS n_chars
         FROM n JOIN lines ON lang = 'en' AND line_no <= lim GROUP BY iteration, lim""",
-    "cap_pairs": f"WITH {CLEAN} SELECT line_no, src, tgt FROM clean ORDER BY {sample_key('line_no')} LIMIT 500",
-    "cap_pairs_as_written": f"WITH {CLEAN} SELECT line_no, src, tgt FROM clean ORDER BY line_no LIMIT 500",
+    "cap_pairs": f"WITH {CLEAN} SELECT line_no, src, tgt FROM clean ORDER BY {sample_key('line_no')} LIMIT 600000",
+    "cap_pairs_as_written": f"WITH {CLEAN} SELECT line_no, src, tgt FROM clean ORDER BY line_no LIMIT 600000",
     "shuffle_rows": f"WITH {CLEAN} SELECT line_no, src, tgt FROM clean ORDER BY {sample_key('line_no')}",
     # mixtures
     "concat_corpora": f"""WITH {LINES}
@@ -583,7 +583,7 @@ SQL: dict[str, str] = {
         p AS (SELECT e.part, e.line_no, {strip('e.text')} AS src, {strip('d.text')} AS tgt
               FROM c e JOIN c d ON e.part = d.part AND e.line_no = d.line_no WHERE e.lang = 'en' AND d.lang = 'de'),
         k AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY {sample_key('line_no')}) AS r FROM p WHERE src <> '' AND tgt <> '')
-        SELECT part, line_no, src, tgt FROM k WHERE part = 'dev' OR r <= 300""",
+        SELECT part, line_no, src, tgt FROM k WHERE part = 'dev' OR r <= 600000""",
     "score_pairs_formula": f"WITH {SCORED} SELECT line_no, score FROM scored_pairs",
     "clean_synthetic": f"WITH {SYNTHETIC} SELECT line_no, l1_origin, l2_origin, score FROM synthetic WHERE score > 0.3::DOUBLE",
     "learn_bpe": f"""WITH RECURSIVE {LINES}, {bpe(f"SELECT unnest({words('text')}) AS w, 1 AS n FROM lines", SMALL_VOCABULARY)},
@@ -709,3 +709,78 @@ SQL["translate_batched"] = f"""WITH RECURSIVE {TURNS}, {batches(f"SELECT sent_id
   SELECT id AS sent_id, CASE WHEN batch IS NOT NULL THEN array_to_string(list_reverse(string_split(text, ' ')), ' ') END AS hyp, lane, batch FROM placed"""
 SQL["batch_sizes"] = f"""WITH RECURSIVE {LINES}, {batches(f"SELECT line_no AS id, text, greatest(1, len({words('text')})) AS size FROM lines WHERE lang = 'en' AND text <> ''", 64, 400, 120)}
   SELECT lane, batch, count(*) AS n_rows, max(size)::BIGINT AS longest, sum(size)::BIGINT AS n_tokens, count(batch) AS n_translated FROM placed GROUP BY lane, batch"""
+
+
+def _moved(value: str, nth: str) -> str:
+    return f"('0x' || substr(md5('{SEED}:' || {nth} || ':' || {value}), 1, 8))::BIGINT"
+
+
+# A table of rows and columns with room for n numbers; eight turns, and again for those that land outside.
+SQL["permute_rows"] = f"""WITH RECURSIVE {LINES},
+  ids AS (SELECT line_no FROM lines WHERE lang = 'en'),
+  cols AS (SELECT n, ceil(sqrt(n))::BIGINT AS c FROM (SELECT count(*) AS n FROM ids)),
+  size AS (SELECT n, c, (n + c - 1) // c AS r FROM cols),
+  walk AS (
+    SELECT line_no, 0 AS i, (line_no - 1) // c AS rw, (line_no - 1) % c AS cl, n, c, r FROM ids, size
+    UNION ALL
+    SELECT line_no, CASE WHEN i = 8 THEN 0 ELSE i + 1 END,
+           CASE WHEN i = 8 THEN rw WHEN i % 2 = 0 THEN (rw + {_moved('cl', 'i')}) % r ELSE rw END,
+           CASE WHEN i = 8 THEN cl WHEN i % 2 = 1 THEN (cl + {_moved('rw', 'i')}) % c ELSE cl END, n, c, r
+    FROM walk WHERE i < 8 OR rw * c + cl >= n)
+  SELECT line_no, rw * c + cl + 1 AS place FROM walk WHERE i = 8 AND rw * c + cl < n"""
+
+# Band of a rank: first rank 2 ** k - 2; a last band of one word belongs to the one before.
+SQL["replace_words"] = f"""WITH {CLEAN},
+  wc AS (SELECT word, count(*) AS n FROM (SELECT unnest({words('tgt')}) AS word FROM clean) GROUP BY word),
+  rk AS (SELECT word, row_number() OVER (ORDER BY n DESC, word) - 1 AS rank, count(*) OVER () AS total FROM wc),
+  starts AS (
+    SELECT first, lead(first, 1, total) OVER (ORDER BY first) - first AS size
+    FROM (SELECT DISTINCT (1::BIGINT << k) - 2 AS first, total FROM range(1, 40) t(k), (SELECT max(total) AS total FROM rk))
+    WHERE first < total AND (first < total - 1 OR first = 0)),
+  bands AS (SELECT word, rank, first, size FROM rk JOIN starts ON rank >= first AND rank < first + size),
+  w AS (SELECT line_no, unnest({words('tgt')}) AS word, unnest(range(len({words('tgt')}))) AS pos, len({words('tgt')}) AS n FROM clean),
+  k AS (SELECT *, md5('{SEED}:' || line_no || ':' || pos) AS key FROM w),
+  o AS (SELECT *, row_number() OVER (PARTITION BY line_no ORDER BY key) AS nth FROM k),
+  c AS (
+    SELECT line_no, pos, first + (rank - first + CASE WHEN size > 1 THEN 1 + ('0x' || substr(key, 9, 8))::BIGINT % (size - 1) ELSE 0 END) % size AS target
+    FROM o JOIN bands USING (word) WHERE nth <= greatest(1, ceil(n * 0.3::DOUBLE))),
+  news AS (SELECT line_no, pos, word AS new FROM c JOIN bands ON target = rank)
+  SELECT line_no, string_agg(coalesce(new, word), ' ' ORDER BY pos) AS tgt, count(new) AS n_replaced FROM w LEFT JOIN news USING (line_no, pos) GROUP BY line_no"""
+
+
+def _sides(src: str, tgt: str, tag: str) -> str:
+    """Words that occur together, in parts of at most 100 words, and two rounds of expectation maximisation over them."""
+    def counted(col: str, name: str, count: str) -> str:
+        return f"""SELECT line_no, part, {name}, count(*) AS {count} FROM (
+          SELECT line_no, floor(pos * k / n)::INT AS part, {name} FROM (
+            SELECT line_no, k, len({col}) AS n, unnest({col}) AS {name}, unnest(range(len({col}))) AS pos FROM cut_{tag})) GROUP BY ALL"""
+
+    table = f"""
+cut_{tag} AS (
+  SELECT line_no, s, t, ceil(greatest(len(s), len(t), 1) / 100) AS k
+  FROM (SELECT line_no, {words(f'lower({src})')} AS s, {words(f'lower({tgt})')} AS t FROM clean)),
+ss_{tag} AS ({counted('s', 's', 'ns')}),
+tt_{tag} AS ({counted('t', 't', 'nt')}),
+co_{tag} AS MATERIALIZED (
+  SELECT line_no, part, s, ns, t, nt FROM (SELECT * FROM ss_{tag} UNION ALL SELECT DISTINCT line_no, part, '', 1 FROM tt_{tag}) JOIN tt_{tag} USING (line_no, part))"""
+    before = None
+    for i in (1, 2):
+        rows = f"SELECT *, ns * 1.0::DOUBLE AS w FROM co_{tag}" if before is None else f"SELECT co_{tag}.*, ns * p AS w FROM co_{tag} JOIN {before} USING (s, t)"
+        table += f""",
+x{i}_{tag} AS (SELECT s, t, nt * w / sum(w) OVER (PARTITION BY line_no, part, t) AS c FROM ({rows})),
+g{i}_{tag} AS (SELECT s, t, sum(c) AS c FROM x{i}_{tag} GROUP BY s, t),
+p{i}_{tag} AS MATERIALIZED (SELECT s, t, p FROM (SELECT s, t, c / sum(c) OVER (PARTITION BY s) AS p FROM g{i}_{tag}) WHERE p >= 0.00137)"""
+        before = f"p{i}_{tag}"
+    return table
+
+
+def _explained(tag: str, out: str) -> str:
+    return f"""
+b_{tag} AS (SELECT line_no, part, t, max(p) AS p FROM ss_{tag} JOIN tt_{tag} USING (line_no, part) JOIN p2_{tag} USING (s, t) GROUP BY ALL),
+f_{tag} AS (SELECT line_no, sum(nt * coalesce(p, 0)) / sum(nt) AS {out} FROM tt_{tag} LEFT JOIN b_{tag} USING (line_no, part, t) GROUP BY line_no)"""
+
+
+SQL["translation_probabilities"] = f"WITH {CLEAN}, {_sides('src', 'tgt', 'f')} SELECT s, t, round(p, 6) AS p FROM p2_f WHERE p > 0.0123::DOUBLE"
+SQL["lexical_features"] = f"""WITH {CLEAN}, {_sides('src', 'tgt', 'f')}, {_sides('tgt', 'src', 'b')}, {_explained('f', 'lexical_tgt')}, {_explained('b', 'lexical_src')}
+  SELECT line_no, coalesce(round(lexical_tgt, 6), 0) AS lexical_tgt, coalesce(round(lexical_src, 6), 0) AS lexical_src
+  FROM clean LEFT JOIN f_f USING (line_no) LEFT JOIN f_b USING (line_no)"""

@@ -13,6 +13,7 @@ from sentloom.functions import text as tx
 from sentloom.operators import (
     cleaning,
     ledger,
+    lexical,
     metrics,
     mixtures,
     pairing,
@@ -546,8 +547,8 @@ def head_lines(spark, sf):
 @query
 def growing_prefix(spark, sf):
     mono = stage(side_lines(spark, sf, "en"), "mono")
-    sizes = [(0, sampling.prefix_for("first", unit=100)), (0, sampling.prefix_for("loop_start", unit=100))]
-    sizes += [(i, sampling.prefix_for("iteration", i, unit=100)) for i in range(1, 9)]
+    sizes = [(0, sampling.prefix_for("first")), (0, sampling.prefix_for("loop_start"))]
+    sizes += [(i, sampling.prefix_for("iteration", i)) for i in range(1, 9)]
     return reduce(DataFrame.unionByName, [
         sampling.head_lines(mono, n).agg(
             F.lit(i).cast("bigint").alias("iteration"), F.count(F.lit(1)).alias("n_lines"),
@@ -559,12 +560,12 @@ def growing_prefix(spark, sf):
 
 @query
 def cap_pairs(spark, sf):
-    return sampling.cap_pairs(stage(views.clean_pairs(spark, sf), "pairs"), 500, SEED).select("line_no", "src", "tgt")
+    return sampling.cap_pairs(stage(views.clean_pairs(spark, sf), "pairs"), seed=SEED).select("line_no", "src", "tgt")
 
 
 @query
 def cap_pairs_as_written(spark, sf):
-    return sampling.cap_pairs(stage(views.clean_pairs(spark, sf), "pairs"), 500, as_written=True).select("line_no", "src", "tgt")
+    return sampling.cap_pairs(stage(views.clean_pairs(spark, sf), "pairs"), as_written=True).select("line_no", "src", "tgt")
 
 
 @query
@@ -572,6 +573,12 @@ def shuffle_rows(spark, sf):
     return sampling.shuffle_rows(views.clean_pairs(spark, sf), SEED).select("line_no", "src", "tgt")
 
 
+@query
+def permute_rows(spark, sf):
+    lines = stage(views.lines(spark, sf, "en").select("line_no"), "numbers")
+    return sampling.permute_rows(lines, lines.count(), SEED)
+
+
 # --- mixtures ----------------------------------------------------------------
 
 @query
@@ -663,6 +670,35 @@ def classifier(spark, sf):
     return scoring.fit_pair_classifier(train, dev, german_words(spark, sf), "de", SEED)
 
 
+@query
+def replace_words(spark, sf):
+    pairs = stage(views.clean_pairs(spark, sf).select("line_no", "src", "tgt"), "pairs")
+    changed = scoring.replace_words(pairs, scoring.target_words(pairs), 0.3, SEED)
+    return changed.select("line_no", "tgt", "n_replaced")
+
+
+# Rounds and least probability of the word translation tables that SQL learns as well.
+EM_ROUNDS, EM_LEAST = 2, 0.00137
+
+
+def _translations(pairs):
+    return lexical.translation_probabilities(pairs, EM_ROUNDS, EM_LEAST)
+
+
+@query
+def translation_probabilities(spark, sf):
+    pairs = stage(views.clean_pairs(spark, sf).select("line_no", "src", "tgt"), "pairs")
+    return _translations(pairs).filter("p > 0.0123").withColumn("p", F.round("p", 6))
+
+
+@query
+def lexical_features(spark, sf):
+    pairs = stage(views.clean_pairs(spark, sf).select("line_no", "src", "tgt"), "pairs")
+    turned = pairs.select("line_no", F.col("tgt").alias("src"), F.col("src").alias("tgt"))
+    found = lexical.lexical_features(pairs, _translations(pairs), _translations(turned))
+    return found.select("line_no", F.round("lexical_tgt", 6).alias("lexical_tgt"), F.round("lexical_src", 6).alias("lexical_src"))
+
+
 @query
 def classifier_data(spark, sf):
     root = staging_path(spark, "corpora")
@@ -670,7 +706,7 @@ def classifier_data(spark, sf):
         lines = views.corpus(spark, sf, lang)
         for name in ("src1", "src2", "src3"):
             sinks.write_lines(lines.filter(F.col("corpus") == name), f"{root}/{name}.{lang}")
-    data = classifier_plan.classifier_data(spark, root, ["src3", "src1"], ["src2"], "en", "de", max_pairs=300, seed=SEED)
+    data = classifier_plan.classifier_data(spark, root, ["src3", "src1"], ["src2"], "en", "de", seed=SEED)
     return data.train.withColumn("part", F.lit("train")).unionByName(data.dev.withColumn("part", F.lit("dev")))
 
 

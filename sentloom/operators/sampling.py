@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from sentloom.functions.hashing import sample_fraction, sample_key
@@ -45,7 +48,8 @@ def cap_pairs(df: DataFrame, n: int = 600_000, seed: int = 1, as_written: bool =
     """At most ``n`` pairs, as a random sample fixed by the seed (all pairs if there are no more).
 
     The sample is the ``n`` smallest hash keys of line_no (NULL is a number like any
-    other), ties in no order. Only keys are looked at: they are written once, counted by
+    other); of rows with one number those with the smallest hash of their contents, so only
+    rows that are alike can take each other's place. Only keys are looked at: they are written once, counted by
     their leading digits, and the digits of the cut are found group by group until few
     rows share them, so nothing is sorted or collected as a whole. The result has exactly
     ``min(n, rows)`` rows. ``as_written`` takes the first n lines, which is what the
@@ -53,10 +57,17 @@ def cap_pairs(df: DataFrame, n: int = 600_000, seed: int = 1, as_written: bool =
     """
     if as_written:
         # Line numbers may have gaps after cleaning, so the cut is by rank, not by number.
-        key = F.coalesce(F.lpad(F.hex(F.col("line_no").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0"), F.lit(""))
+        number = F.lpad(F.hex(F.col("line_no").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+        key = F.coalesce(F.concat(F.lit("1"), number), F.lit("0" * 17))
     else:
-        key = F.coalesce(sample_key("line_no", seed), F.lit(""))
-    return _smallest(df, key, n)
+        key = sample_key("line_no", seed)
+    return _smallest(df, F.concat(key, row_hash(df)), n)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """16 hexadecimal digits of a row's contents, NULLs and their places included."""
+    values = [F.to_json(F.struct(F.col(f"`{f.name}`"))) if isinstance(f.dataType, (T.MapType, T.VariantType)) else F.col(f"`{f.name}`") for f in df.schema.fields]
+    return F.lpad(F.hex(F.xxhash64(*values, *[v.isNull() for v in values])), 16, "0")
 
 
 def _smallest(df: DataFrame, key: Column, n: int) -> DataFrame:
@@ -75,7 +86,9 @@ def _smallest(df: DataFrame, key: Column, n: int) -> DataFrame:
 
 def _cut_key(keys: DataFrame, n: int) -> tuple[str, int] | None:
     """The key of the ``n``-th row in order, and how many rows with this key are wanted; None if all are."""
-    keys, width = stage(keys, "cap-keys"), 32
+    keys = stage(keys, "cap-keys")
+    # All keys are equally long.
+    width = keys.agg(F.max(F.length("_key"))).first()[0] or 0
     prefix, left = "", n
     for digits in range(BUCKET_DIGITS, width + BUCKET_DIGITS, BUCKET_DIGITS):
         # At most 16 ** BUCKET_DIGITS groups come back.
@@ -97,6 +110,55 @@ def shuffle_rows(df: DataFrame, seed: int = 1, key: str = "line_no") -> DataFram
     return df.withColumn("_key", sample_key(key, seed)).orderBy("_key").drop("_key")
 
 
+# Rounds of the permutation, and steps a number may need to come back below n: numbers
+# that are out of range are fewer than the square root of n.
+FEISTEL_ROUNDS, WALK = 8, 16
+
+
+def permuted(number: Column, n: int, seed: int = 1) -> Column:
+    """The place, from 0 to ``n - 1``, that a seeded permutation gives each number from 0 to ``n - 1``.
+
+    A number is a row and a column of a table with about as many of either; in turn, one of
+    the two is moved around by a hash of the other, which can be undone, so no two numbers
+    meet. The table may have a few places more than ``n``: a number that lands there goes
+    on until it is below. No row needs to know another, so nothing is sorted. Numbers out
+    of range are an error.
+    """
+    columns = math.isqrt(max(0, n - 1)) + 1
+    rows = -(-max(1, n) // columns)
+
+    def moved(value: Column, i: Column) -> Column:
+        text = F.concat_ws(":", F.lit(str(seed)), i.cast("string"), value.cast("string"))
+        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+    def turn(state: Column, i: Column) -> Column:
+        row, column = state["r"], state["c"]
+        return F.when(i % 2 == 0, F.struct(((row + moved(column, i)) % rows).alias("r"), column.alias("c"))).otherwise(
+            F.struct(row.alias("r"), ((column + moved(row, i)) % columns).alias("c"))
+        )
+
+    def once(x: Column) -> Column:
+        start = F.struct(F.floor(x / columns).cast("bigint").alias("r"), (x % columns).cast("bigint").alias("c"))
+        return F.aggregate(F.sequence(F.lit(0), F.lit(FEISTEL_ROUNDS - 1)), start, turn, lambda s: s["r"] * columns + s["c"])
+
+    inside = (number >= 0) & (number < n)
+    end = F.aggregate(
+        F.sequence(F.lit(1), F.lit(WALK)), F.struct(number.cast("bigint").alias("x"), F.lit(False).alias("done")),
+        lambda s, _: F.when(s["done"], s).otherwise(_landed(once(s["x"]), n)),
+    )
+    return F.when(inside & end["done"], end["x"]).otherwise(F.raise_error(F.lit("a number that the permutation has no place for")).cast("bigint"))
+
+
+def _landed(x: Column, n: int) -> Column:
+    """A place and whether it is below ``n``; it is computed once."""
+    return F.element_at(F.transform(F.array(x), lambda v: F.struct(v.alias("x"), (v < n).alias("done"))), 1)
+
+
+def permute_rows(df: DataFrame, n: int, seed: int = 1, key: str = "line_no", out: str = "place") -> DataFrame:
+    """Rows numbered 1 to ``n`` with their place, 1 to ``n``, in a seeded random order (see :func:`permuted`)."""
+    return df.withColumn(out, permuted(F.col(key) - 1, n, seed) + 1)
+
+
 def temperature_weights(df: DataFrame, temperature: float = 1.5, by: str = "corpus") -> DataFrame:
     """Per corpus: rows, share ``p`` proportional to ``rows ** (1 / T)`` and rows to draw per row."""
     counts = df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sentloom.functions import text as tx
 from sentloom.operators.subword import encode_words, marked_words
+from sentloom.sources.staging import stage
 
 # Scores are compared as whole millionths, so sums are exact in any order.
 SCALE = 1_000_000
@@ -110,6 +111,7 @@ def scored_vocabulary(df: DataFrame, size: int, max_piece: int = 8, col: str = "
     )))
     counts = words.select(F.explode(parts).alias("piece"), "n").groupBy("piece").agg(F.sum("n").alias("n"))
     longer = counts.filter(F.length("piece") > 1).orderBy(F.desc("n"), F.asc("piece")).limit(size)
-    chosen = counts.filter(F.length("piece") == 1).unionByName(longer)
-    total = chosen.agg(F.sum("n").alias("_total"))  # one row
-    return chosen.crossJoin(F.broadcast(total)).select("piece", "n", F.ln(F.col("n") / F.col("_total")).alias("score"))
+    # As many rows as the vocabulary has pieces, counted once.
+    chosen = stage(counts.filter(F.length("piece") == 1).unionByName(longer), "pieces")
+    total = chosen.agg(F.sum("n")).first()[0] or 1
+    return chosen.select("piece", "n", F.ln(F.col("n") / F.lit(float(total))).alias("score"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -17,7 +18,9 @@ from pyspark.sql import Window as W
 from sentloom.functions import text as tx
 from sentloom.functions.hashing import sample_key
 from sentloom.operators.cleaning import filter_by_score
+from sentloom.operators.lexical import LEXICAL, lexical_features
 from sentloom.operators.lookup import MAX_BROADCAST_ROWS, broadcast_checked, lookup_array
+from sentloom.operators.numbering import number_rows
 from sentloom.operators.tokenization import tokens
 from sentloom.sources.staging import stage
 
@@ -109,17 +112,84 @@ def make_negatives(df: DataFrame, seed: int = 1, block_digits: int = BLOCK_DIGIT
     )
 
 
-def pair_examples(df: DataFrame, wordfreq: DataFrame, tgt_lang: str, seed: int = 1) -> DataFrame:
+def word_bands(words: DataFrame) -> DataFrame:
+    """Words (word, count) by frequency: (word, rank, first, size), the band of each by its rank from 0.
+
+    Bands double in size: ranks 0 and 1, 2 to 5, 6 to 13 and so on; a last band of one word
+    belongs to the one before.
+    """
+    ranked = number_rows(words.select("word", "count"), [F.desc("count"), F.asc("word")], name="rank", start=0)
+    last = ranked.agg(F.max("rank")).first()[0] or 0
+    # The first rank of the n-th band is 2 ** n - 2.
+    starts = [(1 << n) - 2 for n in range(1, 64) if (1 << n) - 2 <= last]
+    if len(starts) > 1 and starts[-1] == last:
+        starts.pop()
+    first = reduce(lambda acc, start: F.when(F.col("rank") >= start, F.lit(start)).otherwise(acc), starts, F.lit(0)).cast("bigint")
+    following = dict(zip(starts, [*starts[1:], last + 1]))
+    size = reduce(lambda acc, start: F.when(F.col("first") == start, F.lit(following[start] - start)).otherwise(acc), starts, F.lit(1)).cast("bigint")
+    return ranked.select("word", "rank", first.alias("first")).withColumn("size", size)
+
+
+def replace_words(df: DataFrame, words: DataFrame, share: float = 0.5, seed: int = 1) -> DataFrame:
+    """Negative examples that differ in some words: (line_no, src, tgt, n_replaced).
+
+    Of the n whitespace-separated words of a target, those with the smallest seeded keys
+    of (line_no, place) are replaced, ``share`` times n rounded up. Each becomes another word of
+    about its frequency: one of its band in :func:`word_bands` of ``words`` (word, count), also drawn by
+    key. A word that is not listed is treated as the rarest one. With a single listed
+    word, that is what all become. Pairs without target words give none. ``line_no`` is unique.
+    """
+    bands = stage(word_bands(words), "word-bands")
+    rarest = bands.orderBy(F.desc("rank")).first()
+    if rarest is None:
+        raise ValueError("no words to replace others by")
+    cut = stage(df.select("line_no", "src", tx.words("tgt").alias("_w")).filter(F.size("_w") > 0), "word-places")
+    keyed = F.transform("_w", lambda w, i: F.struct(
+        sample_key(F.concat_ws(":", F.col("line_no").cast("string"), i.cast("string")), seed).alias("key"), i.alias("pos"), w.alias("word")
+    ))
+    chosen = F.slice(F.array_sort(keyed), 1, F.greatest(F.lit(1), F.ceil(F.size("_w") * F.lit(share))).cast("int"))
+    places = cut.select("line_no", F.inline(chosen))
+    own = broadcast_checked(bands.withColumnRenamed("word", "_word"), "bands")
+    ranked = places.join(own, F.col("word") == F.col("_word"), "left").select(
+        "line_no", "pos", "key", *[F.coalesce(c, F.lit(rarest[c])).alias(c) for c in ("rank", "first", "size")]
+    )
+    draw = F.conv(F.substring("key", 9, 8), 16, 10).cast("bigint")
+    turn = F.when(F.col("size") > 1, F.lit(1) + draw % F.greatest(F.col("size") - 1, F.lit(1))).otherwise(F.lit(0))
+    target = F.col("first") + (F.col("rank") - F.col("first") + turn) % F.col("size")
+    by_rank = broadcast_checked(bands.select(F.col("rank").alias("_target"), F.col("word").alias("_new")), "bands")
+    news = ranked.withColumn("_target", target).join(by_rank, "_target").groupBy("line_no").agg(
+        F.map_from_entries(F.collect_list(F.struct("pos", "_new"))).alias("_news"), F.count(F.lit(1)).alias("n_replaced")
+    )
+    changed = F.transform("_w", lambda w, i: F.coalesce(F.try_element_at("_news", i), w))
+    return cut.join(news, "line_no").select("line_no", "src", F.array_join(changed, " ").alias("tgt"), "n_replaced")
+
+
+def pair_examples(
+    df: DataFrame, wordfreq: DataFrame, tgt_lang: str, seed: int = 1, replaced: float | None = None, lexical: tuple[DataFrame, DataFrame] | None = None
+) -> DataFrame:
     """What the classifier sees: features and label (1.0 for the pairs, 0.0 for negatives made of them).
 
-    Ids stay unique over both kinds: even for pairs, odd for negatives.
+    With ``replaced``, every pair also gives a negative in which that share of the target's
+    words is replaced. With ``lexical``, word translation tables of both directions, the
+    features of :func:`~sentloom.operators.lexical.lexical_features` are added. Ids stay
+    unique over all kinds: 4 * line_no for pairs, one and two more for negatives with
+    ``replaced``, else even for pairs and odd for negatives.
     """
+    kinds = 2 if replaced is None else 4
     positives = df.select("line_no", "src", "tgt").withColumn("label", F.lit(1.0))
-    negatives = make_negatives(df, seed).select("line_no", "src", "tgt").withColumn("label", F.lit(0.0))
-    examples = positives.unionByName(negatives).withColumn(
-        "line_no", F.col("line_no") * 2 + F.when(F.col("label") == 0.0, 1).otherwise(0)
-    )
-    return pair_features(examples, wordfreq, tgt_lang).select("line_no", *FEATURES, "label")
+    parts = [positives, make_negatives(df, seed).select("line_no", "src", "tgt").withColumn("label", F.lit(0.0))]
+    if replaced is not None:
+        parts.append(replace_words(df, target_words(df), replaced, seed).select("line_no", "src", "tgt").withColumn("label", F.lit(0.0)))
+    examples = reduce(DataFrame.unionByName, [part.withColumn("line_no", F.col("line_no") * kinds + i) for i, part in enumerate(parts)])
+    if lexical is None:
+        return pair_features(examples, wordfreq, tgt_lang).select("line_no", *FEATURES, "label")
+    examples = stage(examples, "examples")
+    return lexical_features(pair_features(examples, wordfreq, tgt_lang), *lexical).select("line_no", *FEATURES, *LEXICAL, "label")
+
+
+def target_words(df: DataFrame) -> DataFrame:
+    """Whitespace-separated words of the targets with their counts: (word, count)."""
+    return df.select(F.explode(tx.words("tgt")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 @dataclass(frozen=True)
@@ -130,29 +200,37 @@ class PairClassifier:
     wordfreq: DataFrame
     tgt_lang: str
     dev: dict[str, float]
+    # Word translation tables of both directions, if its features include the lexical ones.
+    lexical: tuple[DataFrame, DataFrame] | None = None
+
+    def features(self) -> list[str]:
+        return FEATURES if self.lexical is None else [*FEATURES, *LEXICAL]
 
     def weights(self) -> dict[str, float]:
         last = self.model.stages[-1]
-        return {**dict(zip(FEATURES, map(float, last.coefficients))), "intercept": float(last.intercept)}
+        return {**dict(zip(self.features(), map(float, last.coefficients))), "intercept": float(last.intercept)}
 
 
 def fit_pair_classifier(
     train: DataFrame, dev: DataFrame, wordfreq: DataFrame, tgt_lang: str,
     seed: int = 1, max_iter: int = 50, regs: Sequence[float] = (0.001, 0.01, 0.1),
+    replaced: float | None = None, lexical: tuple[DataFrame, DataFrame] | None = None,
 ) -> PairClassifier:
     """Train a classifier that tells translations from shuffled pairs.
 
     ``train`` and ``dev`` hold (capped, non-empty) pairs; as many negative pairs are
     made from each. Logistic regression on the features of :func:`pair_features`, with
     the regularisation that ranks the development pairs best (the first of equals).
+    ``replaced`` and ``lexical`` are those of :func:`pair_examples`.
     """
     # Written once: the optimizer of the classifier passes over it many times.
-    features, held = (stage(pair_examples(df, wordfreq, tgt_lang, seed), "features") for df in (train, dev))
+    features, held = (stage(pair_examples(df, wordfreq, tgt_lang, seed, replaced, lexical), "features") for df in (train, dev))
+    names = FEATURES if lexical is None else [*FEATURES, *LEXICAL]
     rank = BinaryClassificationEvaluator(metricName="areaUnderROC")
     best = None
     for reg in regs:
         pipeline = Pipeline(stages=[
-            VectorAssembler(inputCols=FEATURES, outputCol="features"),
+            VectorAssembler(inputCols=names, outputCol="features"),
             LogisticRegression(maxIter=max_iter, regParam=reg),
         ])
         model = pipeline.fit(features)
@@ -161,14 +239,15 @@ def fit_pair_classifier(
         figures = {"auc": rank.evaluate(judged), "accuracy": float("nan") if right is None else right, "reg": reg}
         if best is None or figures["auc"] > best[1]["auc"]:
             best = model, figures
-    return PairClassifier(best[0], wordfreq, tgt_lang, best[1])
+    return PairClassifier(best[0], wordfreq, tgt_lang, best[1], lexical)
 
 
 def score_pairs(df: DataFrame, model: PairClassifier | Callable[[DataFrame], Column]) -> DataFrame:
     """Append a score in [0, 1]: the probability of a fitted classifier, or any column of a function."""
     if not isinstance(model, PairClassifier):
         return df.withColumn("score", model(df))
-    scored = model.model.transform(pair_features(df, model.wordfreq, model.tgt_lang))
+    featured = pair_features(df, model.wordfreq, model.tgt_lang)
+    scored = model.model.transform(featured if model.lexical is None else lexical_features(featured, *model.lexical))
     return scored.withColumn("score", vector_to_array("probability")[1]).select(*df.columns, "score")
 
 

@@ -61,7 +61,8 @@ class Callbacks:
     def key(self) -> dict:
         """What of the callbacks a stage depends on."""
         if isinstance(self.scorer, PairClassifier):
-            scorer = {"weights": self.scorer.weights(), "words": content_key(self.scorer.wordfreq), "lang": self.scorer.tgt_lang}
+            tables = [content_key(table) for table in (self.scorer.wordfreq, *(self.scorer.lexical or ()))]
+            scorer = {"weights": self.scorer.weights(), "tables": tables, "lang": self.scorer.tgt_lang}
         else:
             scorer = f"{getattr(self.scorer, '__module__', '')}.{getattr(self.scorer, '__qualname__', type(self.scorer).__name__)}"
         return {"scorer": scorer, "version": self.version}
@@ -326,7 +327,9 @@ class Config:
     """Named corpora ``<root>/<name>.<language>`` and the settings of one experiment.
 
     ``classifier_train`` and ``classifier_dev`` name the corpora of the pair classifier;
-    they are needed if the callbacks bring no scorer.
+    they are needed if the callbacks bring no scorer. ``classifier_words`` names the corpora
+    of language 2 that its word list counts, ``lexical_rounds`` the rounds in which it
+    learns word translations.
     """
 
     name: str
@@ -337,6 +340,8 @@ class Config:
     mono: Mapping[str, Sequence[str]]
     classifier_train: Sequence[str] = ()
     classifier_dev: Sequence[str] = ()
+    classifier_words: Sequence[str] = ()
+    lexical_rounds: int = 0
     thresholds: Sequence[float] = THRESHOLDS
     max_iter: int = MAX_ITERATIONS
     unit: int | None = None
@@ -354,7 +359,7 @@ def run_experiment(spark: SparkSession, config: Config, callbacks: Callbacks) ->
         for side, lang in (("l1", l1), ("l2", l2))
     }
     if callbacks.scorer is None:
-        data = classifier_data(spark, config.root, config.classifier_train, config.classifier_dev, l1, l2)
-        callbacks = replace(callbacks, scorer=train_classifier(data, l2))
+        data = classifier_data(spark, config.root, config.classifier_train, config.classifier_dev, l1, l2, words=config.classifier_words)
+        callbacks = replace(callbacks, scorer=train_classifier(data, l2, lexical_rounds=config.lexical_rounds))
     run = Refinement(spark, config.name, config.workdir, parallel, mono, callbacks, config.unit, config.piece_limit)
     return run.run(config.thresholds, config.max_iter)

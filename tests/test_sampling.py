@@ -82,3 +82,34 @@ def test_the_cut_is_searched_on_keys_alone(spark):
     """No window and no sort sees the rows."""
     plan = sampling.cap_pairs(numbered(spark, 3000), 500)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Sort" not in plan
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 97, 101, 1000])
+def test_every_number_has_its_own_place(spark, n):
+    got = {r["line_no"]: r["place"] for r in sampling.permute_rows(numbered(spark, n), n, seed=3).collect()}
+    assert sorted(got) == sorted(got.values()) == list(range(1, n + 1))
+    if n >= 97:
+        assert list(got.values()) != sorted(got.values())
+        other = {r["line_no"]: r["place"] for r in sampling.permute_rows(numbered(spark, n), n, seed=4).collect()}
+        assert sum(got[i] == other[i] for i in got) < n / 10
+
+
+def test_places_are_found_without_moving_rows_and_only_for_numbers_in_range(spark):
+    df = sampling.permute_rows(spark.range(1, 51).withColumnRenamed("id", "line_no"), 50)
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString() and df.select("place").distinct().count() == 50
+    with pytest.raises(Exception, match="no place for"):
+        sampling.permute_rows(numbered(spark, 50), 49).collect()
+
+
+def test_ties_go_by_content(spark):
+    """Rows of several languages share a number, and all NULL numbers one key."""
+    rows = [(i // 4 if i < 40 else None, f"l{i % 4}", f"text {i}") for i in range(60)] + [(None, None, None)] * 3
+    df = spark.createDataFrame(rows, "line_no bigint, lang string, src string")
+    for as_written in (False, True):
+        for n in (1, 3, 18, 30, 62):
+            several = [sorted(map(tuple, sampling.cap_pairs(d, n, as_written=as_written).collect()), key=str) for d in (df.coalesce(1), df.repartition(5), df.repartition(3, "src"))]
+            assert several[0] == several[1] == several[2] and len(several[0]) == n
+    first = sampling.cap_pairs(df, 23, as_written=True).collect()
+    assert all(r["line_no"] is None for r in first)
+    with_map = df.withColumn("m", F.create_map(F.lit("a"), F.col("src")))
+    assert sampling.cap_pairs(with_map, 7).count() == 7
