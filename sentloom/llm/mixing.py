@@ -124,7 +124,7 @@ def mix_sources(
     Documents without a source form one source. A text without a word has 0 tokens: it is
     used in every whole pass over its source; a source with no words at all has no share
     and no rows. Documents with equal ids are used together; a NULL id is one id. An
-    empty table gives no rows. Columns of ``docs`` that have one of the added names are replaced.
+    empty table gives no rows. Columns of ``docs`` that have one of the added names, in any case, are replaced.
     """
     added = ("n_tokens", "weight", "epoch", "block", "mix_key")
     skey = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))
@@ -147,18 +147,20 @@ def mix_sources(
             (F.col("quota") / F.col("tokens")).alias("_passes"),
         ), "mix-plan",
     )
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    # The row goes along as one column, so its names meet no others.
+    kept = [c for c in docs.columns if c.lower() not in added]
+    own = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row")
     part = F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     place = F.floor((F.col("epoch") + part) / F.col("_passes") * blocks)
     return (
-        docs.select(*own, tokens.alias("n_tokens"), skey.alias("_skey"), key.alias("_key"))
+        docs.select(own, F.col("doc_id").alias("_id"), tokens.alias("n_tokens"), skey.alias("_skey"), key.alias("_key"))
         .join(small(plan), "_skey")
         .withColumn("_times", (F.col("_whole") + F.when(F.col("_key") <= F.col("_cut"), 1).otherwise(0)).cast("int"))
         .where("_times > 0")
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)))
         .select(
-            *own, "n_tokens", F.round("_weight", 9).alias("weight"), "epoch",
+            *[F.col("_row").getField(c).alias(c) for c in kept], "n_tokens", F.round("_weight", 9).alias("weight"), "epoch",
             F.least(place, F.lit(blocks - 1)).cast("int").alias("block"),
-            F.md5(F.concat_ws(":", F.lit(seed), "epoch", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")).alias("mix_key"),
+            F.md5(F.concat_ws(":", F.lit(seed), "epoch", F.coalesce(F.col("_id").cast("string"), F.lit("null"))).cast("binary")).alias("mix_key"),
         )
     )

@@ -88,18 +88,20 @@ def shard_documents(docs: DataFrame, shards: int = 24, weights: Sequence[float]
     The law is ``key``: doc_id and the weights of the shards (equal by default) decide,
     and ``grown_shard`` is the shard with one more of weight 1. A NULL id is one key. A
     NULL text has size 8 and no crc32. Equal texts go where their ids go. Repeated rows
-    get a slot each. Columns that have one of these names are replaced, but doc_id and
-    text. An empty table gives no rows.
+    get a slot each. Columns that have one of these names, in any case, are replaced, but doc_id
+    and text. An empty table gives no rows.
     """
     weights = list(weights or [1.0] * shards)
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
+    added = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     blob, key = F.col("text").cast("binary"), F.col("doc_id")
+    # The row goes along as one column, so its names meet no others.
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), key.alias("_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"),
         F.crc32(blob).alias("text_crc32"), F.lit("key").alias("law"),
         weighted_shard(key, weights).alias("shard"), weighted_shard(key, [*weights, 1.0]).alias("grown_shard"),
     )
-    return with_slots(rows, "shard", ["doc_id", "text_crc32", "size"], "slot").select(
-        *[F.col(f"`{c}`") for c in kept], "size", "text_crc32", "law", "shard", F.col("slot").cast("long"), "grown_shard",
+    return with_slots(rows, "shard", ["_id", "text_crc32", "size"], "slot").select(
+        *[F.col("_row").getField(c).alias(c) for c in kept], "size", "text_crc32", "law", "shard", F.col("slot").cast("long"), "grown_shard",
     )

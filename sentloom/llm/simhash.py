@@ -207,8 +207,8 @@ def drop_near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4, block
     """One document of each class of :func:`near_copies`, with all its columns.
 
     It is the one with the smallest doc_id (NULL last), then the smallest text hash; of
-    rows that agree in both, the smallest over all columns. Only identifiers decide;
-    the texts move once, to meet them.
+    rows that agree in both, the smallest over all columns (of their JSON, where a column
+    has maps, which have no order). Only identifiers decide; the texts move once, to meet them.
     """
     _, classes = near_copies(docs, shingle, distance, blocks)
     kept = classes.groupBy("class").agg(F.min("best").alias("best")).select(F.col("best.none").alias("_none"), F.coalesce("best.doc_id", F.lit(0)).alias("_id"), F.col("best.th").alias("_th"))
@@ -217,6 +217,6 @@ def drop_near_copies(docs: DataFrame, shingle: int = 4, distance: int = 4, block
         F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"),
         F.xxhash64("text").alias("_th"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
     )
-    return (
-        keyed.join(kept, keys, "left_semi").groupBy(*keys).agg(F.min("_row").alias("_row")).select("_row.*")
-    )
+    ordered = "map<" not in docs.schema.simpleString()
+    one = F.min("_row") if ordered else F.min_by("_row", F.to_json("_row"))
+    return keyed.join(kept, keys, "left_semi").groupBy(*keys).agg(one.alias("_row")).select("_row.*")

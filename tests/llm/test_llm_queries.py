@@ -78,3 +78,25 @@ def test_every_stage_takes_odd_and_empty_tables(spark, sf):
             assert {r["doc_id"] for r in got} <= {r[0] for r in ODD} and got
         if name != "sharding":
             assert out.columns == [*docs.columns, "shard", "label"]
+
+
+CLASHING = [
+    "_key", "_inside", "_before", "SHARD", "Slot", "Weight", "Epoch", "_row", "_id", "_skey", "_s", "label", "grp", "d0", "Rank", "ids", "Law", "_th", "_none", "fp", "pos", "block",
+]
+
+
+def test_columns_of_any_name_and_type(spark, sf):
+    """Helper names in any case and a map column, in every operator over documents and every stage."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+    wide = docs.selectExpr("*", *[f"{i} as `{c}`" for i, c in enumerate(CLASHING)], "map('k', source) as extra")
+    ids = sorted(r["doc_id"] for r in docs.select("doc_id").collect())
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, wide, sf)
+        got = out.select("doc_id", "extra").collect()
+        assert got and {r["doc_id"] for r in got} <= set(ids) and all(r["extra"] for r in got), name
+    wide.write.mode("overwrite").parquet(f"{spark.conf.get('spark.checkpoint.dir')}/wide/documents.parquet")
+    for other in ("labels", "benchmark", "pages"):
+        spark.read.parquet(f"{sf}/{other}.parquet").write.mode("overwrite").parquet(f"{spark.conf.get('spark.checkpoint.dir')}/wide/{other}.parquet")
+    for name, query in queries.QUERIES.items():
+        if name not in ("pipeline", "op5_warc", "op6_decontamination", "op12_lexical_search"):
+            assert {r["doc_id"] for r in query(spark, f"{spark.conf.get('spark.checkpoint.dir')}/wide").select("doc_id").collect()} <= set(ids), name
