@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 # Places of the tree: regions, racks of a region, shards of a rack.
 TREE = (4, 4, 4)
-# Descents tried before the rare rest is placed by one draw per shard.
-DESCENTS = 32
 # Parts of a shard that are numbered side by side.
 BLOCKS = 1024
 
@@ -23,42 +21,31 @@ def _unit(h: Column) -> Column:
 def weighted_shard(key: Column, weights: Sequence[float], tree: tuple[int, int, int] = TREE) -> Column:
     """The shard of a key, from 0 to ``len(weights) - 1``; weights are from 0 to 1 and not all 0.
 
-    A descent draws a region, a rack in it and a place in that, each by a hash of the
-    key, the path so far and the number of the descent. Shard i sits at region i mod R,
-    rack (i / R) mod K and the next place there, and takes the key with the probability
-    of its weight, by one more hash; else the key descends again. So every node gets
-    keys in proportion to the weights below it. Raising one weight (or adding a shard,
-    which raises it from 0) only makes one place accept descents that it turned down
-    before: keys move into that shard and nowhere else. Lowering it moves only its own
-    keys. A key that no descent places takes the smallest of one exponential draw for
-    each shard, which has the same two properties.
+    Shard i sits at region i mod R, rack (i / R) mod K and the next place there. A key has
+    an exponential clock at each shard, by a hash of the key and the path, whose rate is the
+    shard's weight; the clock of a rack or region is the least one below it, so its rate is
+    the sum of the weights there. The key descends to the region, the rack and the
+    shard with the least clock: a draw by weight at each level. Raising one weight (or
+    adding a shard, which raises it from 0) makes the clocks of its own path earlier and no
+    others: keys move into that subtree, and there into that shard. Lowering it moves only
+    its own keys.
     """
     regions, racks, places = tree
     if len(weights) > regions * racks * places:
         raise ValueError(f"{len(weights)} shards need a larger tree than {tree}")
     if not any(weights) or min(weights) < 0 or max(weights) > 1:
         raise ValueError("weights are from 0 to 1 and not all 0")
-    table = F.array(*[F.lit(float(w)) for w in weights])
+    below: dict[int, dict[int, list[Column]]] = {}
+    for i, weight in enumerate(weights):
+        if weight > 0:
+            region, rack, place = i % regions, i // regions % racks, i // (regions * racks)
+            clock = -F.ln(_unit(F.xxhash64(key, F.lit("clock"), F.lit(region), F.lit(rack), F.lit(place)))) / F.lit(float(weight))
+            below.setdefault(region, {}).setdefault(rack, []).append(F.struct(clock.alias("t"), F.lit(i).alias("i")))
 
-    def draw(level: str, n: int, *path: Column) -> Column:
-        return F.pmod(F.xxhash64(key, F.lit(level), *path), F.lit(n)).cast("int")
+    def first(nodes: list[Column]) -> Column:
+        return F.array_min(F.array(*nodes))
 
-    def descend(attempt: Column) -> Column:
-        region = draw("region", regions, attempt)
-        rack = draw("rack", racks, attempt, region)
-        shard = region + regions * rack + regions * racks * draw("shard", places, attempt, region, rack)
-        accepts = _unit(F.xxhash64(key, F.lit("accept"), attempt, shard)) < F.coalesce(F.get(table, shard), F.lit(0.0))
-        return F.when(accepts, shard).otherwise(F.lit(-1))
-
-    placed = F.aggregate(
-        F.sequence(F.lit(0), F.lit(DESCENTS - 1)), F.lit(-1),
-        lambda found, attempt: F.when(found >= 0, found).otherwise(descend(attempt)),
-    )
-    clocks = [
-        F.struct((-F.ln(_unit(F.xxhash64(key, F.lit("clock"), F.lit(i)))) / F.lit(float(w))).alias("t"), F.lit(i).alias("i"))
-        for i, w in enumerate(weights) if w > 0
-    ]
-    return F.when(placed >= 0, placed).otherwise(F.array_min(F.array(*clocks))["i"])
+    return first([first([first(shards) for shards in in_region.values()]) for in_region in below.values()])["i"]
 
 
 def with_slots(rows: DataFrame, shard: str, order: list[str], out: str, blocks: int = BLOCKS) -> DataFrame:

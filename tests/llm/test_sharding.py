@@ -1,5 +1,6 @@
 """Shards against a plain version, and the law that a new shard only takes rows."""
 
+import math
 import struct
 import zlib
 
@@ -29,19 +30,17 @@ def unit(h):
 
 
 def plain_shard(key, weights):
+    """Level by level: the region with the least clock below it, then the rack, then the shard."""
     key = None if key is None else Long(key)
-
-    def draw(level, n, *path):
-        h = chain(key, level, *path)
-        return (h - (1 << 64) if h >> 63 else h) % n
-
-    for k in range(sharding.DESCENTS):
-        region = draw("region", 4, k)
-        rack = draw("rack", 4, k, region)
-        shard = region + 4 * rack + 16 * draw("shard", 4, k, region, rack)
-        if shard < len(weights) and unit(chain(key, "accept", k, shard)) < weights[shard]:
-            return shard
-    raise AssertionError("not placed")
+    clocks = {
+        (i % 4, i // 4 % 4, i // 16): -math.log(unit(chain(key, "clock", i % 4, i // 4 % 4, i // 16))) / w for i, w in enumerate(weights) if w
+    }
+    path = ()
+    for level in range(3):
+        inside = {p: t for p, t in clocks.items() if p[:level] == path}
+        nodes = {p[:level + 1] for p in inside}
+        path = min(nodes, key=lambda node: min(t for p, t in inside.items() if p[:level + 1] == node))
+    return path[0] + 4 * path[1] + 16 * path[2]
 
 
 def test_shards_of_the_table(spark, sf):
@@ -85,12 +84,19 @@ def test_weights(spark):
             sharding.weighted_shard(F.col("id"), bad)
 
 
-def test_the_rest_is_placed_by_the_same_law(spark, monkeypatch):
-    monkeypatch.setattr(sharding, "DESCENTS", 1)
-    both = spark.range(5000).select(
-        sharding.weighted_shard(F.col("id"), [1.0] * 3).alias("a"), sharding.weighted_shard(F.col("id"), [1.0] * 4).alias("b"))
-    assert both.where("a < 0 or b < 0 or a > 2").count() == 0
-    assert both.where("a <> b and b <> 3").count() == 0
+def test_small_weights_and_the_sums_of_subtrees(spark):
+    """Every level is drawn by the weights below, however small; a raised weight moves keys into its own path only."""
+    weights = [0.01 * (1 + i % 5) for i in range(40)]
+    raised = [w * (3 if i == 22 else 1) for i, w in enumerate(weights)]
+    keys = spark.range(60_000).select(
+        sharding.weighted_shard(F.col("id"), weights).alias("a"), sharding.weighted_shard(F.col("id"), raised).alias("b"))
+    rows = [tuple(r) for r in keys.collect()]
+    assert all(b == 22 for a, b in rows if a != b) and any(a != b for a, b in rows)
+    for size in (4, 16):  # regions, then racks
+        for node in range(size):
+            share = sum(w for i, w in enumerate(weights) if i % size == node) / sum(weights)
+            assert abs(sum(a % size == node for a, _ in rows) / len(rows) - share) < 0.01
+    assert [a for a, _ in rows[:300]] == [plain_shard(i, weights) for i in range(300)]
 
 
 def test_odd_rows(spark):
