@@ -784,3 +784,11 @@ SQL["translation_probabilities"] = f"WITH {CLEAN}, {_sides('src', 'tgt', 'f')} S
 SQL["lexical_features"] = f"""WITH {CLEAN}, {_sides('src', 'tgt', 'f')}, {_sides('tgt', 'src', 'b')}, {_explained('f', 'lexical_tgt')}, {_explained('b', 'lexical_src')}
   SELECT line_no, coalesce(round(lexical_tgt, 6), 0) AS lexical_tgt, coalesce(round(lexical_src, 6), 0) AS lexical_src
   FROM clean LEFT JOIN f_f USING (line_no) LEFT JOIN f_b USING (line_no)"""
+
+SQL["temperature_quotas"] = f"""WITH {LINES}, n AS (SELECT lang, count(*) AS n_rows FROM lines GROUP BY lang),
+  p AS (SELECT lang, n_rows, pow(n_rows, 1 / 1.5) / sum(pow(n_rows, 1 / 1.5)) OVER () AS p FROM n),
+  r AS (SELECT lang, n_rows, p * sum(n_rows) OVER () / n_rows AS rate FROM p),
+  d AS (SELECT lang, line_no, floor(rate)::BIGINT
+               + (row_number() OVER (PARTITION BY lang ORDER BY {sample_key('line_no')}) <= round(n_rows * (rate - floor(rate))))::INT AS copies
+        FROM lines JOIN r USING (lang))
+  SELECT lang, line_no, unnest(range(1, copies + 1)) AS copy FROM d"""

@@ -638,6 +638,13 @@ def temperature_mix(spark, sf):
     return mixed.select("lang", "line_no", F.col("copy").cast("bigint").alias("copy"))
 
 
+@query
+def temperature_quotas(spark, sf):
+    lines = stage(views.lines(spark, sf).select("lang", "line_no", "text"), "lines")
+    mixed = sampling.temperature_quotas(lines, by="lang", seed=SEED)
+    return mixed.select("lang", "line_no", F.col("copy").cast("bigint").alias("copy"))
+
+
 # --- scoring, subwords, synthesis --------------------------------------------
 
 def german_words(spark, sf):

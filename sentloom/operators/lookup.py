@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentloom.sources.staging import stage
 
@@ -16,27 +21,70 @@ MAX_BROADCAST_BYTES = 64 << 20
 FREQUENT = 10_000
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row has: those of its values as text, or as JSON where a value is nested, and 8 each."""
+    def size(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        nested = isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType))
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value)) if nested else value.cast("string")), F.lit(0)) + 8
+
+    return reduce(lambda x, y: x + y, [size(f) for f in df.schema.fields])
+
+
+def stage_measured(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
+    """Write a table once and measure it on the way: the written table and the figures (aggregates)."""
+    seen = Observation()
+    staged = stage(df.observe(seen, *[f.alias(name) for name, f in figures.items()]), label)
+    return staged, seen.get
+
+
 def broadcast_checked(
     df: DataFrame, label: str, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
     """``df`` written once, with a broadcast hint if its rows and bytes are within the limits.
 
-    For results of an aggregation that are expected to be small: they are computed
-    once, measured on the written table, and joined without shuffling the large
-    side. Beyond a limit the join is left to the optimizer.
+    For results of an aggregation that are expected to be small: they are computed and
+    measured once, as they are written, and joined without shuffling the large side. Beyond
+    a limit the join is left to the optimizer.
+    """
+    staged, seen = stage_measured(df, label, rows=F.count(F.lit(1)), size=F.sum(_row_bytes(df)))
+    return F.broadcast(staged) if seen["rows"] <= max_rows and (seen["size"] or 0) <= max_bytes else staged
+
+
+@dataclass
+class Lookup:
+    """A table to look up in, written and measured once, for any number of columns and frames.
+
+    ``shared`` has its entries if they are few enough to be sent out, and their type.
     """
-    staged = stage(df, label)
-    rows, size = staged.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    ).first()
-    return F.broadcast(staged) if rows <= max_rows and size <= max_bytes else staged
+
+    entries: DataFrame
+    value_type: str
+    shared: tuple[Broadcast, pa.DataType] | None
+
+
+def prepare_lookup(
+    table: DataFrame, value_type: str, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> Lookup:
+    """Prepare a table (columns key, value); a key with more than one entry is an error, a NULL key is ignored."""
+    grouped = (
+        table.select(F.col("key").cast("string").alias("key"), F.col("value").cast(value_type).alias("value"))
+        .filter("key is not null")
+        .groupBy("key").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("n"))
+    )
+    entries, seen = stage_measured(grouped, "lookup", rows=F.count(F.lit(1)), most=F.max("n"), size=F.sum(_row_bytes(grouped)))
+    if (seen["most"] or 0) > 1:
+        raise ValueError("a lookup key has more than one entry")
+    entries = entries.select("key", "value")
+    few = seen["rows"] <= max_rows and (seen["size"] or 0) <= max_bytes
+    return Lookup(entries, value_type, _shared(entries) if few else None)
 
 
 def lookup_array(
     df: DataFrame,
     col: str,
     out: str,
-    table: DataFrame,
+    table: DataFrame | Lookup,
     default,
     value_type: str,
     max_rows: int = MAX_BROADCAST_ROWS,
@@ -48,33 +96,27 @@ def lookup_array(
     a NULL array stays NULL; order and repeats are kept. Entries with a NULL key are
     ignored, and a key with more than one entry is an error. The result is the same
     whether the table is sent to every executor (within ``max_rows`` and ``max_bytes``)
-    or joined with the rows (beyond).
+    or joined with the rows (beyond). A table that is used several times is prepared once,
+    by :func:`prepare_lookup`.
     """
-    grouped = (
-        table.select(F.col("key").cast("string").alias("key"), F.col("value").cast(value_type).alias("value"))
-        .filter("key is not null")
-        .groupBy("key").agg(F.max("value").alias("value"), F.count(F.lit(1)).alias("n"))
-    )
-    entries = stage(grouped, "lookup")
-    size = F.sum(F.octet_length("key") + F.coalesce(F.octet_length(F.col("value").cast("string")), F.lit(0)) + 8)
-    rows, most, size = entries.agg(F.count(F.lit(1)), F.max("n"), F.coalesce(size, F.lit(0))).first()
-    if (most or 0) > 1:
-        raise ValueError("a lookup key has more than one entry")
-    entries = entries.select("key", "value")
-    if rows <= max_rows and size <= max_bytes:
-        return _replaced(df, col, out, entries, default, value_type)
-    return _lookup_joined(df, col, out, entries, default, value_type)
+    known = table if isinstance(table, Lookup) else prepare_lookup(table, value_type, max_rows, max_bytes)
+    if known.shared:
+        return _replaced(df, col, out, known.shared, default, value_type)
+    return _lookup_joined(df, col, out, known.entries, default, value_type)
+
+
+def _shared(known: DataFrame) -> tuple[Broadcast, pa.DataType]:
+    """The entries of a table within the limits, sent out, and the type of their values."""
+    head = known.toArrow()
+    entries = {k: v for k, v in zip(head["key"].to_pylist(), head["value"].to_pylist()) if v is not None}
+    return known.sparkSession.sparkContext.broadcast(entries), head.schema.field("value").type
 
 
 def _replaced(
-    df: DataFrame, col: str, out: str, known: DataFrame, default, value_type: str, found: str | None = None
+    df: DataFrame, col: str, out: str, known: tuple[Broadcast, pa.DataType], default, value_type: str, found: str | None = None
 ) -> DataFrame:
-    """Replace elements by ``known``, a table within the limits, and by the entries that stand in column ``found``."""
-    head = known.toArrow()
-    kind = head.schema.field("value").type
-    shared = df.sparkSession.sparkContext.broadcast(
-        {k: v for k, v in zip(head["key"].to_pylist(), head["value"].to_pylist()) if v is not None}
-    )
+    """Replace elements by ``known``, entries that were sent out, and by the entries that stand in column ``found``."""
+    shared, kind = known
 
     def replaced(arrays: pa.Array, more: dict) -> pa.Array:
         # Only the distinct elements of a batch are looked up one by one.
@@ -132,4 +174,4 @@ def _lookup_joined(
     )
     empty = F.array().cast(found.schema["_found"].dataType)
     joined = rows.join(found, "_row", "left").withColumn("_found", F.coalesce("_found", empty))
-    return _replaced(joined, col, out, known, default, value_type, "_found").drop("_row", "_found")
+    return _replaced(joined, col, out, _shared(known), default, value_type, "_found").drop("_row", "_found")

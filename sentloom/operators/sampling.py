@@ -188,3 +188,42 @@ def temperature_mix(
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .select(*df.columns, "copy")
     )
+
+
+def temperature_quotas(
+    df: DataFrame, temperature: float = 1.5, by: str = "corpus", seed: int = 1, key: str = "line_no"
+) -> DataFrame:
+    """As :func:`temperature_mix`, with the shares met to the row.
+
+    Of a corpus with n rows and rate r every row is drawn floor(r) times, and the
+    ``round(n * (r - floor(r)))`` rows with the smallest keys once more; rows with one number go
+    by their contents. The keys of the cuts are found for all corpora at once, from
+    counts by leading digits; rows are only put in order below six digits, one in 16 million
+    of a corpus, so nothing is sorted or collected as a whole.
+    """
+    weights = temperature_weights(df, temperature, by)
+    whole = F.floor("rate").cast("bigint")
+    quota = F.round(F.col("n_rows") * (F.col("rate") - whole)).cast("bigint")
+    # A NULL name is a corpus, too: a struct matches it.
+    rates = broadcast_checked(weights.select(F.struct(F.col(by).alias("name")).alias("_by"), whole.alias("_whole"), quota.alias("_left")), "quotas")
+    keyed = df.select(F.struct(F.col(by).alias("name")).alias("_by"), F.concat(sample_key(key, seed), row_hash(df)).alias("_key"))
+    keys = stage(keyed, "quota-keys")
+    state = rates.filter("_left > 0").select("_by", F.col("_left").alias("_rest"), F.lit("").alias("_prefix"))
+    for digits in (BUCKET_DIGITS, 2 * BUCKET_DIGITS):
+        inside = keys.join(F.broadcast(state), "_by").filter(F.startswith("_key", "_prefix"))
+        counts = inside.groupBy("_by", "_rest", F.substring("_key", 1, digits).alias("_part")).agg(F.count(F.lit(1)).alias("n"))
+        # At most 16 ** BUCKET_DIGITS groups of a corpus.
+        counts = counts.withColumn("upto", F.sum("n").over(W.partitionBy("_by").orderBy("_part")))
+        first = counts.filter(F.col("upto") >= F.col("_rest")).groupBy("_by", "_rest").agg(
+            F.min(F.struct("_part", (F.col("upto") - F.col("n")).alias("before"))).alias("f")
+        )
+        # One row for each corpus name, as in ``rates``.
+        state = stage(first.select("_by", (F.col("_rest") - F.col("f.before")).alias("_rest"), F.col("f._part").alias("_prefix")), "quota-cuts")
+    inside = keys.join(F.broadcast(state), "_by").filter(F.startswith("_key", "_prefix"))
+    nth = F.row_number().over(W.partitionBy("_by").orderBy("_key"))
+    last = inside.withColumn("_nth", nth).filter(F.col("_nth") == F.col("_rest")).select("_by", F.col("_key").alias("_cut"))
+    plan = broadcast_checked(rates.join(last, "_by", "left").select("_by", "_whole", "_cut"), "quota-plan")
+    rows = df.select(F.struct("*").alias("_row"), F.struct(F.col(by).alias("name")).alias("_by"), F.concat(sample_key(key, seed), row_hash(df)).alias("_key"))
+    copies = F.col("_whole") + F.when(F.col("_key") <= F.col("_cut"), 1).otherwise(0)
+    drawn = rows.join(plan, "_by").select("_row", copies.cast("int").alias("_copies")).filter("_copies > 0")
+    return drawn.select("_row.*", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("copy"))

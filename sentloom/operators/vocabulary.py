@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentloom.functions import text as tx
-from sentloom.operators.lookup import MAX_BROADCAST_ROWS, lookup_array
+from sentloom.operators.lookup import MAX_BROADCAST_ROWS, Lookup, lookup_array, prepare_lookup
 from sentloom.operators.numbering import number_rows
 
 # Special symbols of a dictionary, in id order.
@@ -75,9 +75,14 @@ def joined_dictionary(df: DataFrame, src: str = "src_pieces", tgt: str = "tgt_pi
     return build_dictionary(df.select(F.explode(F.array(src, tgt)).alias("pieces")), **kw)
 
 
+def vocabulary_lookup(vocab: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Lookup:
+    """A vocabulary (token, token_id) made ready for any number of calls of :func:`ids_from_vocab`."""
+    return prepare_lookup(vocab.select(F.col("token").alias("key"), F.col("token_id").alias("value")), "bigint", max_rows)
+
+
 def ids_from_vocab(
     df: DataFrame,
-    vocab: DataFrame,
+    vocab: DataFrame | Lookup,
     col: str = "pieces",
     out: str = "ids",
     unk_id: int = UNK_ID,
@@ -85,14 +90,14 @@ def ids_from_vocab(
     max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Tokens to ids; unknown tokens get ``unk_id``, ``eos_id`` is appended if given."""
-    table = vocab.select(F.col("token").alias("key"), F.col("token_id").alias("value"))
-    encoded = lookup_array(df, col, out, table, unk_id, "bigint", max_rows)
+    known = vocab if isinstance(vocab, Lookup) else vocabulary_lookup(vocab, max_rows)
+    encoded = lookup_array(df, col, out, known, unk_id, "bigint")
     if eos_id is not None:
         encoded = encoded.withColumn(out, F.array_append(out, F.lit(eos_id).cast("bigint")))
     return encoded
 
 
-def encode_ids(df: DataFrame, vocab: DataFrame, col: str = "pieces", out: str = "id_text", **kw) -> DataFrame:
+def encode_ids(df: DataFrame, vocab: DataFrame | Lookup, col: str = "pieces", out: str = "id_text", **kw) -> DataFrame:
     """Pieces to space-joined ids."""
     encoded = ids_from_vocab(df, vocab, col, "_ids", **kw)
     return encoded.withColumn(out, F.array_join(F.col("_ids").cast("array<string>"), " ")).drop("_ids")

@@ -14,7 +14,7 @@ from sentloom.operators.metrics import evaluate
 from sentloom.operators.mixtures import joint_text, mixture
 from sentloom.operators.stats import vocab_coverage
 from sentloom.operators.subword import DEFAULT_VOCAB_SIZE, apply_bpe, learn_bpe
-from sentloom.operators.vocabulary import ids_from_vocab, joined_dictionary
+from sentloom.operators.vocabulary import ids_from_vocab, joined_dictionary, vocabulary_lookup
 from sentloom.sources.staging import stage
 
 
@@ -53,10 +53,11 @@ def prepare_student(splits: Mapping[str, DataFrame], vocab_size: int = DEFAULT_V
     merges, vocabulary = learn_bpe(joint_text(splits["train"]), vocab_size)
     encoded = {name: stage(encode_pairs(pairs, merges), f"student-{name}") for name, pairs in splits.items()}
     dictionary = stage(joined_dictionary(encoded["train"]), "dictionary")
+    known = vocabulary_lookup(dictionary)
     datasets, sides = {}, []
     for name, rows in encoded.items():
-        ids = ids_from_vocab(rows, dictionary, "src_pieces", "src_ids")
-        ids = ids_from_vocab(ids, dictionary, "tgt_pieces", "tgt_ids")
+        ids = ids_from_vocab(rows, known, "src_pieces", "src_ids")
+        ids = ids_from_vocab(ids, known, "tgt_pieces", "tgt_ids")
         datasets[name] = ids.select("line_no", "src_ids", "tgt_ids")
         sides += [
             rows.select(F.lit(name).alias("split"), F.lit(side).alias("side"), F.col(f"{side}_pieces").alias("tokens"))

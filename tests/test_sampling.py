@@ -113,3 +113,18 @@ def test_ties_go_by_content(spark):
     assert all(r["line_no"] is None for r in first)
     with_map = df.withColumn("m", F.create_map(F.lit("a"), F.col("src")))
     assert sampling.cap_pairs(with_map, 7).count() == 7
+
+
+def test_quotas_are_met_to_the_row(spark):
+    sizes = {"big": 1600, "small": 130, None: 40, "one": 1}
+    names = [n for n, k in sizes.items() for _ in range(k)]
+    df = spark.createDataFrame([(i % 900, n, i) for i, n in enumerate(names)], "line_no bigint, corpus string, x int")
+    rates = {r["corpus"]: r["rate"] for r in sampling.temperature_weights(df, 1.5).collect()}
+    several = []
+    for d in (df.coalesce(1), df.repartition(6)):
+        got = sampling.temperature_quotas(d, 1.5).collect()
+        several.append(sorted((r["x"], r["copy"]) for r in got))
+        for name, n in sizes.items():
+            whole = int(rates[name])
+            assert sum(r["corpus"] == name for r in got) == whole * n + round(n * (rates[name] - whole))
+    assert several[0] == several[1]

@@ -115,3 +115,17 @@ def test_frequent_and_rare_keys_of_a_large_lookup(spark, monkeypatch):
     entries = spark.createDataFrame(list(table.items()), "key string, value int")
     for r in lookup_array(df, "w", "v", entries, -1, "int", max_rows=0).collect():
         assert r.v == [table.get(e, -1) for e in r.w]
+
+
+def test_a_prepared_vocabulary_is_written_once(spark, monkeypatch):
+    written = []
+    real = lookup.stage
+    monkeypatch.setattr(lookup, "stage", lambda df, label: written.append(label) or real(df, label))
+    vocab = spark.createDataFrame([("a", 5), ("b", 6)], "token string, token_id bigint")
+    df = spark.createDataFrame([(1, ["a", "x"]), (2, ["b"]), (3, None)], "line_no int, pieces array<string>")
+    for max_rows in (10, 0):
+        known = v.vocabulary_lookup(vocab, max_rows)
+        assert (known.shared is None) == (max_rows == 0)
+        for _ in range(3):
+            assert {r.line_no: r.ids for r in v.ids_from_vocab(df, known).collect()} == {1: [5, v.UNK_ID], 2: [6], 3: None}
+    assert written.count("lookup") == 2
