@@ -8,7 +8,7 @@ from functools import reduce
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,10 +32,9 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def stage_measured(df: DataFrame, label: str, **figures: Column) -> tuple[DataFrame, dict]:
-    """Write a table once and measure it on the way: the written table and the figures (aggregates)."""
-    seen = Observation()
-    staged = stage(df.observe(seen, *[f.alias(name) for name, f in figures.items()]), label)
-    return staged, seen.get
+    """Write a table once and measure what was written: the table and the figures (aggregates)."""
+    staged = stage(df, label)
+    return staged, staged.agg(*[f.alias(name) for name, f in figures.items()]).first().asDict()
 
 
 def broadcast_checked(
@@ -43,8 +42,8 @@ def broadcast_checked(
 ) -> DataFrame:
     """``df`` written once, with a broadcast hint if its rows and bytes are within the limits.
 
-    For results of an aggregation that are expected to be small: they are computed and
-    measured once, as they are written, and joined without shuffling the large side. Beyond
+    For results of an aggregation that are expected to be small: they are computed
+    once, measured on the written table, and joined without shuffling the large side. Beyond
     a limit the join is left to the optimizer.
     """
     staged, seen = stage_measured(df, label, rows=F.count(F.lit(1)), size=F.sum(_row_bytes(df)))
