@@ -56,6 +56,25 @@ def test_two_rounds_by_hand(spark):
         assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
 
 
+def test_words_that_occur_together_are_looked_at_in_slices_and_never_written(spark, monkeypatch):
+    """Many slices give what one does; old code wrote all words that occur together."""
+    monkeypatch.setattr(lexical, "SLICE_PAIRS", 40)
+    monkeypatch.setattr(lexical, "together", None)
+    slices, found = lexical._slices, []
+    monkeypatch.setattr(lexical, "_slices", lambda parts: found.append(slices(parts)) or found[-1])
+    rows = [*translated(12, 7, 15), (100, "", "leer"), (101, "x", ""), (102, "x", None), (103, None, "t")]
+    df = spark.createDataFrame([*rows, (None, "a", "b")], PAIRS)
+    table = lexical.translation_probabilities(df, 2, 0.05)
+    got, want = {(r.s, r.t): r.p for r in table.collect()}, plain([r for r in rows if None not in r] + [(103, "", "t")], 2, 0.05)
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
+    features = {r.line_no: r.lexical_tgt for r in lexical.lexical_features(df.filter("line_no is not null"), table, table).collect()}
+    for line_no, src, tgt in rows:
+        words = (tgt or "").lower().split()
+        best = [max((got.get((s, t), 0.0) for s in (src or "").lower().split()), default=0.0) for t in words]
+        assert math.isclose(features[line_no], sum(best) / len(best) if best else 0.0)
+    assert min(found) > 1
+
+
 def test_likelihood_rises_and_words_find_their_translations(spark):
     rows = translated(150, 1)
     df = spark.createDataFrame(rows, PAIRS)
