@@ -363,6 +363,15 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     (in any case) are replaced. An empty table gives no rows.
     """
     vocabulary = read_vocabulary(path)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    # Both in one worker: a worker each would hold the batches and the tables twice.
+    @F.arrow_udf("ids binary, decoded string")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tables = shared.value.tables
+        for ids in tables.encode(batches):
+            yield pa.StructArray.from_arrays([ids, next(tables.decode(iter([ids])))], ["ids", "decoded"])
+
     own = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("ids", "decoded")]
-    encoded = docs.select(*own, encode_column(docs, vocabulary, F.col("text")).alias("ids"))
-    return encoded.withColumn("decoded", decode_column(docs, vocabulary, F.col("ids")))
+    encoded = docs.select(*own, both(F.col("text")).alias("__both"))
+    return encoded.select(*own, F.col("__both.ids").alias("ids"), F.col("__both.decoded").alias("decoded"))

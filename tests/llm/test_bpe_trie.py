@@ -98,3 +98,12 @@ def test_odd_rows(spark, path):
 def test_other_kinds_of_files_are_refused(path):
     with pytest.raises(ValueError):
         bpe_trie.read_vocabulary(path.replace("byte_bpe_50k", "word_bpe_49k"))
+
+
+def test_ids_and_texts_come_from_one_worker(spark, path):
+    """A worker each for encoding and decoding held the batches and the tables twice."""
+    docs = spark.createDataFrame([(1, "a b"), (2, None), (3, "")], "doc_id long, text string")
+    out = bpe_trie.encode_documents(docs, path).selectExpr("doc_id", "sha2(ids, 256) i", "octet_length(ids) n", "decoded", "sha2(cast(decoded as binary), 256) d")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert [(r.doc_id, r.n, r.decoded) for r in out.orderBy("doc_id").collect()] == [(1, 8, "a b"), (2, 0, ""), (3, 0, "")]
