@@ -15,7 +15,7 @@ the merges in their words.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import pairwise
 
 import numpy as np
@@ -41,6 +41,10 @@ RUN_SYMBOLS = 1_500_000
 BLOCK_SYMBOLS = 1_000_000
 # Words whose pieces a Python worker remembers.
 CACHE_WORDS = 100_000
+# Words of lines that are put together at a time, if a line has not more.
+PART_WORDS = 100_000
+# Texts that an outside encoder is given at a time.
+TEXTS = 2_000
 
 
 def marked_words(c: Column | str) -> Column:
@@ -367,43 +371,83 @@ def segment(word: str, ranks: dict[tuple[str, str], int]) -> list[str]:
     return [s for s in syms if s is not None]
 
 
-def encode_words(load: Callable[[], Callable[[str], list[str]]]):
+def encode_words(load: Callable[[], Callable[[str], list[str]]], names: Sequence[str] = ()):
     """A function of an array of words to the pieces of all of them.
 
-    ``load`` returns the function from a word to its pieces and runs once per task. A batch
-    is cut into its distinct words, each is segmented once (and remembered by the task),
-    and the arrays are put together from those.
+    ``load`` returns the function from a word to its pieces and runs once per task. Lines
+    are cut into their distinct words, some lines at a time; each word is segmented once (and
+    remembered by the task), and the arrays are put together from those. With ``names`` it is a
+    function of as many arrays, to a struct: the columns share a worker and what it remembers.
     """
 
-    @F.arrow_udf("array<string>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def encoder() -> Callable[[pa.Array], pa.Array]:
         # Words share the strings of their pieces.
         cut, cache, shared = load(), {}, {}
-        for lines in batches:
+
+        def encoded(lines: pa.Array) -> pa.Array:
             distinct = lines.flatten().dictionary_encode()
+            own = distinct.dictionary.to_pylist()
             if len(cache) > CACHE_WORDS:
+                # What is in use stays, so frequent words are cut once.
+                kept = {w: cache[w] for w in own if w in cache}
                 cache.clear()
                 shared.clear()
-            own = distinct.dictionary.to_pylist()
+                cache.update((w, tuple(shared.setdefault(p, p) for p in pieces)) for w, pieces in kept.items())
             cache.update((w, tuple(shared.setdefault(p, p) for p in cut(w))) for w in own if w not in cache)
             pieces = pa.array([cache[w] for w in own], pa.list_(pa.string())).take(distinct.indices)
             # Where each word's pieces start, then where each line's do.
             starts = np.concatenate(([0], np.cumsum(pieces.value_lengths().to_numpy(zero_copy_only=False))))
             words = np.concatenate(([0], np.cumsum(lines.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))))
             offsets = pa.array(starts[words].astype(np.int32))
-            yield pa.ListArray.from_arrays(offsets, pieces.flatten(), mask=lines.is_null())
+            return pa.ListArray.from_arrays(offsets, pieces.flatten(), mask=lines.is_null())
 
-    return encode
+        return lambda lines: pa.concat_arrays([encoded(part) for part in line_parts(lines, PART_WORDS)])
 
+    @F.arrow_udf("array<string>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        whole = encoder()
+        for lines in batches:
+            yield whole(lines)
 
-def apply_bpe(df: DataFrame, merges: list[tuple[str, str]], col: str = "text", out: str = "pieces") -> DataFrame:
-    """Encode text to pieces with learned merges (an array column).
+    @F.arrow_udf(", ".join(f"`{n}` array<string>" for n in names) or "array<string>")
+    def encode_all(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        whole = encoder()
+        for columns in batches:
+            yield pa.StructArray.from_arrays([whole(lines) for lines in columns], list(names))
+
+    return encode_all if names else encode
+
+
+def line_parts(lines: pa.Array, most: int) -> Iterator[pa.Array]:
+    """An array of lists in slices of at most ``most`` elements, a longer list alone; an empty array is one slice."""
+    ends = np.cumsum(lines.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    at = 0
+    while True:
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield lines.slice(at, end - at)
+        at = end
+        if at >= len(lines):
+            return
+
+
+def apply_bpe(
+    df: DataFrame, merges: list[tuple[str, str]], col: str | Sequence[str] = "text", out: str | Sequence[str] = "pieces"
+) -> DataFrame:
+    """Encode text to pieces with learned merges (an array column, or one for each of several).
 
     Rows are not shuffled: the merge list is bounded by the vocabulary size and goes
     to the executors.
     """
     ranks = df.sparkSession.sparkContext.broadcast({m: i for i, m in enumerate(merges)})
-    return df.withColumn(out, encode_words(lambda: lambda word: segment(word, ranks.value))(marked_words(col)))
+
+    def load() -> Callable[[str], list[str]]:
+        return lambda word: segment(word, ranks.value)
+
+    if isinstance(col, str):
+        return df.withColumn(out, encode_words(load)(marked_words(col)))
+    both = df.withColumn("__encoded", encode_words(load, out)(*[marked_words(c) for c in col]))
+    return both.withColumns({name: F.col(f"__encoded.`{name}`") for name in out}).drop("__encoded")
 
 
 def encode_pieces(
@@ -414,7 +458,7 @@ def encode_pieces(
     ``load`` returns the encoder (list of texts -> list of their pieces) and runs once per
     task, so a model is read once and used for all batches, for example
     ``lambda: SentencePieceProcessor(model_proto=model_bytes).EncodeAsPieces``. It is
-    given the distinct texts of a batch; a NULL text has NULL pieces.
+    given distinct texts, ``TEXTS`` at a time; a NULL text has NULL pieces.
     """
 
     @F.arrow_udf("array<string>")
@@ -423,9 +467,13 @@ def encode_pieces(
         for batch in batches:
             distinct = batch.dictionary_encode()
             texts = distinct.dictionary.to_pylist()
-            pieces = [list(p) for p in model(texts)] if texts else []
-            if len(pieces) != len(texts):
-                raise ValueError(f"the encoder returned {len(pieces)} results for {len(texts)} texts")
-            yield pa.array(pieces, pa.list_(pa.string())).take(distinct.indices)
+            parts = [pa.array([], pa.list_(pa.string()))]
+            for at in range(0, len(texts), TEXTS):
+                own = texts[at:at + TEXTS]
+                pieces = list(model(own))
+                if len(pieces) != len(own):
+                    raise ValueError(f"the encoder returned {len(pieces)} results for {len(own)} texts")
+                parts.append(pa.array([p if isinstance(p, list) else list(p) for p in pieces], pa.list_(pa.string())))
+            yield pa.concat_arrays(parts).take(distinct.indices)
 
     return df.withColumn(out, encode(F.col(col)))

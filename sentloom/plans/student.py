@@ -38,7 +38,7 @@ def student_pairs(parallel: DataFrame, synthetic: DataFrame, flavour: str, direc
 
 def encode_pairs(pairs: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     """Pairs with the pieces of both sides."""
-    return apply_bpe(apply_bpe(pairs, merges, "src", "src_pieces"), merges, "tgt", "tgt_pieces")
+    return apply_bpe(pairs, merges, ["src", "tgt"], ["src_pieces", "tgt_pieces"])
 
 
 def prepare_student(splits: Mapping[str, DataFrame], vocab_size: int = DEFAULT_VOCAB_SIZE) -> StudentData:

@@ -179,3 +179,57 @@ def test_encode_with_an_outside_model(spark):
     assert rows[-1].pieces is None
     decoded = cleaning.decode_pieces(df.filter("text is not null").withColumnRenamed("text", "raw")).collect()
     assert [r.text for r in decoded] == [r.raw for r in decoded]
+
+
+def test_lines_are_encoded_some_at_a_time(spark, monkeypatch):
+    """Whatever a batch holds, a worker looks at a bounded number of words and of texts."""
+    import pyarrow as pa
+
+    lists = pa.array([[1, 2], None, [], [3] * 9, [4], [5, 6], []])
+    assert [part.to_pylist() for part in subword.line_parts(lists, 3)] == [[[1, 2], None, []], [[3] * 9], [[4], [5, 6], []]]
+    assert [part.to_pylist() for part in subword.line_parts(lists.slice(4), 1)] == [[[4]], [[5, 6]], [[]]]
+    assert [len(part) for part in subword.line_parts(lists[:0], 3)] == [0]
+
+    monkeypatch.setattr(subword, "TEXTS", 3)
+    monkeypatch.setattr(subword, "PART_WORDS", 2)
+    monkeypatch.setattr(subword, "CACHE_WORDS", 2)
+
+    def load():
+        def model(texts):
+            assert len(texts) <= 3
+            return [t.split(" ") for t in texts]
+        return model
+
+    rows = [(i, None if i % 5 == 4 else "" if i % 5 == 3 else f"ab{i} abab ab{i % 3}", f"b{i} ab") for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, text string, tgt string").coalesce(1)
+    for r in subword.encode_pieces(df, load).collect():
+        assert r.pieces == (None if r.text is None else r.text.split(" "))
+    merges = [("a", "b"), ("▁", "ab"), ("ab", "ab")]
+    ranks = {m: i for i, m in enumerate(merges)}
+    both = subword.apply_bpe(df, merges, ["text", "tgt"], ["p", "q"])
+    assert both.columns == ["id", "text", "tgt", "p", "q"]
+    assert both._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    for r in both.collect():
+        for text, pieces in ((r.text, r.p), (r.tgt, r.q)):
+            assert pieces == (None if text is None else [p for w in text.split() for p in subword.segment("▁" + w, ranks)])
+
+
+def test_an_outside_model_gets_each_word_once(monkeypatch):
+    import tokenizers
+
+    from registry import queries
+
+    seen, plain = [], tokenizers.Tokenizer
+
+    class Counting:
+        def __init__(self, model):
+            self.inner = plain(model)
+
+        def encode(self, words, is_pretokenized):
+            seen.extend(words)
+            return self.inner.encode(words, is_pretokenized=is_pretokenized)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counting)
+    encode = queries._outside_model([("a", "b")], ["<unk>", "▁", "a", "b", "ab"])()
+    assert encode(["ab a", " ab  xx ab", ""]) == [["▁", "ab", "▁", "a"], ["▁", "ab", "▁", "▁", "ab"], []]
+    assert encode(["ab"]) == [["▁", "ab"]] and sorted(seen) == ["▁a", "▁ab", "▁xx"]
