@@ -117,6 +117,15 @@ def test_frequent_and_rare_keys_of_a_large_lookup(spark, monkeypatch):
         assert r.v == [table.get(e, -1) for e in r.w]
 
 
+def test_frequent_keys_are_not_shuffled_with_the_rare_ones(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "FREQUENT", 4)
+    df = spark.createDataFrame([(i, ["hot", f"w{i}"]) for i in range(20)], "line_no int, w array<string>")
+    entries = spark.createDataFrame([("hot", 1), ("w3", 2)], "key string, value int")
+    found = lookup_array(df, "w", "v", entries, 0, "int", max_rows=0)
+    assert "LeftAnti" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.line_no: r.v for r in found.collect()} == {i: [1, 2 if i == 3 else 0] for i in range(20)}
+
+
 def test_a_prepared_vocabulary_is_written_once(spark, monkeypatch):
     written = []
     real = lookup.stage
