@@ -198,9 +198,9 @@ def learn_bpe(
     """
     spark = df.sparkSession
     written = _Written(spark)
-    words = written.write(
-        df.select(F.explode(marked_words(col)).alias("w")).groupBy("w").agg(F.count(F.lit(1)).cast("long").alias("n")), "words"
-    )
+    # Each distinct word gets its mark once.
+    counts = df.select(F.explode(tx.words(col)).alias("w")).groupBy("w").agg(F.count(F.lit(1)).cast("long").alias("n"))
+    words = written.write(counts.select(F.concat(F.lit(tx.WORD_MARK), "w").alias("w"), "n"), "words")
     # Code points in use: at most 1.1 million exist.
     found = words.select(F.explode(tx.chars(F.col("w"))).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
     by_count = [(r["c"], r["n"]) for r in found.orderBy(F.desc("n"), F.asc("c")).collect()]

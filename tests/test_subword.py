@@ -7,7 +7,10 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from sentloom.operators import cleaning, subword
+from sentloom.operators.numbering import number_lines
 from sentloom.sources.staging import staging_root
 
 SETTINGS = dict(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -233,3 +236,16 @@ def test_an_outside_model_gets_each_word_once(monkeypatch):
     encode = queries._outside_model([("a", "b")], ["<unk>", "▁", "a", "b", "ab"])()
     assert encode(["ab a", " ab  xx ab", ""]) == [["▁", "ab", "▁", "a"], ["▁", "ab", "▁", "▁", "ab"], []]
     assert encode(["ab"]) == [["▁", "ab"]] and sorted(seen) == ["▁a", "▁ab", "▁xx"]
+
+
+def test_words_are_learned_from_documents_without_numbering_them(spark, sf, monkeypatch):
+    """The words of a text are those of its lines, also where a text is NULL, empty or ends in line breaks."""
+    from registry import queries
+
+    rows = [(1, "de", "a\nb low\n\nlower low"), (2, "de", None), (3, None, ""), (3, "en", "\n"), (None, "en", "new low\u2028newer")]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").withColumn("source", F.lit("s"))
+    monkeypatch.setattr(queries.views, "documents", lambda *a: docs)
+    want = subword.learn_bpe(number_lines(docs), vocab_size=24)
+    monkeypatch.setattr(queries.views, "lines", lambda *a: pytest.fail("lines are numbered"))
+    merges, vocabulary = queries.learned_bpe(spark, sf, 24)
+    assert merges == want[0] and vocabulary.collect() == want[1].collect()
