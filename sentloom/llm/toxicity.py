@@ -27,6 +27,8 @@ DRIFT, MIN_SEGMENT = 0.5, 1.0
 # Width of the bins of the calibrated statistic, and its largest value.
 BIN, TOP = 0.25, 60.0
 MEMO = 200_000
+# Bytes of text whose words a Python worker takes apart at a time; a longer text is taken whole.
+PART_BYTES = 2 << 20
 
 
 def normal_word(word: bytes) -> str:
@@ -64,7 +66,7 @@ def token_counts(rows: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         normal = Normal()
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, PART_BYTES):
                 flat, counts = split_words(part.column(0))
                 if not len(flat):
                     continue
@@ -77,6 +79,8 @@ def token_counts(rows: DataFrame) -> DataFrame:
                 bad, all_of = np.bincount(at[toxic], minlength=n), np.bincount(at, minlength=n)
                 words = [normal[w] for w in coded.dictionary.to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(bad), pa.array(all_of - bad)], ["word", "toxic", "clean"])
+        # The worker lives on and may stand idle beside others.
+        pa.default_memory_pool().release_unused()
 
     found = rows.select("text", "toxic").mapInArrow(count, "word string, toxic long, clean long")
     return found.where("word <> ''").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -156,7 +160,7 @@ def passages_of(text: Column, pieces: dict[str, float], spark) -> Column:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
         for texts in batches:
             numbers, passages = [], []
-            for part in slices(pa.RecordBatch.from_arrays([texts], ["t"]), 0):
+            for part in slices(pa.RecordBatch.from_arrays([texts], ["t"]), 0, PART_BYTES):
                 flat, counts = split_words(part.column(0))
                 coded = flat.dictionary_encode()
                 table = np.fromiter((scores[w] for w in coded.dictionary.to_pylist()), float, len(coded.dictionary))
@@ -174,6 +178,7 @@ def passages_of(text: Column, pieces: dict[str, float], spark) -> Column:
                         made = segments(at.tolist(), (after[at] - own[at]).tolist(), after[at].tolist())
                     passages.append([{"start": a, "end": b, "score": s} for a, b, s in made if s >= MIN_SEGMENT])
             yield pa.StructArray.from_arrays([pa.array(numbers, pa.int64()), pa.array(passages, kind)], ["n_tokens", "passages"])
+        pa.default_memory_pool().release_unused()
 
     return run(text)
 

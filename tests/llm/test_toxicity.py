@@ -152,3 +152,14 @@ def test_a_clean_word_splits_a_segment(spark):
     rows = spark.createDataFrame([("foul foul x foul",), ("foul foul nice foul",), ("nice nice",)], "text string")
     got = [[(p["start"], p["end"], p["score"]) for p in r["s"]["passages"]] for r in rows.select(toxicity.passages_of(F.col("text"), pieces, spark).alias("s")).collect()]
     assert got == [[(0, 4, 5.5)], [(0, 2, 4.0), (3, 4, 2.0)], []]
+
+
+def test_words_are_counted_in_small_parts(spark, monkeypatch):
+    """Texts of many parts, and one longer than a part, count as in one piece."""
+    assert toxicity.PART_BYTES <= 2 << 20
+    texts = [("a b a c. ", 1), ("B, d", 0), (None, 1), ("", 0), ("a " * 50 + "e", 0), ("c a", 1)] * 3
+    df = spark.createDataFrame(texts, "text string, toxic int")
+    whole = sorted(tuple(r) for r in toxicity.token_counts(df).collect())
+    monkeypatch.setattr(toxicity, "PART_BYTES", 8)
+    assert sorted(tuple(r) for r in toxicity.token_counts(df).collect()) == whole
+    assert whole == [("a", 6, 3), ("b", 3, 3), ("c", 6, 0), ("d", 0, 3), ("e", 0, 3)]
