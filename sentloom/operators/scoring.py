@@ -19,9 +19,9 @@ from sentloom.functions import text as tx
 from sentloom.functions.hashing import sample_key
 from sentloom.operators.cleaning import filter_by_score
 from sentloom.operators.lexical import LEXICAL, lexical_features
-from sentloom.operators.lookup import MAX_BROADCAST_ROWS, broadcast_checked, lookup_array
+from sentloom.operators.lookup import MAX_BROADCAST_ROWS, Lookup, broadcast_checked, lookup_array, prepare_lookup
 from sentloom.operators.numbering import number_rows
-from sentloom.operators.tokenization import tokens
+from sentloom.operators.tokenization import tokens_of_words
 from sentloom.sources.staging import stage
 
 FEATURES = [
@@ -45,24 +45,19 @@ def _agreement(a: Column, b: Column) -> Column:
     return F.when(F.greatest(a, b) == 0, F.lit(1.0)).otherwise(F.least(a, b) / F.greatest(a, b))
 
 
-def pair_features(
-    df: DataFrame, wordfreq: DataFrame, tgt_lang: str, max_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
-    """Add the feature columns of a pair (src, tgt).
+def word_lookup(wordfreq: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Lookup:
+    """A frequency list (word, count), prepared once for any number of frames whose features need it."""
+    return prepare_lookup(wordfreq.select(F.col("word").alias("key"), F.col("count").alias("value")), "bigint", max_rows)
 
-    ``wordfreq`` (word, count) is the frequency list of the target language, made by
-    :func:`~sentloom.operators.stats.word_frequencies`; the target is cut into words by
-    the tokeniser that made the list, and words outside it count as 1. Token counts and
-    copied words are those of the whitespace-separated strings.
-    """
-    rows = df.withColumns({
-        "_s": tx.words(F.lower("src")), "_t": tx.words(F.lower("tgt")), "_w": tokens(F.lower("tgt"), tgt_lang),
-    })
-    table = wordfreq.select(F.col("word").alias("key"), F.col("count").alias("value"))
-    rows = lookup_array(rows, "_w", "_n", table, 1, "bigint", max_rows)
+
+def _words(df: DataFrame) -> DataFrame:
+    """Add the lowercased words of both sides, ``_s`` and ``_t``."""
+    return df.withColumns({"_s": tx.words(F.lower("src")), "_t": tx.words(F.lower("tgt"))})
+
+
+def _text_columns() -> dict[str, Column]:
     digits = F.lit(r"(\d+)")
-    log_sum = F.aggregate("_n", F.lit(0.0), lambda acc, n: acc + F.log(n.cast("double")))
-    return rows.withColumns({
+    return {
         "length_ratio": tx.length_ratio("src", "tgt"),
         "src_tokens": F.size("_s"),
         "tgt_tokens": F.size("_t"),
@@ -73,11 +68,34 @@ def pair_features(
             F.regexp_count("src", F.lit(PUNCTUATION)), F.regexp_count("tgt", F.lit(PUNCTUATION))
         ),
         "digit_agreement": _overlap(F.regexp_extract_all("src", digits), F.regexp_extract_all("tgt", digits)),
-        "tgt_log_freq": F.coalesce(F.try_divide(log_sum, F.size("_n")), F.lit(0.0)),
-    }).drop("_s", "_t", "_w", "_n")
+    }
+
+
+def text_features(df: DataFrame) -> DataFrame:
+    """Add the feature columns that need the texts of a pair (src, tgt) only: all but ``tgt_log_freq``."""
+    return _words(df).withColumns(_text_columns()).drop("_s", "_t")
+
+
+def pair_features(
+    df: DataFrame, wordfreq: DataFrame | Lookup, tgt_lang: str, max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Add the feature columns of a pair (src, tgt).
+
+    ``wordfreq`` (word, count) is the frequency list of the target language, made by
+    :func:`~sentloom.operators.stats.word_frequencies`, or what :func:`word_lookup` made of it; the
+    target is cut into words by the tokeniser that made the list, and words outside it count as 1.
+    Token counts and copied words are those of the whitespace-separated strings.
+    """
+    known = wordfreq if isinstance(wordfreq, Lookup) else word_lookup(wordfreq, max_rows)
+    rows = _words(df).withColumns({**_text_columns(), "_w": tokens_of_words("_t", tgt_lang)}).drop("_s", "_t")
+    rows = lookup_array(rows, "_w", "_n", known, 1, "bigint")
+    log_sum = F.aggregate("_n", F.lit(0.0), lambda acc, n: acc + F.log(n.cast("double")))
+    return rows.withColumn("tgt_log_freq", F.coalesce(F.try_divide(log_sum, F.size("_n")), F.lit(0.0))).drop("_w", "_n")
 
 
-def make_negatives(df: DataFrame, seed: int = 1, block_digits: int = BLOCK_DIGITS) -> DataFrame:
+def make_negatives(
+    df: DataFrame, seed: int = 1, block_digits: int = BLOCK_DIGITS, of_target: Sequence[str] = ()
+) -> DataFrame:
     """Negative examples: every source with the target of another row.
 
     Rows stand in the order of their seeded key, and each takes the target of the
@@ -85,7 +103,7 @@ def make_negatives(df: DataFrame, seed: int = 1, block_digits: int = BLOCK_DIGIT
     from a window; the row after a block is the first of the next block, from a table
     of one row per block. Only ids are put in order; the texts are joined to them
     afterwards, by number. A row whose own target has the same text gives none, nor does a
-    single row.
+    single row. Columns ``of_target`` go along with the target.
     """
     keyed = df.select("line_no", sample_key("line_no", seed).alias("_key")).withColumn(
         "_block", F.substring("_key", 1, block_digits)
@@ -105,10 +123,10 @@ def make_negatives(df: DataFrame, seed: int = 1, block_digits: int = BLOCK_DIGIT
         .filter("tgt_line_no <> line_no")
     )
     sources = df.select("line_no", "src", F.xxhash64("tgt").alias("_own"))
-    targets = df.select(F.col("line_no").alias("tgt_line_no"), "tgt")
+    targets = df.select(F.col("line_no").alias("tgt_line_no"), "tgt", *of_target)
     return (
         ids.join(sources, "line_no").join(targets, "tgt_line_no")
-        .filter(F.col("_own") != F.xxhash64("tgt")).select("line_no", "src", "tgt", "tgt_line_no")
+        .filter(F.col("_own") != F.xxhash64("tgt")).select("line_no", "src", "tgt", "tgt_line_no", *of_target)
     )
 
 
@@ -165,7 +183,8 @@ def replace_words(df: DataFrame, words: DataFrame, share: float = 0.5, seed: int
 
 
 def pair_examples(
-    df: DataFrame, wordfreq: DataFrame, tgt_lang: str, seed: int = 1, replaced: float | None = None, lexical: tuple[DataFrame, DataFrame] | None = None
+    df: DataFrame, wordfreq: DataFrame | Lookup, tgt_lang: str, seed: int = 1, replaced: float | None = None,
+    lexical: tuple[DataFrame, DataFrame] | None = None, featured: bool = False,
 ) -> DataFrame:
     """What the classifier sees: features and label (1.0 for the pairs, 0.0 for negatives made of them).
 
@@ -173,18 +192,23 @@ def pair_examples(
     words is replaced. With ``lexical``, word translation tables of both directions, the
     features of :func:`~sentloom.operators.lexical.lexical_features` are added. Ids stay
     unique over all kinds: 4 * line_no for pairs, one and two more for negatives with
-    ``replaced``, else even for pairs and odd for negatives.
+    ``replaced``, else even for pairs and odd for negatives. With ``featured``, the pairs
+    already have the columns of :func:`pair_features`. What the words of a target give is found
+    once, and goes along with the target into the negative that takes it.
     """
     kinds = 2 if replaced is None else 4
-    positives = df.select("line_no", "src", "tgt").withColumn("label", F.lit(1.0))
-    parts = [positives, make_negatives(df, seed).select("line_no", "src", "tgt").withColumn("label", F.lit(0.0))]
+    columns = ["line_no", "src", "tgt", *FEATURES]
+    if not featured:
+        df = stage(pair_features(df.select("line_no", "src", "tgt"), wordfreq, tgt_lang), "pair-features")
+    moved = text_features(make_negatives(df, seed, of_target=["tgt_log_freq"]))
+    parts = [df.select(*columns).withColumn("label", F.lit(1.0)), moved.select(*columns).withColumn("label", F.lit(0.0))]
     if replaced is not None:
-        parts.append(replace_words(df, target_words(df), replaced, seed).select("line_no", "src", "tgt").withColumn("label", F.lit(0.0)))
+        changed = pair_features(replace_words(df, target_words(df), replaced, seed), wordfreq, tgt_lang)
+        parts.append(changed.select(*columns).withColumn("label", F.lit(0.0)))
     examples = reduce(DataFrame.unionByName, [part.withColumn("line_no", F.col("line_no") * kinds + i) for i, part in enumerate(parts)])
     if lexical is None:
-        return pair_features(examples, wordfreq, tgt_lang).select("line_no", *FEATURES, "label")
-    examples = stage(examples, "examples")
-    return lexical_features(pair_features(examples, wordfreq, tgt_lang), *lexical).select("line_no", *FEATURES, *LEXICAL, "label")
+        return examples.select("line_no", *FEATURES, "label")
+    return lexical_features(stage(examples, "examples"), *lexical).select("line_no", *FEATURES, *LEXICAL, "label")
 
 
 def target_words(df: DataFrame) -> DataFrame:
@@ -214,17 +238,20 @@ class PairClassifier:
 def fit_pair_classifier(
     train: DataFrame, dev: DataFrame, wordfreq: DataFrame, tgt_lang: str,
     seed: int = 1, max_iter: int = 50, regs: Sequence[float] = (0.001, 0.01, 0.1),
-    replaced: float | None = None, lexical: tuple[DataFrame, DataFrame] | None = None,
+    replaced: float | None = None, lexical: tuple[DataFrame, DataFrame] | None = None, featured: bool = False,
 ) -> PairClassifier:
     """Train a classifier that tells translations from shuffled pairs.
 
     ``train`` and ``dev`` hold (capped, non-empty) pairs; as many negative pairs are
     made from each. Logistic regression on the features of :func:`pair_features`, with
     the regularisation that ranks the development pairs best (the first of equals).
-    ``replaced`` and ``lexical`` are those of :func:`pair_examples`.
+    ``replaced``, ``lexical`` and ``featured`` are those of :func:`pair_examples`.
     """
+    known = wordfreq if featured and replaced is None else word_lookup(wordfreq)
     # Written once: the optimizer of the classifier passes over it many times.
-    features, held = (stage(pair_examples(df, wordfreq, tgt_lang, seed, replaced, lexical), "features") for df in (train, dev))
+    features, held = (
+        stage(pair_examples(df, known, tgt_lang, seed, replaced, lexical, featured), "features") for df in (train, dev)
+    )
     names = FEATURES if lexical is None else [*FEATURES, *LEXICAL]
     rank = BinaryClassificationEvaluator(metricName="areaUnderROC")
     best = None
@@ -242,12 +269,16 @@ def fit_pair_classifier(
     return PairClassifier(best[0], wordfreq, tgt_lang, best[1], lexical)
 
 
-def score_pairs(df: DataFrame, model: PairClassifier | Callable[[DataFrame], Column]) -> DataFrame:
-    """Append a score in [0, 1]: the probability of a fitted classifier, or any column of a function."""
+def score_pairs(df: DataFrame, model: PairClassifier | Callable[[DataFrame], Column], featured: bool = False) -> DataFrame:
+    """Append a score in [0, 1]: the probability of a fitted classifier, or any column of a function.
+
+    With ``featured``, the pairs already have the columns of :func:`pair_features`, found with the
+    classifier's word list.
+    """
     if not isinstance(model, PairClassifier):
         return df.withColumn("score", model(df))
-    featured = pair_features(df, model.wordfreq, model.tgt_lang)
-    scored = model.model.transform(featured if model.lexical is None else lexical_features(featured, *model.lexical))
+    rows = df if featured else pair_features(df, model.wordfreq, model.tgt_lang)
+    scored = model.model.transform(rows if model.lexical is None else lexical_features(rows, *model.lexical))
     return scored.withColumn("score", vector_to_array("probability")[1]).select(*df.columns, "score")
 
 

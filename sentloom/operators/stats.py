@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentloom.functions.text import SEPARATOR_RUN
-from sentloom.operators.tokenization import tokens
+from sentloom.operators.tokenization import PLAIN_WORD, tokens
 
 THRESHOLDS = tuple(t / 10 for t in range(10))
 
@@ -39,8 +39,9 @@ def word_frequencies(
         .filter(F.col("_raw") != "")
         .groupBy("_raw").agg(F.count(F.lit(1)).alias("_n"))
     )
+    found = F.when(F.col("_raw").rlike(PLAIN_WORD), F.array("_raw")).otherwise(tokens("_raw", lang))
     counts = (
-        raw.select(F.explode(tokens("_raw", lang)).alias("word"), "_n")
+        raw.select(F.explode(found).alias("word"), "_n")
         .groupBy("word").agg(F.sum("_n").alias("count"))
     )
     if as_written:

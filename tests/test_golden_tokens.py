@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentloom.functions import text as tx
-from sentloom.operators.tokenization import tokens
+from sentloom.operators.tokenization import tokens, tokens_of_words
 
 MOSES = [
     ("en", "Hello, world!", "Hello , world !"),
@@ -38,3 +38,11 @@ def test_13a(spark):
     df = spark.createDataFrame([(t,) for t, _ in MTEVAL], "t string")
     got = [r[0] for r in df.select(tx.words(tx.spaced_13a(F.col("t")))).collect()]
     assert got == [w.split() for _, w in MTEVAL]
+
+
+@pytest.mark.parametrize("lang", ["de", "en", "fr"])
+def test_tokens_of_words_are_those_of_the_text(spark, lang):
+    texts = [text for _, text, _ in MOSES] + ["Ärzte, 3-4 `x` naïve 中文 ͏a\u0301 x\x01y a,,5 1,5 ,, z.B. usw. U.S. l'été' -", "\x00", "𝒳 😀a 😀"]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", tx.words("t").alias("w"))
+    rows = df.select("t", F.array_sort(tokens("t", lang)).alias("a"), F.array_sort(tokens_of_words("w", lang)).alias("b")).collect()
+    assert len(rows) == len(texts) + 1 and all(r.a == r.b for r in rows)

@@ -4,7 +4,9 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from sentloom.operators import scoring
+from registry import queries
+from sentloom.operators import scoring, stats
+from sentloom.plans import views
 
 NUMBERS = "one two three four five six seven eight nine ten".split()
 
@@ -89,3 +91,39 @@ def test_clean_synthetic_keeps_origins(spark):
     got = scoring.clean_synthetic(df, scoring.length_ratio_scorer, 0.3).collect()
     assert [(r.line_no, r.src_origin, r.score) for r in got] == [(1, "x", 1.0)]
     assert scoring.clean_synthetic(df, scoring.length_ratio_scorer, 0.1).count() == 2
+
+
+@pytest.mark.parametrize("featured", [False, True])
+def test_negatives_have_the_features_of_their_texts(spark, wordfreq, featured):
+    df = pairs(spark, 30).unionByName(spark.createDataFrame([(31, "a b", "Wort. wort, x"), (32, "1", "..")], "line_no bigint, src string, tgt string"))
+    given = scoring.pair_features(df, wordfreq, "de") if featured else df
+    got = {r.line_no: r for r in scoring.pair_examples(given, wordfreq, "de", 3, featured=featured).collect()}
+    negatives = scoring.make_negatives(df, 3).select((F.col("line_no") * 2 + 1).alias("line_no"), "src", "tgt")
+    both = df.withColumn("line_no", F.col("line_no") * 2).unionByName(negatives)
+    expected = scoring.pair_features(both, wordfreq, "de").collect()
+    assert len(got) == len(expected) > 60
+    for row in expected:
+        assert got[row.line_no].label == 1 - row.line_no % 2
+        assert all(got[row.line_no][f] == pytest.approx(row[f], abs=1e-12) for f in scoring.FEATURES)
+
+
+def test_the_query_takes_every_pair_apart_once(spark, tmp_path, monkeypatch):
+    rows = [(i, r.tgt if i % 2 else r.src, "de" if i % 2 else "en", "s", 1) for r in pairs(spark, 80).collect() for i in (2 * r.line_no, 2 * r.line_no + 1)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+
+    def counted(module, name):
+        f = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, **b: (seen.append(name), f(*a, **b))[1])
+
+    counted(views, "clean_pairs")
+    counted(scoring, "lookup_array")
+    scores = {r.line_no: r.score for r in queries.score_pairs(spark, str(tmp_path)).collect()}
+    assert sorted(seen) == ["clean_pairs", "lookup_array"]
+    monkeypatch.undo()
+    # As of pairs that bring no features.
+    clean = views.clean_pairs(spark, str(tmp_path))
+    words = stats.word_frequencies(views.documents(spark, str(tmp_path), "de"), "de")
+    model = scoring.fit_pair_classifier(clean.filter("line_no % 5 <> 0"), clean.filter("line_no % 5 = 0"), words, "de", queries.SEED)
+    plain = {r.line_no: r.score for r in scoring.score_pairs(clean, model).collect()}
+    assert len(scores) == 80 and scores == pytest.approx(plain, abs=1e-6)
