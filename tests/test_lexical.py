@@ -4,10 +4,12 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sentloom.operators import lexical, scoring
+from sentloom.functions import text as tx
+from sentloom.operators import lexical, scoring, word_pairs
 from sentloom.operators.stats import word_frequencies
 
 PAIRS = "line_no bigint, src string, tgt string"
@@ -75,6 +77,74 @@ def test_words_that_occur_together_are_looked_at_in_slices_and_never_written(spa
     assert min(found) > 1
 
 
+@pytest.mark.parametrize("held", [5, 10**6])
+def test_a_slice_makes_a_bounded_number_of_words_that_occur_together(monkeypatch, held):
+    """Arrays alone, without Spark: few words held, in a block and in a piece give what plain code gives."""
+    for name, value in (("HELD_WORDS", held), ("BLOCK", 7), ("ENTRIES", 10), ("PIECE_WORDS", 4)):
+        monkeypatch.setattr(word_pairs, name, value)
+    rows, n, least = [*translated(12, 7, 15), *((50 + i, "sa sb", "ta") for i in range(9)), (98, "", "leer"), (99, "x", "")], 3, 0.0437
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], ["line_no", "src", "tgt"])
+    chunks = list(word_pairs.cut(iter([batch.slice(k, 5) for k in range(0, len(rows), 5)]), 100, "", chunk_words=12))
+    assert len(chunks) > 1
+    books = {c: sorted({w for x in chunks for w in x.column(c)[0].as_py()}) for c in ("s_words", "t_words")}
+    codes = {c: {w: k for k, w in enumerate(book)} for c, book in books.items()}
+    pieces = [
+        piece for i, x in enumerate(chunks) for piece in word_pairs.numbered(iter([pa.RecordBatch.from_arrays([
+            pa.array([i]), *(pa.array([[codes[c][w] for w in x.column(c)[0].as_py()]], pa.list_(pa.int32())) for c in books), x.column("data"),
+        ], ["i", "s_codes", "t_codes", "data"])]))
+    ]
+
+    def whole(sums):
+        totals = Counter()
+        for x in sums:
+            for code, total in zip(x.column("code").to_pylist(), x.column("total").to_pylist()):
+                totals[code] += total
+        codes = sorted(totals)
+        return list(word_pairs.packed_sums(iter([pa.RecordBatch.from_arrays([pa.array(codes, pa.int32()), pa.array([totals[c] for c in codes])], ["code", "total"])])))
+
+    n_s, table = len(books["s_words"]), {k: [] for k in range(n)}
+    sums = whole(word_pairs.first_sums(iter(pieces)))
+    for first in (True, False):
+        out = {k: list(word_pairs.learn(iter([*sums, *table[k], *pieces]), k, n, n_s, len(sums) + len(table[k]), least, first)) for k in range(n)}
+        table = {k: [x for x in own if x.column("kind")[0].as_py() == "table"] for k, own in out.items()}
+        if not first:
+            sums = whole(word_pairs.unpacked_sums(x for own in out.values() for x in own if x.column("kind")[0].as_py() == "sums"))
+    words = [
+        next(word_pairs.packed_words(iter([pa.RecordBatch.from_arrays([pa.array(book), pa.array(range(len(book)))], ["word", "code"])]), c))
+        for c, book in books.items()
+    ]
+    got = {}
+    for k in range(n):
+        for x in word_pairs.unpacked_table(iter([*table[k], *words, *sums]), k, n, n_s, least):
+            got |= {(s, t): p for s, t, p in zip(*(x.column(c).to_pylist() for c in "stp"))}
+    want = plain(rows, 2, least)
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
+    with pytest.raises(ValueError, match="missing"):
+        list(word_pairs.learn(iter(pieces), 0, n, n_s, 1, least, True))
+
+
+def test_arrow_splits_at_the_same_whitespace():
+    text = pa.array(["a" + "".join(f"{c}x" for c in tx.WHITESPACE) + "  b ", " ", "", None])
+    assert word_pairs._words(text).to_pylist() == [["a", *"x" * len(tx.WHITESPACE), "b"], [], [], []]
+    others = [chr(c) for c in range(1, 0x3100) if chr(c) not in tx.WHITESPACE]
+    assert word_pairs._words(pa.array([f"a{c}b" for c in others])).value_lengths().unique().to_pylist() == [1]
+
+
+def test_lines_of_one_number_are_one_and_rows_say_what_pieces_say(spark, monkeypatch):
+    rows = [(1, "a b", "x"), (1, "c", "y x"), (2, "a", "x"), (None, "a", "z")]
+    df = spark.createDataFrame(rows, PAIRS)
+    table = lexical.translation_probabilities(df, 2, 0.01)
+    got, want = {(r.s, r.t): r.p for r in table.collect()}, plain([(1, "a b c", "x y x"), (2, "a", "x")], 2, 0.01)
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
+    some = spark.createDataFrame([(7, "a q", "x y unknown"), (8, "q", "x")], PAIRS)
+    by_rows = spark.createDataFrame([*((s, t, p) for (s, t), p in got.items()), ("a", "x", 0.0), ("a", None, 1.0)], "s string, t string, p double")
+    found = lexical.lexical_features(some, by_rows, by_rows).orderBy("line_no").collect()
+    # A table that was learned is not made anew from its rows.
+    monkeypatch.setattr(lexical, "_as_table", None)
+    assert lexical.lexical_features(some, table, table).orderBy("line_no").collect() == found
+    assert math.isclose(found[0].lexical_tgt, (got["a", "x"] + got["a", "y"]) / 3) and found[1].lexical_tgt == 0.0
+
+
 def test_likelihood_rises_and_words_find_their_translations(spark):
     rows = translated(150, 1)
     df = spark.createDataFrame(rows, PAIRS)
