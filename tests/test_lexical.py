@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sentloom.functions import text as tx
 from sentloom.operators import lexical, scoring, word_pairs
 from sentloom.operators.stats import word_frequencies
+from sentloom.sources.staging import path_exists
 
 PAIRS = "line_no bigint, src string, tgt string"
 
@@ -145,6 +146,20 @@ def test_lines_of_one_number_are_one_and_rows_say_what_pieces_say(spark, monkeyp
     assert math.isclose(found[0].lexical_tgt, (got["a", "x"] + got["a", "y"]) / 3) and found[1].lexical_tgt == 0.0
 
 
+def test_text_and_sums_are_deleted_when_they_are_done_with(spark, monkeypatch):
+    """Of three rounds the last table stays, and of a text nothing but what is returned."""
+    made, path = [], lexical.staging_path
+    monkeypatch.setattr(lexical, "staging_path", lambda spark, label: made.append((label, path(spark, label))) or made[-1][1])
+    df = spark.createDataFrame(translated(12, 7, 15), PAIRS)
+    table = lexical.translation_probabilities(df, 3, 0.01)
+    assert lexical.lexical_features(df, table, table).count() == 12
+    assert Counter(label for label, _ in made) == {"parts": 3, "pieces": 3, "translations": 3}
+    assert not any(path_exists(spark, p) for label, p in made if label != "translations")
+    tables = [p for label, p in made if label == "translations"]
+    assert not any(path_exists(spark, f"{p}/kind=sums") for p in tables)
+    assert [path_exists(spark, f"{p}/kind=table/k=0") for p in tables] == [False, False, True]
+
+
 def test_likelihood_rises_and_words_find_their_translations(spark):
     rows = translated(150, 1)
     df = spark.createDataFrame(rows, PAIRS)
